@@ -47,6 +47,28 @@ WHERE event_type = 'PURCHASE'
 GROUP BY {keys}"""
 
 
+# Dirty message cases (event_id % 25), restated from the data-model rules.
+DMSG = """dm AS (
+  SELECT event_id AS record_id, event_id % 25 AS m, cast(floor(value) AS bigint) AS q,
+         user_id, json_extract_string(props, '$.k') AS k, event_type AS et, ts
+  FROM events),
+dr AS (
+  SELECT *,
+    m = 24 AS malformed,
+    m <> 24 AND m IN (2, 8) AS missing_field,
+    m <> 24 AND m IN (1, 5, 16) AS null_or_blank,
+    m <> 24 AND (m IN (6, 7) OR et NOT IN ('view', 'add_to_cart', 'purchase')) AS bad_event_type,
+    m <> 24 AND (m IN (11, 13, 15, 18) OR (m NOT IN (11, 13, 14, 15, 16, 18) AND q <= 0)) AS bad_quantity,
+    m IN (21, 22, 23) AS bad_currency
+  FROM dm),
+dv AS (
+  SELECT *, concat_ws(',',
+      CASE WHEN malformed THEN 'malformed' END, CASE WHEN missing_field THEN 'missing_field' END,
+      CASE WHEN null_or_blank THEN 'null_or_blank' END, CASE WHEN bad_event_type THEN 'bad_event_type' END,
+      CASE WHEN bad_quantity THEN 'bad_quantity' END, CASE WHEN bad_currency THEN 'bad_currency' END) AS reasons
+  FROM dr)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["gold_top_products"] = gold_sql("products")
@@ -57,4 +79,116 @@ def oracle_sql() -> dict[str, str]:
     q["gold_category_left"] = gold_sql("category", "LEFT JOIN", segment=True)
     q["gold_products_left"] = gold_sql("products", "LEFT JOIN", segment=True)
     q["gold_country_segment"] = gold_sql("country", "JOIN", segment=True)
+
+    # ---- silver conform over dirty text
+    q["conform_customers"] = f"""WITH {CUST}, raw AS (
+  SELECT customer_id % 10 AS m, customer_id AS id, customer_name AS name, country,
+         strftime(DATE '2026-01-01' + CAST(customer_id % 90 AS INTEGER), '%Y-%m-%d') AS signup
+  FROM cust),
+dirty AS (
+  SELECT CASE m WHEN 1 THEN '  ' || id || '  ' WHEN 4 THEN '' WHEN 5 THEN NULL
+                WHEN 9 THEN cast(id - 1 AS varchar) ELSE cast(id AS varchar) END AS customer_id,
+         CASE m WHEN 2 THEN ' ' || name || ' ' ELSE name END AS name,
+         CASE m WHEN 7 THEN chr(9) || country WHEN 8 THEN '  ' || country ELSE country END AS country,
+         CASE m WHEN 3 THEN 'not-a-date' WHEN 6 THEN '2026-02-30' ELSE signup END AS signup_date
+  FROM raw),
+typed AS (
+  SELECT trim(customer_id) AS customer_id, trim(name) AS customer_name, trim(country) AS country,
+         try_cast(signup_date AS date) AS signup_date
+  FROM dirty WHERE customer_id IS NOT NULL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id
+             ORDER BY customer_name NULLS FIRST, country NULLS FIRST, signup_date NULLS FIRST) AS rn
+  FROM typed)
+SELECT customer_id, customer_name, country, cast(signup_date AS varchar) AS signup_date
+FROM ranked WHERE rn = 1"""
+    q["conform_products"] = f"""WITH raw AS (
+  SELECT p_partkey % 10 AS m, p_partkey AS id, p_name AS name, p_type AS cat, p_retailprice AS price
+  FROM part),
+dirty AS (
+  SELECT CASE m WHEN 4 THEN NULL WHEN 9 THEN cast(id - 1 AS varchar) ELSE cast(id AS varchar) END AS product_id,
+         CASE m WHEN 7 THEN '  ' || name || ' ' ELSE name END AS product_name,
+         CASE m WHEN 8 THEN cat || '  ' ELSE cat END AS category,
+         CASE m WHEN 1 THEN ' ' || cast(price AS varchar) || ' ' WHEN 2 THEN 'abc'
+                WHEN 3 THEN cast(cast(floor(price) AS bigint) AS varchar) || '.005'
+                WHEN 5 THEN '123456789.50' WHEN 6 THEN '-' || cast(price AS varchar)
+                ELSE cast(price AS varchar) END AS price
+  FROM raw),
+typed AS (
+  SELECT trim(product_id) AS product_id, trim(product_name) AS product_name, trim(category) AS category,
+         try_cast(trim(price) AS decimal(10,2)) AS price
+  FROM dirty),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY product_id
+             ORDER BY product_name NULLS FIRST, category NULLS FIRST, price NULLS FIRST) AS rn
+  FROM typed WHERE product_id IS NOT NULL AND price IS NOT NULL)
+SELECT product_id, product_name, category, cast(price AS double) AS price FROM ranked WHERE rn = 1"""
+    q["conform_events"] = f"""WITH {DMSG}
+SELECT cast(record_id AS varchar) AS event_id,
+       CASE m WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '' ELSE cast(user_id AS varchar) END AS customer_id,
+       CASE m WHEN 5 THEN NULL ELSE k END AS product_id,
+       upper(et) AS event_type,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts,
+       cast(CASE WHEN m IN (11, 12, 14, 15, 16, 18, 19) THEN NULL WHEN m = 13 THEN -q ELSE q END AS int) AS quantity
+FROM dm
+WHERE m NOT IN (8, 9, 24)
+  AND (CASE WHEN m IN (11, 12, 14, 15, 16, 18, 19) THEN NULL WHEN m = 13 THEN -q ELSE q END) > 0"""
+    q["dedup_events"] = """WITH l AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, o_custkey AS customer_id,
+         l_partkey AS product_id, cast(l_quantity AS int) AS quantity,
+         l_shipdate, l_suppkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY l_shipdate, product_id, l_suppkey) AS rn
+  FROM l WHERE quantity > 0 AND l_shipdate IS NOT NULL)
+SELECT event_id, customer_id, product_id, quantity FROM ranked WHERE rn = 1"""
+    q["dim_last_wins"] = """WITH v AS (
+  SELECT p_partkey AS product_id, p_name AS product_name, p_partkey * 2 AS file_order FROM part
+  UNION ALL
+  SELECT p_partkey, upper(p_name), CASE WHEN p_size > 25 THEN p_partkey * 2 + 1 ELSE p_partkey * 2 - 1 END
+  FROM part),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY file_order DESC) AS rn FROM v)
+SELECT product_id, product_name FROM ranked WHERE rn = 1"""
+    q["iso_timestamp"] = """SELECT cast(event_id AS varchar) AS event_id,
+       CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00')
+            ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS iso
+FROM events"""
+    # ---- validation / quarantine over dirty messages
+    q["decode_events"] = f"""WITH {DMSG}
+SELECT record_id,
+       CASE WHEN m = 24 THEN NULL ELSE cast(record_id AS varchar) END AS event_id,
+       CASE WHEN m = 24 THEN NULL WHEN m = 6 THEN upper(et) WHEN m = 7 THEN ' ' || et ELSE et END AS event_type,
+       CASE WHEN m = 24 THEN NULL
+            WHEN m = 11 THEN cast(q AS varchar) || '.5'
+            WHEN m = 12 THEN cast(q AS varchar) || '.7'
+            WHEN m = 13 THEN CASE WHEN q = 0 THEN '0' ELSE '-' || cast(q AS varchar) END
+            WHEN m = 14 THEN 'true' WHEN m = 15 THEN 'false' WHEN m = 16 THEN NULL
+            WHEN m = 17 THEN ' ' || cast(q AS varchar) || ' '
+            WHEN m = 18 THEN 'x'
+            WHEN m = 19 THEN cast(q AS varchar) || '.0'
+            ELSE cast(q AS varchar) END AS quantity_text,
+       CASE WHEN m = 24 THEN NULL ELSE m IN (20, 21, 22, 23) END AS has_currency
+FROM dm"""
+    q["normalize_currency"] = f"""WITH {DMSG}
+SELECT record_id, cast(record_id AS varchar) AS event_id,
+       CASE m WHEN 20 THEN 'SAR' WHEN 21 THEN 'XXX' WHEN 22 THEN NULL WHEN 23 THEN '' ELSE 'USD' END AS currency
+FROM dm WHERE m <> 24"""
+    q["valid_events"] = f"""WITH {DMSG}
+SELECT record_id, cast(record_id AS varchar) AS event_id,
+       CASE m WHEN 3 THEN ' ' ELSE cast(user_id AS varchar) END AS customer_id,
+       k AS product_id, et AS event_type,
+       CASE m WHEN 14 THEN 1 ELSE q END AS quantity,
+       CASE m WHEN 20 THEN 'SAR' ELSE 'USD' END AS currency
+FROM dv WHERE reasons = ''"""
+    q["rejected_events"] = f"""WITH {DMSG}
+SELECT record_id, reasons FROM dv WHERE reasons <> ''"""
+    q["reject_reason_counts"] = f"""WITH {DMSG}
+SELECT reason, count(*) AS n
+FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM dv WHERE reasons <> '') t
+GROUP BY reason"""
+    q["ingest_quality"] = f"""WITH {DMSG},
+l AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT cast((SELECT count(*) FROM dv WHERE reasons = '') + (SELECT count(DISTINCT event_id) FROM l) AS bigint) AS stored,
+       cast((SELECT count(*) FROM dv WHERE reasons <> '') AS bigint) AS rejected,
+       cast((SELECT count(*) - count(DISTINCT event_id) FROM l) AS bigint) AS duplicates"""
     return q

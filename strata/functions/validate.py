@@ -38,10 +38,17 @@ _VAR = "_msg_variant"
 
 
 def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """Add the two parsed views of a message text column."""
+    """Add the two parsed views of a message text column.
+
+    The parse runs inside a generator (``inline`` of a one-element array):
+    the optimizer cannot substitute generated columns back into filters or
+    later projections, so each text is parsed exactly once however many rules
+    read the result.
+    """
     text = F.col(text_col).cast("string")
-    return (df.withColumn(_MAP, F.from_json(text, "map<string,string>"))
-              .withColumn(_VAR, F.try_parse_json(text))
+    parsed = F.struct(F.from_json(text, "map<string,string>").alias(_MAP),
+                      F.try_parse_json(text).alias(_VAR))
+    return (df.select("*", F.inline(F.array(parsed)))
               .withColumn("_msg_is_object", F.coalesce(
                   F.trim(text).rlike(r"^\{[\s\S]*\}$") & F.col(_MAP).isNotNull(), F.lit(False))))
 

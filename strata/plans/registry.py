@@ -63,3 +63,110 @@ def gold_products_left(spark, d):
 @register("gold_country_segment")
 def gold_country_segment(spark, d):
     return L.gold(spark, d, "country", orphans="drop", segment=True)
+
+
+# ------------------------------------------------------------ silver conform
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.functions import validate as V  # noqa: E402
+from strata.operators import conform as C  # noqa: E402
+from strata.operators import ingest as I  # noqa: E402
+from strata.operators.dedup import keep_last  # noqa: E402
+from strata.operators.enrich import iso_text  # noqa: E402
+from strata.sources import adapters as A  # noqa: E402
+
+
+@register("conform_customers")
+def conform_customers(spark, d):
+    s = C.silver_customers(A.dirty_customers(spark, d))
+    return s.select("customer_id", "customer_name", "country",
+                    F.col("signup_date").cast("string").alias("signup_date"))
+
+
+@register("conform_products")
+def conform_products(spark, d):
+    s = C.silver_products(A.dirty_products(spark, d))
+    return s.select("product_id", "product_name", "category", F.col("price").cast("double").alias("price"))
+
+
+def _decoded_fields(spark, d):
+    """Adapter D decoded into raw text fields (what a JSON reader would give)."""
+    parsed = V.with_parsed(A.messages_d(spark, d))
+    return parsed.select("record_id", *[V.field(f).alias(f) for f in
+                                        ("event_id", "customer_id", "product_id", "event_type",
+                                         "timestamp", "quantity")])
+
+
+@register("conform_events")
+def conform_events(spark, d):
+    s = C.silver_events(_decoded_fields(spark, d).drop("record_id"))
+    return s.select("event_id", "customer_id", "product_id", "event_type",
+                    F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_ts"),
+                    "quantity")
+
+
+@register("dedup_events")
+def dedup_events(spark, d):
+    return L.silver_events_l(spark, d).select("event_id", "customer_id", "product_id", "quantity")
+
+
+@register("dim_last_wins")
+def dim_last_wins(spark, d):
+    return keep_last(A.versioned_products(spark, d), "product_id", ["file_order"]) \
+        .select("product_id", "product_name")
+
+
+@register("iso_timestamp")
+def iso_timestamp(spark, d):
+    return A.events_e(spark, d).select("event_id", iso_text("timestamp").alias("iso"))
+
+
+# ----------------------------------------------------- validation / quarantine
+@register("decode_events")
+def decode_events(spark, d):
+    parsed = V.with_parsed(A.messages_d(spark, d))
+    return parsed.select("record_id", V.field("event_id").alias("event_id"),
+                         V.field("event_type").alias("event_type"),
+                         V.field("quantity").alias("quantity_text"),
+                         V.has("currency").alias("has_currency"))
+
+
+@register("normalize_currency")
+def normalize_currency(spark, d):
+    parsed = V.with_parsed(A.messages_d(spark, d)).filter("_msg_is_object")
+    return parsed.select("record_id", V.field("event_id").alias("event_id"),
+                         V.normalized_currency().alias("currency"))
+
+
+@register("valid_events")
+def valid_events(spark, d):
+    valid, _ = I.split(A.messages_d(spark, d), keep=("record_id",))
+    return valid.drop("timestamp")
+
+
+@register("rejected_events")
+def rejected_events(spark, d):
+    _, rejected = I.split(A.messages_d(spark, d), keep=("record_id",))
+    return rejected.select("record_id", "reasons")
+
+
+@register("reject_reason_counts")
+def reject_reason_counts(spark, d):
+    classified = V.classify(A.messages_d(spark, d))
+    return (classified.select(F.explode("reasons").alias("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _ingest_messages(spark, d):
+    dm = A.messages_d(spark, d)
+    dm = dm.select(F.lit(None).cast("timestamp_ntz").alias("arrival_ts"), F.col("record_id").alias("arrival_a"),
+                   F.lit(0).cast("bigint").alias("arrival_b"), "value")
+    return dm.unionByName(A.messages_l(spark, d))
+
+
+ARRIVAL = ("arrival_ts", "arrival_a", "arrival_b")
+
+
+@register("ingest_quality")
+def ingest_quality(spark, d):
+    return I.quality(_ingest_messages(spark, d))

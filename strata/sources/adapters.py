@@ -160,3 +160,79 @@ def messages_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(m == 24, F.expr("substring(_body, 1, length(_body) - 1)")).otherwise(F.col("_body"))
     return (e.withColumn("_body", body)
             .select(F.col("event_id").alias("record_id"), text.alias("value")))
+
+
+# ------------------------------------------------------ dirty dimension text
+def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer join nation as raw CSV-like text with deterministic dirt.
+
+    Case ``c_custkey % 10``: 1 padded id, 2 padded name, 3 unparsable date,
+    4 empty id, 5 null id, 6 impossible date, 7 tab before country (kept: trim
+    strips spaces only), 8 padded country, 9 id of the previous customer (a
+    duplicate key).
+    """
+    base = raw_customers(spark, sf_dir)
+    m = F.col("customer_id") % 10
+    cid = F.col("customer_id").cast("string")
+    return base.select(
+        _by_case(m, {1: F.concat(F.lit("  "), cid, F.lit("  ")), 4: F.lit(""),
+                     5: F.lit(None).cast("string"),
+                     9: (F.col("customer_id") - 1).cast("string")}, cid).alias("customer_id"),
+        _by_case(m, {2: F.concat(F.lit(" "), F.col("name"), F.lit(" "))}, F.col("name")).alias("name"),
+        _by_case(m, {7: F.concat(F.lit("\t"), F.col("country")),
+                     8: F.concat(F.lit("  "), F.col("country"))}, F.col("country")).alias("country"),
+        _by_case(m, {3: F.lit("not-a-date"), 6: F.lit("2026-02-30")}, F.col("signup_date")).alias("signup_date"),
+    )
+
+
+def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as raw CSV-like text with deterministic dirt.
+
+    Case ``p_partkey % 10``: 1 padded price, 2 non-numeric price, 3 price with a
+    third decimal (rounds half up), 4 null id, 5 price overflowing decimal(10,2),
+    6 negative price, 7 padded name, 8 padded category, 9 id of the previous part.
+    """
+    base = raw_products(spark, sf_dir)
+    m = F.col("product_id") % 10
+    pid = F.col("product_id").cast("string")
+    price = F.col("price").cast("string")
+    return base.select(
+        _by_case(m, {4: F.lit(None).cast("string"),
+                     9: (F.col("product_id") - 1).cast("string")}, pid).alias("product_id"),
+        _by_case(m, {7: F.concat(F.lit("  "), F.col("product_name"), F.lit(" "))},
+                 F.col("product_name")).alias("product_name"),
+        _by_case(m, {8: F.concat(F.col("category"), F.lit("  "))}, F.col("category")).alias("category"),
+        _by_case(m, {1: F.concat(F.lit(" "), price, F.lit(" ")), 2: F.lit("abc"),
+                     3: F.concat(F.floor("price").cast("string"), F.lit(".005")),
+                     5: F.lit("123456789.50"), 6: F.concat(F.lit("-"), price)}, price).alias("price"),
+    )
+
+
+def versioned_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part twice, as two exports of one catalogue, with a file-order column.
+
+    The second export renames every product (upper case) and sits after the
+    first one for parts larger than size 25, before it otherwise.
+    """
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    first = p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+                     (F.col("p_partkey") * 2).alias("file_order"))
+    second = p.select(F.col("p_partkey").alias("product_id"), F.upper("p_name").alias("product_name"),
+                      F.when(F.col("p_size") > 25, F.col("p_partkey") * 2 + 1)
+                       .otherwise(F.col("p_partkey") * 2 - 1).alias("file_order"))
+    return first.unionByName(second)
+
+
+# Fixed value: order lines shipped before this day are already in Bronze.
+BRONZE_CUTOFF = "1998-06-01"
+
+
+def messages_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter L as JSON message texts; arrival order is (timestamp, product, supplier)."""
+    ev = events_l(spark, sf_dir)
+    payload = F.to_json(F.struct(
+        "event_id", F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("product_id").cast("string").alias("product_id"), "event_type",
+        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "quantity"))
+    return ev.select(F.col("timestamp").alias("arrival_ts"), F.col("product_id").alias("arrival_a"),
+                     F.col("supplier_id").alias("arrival_b"), payload.alias("value"))
