@@ -69,6 +69,28 @@ dv AS (
   FROM dr)"""
 
 
+RAWEV = """rev AS (
+  SELECT cast(event_id AS varchar) AS event_id, user_id AS customer_id,
+         cast(json_extract_string(props, '$.k') AS bigint) AS product_id,
+         event_type, ts, cast(floor(value) AS int) AS quantity
+  FROM events
+  WHERE event_type IN ('view', 'add_to_cart', 'purchase') AND ts IS NOT NULL AND floor(value) > 0),
+enr AS (
+  SELECT event_id, country AS customer_country, product_name, category, event_type, 'USD' AS currency,
+         quantity, price,
+         CASE WHEN event_type = 'purchase' THEN quantity * price ELSE 0 END AS amount
+  FROM rev JOIN cust USING (customer_id) JOIN prod USING (product_id))"""
+
+SUMMARY_MEASURES = """count(*) AS purchase_count, cast(sum(quantity) AS bigint) AS units_sold,
+       cast(round(sum(amount), 2) AS double) AS revenue"""
+
+
+def summary_sql(col: str) -> str:
+    return f"""WITH {CUST}, {PROD}, {RAWEV}
+SELECT {col} AS dimension, {SUMMARY_MEASURES}
+FROM enr WHERE event_type = 'purchase' GROUP BY {col}"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["gold_top_products"] = gold_sql("products")
@@ -191,4 +213,60 @@ l AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id FROM lineitem
 SELECT cast((SELECT count(*) FROM dv WHERE reasons = '') + (SELECT count(DISTINCT event_id) FROM l) AS bigint) AS stored,
        cast((SELECT count(*) FROM dv WHERE reasons <> '') AS bigint) AS rejected,
        cast((SELECT count(*) - count(DISTINCT event_id) FROM l) AS bigint) AS duplicates"""
+    # ---- enrich and summaries
+    q["enrich_events"] = f"""WITH {CUST}, {PROD}, {RAWEV}
+SELECT event_id, customer_country, product_name, category, event_type, currency, quantity,
+       cast(price AS double) AS unit_price, cast(amount AS double) AS total_amount
+FROM enr"""
+    q["summary_country"] = summary_sql("customer_country")
+    q["summary_category"] = summary_sql("category")
+    q["summary_product_name"] = summary_sql("product_name")
+    q["summary_all"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, dimension, purchase_count, units_sold, revenue FROM ({summary_sql(col)})"
+        for name, col in (("revenue_by_country", "customer_country"), ("revenue_by_category", "category"),
+                          ("revenue_by_product", "product_name")))
+    cat = f"""WITH {CUST}, {PROD}, {RAWEV}
+SELECT category, {SUMMARY_MEASURES}
+FROM enr WHERE event_type = 'purchase' GROUP BY category"""
+    q["category_summary_typed"] = cat
+    q["point_lookup"] = f"SELECT * FROM ({cat}) WHERE category = 'PROMO'"
+    # ---- data quality
+    pk = """SELECT '{t}' AS table_name, cast(count(*) AS bigint) AS rows,
+       cast(count(DISTINCT cast({k} AS varchar)) AS bigint) AS distinct_keys,
+       cast(count(*) FILTER (WHERE {k} IS NULL OR cast({k} AS varchar) = '') AS bigint) AS blanks
+FROM {src}"""
+    q["dq_primary_keys"] = " UNION ALL ".join([
+        pk.format(t="customers", k="c_custkey", src="customer JOIN nation ON c_nationkey = n_nationkey"),
+        pk.format(t="products", k="p_partkey", src="part"),
+        pk.format(t="events", k="event_id", src="events"),
+        pk.format(t="order_lines", k="concat_ws('-', l_orderkey, l_linenumber)",
+                  src="lineitem JOIN orders ON l_orderkey = o_orderkey"),
+    ])
+    q["dq_foreign_keys"] = f"""WITH {EV}, {CUST}, {PROD}, {SEG_CUST}, {SEG_PROD}
+SELECT 'events.customer_id' AS edge,
+       cast(count(*) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM scust)) AS bigint) AS orphans
+FROM ev
+UNION ALL
+SELECT 'events.product_id', cast(count(*) FILTER (WHERE product_id NOT IN (SELECT product_id FROM sprod)) AS bigint)
+FROM ev"""
+    q["fk_orphans"] = f"""WITH {EV}, {CUST}, {PROD}, {SEG_CUST}, {SEG_PROD}
+SELECT 'events.customer_id' AS edge, event_id FROM ev WHERE customer_id NOT IN (SELECT customer_id FROM scust)
+UNION ALL
+SELECT 'events.product_id', event_id FROM ev WHERE product_id NOT IN (SELECT product_id FROM sprod)"""
+    q["fk_valid"] = f"""WITH {EV}, {CUST}, {PROD}, {SEG_CUST}, {SEG_PROD}
+SELECT event_id FROM ev
+WHERE customer_id IN (SELECT customer_id FROM scust) AND product_id IN (SELECT product_id FROM sprod)"""
+    q["dq_domains"] = f"""WITH {DMSG}
+SELECT 'required_present' AS rule, 'customers' AS table_name, cast(count(*) AS bigint) AS checked,
+       cast(count(*) FILTER (WHERE c_custkey % 10 IN (4, 5)) AS bigint) AS failed FROM customer
+UNION ALL SELECT 'signup_date_iso', 'customers', count(*), count(*) FILTER (WHERE c_custkey % 10 IN (3, 6)) FROM customer
+UNION ALL SELECT 'required_present', 'products', count(*), count(*) FILTER (WHERE p_partkey % 10 = 4) FROM part
+UNION ALL SELECT 'price_positive', 'products', count(*), count(*) FILTER (WHERE p_partkey % 10 IN (2, 6)) FROM part
+UNION ALL SELECT 'required_present', 'events', count(*), count(*) FILTER (WHERE m IN (1, 2, 5, 8, 16, 24)) FROM dm
+UNION ALL SELECT 'event_type_domain', 'events', count(*),
+       count(*) FILTER (WHERE m IN (6, 7, 24) OR et NOT IN ('view', 'add_to_cart', 'purchase')) FROM dm
+UNION ALL SELECT 'quantity_positive', 'events', count(*),
+       count(*) FILTER (WHERE m IN (11, 13, 15, 16, 18, 24) OR (m <> 14 AND q <= 0)) FROM dm
+UNION ALL SELECT 'timestamp_iso', 'events', count(*), count(*) FILTER (WHERE m IN (8, 9, 24)) FROM dm"""
+    q["gated_gold"] = gold_sql("country")
     return q

@@ -170,3 +170,156 @@ ARRIVAL = ("arrival_ts", "arrival_a", "arrival_b")
 @register("ingest_quality")
 def ingest_quality(spark, d):
     return I.quality(_ingest_messages(spark, d))
+
+
+# ------------------------------------------------------- enrich and summaries
+from strata.operators import quality as Q  # noqa: E402
+from strata.schemas import SILVER_SUMMARY_READ  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+from strata.sinks import files as SK  # noqa: E402
+from strata.sources import files as SF  # noqa: E402
+
+
+@register("enrich_events")
+def enrich_events_q(spark, d):
+    return L.enriched_e(spark, d).select(
+        "event_id", "customer_country", "product_name", "category", "event_type", "currency",
+        "quantity", "unit_price", "total_amount")
+
+
+def _summary(dimension):
+    def q(spark, d):
+        return G.summary(L.enriched_e(spark, d), dimension)
+    return q
+
+
+register("summary_country")(_summary("customer_country"))
+register("summary_category")(_summary("category"))
+register("summary_product_name")(_summary("product_name"))
+
+
+@register("summary_all")
+def summary_all_q(spark, d):
+    return G.summary_all(L.enriched_e(spark, d))
+
+
+def _silver_jsonl(spark, d):
+    """Enriched Silver written as JSON lines, then read back with the 5-column schema."""
+    path = scratch_path(spark, "silver_enriched")
+    SK.write_json_lines(L.enriched_e(spark, d), path)
+    return SF.read_json_lines(spark, path, SILVER_SUMMARY_READ)
+
+
+def category_summary(silver: DataFrame) -> DataFrame:
+    purchases = silver.filter(F.col("event_type") == "purchase")
+    return (purchases.groupBy("category")
+            .agg(*G.measures(F.count("event_id"), F.sum("quantity"),
+                             F.sum(F.col("total_amount").cast("decimal(20,2)"))))
+            .orderBy("category"))
+
+
+@register("category_summary_typed")
+def category_summary_typed(spark, d):
+    return category_summary(_silver_jsonl(spark, d))
+
+
+# Fixed value: the category looked up by the point query.
+POINT_CATEGORY = "PROMO"
+
+
+@register("point_lookup")
+def point_lookup(spark, d):
+    return category_summary(_silver_jsonl(spark, d)).where(f"category = '{POINT_CATEGORY}'").limit(1)
+
+
+# ------------------------------------------------------------- data quality
+def _raw_events_text(spark, d):
+    return A.events_e(spark, d)
+
+
+@register("dq_primary_keys")
+def dq_primary_keys(spark, d):
+    return Q.union_all([
+        Q.primary_key(A.raw_customers(spark, d), "customer_id", "customers"),
+        Q.primary_key(A.raw_products(spark, d), "product_id", "products"),
+        Q.primary_key(A.events_e(spark, d), "event_id", "events"),
+        Q.primary_key(A.events_l(spark, d), "event_id", "order_lines"),
+    ])
+
+
+@register("dq_foreign_keys")
+def dq_foreign_keys(spark, d):
+    ev = A.events_e(spark, d)
+    return Q.union_all([
+        Q.foreign_key(ev, A.segment_customers(spark, d), "customer_id", "events.customer_id"),
+        Q.foreign_key(ev, A.segment_products(spark, d), "product_id", "events.product_id"),
+    ])
+
+
+@register("fk_orphans")
+def fk_orphans(spark, d):
+    from strata.operators.enrich import orphans_of
+    ev = A.events_e(spark, d).select("event_id", "customer_id", "product_id")
+    c = orphans_of(ev, A.segment_customers(spark, d), "customer_id").select(
+        F.lit("events.customer_id").alias("edge"), "event_id")
+    p = orphans_of(ev, A.segment_products(spark, d), "product_id").select(
+        F.lit("events.product_id").alias("edge"), "event_id")
+    return c.unionByName(p)
+
+
+@register("fk_valid")
+def fk_valid(spark, d):
+    from strata.operators.enrich import members_of
+    ev = A.events_e(spark, d).select("event_id", "customer_id", "product_id")
+    ev = members_of(ev, A.segment_customers(spark, d), "customer_id")
+    return members_of(ev, A.segment_products(spark, d), "product_id").select("event_id")
+
+
+def domain_rules(spark, d) -> DataFrame:
+    """The source-data rules over the raw text inputs (dirty dims, message events)."""
+    cu = A.dirty_customers(spark, d)
+    pr = A.dirty_products(spark, d)
+    msgs = V.with_parsed(A.messages_d(spark, d))
+    fields = ("event_id", "customer_id", "product_id", "event_type", "timestamp", "quantity")
+    ev_required = F.lit(False)
+    for f in fields:
+        ev_required = ev_required | Q.blank(V.field(f))
+    q = V.quantity_value()
+    return Q.union_all([
+        Q.rule_table(cu, "customers", [
+            ("required_present", Q.blank(F.col("customer_id")) | Q.blank(F.col("name"))
+             | Q.blank(F.col("country")) | Q.blank(F.col("signup_date"))),
+            ("signup_date_iso", F.try_to_date("signup_date").isNull()),
+        ]),
+        Q.rule_table(pr, "products", [
+            ("required_present", Q.blank(F.col("product_id")) | Q.blank(F.col("product_name"))
+             | Q.blank(F.col("category")) | Q.blank(F.col("price"))),
+            ("price_positive", ~(F.trim("price").try_cast("decimal(38,10)") > 0)),
+        ]),
+        Q.rule_table(msgs, "events", [
+            ("required_present", ev_required),
+            ("event_type_domain", ~V.field("event_type").isin("view", "add_to_cart", "purchase")),
+            ("quantity_positive", ~(q > 0)),
+            ("timestamp_iso", F.try_to_timestamp(V.field("timestamp")).isNull()),
+        ]),
+    ])
+
+
+register("dq_domains")(domain_rules)
+
+
+@register("gated_gold")
+def gated_gold(spark, d):
+    """Key and reference rules must pass before Gold is built (raises otherwise)."""
+    pk = Q.union_all([
+        Q.primary_key(A.raw_customers(spark, d), "customer_id", "customers"),
+        Q.primary_key(A.raw_products(spark, d), "product_id", "products"),
+        Q.primary_key(A.events_e(spark, d), "event_id", "events"),
+    ])
+    ev = A.events_e(spark, d)
+    fk = Q.union_all([
+        Q.foreign_key(ev, A.raw_customers(spark, d), "customer_id", "events.customer_id"),
+        Q.foreign_key(ev, A.raw_products(spark, d), "product_id", "events.product_id"),
+    ])
+    Q.assert_clean(Q.pk_rules_as_checks(pk).unionByName(Q.fk_rules_as_checks(fk)))
+    return L.gold(spark, d, "country")
