@@ -269,4 +269,49 @@ UNION ALL SELECT 'quantity_positive', 'events', count(*),
        count(*) FILTER (WHERE m IN (11, 13, 15, 16, 18, 24) OR (m <> 14 AND q <= 0)) FROM dm
 UNION ALL SELECT 'timestamp_iso', 'events', count(*), count(*) FILTER (WHERE m IN (8, 9, 24)) FROM dm"""
     q["gated_gold"] = gold_sql("country")
+    # ---- layered runs and I/O
+    q["medallion_gold"] = gold_sql("country")
+    q["medallion_table_counts"] = f"""WITH {EV}
+SELECT 'bronze_customers' AS table_name, cast(count(*) AS bigint) AS rows FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'bronze_products', count(*) FROM part
+UNION ALL SELECT 'bronze_events', count(*) FROM events
+UNION ALL SELECT 'silver_customers', count(DISTINCT c_custkey) FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'silver_products', count(DISTINCT p_partkey) FROM part WHERE p_retailprice IS NOT NULL
+UNION ALL SELECT 'silver_events', count(DISTINCT event_id) FROM sev"""
+    q["enriched_gold"] = summary_sql("customer_country")
+    contract = f"""WITH {EV}, {CUST}, {PROD}
+SELECT cast(product_id AS varchar) AS product_id, product_name, category,
+       cast(count(event_id) AS bigint) AS purchase_count, cast(sum(quantity) AS bigint) AS units_sold,
+       cast(round(sum(quantity * price), 2) AS double) AS revenue
+FROM sev JOIN cust USING (customer_id) JOIN prod USING (product_id)
+WHERE event_type = 'PURCHASE'
+GROUP BY product_id, product_name, category"""
+    q["gold_contract"] = contract
+    q["external_gold_query"] = contract + "\nORDER BY revenue DESC"
+    text_events = """SELECT cast(event_id AS varchar) AS event_id, cast(user_id AS varchar) AS customer_id,
+       json_extract_string(props, '$.k') AS product_id, event_type,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, cast(floor(value) AS bigint) AS quantity
+FROM events"""
+    q["scan_json_array"] = text_events
+    q["scan_jsonl"] = text_events
+    q["scan_csv"] = """SELECT cast(c_custkey AS varchar) AS customer_id, c_name AS name, n_name AS country,
+       strftime(DATE '2026-01-01' + CAST(c_custkey % 90 AS INTEGER), '%Y-%m-%d') AS signup_date
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+    q["roundtrip_csv"] = """SELECT cast(p_partkey AS varchar) AS product_id, p_name AS product_name,
+       p_type AS category, cast(p_retailprice AS varchar) AS price FROM part"""
+    q["roundtrip_json"] = gold_sql("country")
+    q["roundtrip_parquet"] = f"""WITH {EV}
+SELECT event_id, customer_id, product_id, event_type,
+       strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, quantity FROM sev"""
+    lines = """l AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, o_custkey AS customer_id,
+         l_partkey AS product_id, cast(l_quantity AS int) AS quantity, l_shipdate, l_suppkey,
+         row_number() OVER (PARTITION BY concat_ws('-', l_orderkey, l_linenumber)
+                            ORDER BY l_shipdate, l_partkey, l_suppkey) AS rn
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+    q["existing_ids"] = f"""WITH {lines}
+SELECT DISTINCT event_id FROM l WHERE rn = 1 AND l_shipdate < TIMESTAMP '1998-06-01'"""
+    q["new_events_only"] = f"""WITH {lines}
+SELECT event_id, customer_id, product_id, quantity FROM l
+WHERE rn = 1 AND event_id NOT IN (SELECT event_id FROM l WHERE rn = 1 AND l_shipdate < TIMESTAMP '1998-06-01')"""
     return q

@@ -64,7 +64,7 @@ def pk_rules_as_checks(pk: DataFrame) -> DataFrame:
                      ((F.col("rows") - F.col("distinct_keys")) + F.col("blanks")).alias("failed"))
 
 
-def fk_rules_as_checks(fk: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+def fk_rules_as_checks(fk: DataFrame) -> DataFrame:
     return fk.select(F.lit("foreign_key").alias("rule"), F.col("edge").alias("table_name"),
                      F.lit(None).cast("bigint").alias("checked"), F.col("orphans").alias("failed"))
 

@@ -323,3 +323,165 @@ def gated_gold(spark, d):
     ])
     Q.assert_clean(Q.pk_rules_as_checks(pk).unionByName(Q.fk_rules_as_checks(fk)))
     return L.gold(spark, d, "country")
+
+
+# ------------------------------------------------------ layered runs and I/O
+from strata.plans import medallion as M  # noqa: E402
+from strata.schemas import GOLD_CONTRACT  # noqa: E402
+
+
+def _raw_e(spark, d):
+    return {"customers": A.raw_customers(spark, d).drop("segment"),
+            "products": A.raw_products(spark, d),
+            "events": A.events_e(spark, d)}
+
+
+def _medallion_run(spark, d):
+    dst = scratch_path(spark, "medallion")
+    M.run_medallion(spark, _raw_e(spark, d), dst)
+    return dst
+
+
+@register("medallion_gold")
+def medallion_gold(spark, d):
+    return spark.read.parquet(f"{_medallion_run(spark, d)}/gold/sales_by_country")
+
+
+@register("medallion_table_counts")
+def medallion_table_counts(spark, d):
+    return M.layer_counts(spark, _medallion_run(spark, d))
+
+
+@register("run_metrics")
+def run_metrics(spark, d):
+    dst = scratch_path(spark, "medallion")
+    return M.run_medallion(spark, _raw_e(spark, d), dst).to_frame(spark)
+
+
+@register("enriched_gold")
+def enriched_gold(spark, d):
+    dst = scratch_path(spark, "enriched")
+    cu = M.string_keyed(C.silver_customers(A.raw_customers(spark, d).drop("segment")), "customer_id")
+    pr = M.string_keyed(C.silver_products(A.raw_products(spark, d)), "product_id")
+    M.run_enriched(spark, M.to_messages(A.events_e(spark, d)), cu, pr, dst)
+    return SF.read_json_lines(spark, f"{dst}/gold/revenue_by_country").select(
+        "dimension", "purchase_count", "units_sold", "revenue")
+
+
+def _contract_tables(spark, d):
+    """Gold written into external Parquet tables declared with the contract types."""
+    import uuid
+    suffix = uuid.uuid4().hex[:10]
+    root = scratch_path(spark, "gold_contract")
+    names = {}
+    for table, cols in GOLD_CONTRACT.items():
+        name = f"{table}_{suffix}"
+        SK.create_external_table(spark, name, f"{root}/{table}", cols)
+        kind = {"gold_sales_by_country": "country", "gold_sales_by_category": "category",
+                "gold_top_products": "products"}[table]
+        SK.insert_contract(L.gold(spark, d, kind), name, cols)
+        names[table] = name
+    return names
+
+
+@register("gold_contract")
+def gold_contract(spark, d):
+    return spark.table(_contract_tables(spark, d)["gold_top_products"])
+
+
+@register("external_gold_query")
+def external_gold_query(spark, d):
+    name = _contract_tables(spark, d)["gold_top_products"]
+    return spark.sql(f"SELECT product_id, product_name, category, purchase_count, units_sold, revenue "
+                     f"FROM {name} ORDER BY revenue DESC")
+
+
+def _text_events(spark, d):
+    """Adapter E shaped as the raw export: ids as text, ISO time with Z."""
+    e = A.events_e(spark, d)
+    return e.select(F.col("event_id"), F.col("customer_id").cast("string").alias("customer_id"),
+                    F.col("product_id").cast("string").alias("product_id"), "event_type",
+                    F.date_format(F.col("timestamp").cast("timestamp"),
+                                  "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+                    "quantity")
+
+
+def _text_customers(spark, d):
+    c = A.raw_customers(spark, d)
+    return c.select(F.col("customer_id").cast("string").alias("customer_id"), "name", "country", "signup_date")
+
+
+@register("scan_csv")
+def scan_csv(spark, d):
+    path = scratch_path(spark, "customers_csv")
+    SK.write_csv(_text_customers(spark, d), path)
+    return SF.read_csv(spark, path)
+
+
+@register("roundtrip_csv")
+def roundtrip_csv(spark, d):
+    path = scratch_path(spark, "products_csv")
+    p = A.raw_products(spark, d)
+    text = p.select(*[F.col(c).cast("string").alias(c) for c in p.columns])
+    SK.write_csv(text, path, ["product_id", "product_name", "category", "price"])
+    return SF.read_csv(spark, path)
+
+
+@register("scan_json_array")
+def scan_json_array(spark, d):
+    path = scratch_path(spark, "events_json_array")
+    SK.write_json_array(_text_events(spark, d), path)
+    return SF.read_json_array(spark, path)
+
+
+@register("scan_jsonl")
+def scan_jsonl(spark, d):
+    path = scratch_path(spark, "events_jsonl")
+    SK.write_json_lines(_text_events(spark, d), path)
+    return SF.read_json_lines(spark, path)
+
+
+@register("roundtrip_json")
+def roundtrip_json(spark, d):
+    path = scratch_path(spark, "gold_json")
+    SK.write_json_lines(L.gold(spark, d, "country"), path)
+    return SF.read_json_lines(spark, path)
+
+
+@register("roundtrip_parquet")
+def roundtrip_parquet(spark, d):
+    path = scratch_path(spark, "silver_parquet")
+    SK.write_parquet(L.silver_events_e(spark, d), path)
+    s = SF.read_parquet(spark, path)
+    return s.select("event_id", "customer_id", "product_id", "event_type",
+                    F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_ts"), "quantity")
+
+
+@register("with_lineage")
+def with_lineage(spark, d):
+    return SF.with_lineage(A.table(spark, d, "events")).select("event_id", "source_file")
+
+
+@register("with_ingest_time")
+def with_ingest_time(spark, d):
+    return _text_customers(spark, d).withColumn("_ingested_at", F.current_timestamp())
+
+
+def _bronze_before_cutoff(spark, d):
+    """Bronze holding the order lines shipped before the cutoff (first arrivals)."""
+    path = scratch_path(spark, "bronze_l")
+    silver = L.silver_events_l(spark, d)
+    SK.write_parquet(silver.filter(F.col("event_timestamp") < F.lit(A.BRONZE_CUTOFF).cast("timestamp")), path)
+    return path
+
+
+@register("existing_ids")
+def existing_ids_q(spark, d):
+    return SF.existing_ids(spark, _bronze_before_cutoff(spark, d))
+
+
+@register("new_events_only")
+def new_events_only(spark, d):
+    stored = SF.existing_ids(spark, _bronze_before_cutoff(spark, d))
+    return I.new_only(L.silver_events_l(spark, d), stored).select("event_id", "customer_id", "product_id",
+                                                                  "quantity")
