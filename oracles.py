@@ -314,4 +314,18 @@ SELECT DISTINCT event_id FROM l WHERE rn = 1 AND l_shipdate < TIMESTAMP '1998-06
     q["new_events_only"] = f"""WITH {lines}
 SELECT event_id, customer_id, product_id, quantity FROM l
 WHERE rn = 1 AND event_id NOT IN (SELECT event_id FROM l WHERE rn = 1 AND l_shipdate < TIMESTAMP '1998-06-01')"""
+    # ---- streaming
+    bronze_l = f"""WITH {lines}
+SELECT event_id, cast(customer_id AS varchar) AS customer_id, cast(product_id AS varchar) AS product_id,
+       cast(quantity AS bigint) AS quantity
+FROM l WHERE rn = 1"""
+    q["stream_bronze"] = bronze_l
+    q["stream_replay"] = bronze_l
+    q["stream_resume"] = bronze_l
+    q["stream_rejects"] = q["rejected_events"]
+    q["stream_quality"] = q["ingest_quality"]
+    q["publish_payload"] = """SELECT cast(user_id AS varchar) AS key, cast(event_id AS varchar) AS event_id,
+       cast(user_id AS varchar) AS customer_id, json_extract_string(props, '$.k') AS product_id, event_type,
+       cast(floor(value) AS int) AS quantity
+FROM events"""
     return q

@@ -161,7 +161,7 @@ def _ingest_messages(spark, d):
     dm = A.messages_d(spark, d)
     dm = dm.select(F.lit(None).cast("timestamp_ntz").alias("arrival_ts"), F.col("record_id").alias("arrival_a"),
                    F.lit(0).cast("bigint").alias("arrival_b"), "value")
-    return dm.unionByName(A.messages_l(spark, d))
+    return dm.unionByName(A.messages_l(spark, d).drop("key"))
 
 
 ARRIVAL = ("arrival_ts", "arrival_a", "arrival_b")
@@ -485,3 +485,80 @@ def new_events_only(spark, d):
     stored = SF.existing_ids(spark, _bronze_before_cutoff(spark, d))
     return I.new_only(L.silver_events_l(spark, d), stored).select("event_id", "customer_id", "product_id",
                                                                   "quantity")
+
+
+# ----------------------------------------------------------------- streaming
+from strata.streaming import bronze as SB  # noqa: E402
+from strata.streaming import topic as T  # noqa: E402
+
+
+def _topic_l(spark, d):
+    return A.messages_l(spark, d)
+
+
+def _topic_d(spark, d):
+    m = A.messages_d(spark, d, with_key=True)
+    return m.select("key", "value", F.lit(None).cast("timestamp_ntz").alias("arrival_ts"),
+                    F.col("record_id").alias("arrival_a"), F.lit(0).cast("bigint").alias("arrival_b"))
+
+
+def _stream_ingest(spark, topic_frame, runs=(("a", None),), max_files=1):
+    """Publish to a file topic, then run the ingest stream once per entry of ``runs``.
+
+    Each run names its checkpoint; the same name resumes, a new one replays.
+    """
+    topic = scratch_path(spark, "topic")
+    T.write_topic(topic_frame, topic)
+    root = scratch_path(spark, "stream")
+    for name, _ in runs:
+        src = T.read_topic_stream(spark, topic, max_files_per_trigger=max_files)
+        SB.run_available(spark, src, root, checkpoint=f"{root}/_checkpoint_{name}")
+    return root
+
+
+def _bronze_cols(df):
+    return df.select("event_id", "customer_id", "product_id", "quantity")
+
+
+@register("stream_bronze")
+def stream_bronze(spark, d):
+    return _bronze_cols(SB.read_bronze(spark, _stream_ingest(spark, _topic_l(spark, d))))
+
+
+@register("stream_replay")
+def stream_replay(spark, d):
+    root = _stream_ingest(spark, _topic_l(spark, d), runs=(("a", None), ("b", None)))
+    return _bronze_cols(SB.read_bronze(spark, root))
+
+
+@register("stream_resume")
+def stream_resume(spark, d):
+    root = _stream_ingest(spark, _topic_l(spark, d), runs=(("a", None), ("a", None)))
+    return _bronze_cols(SB.read_bronze(spark, root))
+
+
+@register("stream_rejects")
+def stream_rejects(spark, d):
+    root = _stream_ingest(spark, _topic_d(spark, d))
+    return SB.read_rejects(spark, root).select(F.col("arrival_a").alias("record_id"), "reasons")
+
+
+@register("stream_quality")
+def stream_quality(spark, d):
+    topic = _topic_d(spark, d).unionByName(_topic_l(spark, d))
+    return SB.read_quality(spark, _stream_ingest(spark, topic))
+
+
+@register("publish_payload")
+def publish_payload(spark, d):
+    ev = _text_events(spark, d)
+    pub = T.publish_frame(ev, "customer_id")
+    parsed = pub.select("key", F.from_json("value", ev.schema).alias("e"))
+    return parsed.select("key", "e.event_id", "e.customer_id", "e.product_id", "e.event_type", "e.quantity")
+
+
+@register("keyed_order")
+def keyed_order(spark, d):
+    pub = T.publish_frame(_text_events(spark, d), "customer_id").withColumn(
+        "event_id", F.get_json_object("value", "$.event_id"))
+    return T.keyed(pub, order=()).select("key", F.spark_partition_id().alias("partition"), "event_id")

@@ -116,7 +116,7 @@ def _by_case(m: Column, cases: dict, default: Column | None) -> Column:
     return out if default is None else out.otherwise(default)
 
 
-def messages_d(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages_d(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
     """Adapter D: one JSON message text per ``events`` row.
 
     Columns: record_id (source row id, stands for the topic offset), value (text).
@@ -158,8 +158,9 @@ def messages_d(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts.append(part if absent is None else F.when(~absent, part))
     body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
     text = F.when(m == 24, F.expr("substring(_body, 1, length(_body) - 1)")).otherwise(F.col("_body"))
+    key = [F.col("user_id").cast("string").alias("key")] if with_key else []
     return (e.withColumn("_body", body)
-            .select(F.col("event_id").alias("record_id"), text.alias("value")))
+            .select(F.col("event_id").alias("record_id"), text.alias("value"), *key))
 
 
 # ------------------------------------------------------ dirty dimension text
@@ -234,5 +235,6 @@ def messages_l(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.col("customer_id").cast("string").alias("customer_id"),
         F.col("product_id").cast("string").alias("product_id"), "event_type",
         F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "quantity"))
-    return ev.select(F.col("timestamp").alias("arrival_ts"), F.col("product_id").alias("arrival_a"),
+    return ev.select(F.col("customer_id").cast("string").alias("key"),
+                     F.col("timestamp").alias("arrival_ts"), F.col("product_id").alias("arrival_a"),
                      F.col("supplier_id").alias("arrival_b"), payload.alias("value"))
