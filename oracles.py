@@ -91,6 +91,22 @@ SELECT {col} AS dimension, {SUMMARY_MEASURES}
 FROM enr WHERE event_type = 'purchase' GROUP BY {col}"""
 
 
+# Generator catalogue (fixed values) and the integer mix, restated for DuckDB.
+FIRST = "['Amira', 'Omar', 'Sofia', 'Daniel', 'Aisha', 'Liam', 'Maya', 'Yuki', 'Chloe', 'Ravi', 'Fatima', 'Lucas']"
+LAST = ("['Al-Tamimi', 'Khan', 'Martinez', 'Smith', 'Chen', 'Okafor', 'Dubois', 'Silva', 'Andersson', "
+        "'Patel', 'Sato', 'Haddad']")
+COUNTRIES = ("['Saudi Arabia', 'United Arab Emirates', 'United States', 'United Kingdom', 'Canada', 'Germany', "
+             "'India', 'Japan', 'Brazil', 'Australia', 'Nigeria', 'South Africa']")
+PNAMES = ("['Wireless Keyboard', 'USB-C Laptop Hub', 'Data Engineering Handbook', 'Insulated Water Bottle', "
+          "'Noise Cancelling Headphones', 'Running Shoes', 'Cotton Overshirt', 'Smart LED Desk Lamp']")
+PCATS = "['Electronics', 'Electronics', 'Books', 'Home', 'Electronics', 'Sports', 'Clothing', 'Home']"
+PPRICES = "[279.0, 149.0, 159.0, 85.0, 599.0, 349.0, 179.0, 129.0]"
+
+
+def mix(n: str, field_no: int, seed: int = 42) -> str:
+    return f"(((({n}) % 2147483647) * 16807 % 2147483647 + {seed} * 69621 + {field_no} * 40692) % 2147483647 * 48271 % 2147483647)"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["gold_top_products"] = gold_sql("products")
@@ -305,7 +321,7 @@ SELECT event_id, customer_id, product_id, event_type,
        strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, quantity FROM sev"""
     lines = """l AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, o_custkey AS customer_id,
-         l_partkey AS product_id, cast(l_quantity AS int) AS quantity, l_shipdate, l_suppkey,
+         l_partkey AS product_id, cast(l_quantity AS int) AS quantity, l_shipdate, l_suppkey, l_returnflag,
          row_number() OVER (PARTITION BY concat_ws('-', l_orderkey, l_linenumber)
                             ORDER BY l_shipdate, l_partkey, l_suppkey) AS rn
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -328,4 +344,33 @@ FROM l WHERE rn = 1"""
        cast(user_id AS varchar) AS customer_id, json_extract_string(props, '$.k') AS product_id, event_type,
        cast(floor(value) AS int) AS quantity
 FROM events"""
+    # ---- generation
+    n = "(c_custkey + 1)"
+    q["gen_customers"] = f"""SELECT printf('C%03d', {n}) AS customer_id,
+       ({FIRST})[{mix(n, 1)} % 12 + 1] || ' ' || ({LAST})[{mix(n, 2)} % 12 + 1] AS name,
+       ({COUNTRIES})[{mix(n, 3)} % 12 + 1] AS country,
+       strftime(DATE '2026-01-01' + CAST({mix(n, 4)} % 90 AS INTEGER), '%Y-%m-%d') AS signup_date
+FROM customer"""
+    n = "(p_partkey + 1)"
+    q["gen_products"] = f"""SELECT printf('P%03d', {n}) AS product_id,
+       CASE WHEN {n} <= 8 THEN ({PNAMES})[({n} - 1) % 8 + 1]
+            ELSE ({PNAMES})[({n} - 1) % 8 + 1] || ' ' || cast({n} AS varchar) END AS product_name,
+       ({PCATS})[({n} - 1) % 8 + 1] AS category,
+       ({PPRICES})[({n} - 1) % 8 + 1] AS price
+FROM part"""
+    n = "(event_id + 1)"
+    q["gen_events"] = f"""SELECT printf('E%04d', {n}) AS event_id, printf('C%03d', user_id + 1) AS customer_id,
+       printf('P%03d', cast(json_extract_string(props, '$.k') AS bigint) + 1) AS product_id,
+       (['view', 'add_to_cart', 'purchase'])[{mix(n, 5)} % 3 + 1] AS event_type,
+       strftime(TIMESTAMP '2026-03-01 00:00:00' + to_seconds({mix(n, 6)} % 1209600), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
+       cast({mix(n, 7)} % 3 + 1 AS int) AS quantity
+FROM events"""
+    # ---- gold over order-line events (dedup first)
+    for key, kind in (("l_gold_sales_by_country", "country"), ("l_gold_top_products", "products")):
+        keys = GOLD_KEYS[kind]
+        q[key] = f"""WITH {lines}, {CUST}, {PROD},
+sl AS (SELECT * FROM l WHERE rn = 1 AND l_returnflag = 'N' AND quantity > 0)
+SELECT {keys}, {MEASURES}
+FROM sl JOIN cust USING (customer_id) JOIN prod USING (product_id)
+GROUP BY {keys}"""
     return q

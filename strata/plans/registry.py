@@ -562,3 +562,34 @@ def keyed_order(spark, d):
     pub = T.publish_frame(_text_events(spark, d), "customer_id").withColumn(
         "event_id", F.get_json_object("value", "$.event_id"))
     return T.keyed(pub, order=()).select("key", F.spark_partition_id().alias("partition"), "event_id")
+
+
+# --------------------------------------------------------------- generation
+from strata.operators import generate as GEN  # noqa: E402
+
+
+@register("gen_customers")
+def gen_customers(spark, d):
+    return GEN.customers(A.table(spark, d, "customer"))
+
+
+@register("gen_products")
+def gen_products(spark, d):
+    return GEN.products(A.table(spark, d, "part"))
+
+
+@register("gen_events")
+def gen_events(spark, d):
+    e = A.table(spark, d, "events")
+    return GEN.events(e, "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint"))
+
+
+# ------------------------------------------------- gold over order-line events
+@register("l_gold_sales_by_country")
+def l_gold_sales_by_country(spark, d):
+    return L.gold(spark, d, "country", events="l")
+
+
+@register("l_gold_top_products")
+def l_gold_top_products(spark, d):
+    return L.gold(spark, d, "products", events="l")
