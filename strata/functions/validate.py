@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.partitioning import spread
 from strata.schemas import DEFAULT_CURRENCY, EVENT_TYPES, REQUIRED_EVENT_FIELDS, SUPPORTED_CURRENCIES
 
 # Reason labels, in the order they are reported.
@@ -43,14 +44,19 @@ def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
     The parse runs inside a generator (``inline`` of a one-element array):
     the optimizer cannot substitute generated columns back into filters or
     later projections, so each text is parsed exactly once however many rules
-    read the result.
+    read the result.  Input that arrives in fewer splits than the cluster has
+    cores is spread first (see ``spread``).
     """
+    df = spread(df)
     text = F.col(text_col).cast("string")
-    parsed = F.struct(F.from_json(text, "map<string,string>").alias(_MAP),
-                      F.try_parse_json(text).alias(_VAR))
-    return (df.select("*", F.inline(F.array(parsed)))
-              .withColumn("_msg_is_object", F.coalesce(
-                  F.trim(text).rlike(r"^\{[\s\S]*\}$") & F.col(_MAP).isNotNull(), F.lit(False))))
+    # One JSON object and nothing else around it (JSON whitespace allowed).
+    bare = F.btrim(text, F.lit(" \t\n\r"))
+    mapped = F.from_json(text, "map<string,string>")
+    parsed = F.struct(mapped.alias(_MAP),
+                      F.try_parse_json(text).alias(_VAR),
+                      F.coalesce(bare.startswith("{") & bare.endswith("}") & mapped.isNotNull(),
+                                 F.lit(False)).alias("_msg_is_object"))
+    return df.select("*", F.inline(F.array(parsed)))
 
 
 def field(name: str) -> Column:
