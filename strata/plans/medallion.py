@@ -19,6 +19,7 @@ from strata.operators import aggregate as G
 from strata.operators import conform as C
 from strata.operators import ingest as I
 from strata.operators.enrich import enrich_events, iso_text
+from strata.schemas import BRONZE_EVENTS
 from strata.sinks import files as SK
 from strata.sources import files as SF
 
@@ -108,7 +109,8 @@ def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame,
     valid, rejected = I.split(messages, keep=tuple(arrival))
     order = list(arrival) or [c for c in valid.columns if c != "event_id"]
     firsts = I.first_arrivals(valid, order)
-    fresh = I.new_only(firsts, SF.existing_ids(spark, f"{dst}/bronze"))
+    SK.ensure_dataset(spark, f"{dst}/bronze", BRONZE_EVENTS)
+    fresh = I.new_only(firsts, SF.existing_ids(spark, f"{dst}/bronze", schema=BRONZE_EVENTS))
     obs = Observation("bronze")
     started = time.perf_counter()
     fresh.drop(*arrival).observe(obs, F.count(F.lit(1)).alias("rows")) \
@@ -117,7 +119,7 @@ def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame,
     metrics.rows["bronze"] = obs.get["rows"]
     _write_observed(rejected.drop(*arrival), f"{dst}/rejected", "rejected", metrics, "json")
 
-    bronze = spark.read.parquet(f"{dst}/bronze")
+    bronze = spark.read.schema(BRONZE_EVENTS).parquet(f"{dst}/bronze")
     typed = bronze.select(
         "event_id", "customer_id", "product_id", "event_type", "currency",
         F.try_to_timestamp("timestamp").alias("event_timestamp"), F.col("quantity").cast("int").alias("quantity"))

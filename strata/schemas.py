@@ -61,3 +61,14 @@ GOLD_CONTRACT = {
     "gold_top_products": (("product_id", "string"), ("product_name", "string"),
                           ("category", "string")) + GOLD_MEASURES,
 }
+
+# Bronze events as stored by the ingest (quantity is the validated integer value).
+BRONZE_EVENTS = T.StructType([
+    T.StructField("event_id", T.StringType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("product_id", T.StringType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("quantity", T.LongType()),
+    T.StructField("currency", T.StringType()),
+])

@@ -34,10 +34,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def existing_ids(spark: SparkSession, bronze_path: str, fmt: str = "parquet") -> DataFrame:
-    """Distinct event ids already in Bronze; empty when Bronze does not exist yet."""
+def existing_ids(spark: SparkSession, bronze_path: str, fmt: str = "parquet",
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Distinct event ids already in Bronze; empty when Bronze does not exist yet.
+
+    With ``schema`` an existing but empty Bronze folder reads as zero rows.
+    """
     try:
-        return spark.read.format(fmt).load(bronze_path).select("event_id").distinct()
+        r = spark.read.format(fmt)
+        return (r.schema(schema) if schema is not None else r).load(bronze_path).select("event_id").distinct()
     except AnalysisException:
         return spark.createDataFrame([], "event_id string")
 

@@ -28,10 +28,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from strata.functions import validate as V
 from strata.operators.dedup import keep_first
+from strata.schemas import BRONZE_EVENTS
+from strata.sinks.files import ensure_dataset
+
+# Stored Bronze: one folder per (stream, batch), so the batch tag is a column.
+BRONZE_READ = T.StructType(BRONZE_EVENTS.fields + [T.StructField("batch", T.StringType())])
 
 ARRIVAL = ("arrival_ts", "arrival_a", "arrival_b")
 
@@ -56,10 +61,7 @@ class BronzeIngest:
         return self._run_id
 
     def _stored_ids(self, own_batch: str, batch_ids: DataFrame) -> DataFrame:
-        try:
-            bronze = self.spark.read.parquet(self.bronze)
-        except AnalysisException:
-            return batch_ids.limit(0)
+        bronze = self.spark.read.schema(BRONZE_READ).parquet(self.bronze)
         ids = bronze.filter(F.col("batch") != own_batch).select("event_id")
         n = batch_ids.count()
         lookup = F.broadcast(batch_ids) if n <= self.broadcast_ids else batch_ids
@@ -96,6 +98,7 @@ def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | N
           available_now: bool = True, processing_time: str | None = None) -> tuple[StreamingQuery, BronzeIngest]:
     """Start the ingest stream; Bronze, rejects and metrics live under ``root``."""
     checkpoint = checkpoint or f"{root}/_checkpoint"
+    ensure_dataset(spark, f"{root}/bronze", BRONZE_EVENTS)
     sink = BronzeIngest(spark, f"{root}/bronze", f"{root}/rejects", f"{root}/metrics", checkpoint)
     w = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
@@ -115,7 +118,7 @@ def run_available(spark: SparkSession, source: DataFrame, root: str, checkpoint:
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/bronze")
+    return spark.read.schema(BRONZE_READ).parquet(f"{root}/bronze")
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
