@@ -100,7 +100,7 @@ COUNTRIES = ("['Saudi Arabia', 'United Arab Emirates', 'United States', 'United
 PNAMES = ("['Wireless Keyboard', 'USB-C Laptop Hub', 'Data Engineering Handbook', 'Insulated Water Bottle', "
           "'Noise Cancelling Headphones', 'Running Shoes', 'Cotton Overshirt', 'Smart LED Desk Lamp']")
 PCATS = "['Electronics', 'Electronics', 'Books', 'Home', 'Electronics', 'Sports', 'Clothing', 'Home']"
-PPRICES = "[279.0, 149.0, 159.0, 85.0, 599.0, 349.0, 179.0, 129.0]"
+PPRICES = "[279.0, 149.0, 159.0, 85.0, 599.0, 349.0, 179.0, 129.0]::DOUBLE[]"
 
 
 def mix(n: str, field_no: int, seed: int = 42) -> str:

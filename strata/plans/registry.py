@@ -6,12 +6,14 @@ the library's operators over them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import aggregate as G
 from strata.plans import layers as L
+from strata.session import ensure_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -19,7 +21,11 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str):
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_utc(spark)  # the data model is UTC whatever session we are handed
+            return fn(spark, sf_dir)
+        REGISTRY[name] = run
         return fn
     return deco
 
