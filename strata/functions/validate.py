@@ -13,8 +13,9 @@ A message is a JSON text.  It is valid when it is one JSON object and
   an explicit null is invalid.
 
 Parsing uses two views of the text: ``from_json(.., map<string,string>)`` keeps
-"absent" apart from "null" and renders any value as text, and a VARIANT tells a
-JSON string from a JSON number or boolean.
+"absent" apart from "null" and renders any value as text; a VARIANT parse,
+done only for quantities that are not integer text, tells a JSON string from a
+JSON number or boolean.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ BAD_CURRENCY = "bad_currency"
 REASONS = (MALFORMED, MISSING_FIELD, NULL_OR_BLANK, BAD_EVENT_TYPE, BAD_QUANTITY, BAD_CURRENCY)
 
 _MAP = "_msg_map"
-_VAR = "_msg_variant"
+_TEXT = "_msg_text"
 
 
 def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
@@ -53,10 +54,9 @@ def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
     bare = F.btrim(text, F.lit(" \t\n\r"))
     mapped = F.from_json(text, "map<string,string>")
     parsed = F.struct(mapped.alias(_MAP),
-                      F.try_parse_json(text).alias(_VAR),
                       F.coalesce(bare.startswith("{") & bare.endswith("}") & mapped.isNotNull(),
                                  F.lit(False)).alias("_msg_is_object"))
-    return df.select("*", F.inline(F.array(parsed)))
+    return df.select("*", F.inline(F.array(parsed))).withColumn(_TEXT, text)
 
 
 def field(name: str) -> Column:
@@ -72,13 +72,20 @@ def _blank(name: str) -> Column:
 
 
 def quantity_value() -> Column:
-    """Integer value of ``quantity`` under the loose typing rules (null if none)."""
-    text = field("quantity")
-    kind = F.schema_of_variant(F.variant_get(F.col(_VAR), "$.quantity", "variant"))
+    """Integer value of ``quantity`` under the loose typing rules (null if none).
+
+    Integer text -- a JSON integer or a JSON string holding one -- is taken as
+    is.  Only otherwise is the message parsed as VARIANT, to tell a JSON number
+    (truncated) or boolean (1/0) from a JSON string (invalid); most messages
+    never pay for that second parse.
+    """
+    as_int = F.expr(f"try_cast({_MAP}['quantity'] as bigint)")
+    var = F.try_parse_json(F.col(_TEXT))
+    kind = F.schema_of_variant(F.variant_get(var, "$.quantity", "variant"))
     loose = (F.when(kind == "BOOLEAN", F.expr(f"try_cast({_MAP}['quantity'] as boolean)").cast("bigint"))
-              .when(F.col(_VAR).isNull() | (kind == "STRING"), F.lit(None).cast("bigint"))
+              .when(var.isNull() | (kind == "STRING"), F.lit(None).cast("bigint"))
               .otherwise(F.expr(f"try_cast(try_cast({_MAP}['quantity'] as double) as bigint)")))
-    return F.coalesce(F.expr(f"try_cast({_MAP}['quantity'] as bigint)"), loose)
+    return F.coalesce(as_int, loose)
 
 
 def reason_flags() -> list[tuple[str, Column]]:
@@ -140,4 +147,4 @@ def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def drop_parsed(df: DataFrame) -> DataFrame:
-    return df.drop(_MAP, _VAR, "_msg_is_object")
+    return df.drop(_MAP, _TEXT, "_msg_is_object")

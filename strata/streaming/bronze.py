@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
@@ -60,11 +60,15 @@ class BronzeIngest:
             self._run_id = json.loads(meta)["id"].replace("-", "")
         return self._run_id
 
-    def _stored_ids(self, own_batch: str, batch_ids: DataFrame) -> DataFrame:
+    def _stored_ids(self, own_batch: str, batch_ids: DataFrame, id_bound: int) -> DataFrame:
+        """Bronze ids that also occur in this batch.
+
+        ``id_bound`` (the batch's message count) bounds the number of batch ids,
+        so the broadcast decision rests on a proven size, not an estimate.
+        """
         bronze = self.spark.read.schema(BRONZE_READ).parquet(self.bronze)
         ids = bronze.filter(F.col("batch") != own_batch).select("event_id")
-        n = batch_ids.count()
-        lookup = F.broadcast(batch_ids) if n <= self.broadcast_ids else batch_ids
+        lookup = F.broadcast(batch_ids) if id_bound <= self.broadcast_ids else batch_ids
         return ids.join(lookup, "event_id", "left_semi")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -72,23 +76,27 @@ class BronzeIngest:
         batch = batch.persist()
         try:
             classified = V.classify(batch).persist()
-            rejected = classified.filter(~F.col("is_valid")).select(
-                "key", "value", *self.arrival, F.array_join("reasons", ",").alias("reasons"))
-            rejected.write.mode("overwrite").parquet(f"{self.rejects}/batch={tag}")
+            # The reject write also counts every message (the observation sits
+            # before the filter), so no separate counting job is needed.
+            seen = Observation(f"seen_{tag}")
+            counted = classified.observe(seen, F.count(F.lit(1)).alias("messages"),
+                                         F.count_if(~F.col("is_valid")).alias("rejected"))
+            counted.filter(~F.col("is_valid")).select(
+                "key", "value", *self.arrival, F.array_join("reasons", ",").alias("reasons")) \
+                .write.mode("overwrite").parquet(f"{self.rejects}/batch={tag}")
+            counts = seen.get
 
             valid = V.to_bronze(classified, keep=tuple(self.arrival))
-            firsts = keep_first(valid, "event_id", self.arrival).persist()
-            batch_ids = firsts.select("event_id")
-            fresh = firsts.join(self._stored_ids(tag, batch_ids), "event_id", "left_anti")
-            fresh.drop(*self.arrival).write.mode("overwrite").parquet(f"{self.bronze}/batch={tag}")
-
-            counts = classified.agg(F.count(F.lit(1)).alias("messages"),
-                                    F.count_if(~F.col("is_valid")).alias("rejected")).first()
-            stored = self.spark.read.parquet(f"{self.bronze}/batch={tag}").count()
-            row = [(int(batch_id), int(counts["messages"]), int(counts["rejected"]), int(stored))]
+            firsts = keep_first(valid, "event_id", self.arrival)
+            known = self._stored_ids(tag, firsts.select("event_id"), int(counts["messages"]))
+            fresh = firsts.join(known, "event_id", "left_anti").drop(*self.arrival)
+            wrote = Observation(f"stored_{tag}")
+            fresh.observe(wrote, F.count(F.lit(1)).alias("stored")) \
+                .write.mode("overwrite").parquet(f"{self.bronze}/batch={tag}")
+
+            row = [(int(batch_id), int(counts["messages"]), int(counts["rejected"]), int(wrote.get["stored"]))]
             self.spark.createDataFrame(row, "batch_id bigint, messages bigint, rejected bigint, stored bigint") \
                 .write.mode("overwrite").parquet(f"{self.metrics}/batch={tag}")
-            firsts.unpersist()
             classified.unpersist()
         finally:
             batch.unpersist()
