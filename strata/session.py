@@ -16,6 +16,28 @@ from pyspark.sql import SparkSession
 
 _SCRATCH_KEY = "spark.checkpoint.dir"
 
+# Settings for a large cluster (~100 TB input, ~1000 executors).  Applied by
+# the deployment (spark-defaults / submit), not by the queries themselves.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # Upper bound for shuffles; AQE coalesces to the advisory size at runtime,
+    # so a 10 TB fact shuffle gets ~40k partitions and a small one a handful.
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Split partitions 5x the median and over 512 MB on the large join side.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Broadcast only what is measured to be small (estimate, then AQE runtime size).
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Partitioned overwrites replace only the partitions written.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "strata") -> SparkSession:
