@@ -38,24 +38,41 @@ class RunMetrics:
         return spark.createDataFrame(data, "stage string, rows bigint, duration_ms double")
 
 
-def _write_observed(df: DataFrame, path: str, stage: str, metrics: RunMetrics, fmt: str) -> None:
+def _write_observed(df: DataFrame, path: str, stage: str, metrics: RunMetrics, fmt: str,
+                    table: str | None = None) -> None:
     obs = Observation(stage)
     started = time.perf_counter()
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(path)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if table is None:
+        observed.write.mode("overwrite").format(fmt).save(path)
+    else:
+        SK.save_table(observed, table, fmt=fmt, path=path)
     metrics.duration_ms[stage] = round((time.perf_counter() - started) * 1000, 2)
     metrics.rows[stage] = obs.get["rows"]
 
 
 def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt: str = "parquet",
-                  orphans: str = "drop", event_order: Sequence[str] | None = None) -> RunMetrics:
-    """Batch medallion over raw ``customers``, ``products``, ``events`` frames."""
+                  orphans: str = "drop", event_order: Sequence[str] | None = None,
+                  database: str | None = None) -> RunMetrics:
+    """Batch medallion over raw ``customers``, ``products``, ``events`` frames.
+
+    With ``database`` every layer is also a catalog table ``<database>.<layer>_<name>``
+    (data under ``dst``, full refresh); without it, plain folders.
+    """
     metrics = RunMetrics()
+    if database is not None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{dst}/_catalog'")
+
+    def table(layer: str, name: str) -> str | None:
+        return None if database is None else f"{database}.{layer}_{name}"
+
     for name in LAYER_TABLES:
         bronze = raw[name].withColumn("_ingested_at", F.current_timestamp())
-        _write_observed(bronze, f"{dst}/bronze/{name}", f"bronze_{name}", metrics, fmt)
+        _write_observed(bronze, f"{dst}/bronze/{name}", f"bronze_{name}", metrics, fmt, table("bronze", name))
 
     def stored(layer: str, name: str) -> DataFrame:
-        return spark.read.format(fmt).load(f"{dst}/{layer}/{name}")
+        t = table(layer, name)
+        return spark.table(t) if t else spark.read.format(fmt).load(f"{dst}/{layer}/{name}")
 
     silver = {
         "customers": C.silver_customers(stored("bronze", "customers").drop("_ingested_at")),
@@ -63,7 +80,7 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
         "events": C.silver_events(stored("bronze", "events").drop("_ingested_at"), order=event_order),
     }
     for name in LAYER_TABLES:
-        _write_observed(silver[name], f"{dst}/silver/{name}", f"silver_{name}", metrics, fmt)
+        _write_observed(silver[name], f"{dst}/silver/{name}", f"silver_{name}", metrics, fmt, table("silver", name))
 
     cu, pr, ev = stored("silver", "customers"), stored("silver", "products"), stored("silver", "events")
     gold = {
@@ -72,12 +89,12 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
         "top_products": G.gold_top_products(ev, cu, pr, orphans),
     }
     for name in GOLD_TABLES:
-        _write_observed(gold[name], f"{dst}/gold/{name}", f"gold_{name}", metrics, fmt)
+        _write_observed(gold[name], f"{dst}/gold/{name}", f"gold_{name}", metrics, fmt, table("gold", name))
     return metrics
 
 
 def layer_counts(spark: SparkSession, dst: str, fmt: str = "parquet") -> DataFrame:
-    """Row count of every Bronze and Silver table (UNION ALL of counts)."""
+    """Row count of every Bronze and Silver folder (UNION ALL of counts)."""
     frames = [spark.read.format(fmt).load(f"{dst}/{layer}/{name}")
               .agg(F.count(F.lit(1)).alias("rows"))
               .select(F.lit(f"{layer}_{name}").alias("table_name"), "rows")
@@ -88,6 +105,13 @@ def layer_counts(spark: SparkSession, dst: str, fmt: str = "parquet") -> DataFra
     return out
 
 
+def table_counts_sql(spark: SparkSession, database: str) -> DataFrame:
+    """Row count per Bronze and Silver table, as one SQL UNION ALL over the catalog."""
+    parts = [f"SELECT '{layer}_{name}' AS table_name, COUNT(*) AS rows FROM {database}.{layer}_{name}"
+             for layer in ("bronze", "silver") for name in LAYER_TABLES]
+    return spark.sql("\nUNION ALL\n".join(parts))
+
+
 def to_messages(events: DataFrame) -> DataFrame:
     """Raw events -> JSON message texts (ids as text, ISO time with Z)."""
     ts = F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

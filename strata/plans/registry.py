@@ -355,7 +355,11 @@ def medallion_gold(spark, d):
 
 @register("medallion_table_counts")
 def medallion_table_counts(spark, d):
-    return M.layer_counts(spark, _medallion_run(spark, d))
+    """Layers written as catalog tables, counted with one SQL UNION ALL."""
+    import uuid
+    database = f"strata_{uuid.uuid4().hex[:10]}"
+    M.run_medallion(spark, _raw_e(spark, d), scratch_path(spark, "medallion"), database=database)
+    return M.table_counts_sql(spark, database)
 
 
 @register("run_metrics")
@@ -377,11 +381,12 @@ def enriched_gold(spark, d):
 def _contract_tables(spark, d):
     """Gold written into external Parquet tables declared with the contract types."""
     import uuid
-    suffix = uuid.uuid4().hex[:10]
     root = scratch_path(spark, "gold_contract")
+    database = f"strata_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_catalog'")
     names = {}
     for table, cols in GOLD_CONTRACT.items():
-        name = f"{table}_{suffix}"
+        name = f"{database}.{table}"
         SK.create_external_table(spark, name, f"{root}/{table}", cols)
         kind = {"gold_sales_by_country": "country", "gold_sales_by_category": "category",
                 "gold_top_products": "products"}[table]

@@ -73,9 +73,9 @@ class BronzeIngest:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         tag = f"q{self.run_id()}_{batch_id}"
-        batch = batch.persist()
+        # The parsed batch feeds both the reject and the Bronze write; keep it.
+        classified = V.classify(batch).persist()
         try:
-            classified = V.classify(batch).persist()
             # The reject write also counts every message (the observation sits
             # before the filter), so no separate counting job is needed.
             seen = Observation(f"seen_{tag}")
@@ -97,9 +97,8 @@ class BronzeIngest:
             row = [(int(batch_id), int(counts["messages"]), int(counts["rejected"]), int(wrote.get["stored"]))]
             self.spark.createDataFrame(row, "batch_id bigint, messages bigint, rejected bigint, stored bigint") \
                 .write.mode("overwrite").parquet(f"{self.metrics}/batch={tag}")
-            classified.unpersist()
         finally:
-            batch.unpersist()
+            classified.unpersist()
 
 
 def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,
