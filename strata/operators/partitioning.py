@@ -6,19 +6,22 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the input over the cluster when it arrives in too few splits.
+    """Round-robin the input over the cluster when it comes from too few files.
 
     CPU-heavy per-row work (JSON parsing, validation) runs one task per input
-    split; a single small file is one split.  When the input already has at
-    least ``min_partitions`` splits (the default parallelism), as a large scan
-    does, it is returned unchanged and no shuffle is added.
+    split, and a file written as one row group is one non-empty split however
+    many byte ranges it is cut into.  When the input reads from at least
+    ``min_partitions`` files (the default parallelism) and has that many
+    partitions -- any large scan -- it is returned unchanged and no shuffle is
+    added; otherwise it is small enough that spreading it costs little.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     try:
+        files = len(df.inputFiles())
         splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+    except Exception:  # noqa: BLE001 - no file or RDD view (e.g. a remote session): leave as is
         return df
-    if splits >= want:
+    if files >= want and splits >= want:
         return df
     return df.repartition(want)
