@@ -32,6 +32,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     # Broadcast only what is measured to be small (estimate, then AQE runtime size).
+    # The static estimate of a Parquet scan is file bytes x this factor: count
+    # columnar compression in, so the estimate errs on the large side.
+    "spark.sql.sources.fileCompressionFactor": "4",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Partitioned overwrites replace only the partitions written.

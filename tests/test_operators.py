@@ -188,3 +188,38 @@ def test_revenue_totals_agree_across_dimensions(spark):
     d = "/root/testdata/sf0.001"
     totals = [L.gold(spark, d, k).agg(F.sum("revenue")).first()[0] for k in ("country", "category", "products")]
     assert max(totals) - min(totals) < 1e-6
+
+
+def test_hot_customer_gold_is_exact_and_pre_aggregated(spark):
+    # one customer makes a third of all purchases
+    n = 3000
+    ev = spark.range(0, n).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("customer_id"),
+        (F.col("id") % 7).alias("product_id"),
+        F.lit("PURCHASE").alias("event_type"),
+        (F.col("id") % 4 + 1).cast("int").alias("quantity"))
+    cu = spark.range(0, 51).select(F.col("id").alias("customer_id"),
+                                   F.when(F.col("id") == 0, "HOT").otherwise("OTHER").alias("country"))
+    pr = spark.range(0, 7).select(F.col("id").alias("product_id"), F.lit("p").alias("product_name"),
+                                  F.lit("c").alias("category"),
+                                  (F.col("id") + F.lit(0.25)).cast("decimal(10,2)").alias("price"))
+    out = {r.country: (r.purchase_count, r.units_sold, r.revenue)
+           for r in G.gold_sales_by_country(ev, cu, pr).collect()}
+    rows = [(i, 0 if i % 3 == 0 else i % 50 + 1, i % 7, i % 4 + 1) for i in range(n)]
+    def expect(hot):
+        sel = [r for r in rows if (r[1] == 0) == hot]
+        return (len(sel), sum(r[3] for r in sel), round(sum(r[3] * (r[2] + 0.25) for r in sel), 2))
+    assert out == {"HOT": expect(True), "OTHER": expect(False)}
+    plan = G.gold_sales_by_country(ev, cu, pr)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_json_array_documents_roundtrip(spark):
+    from strata.sinks import files as SK
+    path = scratch_path(spark, "json_array")
+    df = spark.range(0, 25, numPartitions=8).filter("id < 20").select(
+        F.col("id").alias("n"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("s"))
+    SK.write_json_array(df.repartition(8), path)   # some partitions are empty
+    back = SF.read_json_array(spark, path)
+    assert sorted((r.n, r.s) for r in back.collect()) == [(i, f"x{i}") for i in range(20)]
