@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.operators import aggregate as G
 from strata.operators import conform as C
 from strata.operators.enrich import enrich_events
+from strata.schemas import EVENT_TYPES
 from strata.sources import adapters as A
 
 
@@ -47,11 +48,16 @@ def gold(spark: SparkSession, sf_dir: str, kind: str, orphans: str = "drop",
 
 
 def enriched_e(spark: SparkSession, sf_dir: str, orphans: str = "fail", segment: bool = False) -> DataFrame:
-    """V1-style enriched rows over adapter E (event_type kept in input case)."""
+    """V1-style enriched rows over adapter E.
+
+    Only events an ingest would accept take part (domain type, exact case;
+    quantity > 0; a time); the event type keeps its input case.
+    """
     raw = A.events_e(spark, sf_dir)
-    typed = C.conform_event_columns(raw.withColumnRenamed("event_type", "source_type")
-                                    .withColumn("event_type", F.col("source_type")))
-    typed = typed.filter(C.usable_events() & F.col("source_type").isin("view", "add_to_cart", "purchase"))
+    accepted = raw.filter(F.col("event_type").isin(*EVENT_TYPES) & (F.col("quantity") > 0)
+                          & F.col("event_id").isNotNull() & F.col("timestamp").isNotNull())
+    events = accepted.select("event_id", "customer_id", "product_id", "event_type",
+                             F.col("timestamp").alias("event_timestamp"), "quantity")
     cu = silver_customers(spark, sf_dir, segment)
     pr = silver_products(spark, sf_dir, segment)
-    return enrich_events(typed, cu, pr, orphans=orphans, event_type_col="source_type")
+    return enrich_events(events, cu, pr, orphans=orphans)

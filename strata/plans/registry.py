@@ -7,13 +7,29 @@ the library's operators over them.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions import validate as V
 from strata.operators import aggregate as G
+from strata.operators import conform as C
+from strata.operators import generate as GEN
+from strata.operators import ingest as I
+from strata.operators import quality as Q
+from strata.operators.dedup import keep_last
+from strata.operators.enrich import iso_text, members_of, orphans_of
 from strata.plans import layers as L
-from strata.session import ensure_utc
+from strata.plans import medallion as M
+from strata.schemas import GOLD_CONTRACT, SILVER_SUMMARY_READ
+from strata.session import ensure_utc, scratch_path
+from strata.sinks import files as SK
+from strata.sources import adapters as A
+from strata.sources import files as SF
+from strata.streaming import bronze as SB
+from strata.streaming import topic as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -72,14 +88,6 @@ def gold_country_segment(spark, d):
 
 
 # ------------------------------------------------------------ silver conform
-from pyspark.sql import functions as F  # noqa: E402
-
-from strata.functions import validate as V  # noqa: E402
-from strata.operators import conform as C  # noqa: E402
-from strata.operators import ingest as I  # noqa: E402
-from strata.operators.dedup import keep_last  # noqa: E402
-from strata.operators.enrich import iso_text  # noqa: E402
-from strata.sources import adapters as A  # noqa: E402
 
 
 @register("conform_customers")
@@ -179,11 +187,6 @@ def ingest_quality(spark, d):
 
 
 # ------------------------------------------------------- enrich and summaries
-from strata.operators import quality as Q  # noqa: E402
-from strata.schemas import SILVER_SUMMARY_READ  # noqa: E402
-from strata.session import scratch_path  # noqa: E402
-from strata.sinks import files as SK  # noqa: E402
-from strata.sources import files as SF  # noqa: E402
 
 
 @register("enrich_events")
@@ -239,10 +242,6 @@ def point_lookup(spark, d):
 
 
 # ------------------------------------------------------------- data quality
-def _raw_events_text(spark, d):
-    return A.events_e(spark, d)
-
-
 @register("dq_primary_keys")
 def dq_primary_keys(spark, d):
     return Q.union_all([
@@ -264,7 +263,6 @@ def dq_foreign_keys(spark, d):
 
 @register("fk_orphans")
 def fk_orphans(spark, d):
-    from strata.operators.enrich import orphans_of
     ev = A.events_e(spark, d).select("event_id", "customer_id", "product_id")
     c = orphans_of(ev, A.segment_customers(spark, d), "customer_id").select(
         F.lit("events.customer_id").alias("edge"), "event_id")
@@ -275,7 +273,6 @@ def fk_orphans(spark, d):
 
 @register("fk_valid")
 def fk_valid(spark, d):
-    from strata.operators.enrich import members_of
     ev = A.events_e(spark, d).select("event_id", "customer_id", "product_id")
     ev = members_of(ev, A.segment_customers(spark, d), "customer_id")
     return members_of(ev, A.segment_products(spark, d), "product_id").select("event_id")
@@ -332,8 +329,6 @@ def gated_gold(spark, d):
 
 
 # ------------------------------------------------------ layered runs and I/O
-from strata.plans import medallion as M  # noqa: E402
-from strata.schemas import GOLD_CONTRACT  # noqa: E402
 
 
 def _raw_e(spark, d):
@@ -356,7 +351,6 @@ def medallion_gold(spark, d):
 @register("medallion_table_counts")
 def medallion_table_counts(spark, d):
     """Layers written as catalog tables, counted with one SQL UNION ALL."""
-    import uuid
     database = f"strata_{uuid.uuid4().hex[:10]}"
     M.run_medallion(spark, _raw_e(spark, d), scratch_path(spark, "medallion"), database=database)
     return M.table_counts_sql(spark, database)
@@ -380,7 +374,6 @@ def enriched_gold(spark, d):
 
 def _contract_tables(spark, d):
     """Gold written into external Parquet tables declared with the contract types."""
-    import uuid
     root = scratch_path(spark, "gold_contract")
     database = f"strata_{uuid.uuid4().hex[:10]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_catalog'")
@@ -499,8 +492,6 @@ def new_events_only(spark, d):
 
 
 # ----------------------------------------------------------------- streaming
-from strata.streaming import bronze as SB  # noqa: E402
-from strata.streaming import topic as T  # noqa: E402
 
 
 def _topic_l(spark, d):
@@ -576,7 +567,6 @@ def keyed_order(spark, d):
 
 
 # --------------------------------------------------------------- generation
-from strata.operators import generate as GEN  # noqa: E402
 
 
 @register("gen_customers")
