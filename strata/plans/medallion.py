@@ -122,14 +122,11 @@ def to_messages(events: DataFrame) -> DataFrame:
         "event_type", ts.alias("timestamp"), "quantity")).alias("value"))
 
 
-def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame, products: DataFrame,
-                 dst: str, arrival: Sequence[str] = (), orphans: str = "fail") -> RunMetrics:
-    """Incremental path: messages -> Bronze (validated, deduped) -> enriched Silver -> summaries.
-
-    Bronze is appended with only ids it does not hold; rejects go to their own
-    folder with reasons.  Silver and the summaries are rebuilt from Bronze.
-    """
-    metrics = RunMetrics()
+def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival: Sequence[str] = (),
+                    metrics: RunMetrics | None = None) -> RunMetrics:
+    """Batch ingest: valid, first-arriving, not-yet-stored events appended to ``dst/bronze``;
+    rejects (with reasons) to ``dst/rejected``."""
+    metrics = metrics or RunMetrics()
     valid, rejected = I.split(messages, keep=tuple(arrival))
     order = list(arrival) or [c for c in valid.columns if c != "event_id"]
     firsts = I.first_arrivals(valid, order)
@@ -142,8 +139,13 @@ def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame,
     metrics.duration_ms["bronze"] = round((time.perf_counter() - started) * 1000, 2)
     metrics.rows["bronze"] = obs.get["rows"]
     _write_observed(rejected.drop(*arrival), f"{dst}/rejected", "rejected", metrics, "json")
+    return metrics
 
-    bronze = spark.read.schema(BRONZE_EVENTS).parquet(f"{dst}/bronze")
+
+def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: DataFrame, products: DataFrame,
+                         dst: str, orphans: str = "fail", metrics: RunMetrics | None = None) -> RunMetrics:
+    """Bronze events -> enriched Silver (JSON lines) -> one summary per dimension (JSON)."""
+    metrics = metrics or RunMetrics()
     typed = bronze.select(
         "event_id", "customer_id", "product_id", "event_type", "currency",
         F.try_to_timestamp("timestamp").alias("event_timestamp"), F.col("quantity").cast("int").alias("quantity"))
@@ -157,6 +159,43 @@ def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame,
     return metrics
 
 
+def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame, products: DataFrame,
+                 dst: str, arrival: Sequence[str] = (), orphans: str = "fail") -> RunMetrics:
+    """Incremental path: messages -> Bronze (validated, deduped) -> enriched Silver -> summaries.
+
+    Bronze is appended with only ids it does not hold; rejects go to their own
+    folder with reasons.  Silver and the summaries are rebuilt from Bronze.
+    """
+    metrics = ingest_messages(spark, messages, dst, arrival)
+    bronze = spark.read.schema(BRONZE_EVENTS).parquet(f"{dst}/bronze")
+    return enrich_and_summarize(spark, bronze, customers, products, dst, orphans, metrics)
+
+
 def string_keyed(df: DataFrame, key: str) -> DataFrame:
     """Dimension with its key as text (messages carry ids as text)."""
     return df.withColumn(key, F.col(key).cast("string"))
+
+
+# ------------------------------------------------------------ raw-file entry
+RAW_FILES = {"customers": "customers.csv", "products": "products.csv", "events": "events.json"}
+
+
+def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    """The three raw exports: header CSVs (all text) and a JSON array of events."""
+    return {
+        "customers": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['customers']}"),
+        "products": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['products']}"),
+        "events": SF.read_json_array(spark, f"{raw_dir}/{RAW_FILES['events']}"),
+    }
+
+
+def medallion_from_files(spark: SparkSession, raw_dir: str, dst: str, fmt: str = "parquet",
+                         orphans: str = "drop", database: str | None = None) -> RunMetrics:
+    """The batch medallion over a raw folder, as the managed job runs it."""
+    return run_medallion(spark, read_raw(spark, raw_dir), dst, fmt=fmt, orphans=orphans, database=database)
+
+
+def dimensions_from_files(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Conformed customer and product dimensions from the raw CSVs."""
+    raw = read_raw(spark, raw_dir)
+    return C.silver_customers(raw["customers"]), C.silver_products(raw["products"])
