@@ -4,11 +4,15 @@ Every summary carries the same measures: purchase_count, units_sold and
 revenue = round(sum(quantity * price), 2), computed in exact decimal and cast to
 double at the contract.
 
-Plan shape: purchases are first aggregated per (customer_id, product_id) --
-a partial (map-side) aggregate, so hot customers or products are combined
-before any shuffle -- and only those pair totals meet the dimensions.  Because
-price depends on the product alone, sum(quantity * price) over a pair equals
-price * sum(quantity), so the result is exact.
+Plan shape, chosen by a counted bound on the dimensions:
+
+* dimensions counted small -> broadcast joins per purchase, then one partial +
+  final aggregate (no fact shuffle before the final aggregate);
+* otherwise purchases are first aggregated per (customer_id, product_id) -- a
+  partial (map-side) aggregate, so hot customers or products are combined before
+  any shuffle -- and only those pair totals meet the dimensions in shuffle joins.
+  Because price depends on the product alone, sum(quantity * price) over a pair
+  equals price * sum(quantity), so the result is exact either way.
 """
 
 from __future__ import annotations
@@ -38,29 +42,43 @@ def purchase_pairs(silver_events: DataFrame, purchase_value: str = PURCHASE) ->
 
 
 def priced_pairs(silver_events: DataFrame, customers: DataFrame, products: DataFrame,
-                 orphans: str = "drop") -> DataFrame:
-    """Pair totals joined to country and product attributes, with their amount."""
-    pairs = purchase_pairs(silver_events)
-    pairs = attach(pairs, customers.select("customer_id", "country"), "customer_id", orphans, "customer")
-    pairs = attach(pairs, products.select("product_id", "product_name", "category", "price"),
-                   "product_id", orphans, "product")
-    return pairs.withColumn("amount", F.col("units") * F.col("price"))
+                 orphans: str = "drop", broadcast_dims: bool = False) -> DataFrame:
+    """Purchases joined to country and product attributes, with their amount.
+
+    ``broadcast_dims`` -- to be set only when both dimensions were counted
+    small (``partitioning.fits_broadcast``) -- joins each purchase to broadcast
+    dimensions, so no fact row is shuffled before the final aggregate.
+    Otherwise purchases are first pre-aggregated per (customer, product), and
+    only those pair totals meet the dimensions in shuffle joins.
+    """
+    cu = customers.select("customer_id", "country")
+    pr = products.select("product_id", "product_name", "category", "price")
+    if broadcast_dims:
+        facts = silver_events.filter(F.col("event_type") == PURCHASE).select(
+            "customer_id", "product_id", F.col("event_id").isNotNull().cast("bigint").alias("n"),
+            F.col("quantity").cast("bigint").alias("units"))
+        cu, pr = F.broadcast(cu), F.broadcast(pr)
+    else:
+        facts = purchase_pairs(silver_events)
+    facts = attach(facts, cu, "customer_id", orphans, "customer")
+    facts = attach(facts, pr, "product_id", orphans, "product")
+    return facts.withColumn("amount", F.col("units") * F.col("price"))
 
 
 def summarize(priced: DataFrame, by: Sequence[str]) -> DataFrame:
     return priced.groupBy(*by).agg(*measures(F.sum("n"), F.sum("units"), F.sum("amount")))
 
 
-def gold_sales_by_country(silver_events, customers, products, orphans="drop") -> DataFrame:
-    return summarize(priced_pairs(silver_events, customers, products, orphans), ["country"])
+def gold_sales_by_country(silver_events, customers, products, orphans="drop", broadcast_dims=False):
+    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims), ["country"])
 
 
-def gold_sales_by_category(silver_events, customers, products, orphans="drop") -> DataFrame:
-    return summarize(priced_pairs(silver_events, customers, products, orphans), ["category"])
+def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False):
+    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims), ["category"])
 
 
-def gold_top_products(silver_events, customers, products, orphans="drop") -> DataFrame:
-    return summarize(priced_pairs(silver_events, customers, products, orphans),
+def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False):
+    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims),
                      ["product_id", "product_name", "category"])
 
 

@@ -25,3 +25,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if files >= want and splits >= want:
         return df
     return df.repartition(want)
+
+
+# Fixed value: a dimension is broadcast only when a counted upper bound on its
+# rows is at most this (about 50-100 MB for the 3-4 narrow columns joined);
+# beyond it the join shuffles.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def fits_broadcast(*row_bounds: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when every bound is known and small enough to broadcast."""
+    return all(b is not None and b <= max_rows for b in row_bounds)
+

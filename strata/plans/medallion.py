@@ -19,6 +19,7 @@ from strata.operators import aggregate as G
 from strata.operators import conform as C
 from strata.operators import ingest as I
 from strata.operators.enrich import enrich_events, iso_text
+from strata.operators.partitioning import fits_broadcast
 from strata.schemas import BRONZE_EVENTS
 from strata.sinks import files as SK
 from strata.sources import files as SF
@@ -83,10 +84,11 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
         _write_observed(silver[name], f"{dst}/silver/{name}", f"silver_{name}", metrics, fmt, table("silver", name))
 
     cu, pr, ev = stored("silver", "customers"), stored("silver", "products"), stored("silver", "events")
+    small = fits_broadcast(metrics.rows.get("silver_customers"), metrics.rows.get("silver_products"))
     gold = {
-        "sales_by_country": G.gold_sales_by_country(ev, cu, pr, orphans),
-        "sales_by_category": G.gold_sales_by_category(ev, cu, pr, orphans),
-        "top_products": G.gold_top_products(ev, cu, pr, orphans),
+        "sales_by_country": G.gold_sales_by_country(ev, cu, pr, orphans, small),
+        "sales_by_category": G.gold_sales_by_category(ev, cu, pr, orphans, small),
+        "top_products": G.gold_top_products(ev, cu, pr, orphans, small),
     }
     for name in GOLD_TABLES:
         _write_observed(gold[name], f"{dst}/gold/{name}", f"gold_{name}", metrics, fmt, table("gold", name))

@@ -223,3 +223,23 @@ def test_json_array_documents_roundtrip(spark):
     SK.write_json_array(df.repartition(8), path)   # some partitions are empty
     back = SF.read_json_array(spark, path)
     assert sorted((r.n, r.s) for r in back.collect()) == [(i, f"x{i}") for i in range(20)]
+
+
+def test_broadcast_and_pre_aggregated_plans_agree(spark):
+    from strata.plans import layers as L
+    d = "/root/testdata/sf0.001"
+    ev, cu, pr = L.silver_events_e(spark, d), L.silver_customers(spark, d), L.silver_products(spark, d)
+    for build in (G.gold_sales_by_country, G.gold_top_products):
+        for orphans in ("drop", "keep"):
+            a = sorted(tuple(r) for r in build(ev, cu, pr, orphans, broadcast_dims=True).collect())
+            b = sorted(tuple(r) for r in build(ev, cu, pr, orphans, broadcast_dims=False).collect())
+            assert a == b
+    plan = G.gold_top_products(ev, cu, pr, broadcast_dims=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_fits_broadcast_needs_known_small_bounds():
+    from strata.operators.partitioning import BROADCAST_MAX_ROWS, fits_broadcast
+    assert fits_broadcast(10, 20)
+    assert not fits_broadcast(10, None)
+    assert not fits_broadcast(BROADCAST_MAX_ROWS + 1)
