@@ -133,7 +133,8 @@ def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival:
     order = list(arrival) or [c for c in valid.columns if c != "event_id"]
     firsts = I.first_arrivals(valid, order)
     SK.ensure_dataset(spark, f"{dst}/bronze", BRONZE_EVENTS)
-    fresh = I.new_only(firsts, SF.existing_ids(spark, f"{dst}/bronze", schema=BRONZE_EVENTS))
+    stored = SF.existing_ids(spark, f"{dst}/bronze", schema=BRONZE_EVENTS, distinct=False)
+    fresh = I.new_only(firsts, stored)
     obs = Observation("bronze")
     started = time.perf_counter()
     fresh.drop(*arrival).observe(obs, F.count(F.lit(1)).alias("rows")) \

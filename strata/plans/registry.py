@@ -486,7 +486,7 @@ def existing_ids_q(spark, d):
 
 @register("new_events_only")
 def new_events_only(spark, d):
-    stored = SF.existing_ids(spark, _bronze_before_cutoff(spark, d))
+    stored = SF.existing_ids(spark, _bronze_before_cutoff(spark, d), distinct=False)
     return I.new_only(L.silver_events_l(spark, d), stored).select("event_id", "customer_id", "product_id",
                                                                   "quantity")
 

@@ -35,14 +35,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def existing_ids(spark: SparkSession, bronze_path: str, fmt: str = "parquet",
-                 schema: T.StructType | None = None) -> DataFrame:
-    """Distinct event ids already in Bronze; empty when Bronze does not exist yet.
+                 schema: T.StructType | None = None, distinct: bool = True) -> DataFrame:
+    """Event ids already in Bronze; empty when Bronze does not exist yet.
 
     With ``schema`` an existing but empty Bronze folder reads as zero rows.
+    ``distinct=False`` skips the de-duplication (and its shuffle) for callers
+    that only anti-join against the ids.
     """
     try:
         r = spark.read.format(fmt)
-        return (r.schema(schema) if schema is not None else r).load(bronze_path).select("event_id").distinct()
+        ids = (r.schema(schema) if schema is not None else r).load(bronze_path).select("event_id")
+        return ids.distinct() if distinct else ids
     except AnalysisException:
         return spark.createDataFrame([], "event_id string")
 
