@@ -313,7 +313,7 @@ register("dq_domains")(domain_rules)
 
 @register("gated_gold")
 def gated_gold(spark, d):
-    """Key and reference rules must pass before Gold is built (raises otherwise)."""
+    """Key and referential-integrity rules must pass before Gold is built (raises otherwise)."""
     pk = Q.union_all([
         Q.primary_key(A.raw_customers(spark, d), "customer_id", "customers"),
         Q.primary_key(A.raw_products(spark, d), "product_id", "products"),
