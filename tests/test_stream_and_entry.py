@@ -70,3 +70,17 @@ def test_every_query_has_a_callable():
     qs, oq = E.queries(), E.oracle_sql()
     assert len(qs) >= 60
     assert set(oq) <= set(qs)
+
+
+def test_processing_time_trigger(spark):
+    topic = scratch_path(spark, "topic")
+    T.write_topic(_messages(spark, [("C1", _ev("E7", 1), 1), ("C2", _ev("E8", 0), 2)]), topic)
+    root = scratch_path(spark, "stream")
+    q, _ = SB.start(spark, T.read_topic_stream(spark, topic), root, available_now=False,
+                    processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert [r.event_id for r in SB.read_bronze(spark, root).collect()] == ["E7"]
+    assert SB.read_rejects(spark, root).count() == 1
