@@ -15,9 +15,13 @@ every id already stored.  One writer per Bronze path.
 
 Scale: the batch is bounded by the trigger (``maxFilesPerTrigger`` /
 ``maxOffsetsPerTrigger``).  The Bronze check looks up only the batch's ids:
-Bronze's id column is semi-joined with the batch ids, broadcast when their
-count is under ``broadcast_ids`` (checked, not assumed) and shuffled otherwise,
-so Bronze itself is never shuffled for a small batch.
+Bronze's id column is semi-joined with the batch ids, broadcast when the
+batch's message count -- observed on the reject write, an upper bound on its
+ids -- is under ``broadcast_ids``, shuffled otherwise; Bronze itself is never
+shuffled for a small batch.  In-batch first arrival is a partial-aggregated
+``keep_first``, so an id repeated a million times in one batch is combined
+map-side.  The lookup reads Bronze's id column once per batch (see README,
+"Known limit").
 """
 
 from __future__ import annotations
@@ -27,8 +31,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import validate as V
 from strata.operators.dedup import keep_first
