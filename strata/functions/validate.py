@@ -117,7 +117,7 @@ def reason_flags() -> list[tuple[str, Column]]:
 def reject_reasons() -> Column:
     """array<string> of failed rules, empty for a valid message."""
     flags = [F.when(failed, F.lit(name)) for name, failed in reason_flags()]
-    return F.filter(F.array(*flags), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*flags))
 
 
 def normalized_currency() -> Column:
