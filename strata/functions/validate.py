@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.partitioning import spread
 from strata.schemas import DEFAULT_CURRENCY, EVENT_TYPES, REQUIRED_EVENT_FIELDS, SUPPORTED_CURRENCIES
 
 # Reason labels, in the order they are reported.
@@ -45,10 +44,9 @@ def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
     The parse runs inside a generator (``inline`` of a one-element array):
     the optimizer cannot substitute generated columns back into filters or
     later projections, so each text is parsed exactly once however many rules
-    read the result.  Input that arrives in fewer splits than the cluster has
-    cores is spread first (see ``spread``).
+    read the result.  Inputs are spread over the cores where they are read
+    (``operators.partitioning.spread``), not here.
     """
-    df = spread(df)
     text = F.col(text_col).cast("string")
     # One JSON object and nothing else around it (JSON whitespace allowed).
     bare = F.btrim(text, F.lit(" \t\n\r"))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the input over the cluster when it comes from too few files.
 
-    CPU-heavy per-row work (JSON parsing, validation) runs one task per input
-    split, and a file written as one row group is one non-empty split however
-    many byte ranges it is cut into.  When the input reads from at least
-    ``min_partitions`` files (the default parallelism) and has that many
+    Per-row work (JSON parsing, validation, partial aggregation) runs one task
+    per input split, and a file written as one row group is one non-empty split
+    however many byte ranges it is cut into.  When the input reads from at
+    least ``min_partitions`` files (the default parallelism) and has that many
     partitions -- any large scan -- it is returned unchanged and no shuffle is
-    added; otherwise it is small enough that spreading it costs little.
+    added; otherwise it is small enough that spreading it costs little.  Call it
+    once, where the input is read (it cannot tell an already spread frame).
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism

@@ -19,7 +19,7 @@ from strata.operators import aggregate as G
 from strata.operators import conform as C
 from strata.operators import ingest as I
 from strata.operators.enrich import enrich_events, iso_text
-from strata.operators.partitioning import fits_broadcast
+from strata.operators.partitioning import fits_broadcast, spread
 from strata.schemas import BRONZE_EVENTS
 from strata.sinks import files as SK
 from strata.sources import files as SF
@@ -188,7 +188,8 @@ def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     return {
         "customers": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['customers']}"),
         "products": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['products']}"),
-        "events": SF.read_json_array(spark, f"{raw_dir}/{RAW_FILES['events']}"),
+        # one task per array document; spread before the per-row work
+        "events": spread(SF.read_json_array(spark, f"{raw_dir}/{RAW_FILES['events']}")),
     }
 
 

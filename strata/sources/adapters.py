@@ -17,11 +17,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.partitioning import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table, spread over the cores when it is stored in too few files."""
+    return spread(table(spark, sf_dir, name))
+
+
 # ---------------------------------------------------------------- dimensions
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer join nation; signup_date is derived (no source column exists)."""
@@ -63,7 +70,7 @@ def segment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- events
 def events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter E: typed raw events from the ``events`` table."""
-    e = table(spark, sf_dir, "events")
+    e = fact_table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").alias("customer_id"),
@@ -88,7 +95,7 @@ def events_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``l_shipdate, l_partkey, l_suppkey`` is a total order within an id and is
     carried so first-arrival dedup is deterministic.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = fact_table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
@@ -123,7 +130,7 @@ def messages_d(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Data
     The case number ``event_id % 25`` decides which field gets which dirt; every
     row is emitted.  Case 0 carries an extra nested field, 24 is cut short.
     """
-    e = table(spark, sf_dir, "events")
+    e = fact_table(spark, sf_dir, "events")
     m = F.col("event_id") % 25
     user = F.col("user_id").cast("string")
     etype = F.col("event_type")

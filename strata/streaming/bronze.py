@@ -36,6 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import validate as V
 from strata.operators.dedup import keep_first
+from strata.operators.partitioning import spread
 from strata.schemas import BRONZE_EVENTS
 from strata.sinks.files import ensure_dataset
 
@@ -78,7 +79,8 @@ class BronzeIngest:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         tag = f"q{self.run_id()}_{batch_id}"
         # The parsed batch feeds both the reject and the Bronze write; keep it.
-        classified = V.classify(batch).persist()
+        # A batch of one or two files is spread over the cores before parsing.
+        classified = V.classify(spread(batch)).persist()
         try:
             # The reject write also counts every message (the observation sits
             # before the filter), so no separate counting job is needed.
