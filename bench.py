@@ -38,19 +38,28 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), app_name="strata-bench")
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    failed: dict[str, str] = {}
     for name in names:
-        df_factory = REGISTRY[name]
-        df_factory(spark, sf_dir).write.format("noop").mode("overwrite").save()  # cold
-        runs = []
-        for _ in range(3):
-            t0 = time.perf_counter()
-            df_factory(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 3)
+        try:
+            df_factory = REGISTRY[name]
+            df_factory(spark, sf_dir).write.format("noop").mode("overwrite").save()  # cold
+            runs = []
+            for _ in range(3):
+                t0 = time.perf_counter()
+                df_factory(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 3)
+        except Exception as ex:  # noqa: BLE001 - report and keep measuring the rest
+            times[name] = None
+            failed[name] = f"{type(ex).__name__}: {str(ex)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_warm_median_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+    out = {"metric": "headline_warm_median_total",
+           "value": round(sum(t for t in times.values() if t is not None), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 

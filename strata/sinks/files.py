@@ -47,6 +47,11 @@ def write_json_array(df: DataFrame, path: str) -> None:
     as_json.mapInPandas(_array_document, "value string").write.mode("overwrite").text(path)
 
 
+def preview(df: DataFrame, rows: int = 20) -> None:
+    """Console preview with full cell text (reads only the rows shown)."""
+    df.show(rows, truncate=False)
+
+
 def ensure_dataset(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> None:
     """Create an empty dataset at ``path`` if none is there (append of zero rows)."""
     spark.createDataFrame([], schema).write.mode("append").format(fmt).save(path)
