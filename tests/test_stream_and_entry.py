@@ -84,3 +84,19 @@ def test_processing_time_trigger(spark):
         q.stop()
     assert [r.event_id for r in SB.read_bronze(spark, root).collect()] == ["E7"]
     assert SB.read_rejects(spark, root).count() == 1
+
+
+def test_stream_first_arrival_and_late_valid_copy(spark):
+    # batch 1 (one file per key): E5 arrives twice, the later copy first in the
+    # file; E6 arrives only invalid.  batch 2: E6 arrives valid, E5 again.
+    topic1, topic2 = scratch_path(spark, "topic"), scratch_path(spark, "topic")
+    T.write_topic(_messages(spark, [("C1", _ev("E5", 2), 20), ("C1", _ev("E5", 1), 10),
+                                    ("C1", _ev("E6", -3), 30)]), topic1, partitions=1)
+    T.write_topic(_messages(spark, [("C1", _ev("E6", 4), 40), ("C1", _ev("E5", 9), 50)]), topic2, partitions=1)
+    root = scratch_path(spark, "stream")
+    for t in (topic1, topic2):
+        SB.run_available(spark, T.read_topic_stream(spark, t), root, checkpoint=f"{root}/_ck_{t[-12:]}")
+    rows = sorted((r.event_id, r.quantity) for r in SB.read_bronze(spark, root).collect())
+    assert rows == [("E5", 1), ("E6", 4)]
+    q = SB.read_quality(spark, root).first()
+    assert (q.stored, q.rejected, q.duplicates) == (2, 1, 2)
