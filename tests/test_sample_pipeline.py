@@ -87,3 +87,13 @@ def test_gate_stops_bad_input(spark, raw):
     bad["events"] = raw["events"].unionByName(SF.read_json_array(spark, f"{FIX}/invalid_event.json"))
     with pytest.raises(Q.QualityGateError, match="quantity_positive"):
         Q.assert_clean(_gate_rules(bad))
+
+
+def test_gold_contract_types_and_sql_order(spark):
+    from strata.plans.registry import REGISTRY
+    d = "/root/testdata/sf0.001"
+    contract = REGISTRY["gold_contract"](spark, d)
+    assert contract.dtypes == [("product_id", "string"), ("product_name", "string"), ("category", "string"),
+                               ("purchase_count", "bigint"), ("units_sold", "bigint"), ("revenue", "double")]
+    revenue = [r.revenue for r in REGISTRY["external_gold_query"](spark, d).collect()]
+    assert revenue == sorted(revenue, reverse=True) and len(revenue) > 0
