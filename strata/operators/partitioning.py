@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def needs_spread(df: DataFrame, min_partitions: int | None = None) -> bool:
+    """True when ``df`` reads from fewer files or splits than ``min_partitions``.
+
+    The file count is checked first: few files means a small input (spreading
+    is cheap) or one huge file; only a many-file input pays for the split count.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        if len(df.inputFiles()) >= want:
+            return df.rdd.getNumPartitions() < want
+        return True
+    except Exception:  # noqa: BLE001 - no file or RDD view (e.g. a remote session)
+        return False
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, decided: bool | None = None) -> DataFrame:
     """Round-robin the input over the cluster when it comes from too few files.
 
     Per-row work (JSON parsing, validation, partial aggregation) runs one task
@@ -15,17 +30,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions -- any large scan -- it is returned unchanged and no shuffle is
     added; otherwise it is small enough that spreading it costs little.  Call it
     once, where the input is read (it cannot tell an already spread frame).
+    ``decided`` passes a decision already taken for the same input.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    try:
-        files = len(df.inputFiles())
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no file or RDD view (e.g. a remote session): leave as is
-        return df
-    if files >= want and splits >= want:
-        return df
-    return df.repartition(want)
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spread_it = needs_spread(df, want) if decided is None else decided
+    return df.repartition(want) if spread_it else df
 
 
 # Fixed value: a dimension is broadcast only when a counted upper bound on its

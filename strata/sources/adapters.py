@@ -14,19 +14,49 @@ orphan-policy operators.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.partitioning import spread
+from strata.operators.partitioning import needs_spread, spread
+
+
+# Per file version (path, mtime, size): its schema and whether it needs
+# spreading.  Both are fixed for a given file, so later reads skip the footer
+# job of schema inference and the split check.  Only local paths are keyed.
+_SCHEMAS: dict = {}
+_SPREAD: dict = {}
+
+
+def _version(path: str):
+    try:
+        st = os.stat(path)
+    except OSError:
+        return None
+    return (path, st.st_mtime_ns, st.st_size)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    version = _version(path)
+    schema = _SCHEMAS.get(version) if version else None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    if version:
+        _SCHEMAS[version] = df.schema
+    return df
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fact table, spread over the cores when it is stored in too few files."""
-    return spread(table(spark, sf_dir, name))
+    df = table(spark, sf_dir, name)
+    version = _version(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (version, spark.sparkContext.defaultParallelism) if version else None
+    if key is not None and key not in _SPREAD:
+        _SPREAD[key] = needs_spread(df)
+    return spread(df, decided=_SPREAD.get(key) if key else None)
 
 
 # ---------------------------------------------------------------- dimensions
