@@ -373,4 +373,6 @@ sl AS (SELECT * FROM l WHERE rn = 1 AND l_returnflag = 'N' AND quantity > 0)
 SELECT {keys}, {MEASURES}
 FROM sl JOIN cust USING (customer_id) JOIN prod USING (product_id)
 GROUP BY {keys}"""
+    # ---- lineage: the file each row was read from
+    q["with_lineage"] = "SELECT event_id, 'events.parquet' AS source_file FROM events"
     return q

@@ -51,5 +51,6 @@ def existing_ids(spark: SparkSession, bronze_path: str, fmt: str = "parquet",
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """Source file of every row, from the hidden ``_metadata`` column."""
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    """Source file of every row (path and file name), from the hidden ``_metadata`` column."""
+    return (df.withColumn("source_path", F.col("_metadata.file_path"))
+              .withColumn("source_file", F.col("_metadata.file_name")))
