@@ -1 +1 @@
-"""functions"""
+"""Column-expression building blocks (message validation)."""

@@ -1 +1 @@
-"""sinks"""
+"""Batch sinks: files, tables and the external Gold contract."""

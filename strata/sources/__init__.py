@@ -1 +1 @@
-"""sources"""
+"""Batch sources: the driver-table adapters and file/table readers."""

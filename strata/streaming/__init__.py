@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming: keyed topic and the Bronze ingest."""
