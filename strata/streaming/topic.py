@@ -43,9 +43,26 @@ def keyed(df: DataFrame, partitions: int = TOPIC_PARTITIONS,
     return df.repartition(partitions, "key").sortWithinPartitions("key", *present)
 
 
+def kafka_options(broker: str, topic: str, group_id: str | None = None, reading: bool = True) -> dict:
+    """Connector options for a broker topic (consumer group only when reading)."""
+    opts = {"kafka.bootstrap.servers": broker}
+    if reading:
+        opts["subscribe"] = topic
+        if group_id:
+            opts["kafka.group.id"] = group_id
+    else:
+        opts["topic"] = topic
+    return opts
+
+
 def write_topic(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS, fmt: str = "parquet",
                 options: dict | None = None) -> None:
-    """Publish records to a topic; the default is a folder of per-partition files."""
+    """Publish records to a topic; the default is a folder of per-partition files.
+
+    ``fmt="kafka"`` writes (key, value) to a broker (``options`` from
+    ``kafka_options(..., reading=False)``); the broker's partitioner keeps one
+    key in one partition.
+    """
     if fmt == "kafka":
         df.select("key", "value").write.format("kafka").options(**(options or {})).save()
         return
@@ -57,11 +74,19 @@ def write_topic(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS, fm
 
 
 def read_topic_stream(spark: SparkSession, path: str, fmt: str = "parquet",
-                      max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
-    """Streaming read of a topic (file source here; ``kafka`` with a connector)."""
+                      max_files_per_trigger: int | None = None, options: dict | None = None,
+                      max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of a topic (file source here; ``kafka`` with a connector).
+
+    A new stream starts at the earliest offset; a restarted one resumes from
+    its checkpoint (the committed position).  ``max_*_per_trigger`` bounds each
+    micro-batch.
+    """
     if fmt == "kafka":
-        return (spark.readStream.format("kafka").options(**(options or {}))
-                .option("startingOffsets", "earliest").load()
+        r = spark.readStream.format("kafka").options(**(options or {})).option("startingOffsets", "earliest")
+        if max_offsets_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        return (r.load()
                 .select(F.col("key").cast("string"), F.col("value").cast("string"),
                         F.col("timestamp").cast("timestamp_ntz").alias("arrival_ts"),
                         F.col("partition").cast("bigint").alias("arrival_a"),
