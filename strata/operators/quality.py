@@ -46,9 +46,15 @@ def primary_key(df: DataFrame, key: str, table_name: str) -> DataFrame:
 
 
 def foreign_key(facts: DataFrame, dim: DataFrame, key: str, edge: str) -> DataFrame:
-    """Number of facts whose ``key`` has no row in ``dim``."""
-    return orphans_of(facts.select(key), dim, key).agg(
-        F.count(F.lit(1)).cast("bigint").alias("orphans")).select(F.lit(edge).alias("edge"), "orphans")
+    """Number of facts whose ``key`` has no row in ``dim`` (a null key counts).
+
+    Facts are counted per key first (partial aggregate: a hot key is one row per
+    map task), so the anti join sees distinct keys, not every fact.
+    """
+    per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return orphans_of(per_key, dim, key).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans")) \
+        .select(F.lit(edge).alias("edge"), "orphans")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
