@@ -375,4 +375,15 @@ FROM sl JOIN cust USING (customer_id) JOIN prod USING (product_id)
 GROUP BY {keys}"""
     # ---- lineage: the file each row was read from
     q["with_lineage"] = "SELECT event_id, 'events.parquet' AS source_file FROM events"
+    # ---- rows written per stage of a layered run
+    q["run_stage_rows"] = f"""WITH {EV}, {CUST}, {PROD}
+SELECT 'bronze_customers' AS stage, cast(count(*) AS bigint) AS rows FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'bronze_products', count(*) FROM part
+UNION ALL SELECT 'bronze_events', count(*) FROM events
+UNION ALL SELECT 'silver_customers', count(DISTINCT c_custkey) FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL SELECT 'silver_products', count(DISTINCT p_partkey) FROM part WHERE p_retailprice IS NOT NULL
+UNION ALL SELECT 'silver_events', count(DISTINCT event_id) FROM sev
+UNION ALL SELECT 'gold_sales_by_country', count(*) FROM ({gold_sql("country")})
+UNION ALL SELECT 'gold_sales_by_category', count(*) FROM ({gold_sql("category")})
+UNION ALL SELECT 'gold_top_products', count(*) FROM ({gold_sql("products")})"""
     return q

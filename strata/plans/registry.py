@@ -362,6 +362,13 @@ def run_metrics(spark, d):
     return M.run_medallion(spark, _raw_e(spark, d), dst).to_frame(spark)
 
 
+@register("run_stage_rows")
+def run_stage_rows(spark, d):
+    """Rows written per stage of a layered run (the deterministic part of the run metrics)."""
+    dst = scratch_path(spark, "medallion")
+    return M.run_medallion(spark, _raw_e(spark, d), dst).to_frame(spark).select("stage", "rows")
+
+
 @register("enriched_gold")
 def enriched_gold(spark, d):
     dst = scratch_path(spark, "enriched")
