@@ -100,3 +100,11 @@ def test_stream_first_arrival_and_late_valid_copy(spark):
     assert rows == [("E5", 1), ("E6", 4)]
     q = SB.read_quality(spark, root).first()
     assert (q.stored, q.rejected, q.duplicates) == (2, 1, 2)
+
+
+def test_json_lines_topic(spark):
+    topic = scratch_path(spark, "topic_json")
+    T.write_topic(_messages(spark, [("C1", _ev("E9", 2), 1), ("C1", _ev("E9", 3), 2)]), topic, fmt="json")
+    root = scratch_path(spark, "stream")
+    SB.run_available(spark, T.read_topic_stream(spark, topic, fmt="json"), root)
+    assert [(r.event_id, r.quantity) for r in SB.read_bronze(spark, root).collect()] == [("E9", 2)]
