@@ -108,3 +108,17 @@ def test_json_lines_topic(spark):
     root = scratch_path(spark, "stream")
     SB.run_available(spark, T.read_topic_stream(spark, topic, fmt="json"), root)
     assert [(r.event_id, r.quantity) for r in SB.read_bronze(spark, root).collect()] == [("E9", 2)]
+
+
+def test_generated_data_ranges_and_foreign_keys(spark):
+    ev = REGISTRY["gen_events"](spark, SF001)
+    cu = REGISTRY["gen_customers"](spark, SF001)
+    pr = REGISTRY["gen_products"](spark, SF001)
+    assert ev.join(cu, "customer_id", "left_anti").count() == 0
+    assert ev.join(pr, "product_id", "left_anti").count() == 0
+    r = ev.agg(F.min("timestamp"), F.max("timestamp"), F.min("quantity"), F.max("quantity")).first()
+    assert "2026-03-01T00:00:00Z" <= r[0] and r[1] < "2026-03-15T00:00:00Z" and (r[2], r[3]) == (1, 3)
+    s = cu.agg(F.min("signup_date"), F.max("signup_date")).first()
+    assert "2026-01-01" <= s[0] and s[1] <= "2026-03-31"
+    assert {row.event_type for row in ev.select("event_type").distinct().collect()} == \
+        {"view", "add_to_cart", "purchase"}
