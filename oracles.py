@@ -15,7 +15,10 @@ EV = """ev AS (
          upper(trim(event_type)) AS event_type, ts AS event_timestamp,
          cast(floor(value) AS int) AS quantity
   FROM events),
-sev AS (SELECT * FROM ev WHERE event_id IS NOT NULL AND event_timestamp IS NOT NULL AND quantity > 0)"""
+sev AS (
+  SELECT * FROM ev WHERE event_id IS NOT NULL AND event_timestamp IS NOT NULL AND quantity > 0
+  QUALIFY row_number() OVER (PARTITION BY event_id
+          ORDER BY event_timestamp, customer_id, product_id, event_type, quantity) = 1)"""
 
 CUST = """cust AS (
   SELECT c_custkey AS customer_id, trim(c_name) AS customer_name, trim(n_name) AS country,
