@@ -53,3 +53,14 @@ def test_medallion_from_files(spark):
     M.medallion_from_files(spark, FIX, dst)
     top = {r.product_id: r.revenue for r in spark.read.parquet(f"{dst}/gold/top_products").collect()}
     assert top == {"P002": 298.0, "P004": 255.0, "P003": 159.0}
+
+
+def test_job_entry_points(spark):
+    from strata.__main__ import run
+    out, lake = scratch_path(spark, "gen"), scratch_path(spark, "lake")
+    assert run(["generate", "--tables", "/root/testdata/sf0.001", "--out", out], spark) == 0
+    assert run(["medallion", "--raw", out, "--lake", lake], spark) == 0
+    gold = spark.read.parquet(f"{lake}/gold/sales_by_country")
+    # every generated event resolves, so Gold covers all purchases
+    purchases = SF.read_json_array(spark, f"{out}/events.json").filter("event_type = 'purchase'").count()
+    assert gold.agg(F.sum("purchase_count")).first()[0] == purchases
