@@ -61,11 +61,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Managed (or path-backed) table, full refresh."""
+def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None,
+               bucket_by: tuple[int, str] | None = None) -> None:
+    """Managed (or path-backed) table, full refresh.
+
+    ``bucket_by=(n, key)`` stores the table hash-bucketed and sorted by ``key``,
+    so later joins on ``key`` read it co-partitioned (no shuffle, no sort on
+    this side).
+    """
     w = df.write.mode("overwrite").format(fmt)
     if path is not None:
         w = w.option("path", path)
+    if bucket_by is not None:
+        n, key = bucket_by
+        w = w.bucketBy(n, key).sortBy(key)
     w.saveAsTable(name)
 
 
