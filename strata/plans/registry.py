@@ -352,7 +352,8 @@ def medallion_gold(spark, d):
 def medallion_table_counts(spark, d):
     """Layers written as catalog tables, counted with one SQL UNION ALL."""
     database = f"strata_{uuid.uuid4().hex[:10]}"
-    M.run_medallion(spark, _raw_e(spark, d), scratch_path(spark, "medallion"), database=database)
+    M.run_medallion(spark, _raw_e(spark, d), scratch_path(spark, "medallion"), database=database,
+                    dim_buckets=spark.sparkContext.defaultParallelism)
     return M.table_counts_sql(spark, database)
 
 
