@@ -23,7 +23,7 @@ from strata.operators.dedup import keep_last
 from strata.operators.enrich import iso_text, members_of, orphans_of
 from strata.plans import layers as L
 from strata.plans import medallion as M
-from strata.schemas import GOLD_CONTRACT, SILVER_SUMMARY_READ
+from strata.schemas import EVENT_TYPES, GOLD_CONTRACT, SILVER_SUMMARY_READ
 from strata.session import ensure_utc, scratch_path
 from strata.sinks import files as SK
 from strata.sources import adapters as A
@@ -301,7 +301,7 @@ def domain_rules(spark, d) -> DataFrame:
         ]),
         Q.rule_table(msgs, "events", [
             ("required_present", ev_required),
-            ("event_type_domain", ~V.field("event_type").isin("view", "add_to_cart", "purchase")),
+            ("event_type_domain", ~V.field("event_type").isin(*EVENT_TYPES)),
             ("quantity_positive", ~(q > 0)),
             ("timestamp_iso", F.try_to_timestamp(V.field("timestamp")).isNull()),
         ]),
