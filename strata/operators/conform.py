@@ -51,7 +51,8 @@ def silver_customers(raw: DataFrame) -> DataFrame:
 
 
 def silver_products(raw: DataFrame) -> DataFrame:
-    """product_id, product_name, category, price decimal(10,2) (HALF_UP, overflow -> null)."""
+    """product_id, product_name, category, price decimal(10,2) (HALF_UP, overflow -> null), [extra columns kept]."""
+    extra = [c for c in raw.columns if c not in ("product_id", "product_name", "category", "price")]
     price = raw.schema["price"].dataType
     price_col = F.trim(F.col("price")) if isinstance(price, T.StringType) else F.col("price")
     conformed = raw.select(
@@ -59,6 +60,7 @@ def silver_products(raw: DataFrame) -> DataFrame:
         _text(raw, "product_name").alias("product_name"),
         _text(raw, "category").alias("category"),
         _try_cast(price_col, "decimal(10,2)").alias("price"),
+        *extra,
     ).filter(F.col("product_id").isNotNull() & F.col("price").isNotNull())
     return keep_first(conformed, "product_id")
 

@@ -78,10 +78,14 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
         t = table(layer, name)
         return spark.table(t) if t else spark.read.format(fmt).load(f"{dst}/{layer}/{name}")
 
+    # Silver carries the stored Bronze ingest time (one time per load, not a new
+    # one per write).  It is constant within a load, so it never decides which
+    # copy survives; the event order names the business columns only.
+    ev_order = list(event_order or ("event_timestamp", "customer_id", "product_id", "event_type", "quantity"))
     silver = {
-        "customers": C.silver_customers(stored("bronze", "customers").drop("_ingested_at")),
-        "products": C.silver_products(stored("bronze", "products").drop("_ingested_at")),
-        "events": C.silver_events(stored("bronze", "events").drop("_ingested_at"), order=event_order),
+        "customers": C.silver_customers(stored("bronze", "customers")),
+        "products": C.silver_products(stored("bronze", "products")),
+        "events": C.silver_events(stored("bronze", "events"), order=ev_order),
     }
     dim_keys = {"customers": "customer_id", "products": "product_id"}
     for name in LAYER_TABLES:

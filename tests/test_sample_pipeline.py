@@ -118,3 +118,11 @@ def test_bucketed_dimensions_join_without_dimension_shuffle(spark):
         assert spark.read.parquet(f"{dst}/gold/sales_by_country").count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_silver_carries_bronze_ingest_time(spark, run):
+    dst, _ = run
+    for name in ("customers", "products", "events"):
+        bronze = {r[0] for r in spark.read.parquet(f"{dst}/bronze/{name}").select("_ingested_at").distinct().collect()}
+        silver = {r[0] for r in spark.read.parquet(f"{dst}/silver/{name}").select("_ingested_at").distinct().collect()}
+        assert len(bronze) == 1 and silver == bronze
