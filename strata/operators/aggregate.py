@@ -42,7 +42,7 @@ def purchase_pairs(silver_events: DataFrame, purchase_value: str = PURCHASE) ->
 
 
 def priced_pairs(silver_events: DataFrame, customers: DataFrame, products: DataFrame,
-                 orphans: str = "drop", broadcast_dims: bool = False) -> DataFrame:
+                 orphans: str = "drop", broadcast_dims: bool = False, money: str = "decimal") -> DataFrame:
     """Purchases joined to country and product attributes, with their amount.
 
     ``broadcast_dims`` -- to be set only when both dimensions were counted
@@ -50,7 +50,12 @@ def priced_pairs(silver_events: DataFrame, customers: DataFrame, products: DataF
     dimensions, so no fact row is shuffled before the final aggregate.
     Otherwise purchases are first pre-aggregated per (customer, product), and
     only those pair totals meet the dimensions in shuffle joins.
+
+    ``money="double"`` casts each amount to double before the sum (one variant
+    of the source jobs); the default keeps exact decimal until the contract.
     """
+    if money not in ("decimal", "double"):
+        raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
     cu = customers.select("customer_id", "country")
     pr = products.select("product_id", "product_name", "category", "price")
     if broadcast_dims:
@@ -62,23 +67,29 @@ def priced_pairs(silver_events: DataFrame, customers: DataFrame, products: DataF
         facts = purchase_pairs(silver_events)
     facts = attach(facts, cu, "customer_id", orphans, "customer")
     facts = attach(facts, pr, "product_id", orphans, "product")
-    return facts.withColumn("amount", F.col("units") * F.col("price"))
+    amount = F.col("units") * F.col("price")
+    return facts.withColumn("amount", amount.cast("double") if money == "double" else amount)
 
 
 def summarize(priced: DataFrame, by: Sequence[str]) -> DataFrame:
     return priced.groupBy(*by).agg(*measures(F.sum("n"), F.sum("units"), F.sum("amount")))
 
 
-def gold_sales_by_country(silver_events, customers, products, orphans="drop", broadcast_dims=False):
-    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims), ["country"])
+def gold_sales_by_country(silver_events, customers, products, orphans="drop", broadcast_dims=False,
+                          money="decimal"):
+    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims, money),
+                     ["country"])
 
 
-def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False):
-    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims), ["category"])
+def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False,
+                           money="decimal"):
+    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims, money),
+                     ["category"])
 
 
-def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False):
-    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims),
+def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False,
+                      money="decimal"):
+    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims, money),
                      ["product_id", "product_name", "category"])
 
 

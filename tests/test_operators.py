@@ -243,3 +243,15 @@ def test_fits_broadcast_needs_known_small_bounds():
     assert fits_broadcast(10, 20)
     assert not fits_broadcast(10, None)
     assert not fits_broadcast(BROADCAST_MAX_ROWS + 1)
+
+
+def test_double_money_variant_agrees_to_the_cent(spark):
+    from strata.plans import layers as L
+    d = "/root/testdata/sf0.001"
+    ev, cu, pr = L.silver_events_e(spark, d), L.silver_customers(spark, d), L.silver_products(spark, d)
+    exact = {r.country: r.revenue for r in G.gold_sales_by_country(ev, cu, pr).collect()}
+    double = {r.country: r.revenue for r in G.gold_sales_by_country(ev, cu, pr, money="double").collect()}
+    assert exact.keys() == double.keys()
+    assert all(abs(exact[k] - double[k]) < 0.011 for k in exact)
+    with pytest.raises(ValueError):
+        G.gold_sales_by_country(ev, cu, pr, money="float")
