@@ -3,7 +3,7 @@
     medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail]
     ingest    --topic DIR --root DIR [--format parquet] [--max-files N] [--every "1 minute"]
     enrich    --root DIR --raw DIR [--orphans fail|drop|keep]
-    generate  --tables DIR --out DIR [--seed 42]
+    generate  --out DIR (--tables DIR | --customers N --products N --events N) [--seed 42]
 
 The session comes from the submitting environment (cluster settings,
 ``spark.checkpoint.dir``); nothing here sets cluster configuration.
@@ -45,8 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--root", required=True)
     e.add_argument("--raw", required=True)
     e.add_argument("--orphans", default="fail", choices=("drop", "keep", "fail"))
-    g = sub.add_parser("generate", help="raw exports generated from the rows of existing tables")
-    g.add_argument("--tables", required=True, help="folder with customer/part/events parquet")
+    g = sub.add_parser("generate", help="raw exports from the rows of existing tables, or from counts")
+    g.add_argument("--tables", help="folder with customer/part/events parquet")
+    g.add_argument("--customers", type=int, default=10)
+    g.add_argument("--products", type=int, default=10)
+    g.add_argument("--events", type=int, default=50)
     g.add_argument("--out", required=True)
     g.add_argument("--seed", type=int, default=GEN.DEFAULT_SEED)
     return p
@@ -70,14 +73,17 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
         cu, pr = M.dimensions_from_files(spark, args.raw)
         M.enrich_and_summarize(spark, SB.read_bronze(spark, args.root), cu, pr, args.root, args.orphans)
     elif args.command == "generate":
-        SK.write_csv(GEN.customers(A.table(spark, args.tables, "customer"), seed=args.seed),
-                     f"{args.out}/customers.csv")
-        SK.write_csv(GEN.products(A.table(spark, args.tables, "part")).withColumn("price", F.col("price")
-                     .cast("string")), f"{args.out}/products.csv")
-        ev = A.table(spark, args.tables, "events")
-        SK.write_json_array(GEN.events(ev, "event_id", "user_id",
-                                       F.get_json_object("props", "$.k").cast("bigint"), seed=args.seed),
-                            f"{args.out}/events.json")
+        if args.tables:
+            ev = A.table(spark, args.tables, "events")
+            raw = {"customers": GEN.customers(A.table(spark, args.tables, "customer"), seed=args.seed),
+                   "products": GEN.products(A.table(spark, args.tables, "part")),
+                   "events": GEN.events(ev, "event_id", "user_id",
+                                        F.get_json_object("props", "$.k").cast("bigint"), seed=args.seed)}
+        else:
+            raw = GEN.from_counts(spark, args.customers, args.products, args.events, seed=args.seed)
+        SK.write_csv(raw["customers"], f"{args.out}/customers.csv")
+        SK.write_csv(raw["products"].withColumn("price", F.col("price").cast("string")), f"{args.out}/products.csv")
+        SK.write_json_array(raw["events"], f"{args.out}/events.json")
     return 0
 
 

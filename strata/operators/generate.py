@@ -99,3 +99,18 @@ def events(source: DataFrame, number_col: str, customer_col: str, product_col: C
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         (draw(n, seed, 7) % QUANTITY_MAX + 1).cast("int").alias("quantity"),
     )
+
+
+def from_counts(spark, customers_n: int, products_n: int, events_n: int,
+                seed: int = DEFAULT_SEED) -> dict[str, DataFrame]:
+    """All three raw tables from counts alone (the generator's command-line form).
+
+    Rows come from ``spark.range`` (split over the cluster); each event draws its
+    customer and product numbers from the mix, so every foreign key exists.
+    """
+    cust = customers(spark.range(customers_n).withColumnRenamed("id", "c_custkey"), seed=seed)
+    prod = products(spark.range(products_n).withColumnRenamed("id", "p_partkey"))
+    n = F.col("id") + 1
+    ev_src = spark.range(events_n).select(
+        "id", (draw(n, seed, 8) % customers_n).alias("c"), (draw(n, seed, 9) % products_n).alias("p"))
+    return {"customers": cust, "products": prod, "events": events(ev_src, "id", "c", F.col("p"), seed=seed)}

@@ -64,3 +64,16 @@ def test_job_entry_points(spark):
     # every generated event resolves, so Gold covers all purchases
     purchases = SF.read_json_array(spark, f"{out}/events.json").filter("event_type = 'purchase'").count()
     assert gold.agg(F.sum("purchase_count")).first()[0] == purchases
+
+
+def test_generate_from_counts(spark):
+    from strata.__main__ import run
+    out, lake = scratch_path(spark, "gen_counts"), scratch_path(spark, "lake")
+    assert run(["generate", "--out", out, "--customers", "10", "--products", "12", "--events", "50"], spark) == 0
+    raw = M.read_raw(spark, out)
+    assert (raw["customers"].count(), raw["products"].count(), raw["events"].count()) == (10, 12, 50)
+    assert raw["events"].join(raw["customers"], "customer_id", "left_anti").count() == 0
+    assert raw["events"].join(raw["products"], "product_id", "left_anti").count() == 0
+    names = {r.product_name for r in raw["products"].collect()}
+    assert "Wireless Keyboard" in names and "Wireless Keyboard 9" in names
+    assert run(["medallion", "--raw", out, "--lake", lake], spark) == 0
