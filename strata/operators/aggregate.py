@@ -77,8 +77,27 @@ def summarize(priced: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def gold_sales_by_country(silver_events, customers, products, orphans="drop", broadcast_dims=False,
                           money="decimal"):
-    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims, money),
-                     ["country"])
+    """Sales by customer country.
+
+    Shuffle-join form: the pair totals are priced first, collapsed to one row
+    per customer, and only then given their country, so the customer join sees
+    at most one row per customer (and reads a customer-bucketed dimension
+    without an exchange).  Orphan handling is unchanged: an unmatched product
+    leaves a null amount that the sums skip; an unmatched customer forms the
+    null-country group under "keep".
+    """
+    if broadcast_dims:
+        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), ["country"])
+    if money not in ("decimal", "double"):
+        raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
+    priced = attach(purchase_pairs(silver_events), products.select("product_id", "price"),
+                    "product_id", orphans, "product")
+    amount = F.col("units") * F.col("price")
+    priced = priced.withColumn("amount", amount.cast("double") if money == "double" else amount)
+    per_customer = priced.groupBy("customer_id").agg(
+        F.sum("n").alias("n"), F.sum("units").alias("units"), F.sum("amount").alias("amount"))
+    located = attach(per_customer, customers.select("customer_id", "country"), "customer_id", orphans, "customer")
+    return summarize(located, ["country"])
 
 
 def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False,
