@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import attach
+from strata.operators.enrich import attach, members_of
 from strata.schemas import PURCHASE
 
 
@@ -108,8 +108,30 @@ def gold_sales_by_category(silver_events, customers, products, orphans="drop", b
 
 def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False,
                       money="decimal"):
-    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims, money),
-                     ["product_id", "product_name", "category"])
+    """Sales per product.
+
+    Shuffle-join form: the product summary needs no customer attribute, only
+    the customer's existence under the orphan policy (semi join for "drop",
+    guard for "fail", nothing for "keep").  Pair totals pass that check, collapse
+    to one row per product, and only then meet the product dimension -- whose
+    join output is already one row per product.
+    """
+    keys = ["product_id", "product_name", "category"]
+    if broadcast_dims:
+        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), keys)
+    if money not in ("decimal", "double"):
+        raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
+    pairs = purchase_pairs(silver_events)
+    if orphans == "drop":
+        pairs = members_of(pairs, customers, "customer_id")
+    elif orphans == "fail":
+        pairs = attach(pairs, customers.select("customer_id"), "customer_id", "fail", "customer")
+    per_product = pairs.groupBy("product_id").agg(F.sum("n").alias("n"), F.sum("units").alias("units"))
+    priced = attach(per_product, products.select("product_id", "product_name", "category", "price"),
+                    "product_id", orphans, "product")
+    amount = F.col("units") * F.col("price")
+    priced = priced.withColumn("amount", amount.cast("double") if money == "double" else amount)
+    return summarize(priced, keys)
 
 
 def ranked(summary: DataFrame, tie_break: Sequence[str], limit: int | None = None) -> DataFrame:
