@@ -50,8 +50,10 @@ class BronzeIngest:
     """The ``foreachBatch`` body; paths must be on storage every executor sees."""
 
     def __init__(self, spark: SparkSession, bronze: str, rejects: str, metrics: str,
-                 checkpoint: str, arrival: Sequence[str] = ARRIVAL, broadcast_ids: int = 2_000_000):
+                 checkpoint: str, arrival: Sequence[str] = ARRIVAL, broadcast_ids: int = 2_000_000,
+                 sink_format: str = "parquet"):
         self.spark = spark
+        self.fmt = sink_format
         self.bronze, self.rejects, self.metrics = bronze, rejects, metrics
         self.checkpoint = checkpoint
         self.arrival = list(arrival)
@@ -71,7 +73,7 @@ class BronzeIngest:
         ``id_bound`` (the batch's message count) bounds the number of batch ids,
         so the broadcast decision rests on a proven size, not an estimate.
         """
-        bronze = self.spark.read.schema(BRONZE_READ).parquet(self.bronze)
+        bronze = self.spark.read.schema(BRONZE_READ).format(self.fmt).load(self.bronze)
         ids = bronze.filter(F.col("batch") != own_batch).select("event_id")
         lookup = F.broadcast(batch_ids) if id_bound <= self.broadcast_ids else batch_ids
         return ids.join(lookup, "event_id", "left_semi")
@@ -89,7 +91,7 @@ class BronzeIngest:
                                          F.count_if(~F.col("is_valid")).alias("rejected"))
             counted.filter(~F.col("is_valid")).select(
                 "key", "value", *self.arrival, F.array_join("reasons", ",").alias("reasons")) \
-                .write.mode("overwrite").parquet(f"{self.rejects}/batch={tag}")
+                .write.mode("overwrite").format(self.fmt).save(f"{self.rejects}/batch={tag}")
             counts = seen.get
 
             valid = V.to_bronze(classified, keep=tuple(self.arrival))
@@ -98,7 +100,7 @@ class BronzeIngest:
             fresh = firsts.join(known, "event_id", "left_anti").drop(*self.arrival)
             wrote = Observation(f"stored_{tag}")
             fresh.observe(wrote, F.count(F.lit(1)).alias("stored")) \
-                .write.mode("overwrite").parquet(f"{self.bronze}/batch={tag}")
+                .write.mode("overwrite").format(self.fmt).save(f"{self.bronze}/batch={tag}")
 
             row = [(int(batch_id), int(counts["messages"]), int(counts["rejected"]), int(wrote.get["stored"]))]
             self.spark.createDataFrame(row, "batch_id bigint, messages bigint, rejected bigint, stored bigint") \
@@ -108,20 +110,26 @@ class BronzeIngest:
 
 
 def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,
-          available_now: bool = True, processing_time: str | None = None) -> tuple[StreamingQuery, BronzeIngest]:
-    """Start the ingest stream; Bronze, rejects and metrics live under ``root``."""
+          available_now: bool = True, processing_time: str | None = None,
+          sink_format: str = "parquet") -> tuple[StreamingQuery, BronzeIngest]:
+    """Start the ingest stream; Bronze, rejects and metrics live under ``root``.
+
+    ``sink_format`` is the Bronze / dead-letter format: Parquet by default (the
+    Bronze lookup then reads one column), ``json`` for JSON lines.
+    """
     checkpoint = checkpoint or f"{root}/_checkpoint"
-    ensure_dataset(spark, f"{root}/bronze", BRONZE_EVENTS)
-    sink = BronzeIngest(spark, f"{root}/bronze", f"{root}/rejects", f"{root}/metrics", checkpoint)
+    ensure_dataset(spark, f"{root}/bronze", BRONZE_EVENTS, fmt=sink_format)
+    sink = BronzeIngest(spark, f"{root}/bronze", f"{root}/rejects", f"{root}/metrics", checkpoint,
+                        sink_format=sink_format)
     w = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start(), sink
 
 
 def run_available(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,
-                  timeout_s: int = 600) -> None:
+                  timeout_s: int = 600, sink_format: str = "parquet") -> None:
     """Process everything available now, then stop (bounded wait)."""
-    q, _ = start(spark, source, root, checkpoint)
+    q, _ = start(spark, source, root, checkpoint, sink_format=sink_format)
     finished = q.awaitTermination(timeout_s)
     if not finished:
         q.stop()
@@ -130,12 +138,12 @@ def run_available(spark: SparkSession, source: DataFrame, root: str, checkpoint:
         raise RuntimeError(str(q.exception()))
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(BRONZE_READ).parquet(f"{root}/bronze")
+def read_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.schema(BRONZE_READ).format(fmt).load(f"{root}/bronze")
 
 
-def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/rejects")
+def read_rejects(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.format(fmt).load(f"{root}/rejects")
 
 
 def read_quality(spark: SparkSession, root: str) -> DataFrame:

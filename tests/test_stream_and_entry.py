@@ -122,3 +122,14 @@ def test_generated_data_ranges_and_foreign_keys(spark):
     assert "2026-01-01" <= s[0] and s[1] <= "2026-03-31"
     assert {row.event_type for row in ev.select("event_type").distinct().collect()} == \
         {"view", "add_to_cart", "purchase"}
+
+
+def test_json_lines_bronze_and_dead_letters(spark):
+    topic = scratch_path(spark, "topic")
+    T.write_topic(_messages(spark, [("C1", _ev("E11", 2), 1), ("C1", _ev("E12", -2), 2)]), topic)
+    root = scratch_path(spark, "stream")
+    for ck in ("a", "b"):   # the second run replays under a new checkpoint
+        SB.run_available(spark, T.read_topic_stream(spark, topic), root, checkpoint=f"{root}/_ck_{ck}",
+                         sink_format="json")
+    assert [(r.event_id, r.quantity) for r in SB.read_bronze(spark, root, fmt="json").collect()] == [("E11", 2)]
+    assert SB.read_rejects(spark, root, fmt="json").count() == 2
