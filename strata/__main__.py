@@ -1,8 +1,8 @@
 """Job entry points, for ``spark-submit -m strata`` / ``python -m strata``.
 
     medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail]
-    ingest    --topic DIR --root DIR [--format parquet] [--max-files N] [--every "1 minute"]
-    enrich    --root DIR --raw DIR [--orphans fail|drop|keep]
+    ingest    --topic DIR --root DIR [--format parquet] [--max-files N] [--every "1 minute"] [--sink-format parquet|json]
+    enrich    --root DIR --raw DIR [--orphans fail|drop|keep] [--sink-format parquet|json]
     generate  --out DIR (--tables DIR | --customers N --products N --events N) [--seed 42]
 
 The session comes from the submitting environment (cluster settings,
@@ -41,10 +41,12 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--format", default="parquet")
     i.add_argument("--max-files", type=int)
     i.add_argument("--every", help="processing-time trigger; default: process what is available, then stop")
+    i.add_argument("--sink-format", default="parquet", choices=("parquet", "json"))
     e = sub.add_parser("enrich", help="Bronze -> enriched Silver -> summaries")
     e.add_argument("--root", required=True)
     e.add_argument("--raw", required=True)
     e.add_argument("--orphans", default="fail", choices=("drop", "keep", "fail"))
+    e.add_argument("--sink-format", default="parquet", choices=("parquet", "json"))
     g = sub.add_parser("generate", help="raw exports from the rows of existing tables, or from counts")
     g.add_argument("--tables", help="folder with customer/part/events parquet")
     g.add_argument("--customers", type=int, default=10)
@@ -65,13 +67,15 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
     elif args.command == "ingest":
         source = T.read_topic_stream(spark, args.topic, fmt=args.format, max_files_per_trigger=args.max_files)
         if args.every:
-            query, _ = SB.start(spark, source, args.root, available_now=False, processing_time=args.every)
+            query, _ = SB.start(spark, source, args.root, available_now=False, processing_time=args.every,
+                                sink_format=args.sink_format)
             query.awaitTermination()
         else:
-            SB.run_available(spark, source, args.root)
+            SB.run_available(spark, source, args.root, sink_format=args.sink_format)
     elif args.command == "enrich":
         cu, pr = M.dimensions_from_files(spark, args.raw)
-        M.enrich_and_summarize(spark, SB.read_bronze(spark, args.root), cu, pr, args.root, args.orphans)
+        bronze = SB.read_bronze(spark, args.root, fmt=args.sink_format)
+        M.enrich_and_summarize(spark, bronze, cu, pr, args.root, args.orphans)
     elif args.command == "generate":
         if args.tables:
             ev = A.table(spark, args.tables, "events")

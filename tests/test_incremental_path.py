@@ -77,3 +77,13 @@ def test_generate_from_counts(spark):
     names = {r.product_name for r in raw["products"].collect()}
     assert "Wireless Keyboard" in names and "Wireless Keyboard 9" in names
     assert run(["medallion", "--raw", out, "--lake", lake], spark) == 0
+
+
+def test_ingest_and_enrich_commands(spark):
+    from strata.__main__ import run
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "v1")
+    _publish(spark, f"{FIX}/events.json", topic)
+    assert run(["ingest", "--topic", topic, "--root", root, "--sink-format", "json"], spark) == 0
+    assert run(["enrich", "--root", root, "--raw", FIX, "--sink-format", "json"], spark) == 0
+    got = {r.dimension: r.revenue for r in SF.read_json_lines(spark, f"{root}/gold/revenue_by_category").collect()}
+    assert got == {"Electronics": 298.0, "Home": 255.0, "Books": 159.0}
