@@ -9,6 +9,7 @@ refreshes.  ``fmt`` selects the file format (``parquet`` by default).
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -135,10 +136,15 @@ def to_messages(events: DataFrame) -> DataFrame:
 
 
 def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival: Sequence[str] = (),
-                    metrics: RunMetrics | None = None) -> RunMetrics:
+                    metrics: RunMetrics | None = None, run_id: str | None = None) -> RunMetrics:
     """Batch ingest: valid, first-arriving, not-yet-stored events appended to ``dst/bronze``;
-    rejects (with reasons) to ``dst/rejected``."""
+    rejects (with reasons) kept per run under ``dst/rejected/run=<run_id>``.
+
+    Dead letters accumulate across runs; a retried run (same ``run_id``)
+    rewrites its own folder instead of adding copies.
+    """
     metrics = metrics or RunMetrics()
+    run_id = run_id or uuid.uuid4().hex
     valid, rejected = I.split(messages, keep=tuple(arrival))
     order = list(arrival) or [c for c in valid.columns if c != "event_id"]
     firsts = I.first_arrivals(valid, order)
@@ -151,7 +157,7 @@ def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival:
         .write.mode("append").parquet(f"{dst}/bronze")
     metrics.duration_ms["bronze"] = round((time.perf_counter() - started) * 1000, 2)
     metrics.rows["bronze"] = obs.get["rows"]
-    _write_observed(rejected.drop(*arrival), f"{dst}/rejected", "rejected", metrics, "json")
+    _write_observed(rejected.drop(*arrival), f"{dst}/rejected/run={run_id}", "rejected", metrics, "json")
     return metrics
 
 

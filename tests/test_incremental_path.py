@@ -87,3 +87,13 @@ def test_ingest_and_enrich_commands(spark):
     assert run(["enrich", "--root", root, "--raw", FIX, "--sink-format", "json"], spark) == 0
     got = {r.dimension: r.revenue for r in SF.read_json_lines(spark, f"{root}/gold/revenue_by_category").collect()}
     assert got == {"Electronics": 298.0, "Home": 255.0, "Books": 159.0}
+
+
+def test_batch_ingest_keeps_dead_letters_across_runs(spark):
+    msgs = spark.createDataFrame([('{"event_id":"E1"}',), ("not json",)], "value string")
+    dst = scratch_path(spark, "batch_ingest")
+    M.ingest_messages(spark, msgs, dst)
+    M.ingest_messages(spark, msgs, dst)
+    M.ingest_messages(spark, msgs, dst, run_id="fixed")
+    M.ingest_messages(spark, msgs, dst, run_id="fixed")      # a retried run rewrites its own folder
+    assert SF.read_json_lines(spark, f"{dst}/rejected").count() == 2 * 3
