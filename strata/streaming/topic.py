@@ -59,6 +59,9 @@ def write_topic(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS, fm
                 options: dict | None = None) -> None:
     """Publish records to a topic; the default is a folder of per-partition files.
 
+    Publishing appends (a topic only grows); the stream source picks up the new
+    files on its next trigger.
+
     ``fmt="kafka"`` writes (key, value) to a broker (``options`` from
     ``kafka_options(..., reading=False)``); the broker's partitioner keeps one
     key in one partition.
@@ -70,7 +73,7 @@ def write_topic(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS, fm
     for c in TOPIC_SCHEMA.fieldNames():
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(TOPIC_SCHEMA[c].dataType))
-    out.select(*TOPIC_SCHEMA.fieldNames()).write.mode("overwrite").format(fmt).save(path)
+    out.select(*TOPIC_SCHEMA.fieldNames()).write.mode("append").format(fmt).save(path)
 
 
 def read_topic_stream(spark: SparkSession, path: str, fmt: str = "parquet",

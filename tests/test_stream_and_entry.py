@@ -133,3 +133,12 @@ def test_json_lines_bronze_and_dead_letters(spark):
                          sink_format="json")
     assert [(r.event_id, r.quantity) for r in SB.read_bronze(spark, root, fmt="json").collect()] == [("E11", 2)]
     assert SB.read_rejects(spark, root, fmt="json").count() == 2
+
+
+def test_second_publish_reaches_a_resumed_stream(spark):
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "stream")
+    T.write_topic(_messages(spark, [("C1", _ev("E21", 1), 1)]), topic)
+    SB.run_available(spark, T.read_topic_stream(spark, topic), root, checkpoint=f"{root}/_ck")
+    T.write_topic(_messages(spark, [("C1", _ev("E22", 1), 2), ("C1", _ev("E21", 5), 3)]), topic)
+    SB.run_available(spark, T.read_topic_stream(spark, topic), root, checkpoint=f"{root}/_ck")
+    assert sorted((r.event_id, r.quantity) for r in SB.read_bronze(spark, root).collect()) == [("E21", 1), ("E22", 1)]
