@@ -39,9 +39,10 @@ _TEXT = "_msg_text"
 
 
 def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """Add the two parsed views of a message text column.
+    """Add the parsed view (a string map) of a message text column.
 
-    The parse runs inside a generator (``inline`` of a one-element array):
+    The text itself is kept alongside for the lazy VARIANT view of
+    ``quantity_value``.  The parse runs inside a generator (``inline`` of a one-element array):
     the optimizer cannot substitute generated columns back into filters or
     later projections, so each text is parsed exactly once however many rules
     read the result.  Inputs are spread over the cores where they are read
@@ -77,13 +78,13 @@ def quantity_value() -> Column:
     (truncated) or boolean (1/0) from a JSON string (invalid); most messages
     never pay for that second parse.
     """
-    as_int = F.expr(f"try_cast({_MAP}['quantity'] as bigint)")
+    text = field("quantity")
     var = F.try_parse_json(F.col(_TEXT))
     kind = F.schema_of_variant(F.variant_get(var, "$.quantity", "variant"))
-    loose = (F.when(kind == "BOOLEAN", F.expr(f"try_cast({_MAP}['quantity'] as boolean)").cast("bigint"))
+    loose = (F.when(kind == "BOOLEAN", text.try_cast("boolean").cast("bigint"))
               .when(var.isNull() | (kind == "STRING"), F.lit(None).cast("bigint"))
-              .otherwise(F.expr(f"try_cast(try_cast({_MAP}['quantity'] as double) as bigint)")))
-    return F.coalesce(as_int, loose)
+              .otherwise(text.try_cast("double").try_cast("bigint")))
+    return F.coalesce(text.try_cast("bigint"), loose)
 
 
 def reason_flags() -> list[tuple[str, Column]]:
