@@ -51,11 +51,11 @@ def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
     text = F.col(text_col).cast("string")
     # One JSON object and nothing else around it (JSON whitespace allowed).
     bare = F.btrim(text, F.lit(" \t\n\r"))
-    mapped = F.from_json(text, "map<string,string>")
-    parsed = F.struct(mapped.alias(_MAP),
-                      F.coalesce(bare.startswith("{") & bare.endswith("}") & mapped.isNotNull(),
-                                 F.lit(False)).alias("_msg_is_object"))
-    return df.select("*", F.inline(F.array(parsed))).withColumn(_TEXT, text)
+    parsed = F.struct(F.from_json(text, "map<string,string>").alias(_MAP),
+                      F.coalesce(bare.startswith("{") & bare.endswith("}"), F.lit(False)).alias("_msg_braced"))
+    return (df.select("*", F.inline(F.array(parsed)))
+              .withColumn("_msg_is_object", F.col("_msg_braced") & F.col(_MAP).isNotNull())
+              .withColumn(_TEXT, text))
 
 
 def field(name: str) -> Column:
@@ -146,4 +146,4 @@ def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def drop_parsed(df: DataFrame) -> DataFrame:
-    return df.drop(_MAP, _TEXT, "_msg_is_object")
+    return df.drop(_MAP, _TEXT, "_msg_braced", "_msg_is_object")
