@@ -23,28 +23,28 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def _array_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    # One partition -> one JSON array document: "[", rows joined by ",", "]".
-    first = True
-    yield pd.DataFrame({"value": ["["]})
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        rows = pdf["json"].tolist()
-        lines = [("" if first and i == 0 else ",") + r for i, r in enumerate(rows)]
-        first = False
-        yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["]"]})
-
-
 def write_json_array(df: DataFrame, path: str) -> None:
     """One JSON array document per partition (the export format of the raw events).
 
     Each partition streams its rows into its own file, so no task ever holds
     more than its own partition and nothing passes through the driver.
     """
+    def array_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # One partition -> one JSON array document: "[", rows joined by ",", "]".
+        # Defined here so it is shipped by value: workers need pandas, not this package.
+        first = True
+        yield pd.DataFrame({"value": ["["]})
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            rows = pdf["json"].tolist()
+            lines = [("" if first and i == 0 else ",") + r for i, r in enumerate(rows)]
+            first = False
+            yield pd.DataFrame({"value": lines})
+        yield pd.DataFrame({"value": ["]"]})
+
     as_json = df.select(F.to_json(F.struct(*df.columns)).alias("json"))
-    as_json.mapInPandas(_array_document, "value string").write.mode("overwrite").text(path)
+    as_json.mapInPandas(array_document, "value string").write.mode("overwrite").text(path)
 
 
 def preview(df: DataFrame, rows: int = 20) -> None:

@@ -142,3 +142,23 @@ def test_second_publish_reaches_a_resumed_stream(spark):
     T.write_topic(_messages(spark, [("C1", _ev("E22", 1), 2), ("C1", _ev("E21", 5), 3)]), topic)
     SB.run_available(spark, T.read_topic_stream(spark, topic), root, checkpoint=f"{root}/_ck")
     assert sorted((r.event_id, r.quantity) for r in SB.read_bronze(spark, root).collect()) == [("E21", 1), ("E22", 1)]
+
+
+def test_python_worker_code_does_not_need_the_package(tmp_path):
+    # The driver may import this repo by path from any directory; Spark's Python
+    # workers then cannot import `strata`, so code shipped to them must travel
+    # by value.  Run the one such path from a foreign directory.
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from strata.session import build_session\n"
+        "from strata.plans.registry import REGISTRY\n"
+        "spark = build_session(master='local[2]', shuffle_partitions=2)\n"
+        "print('rows', REGISTRY['scan_json_array'](spark, '/root/testdata/sf0.001').count())\n" % root)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert "rows 1000" in out.stdout, out.stderr[-2000:]
