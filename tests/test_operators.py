@@ -255,3 +255,13 @@ def test_double_money_variant_agrees_to_the_cent(spark):
     assert all(abs(exact[k] - double[k]) < 0.011 for k in exact)
     with pytest.raises(ValueError):
         G.gold_sales_by_country(ev, cu, pr, money="float")
+
+
+def test_ranked_top_k_and_tie_break(spark):
+    summary = spark.createDataFrame([("P3", 10.0), ("P1", 10.0), ("P2", 30.0), ("P4", None)],
+                                    "product_id string, revenue double")
+    full = [r.product_id for r in G.ranked(summary, ["product_id"]).collect()]
+    assert full == ["P2", "P1", "P3", "P4"]          # revenue desc, nulls last, key breaks ties
+    top = G.ranked(summary, ["product_id"], limit=2)
+    assert [r.product_id for r in top.collect()] == ["P2", "P1"]
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
