@@ -10,7 +10,9 @@ Plan shape, chosen by a counted bound on the dimensions:
   final aggregate (no fact shuffle before the final aggregate);
 * otherwise purchases are first aggregated per (customer_id, product_id) -- a
   partial (map-side) aggregate, so hot customers or products are combined before
-  any shuffle -- and only those pair totals meet the dimensions in shuffle joins.
+  any shuffle -- and only those totals meet the dimensions in shuffle joins,
+  collapsed further where the summary allows: per customer before the customer
+  join (by country), per product before the product join (category, product).
   Because price depends on the product alone, sum(quantity * price) over a pair
   equals price * sum(quantity), so the result is exact either way.
 """
@@ -100,25 +102,14 @@ def gold_sales_by_country(silver_events, customers, products, orphans="drop", br
     return summarize(located, ["country"])
 
 
-def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False,
-                           money="decimal"):
-    return summarize(priced_pairs(silver_events, customers, products, orphans, broadcast_dims, money),
-                     ["category"])
-
-
-def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False,
-                      money="decimal"):
-    """Sales per product.
+def _per_product_priced(silver_events, customers, products, orphans, money) -> DataFrame:
+    """Pair totals that pass the customer check, collapsed per product, then priced.
 
-    Shuffle-join form: the product summary needs no customer attribute, only
-    the customer's existence under the orphan policy (semi join for "drop",
-    guard for "fail", nothing for "keep").  Pair totals pass that check, collapse
-    to one row per product, and only then meet the product dimension -- whose
-    join output is already one row per product.
+    The product summaries need no customer attribute, only the customer's
+    existence under the orphan policy (semi join for "drop", guard for "fail",
+    nothing for "keep"), so at most one row per product meets the product
+    dimension.
     """
-    keys = ["product_id", "product_name", "category"]
-    if broadcast_dims:
-        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), keys)
     if money not in ("decimal", "double"):
         raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
     pairs = purchase_pairs(silver_events)
@@ -130,8 +121,25 @@ def gold_top_products(silver_events, customers, products, orphans="drop", broadc
     priced = attach(per_product, products.select("product_id", "product_name", "category", "price"),
                     "product_id", orphans, "product")
     amount = F.col("units") * F.col("price")
-    priced = priced.withColumn("amount", amount.cast("double") if money == "double" else amount)
-    return summarize(priced, keys)
+    return priced.withColumn("amount", amount.cast("double") if money == "double" else amount)
+
+
+def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False,
+                           money="decimal"):
+    """Sales by product category (shuffle-join form: collapsed per product first)."""
+    if broadcast_dims:
+        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), ["category"])
+    return summarize(_per_product_priced(silver_events, customers, products, orphans, money), ["category"])
+
+
+def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False,
+                      money="decimal"):
+    """Sales per product (shuffle-join form: collapsed per product before the product join,
+    whose output is then already one row per product)."""
+    keys = ["product_id", "product_name", "category"]
+    if broadcast_dims:
+        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), keys)
+    return summarize(_per_product_priced(silver_events, customers, products, orphans, money), keys)
 
 
 def ranked(summary: DataFrame, tie_break: Sequence[str], limit: int | None = None) -> DataFrame:
