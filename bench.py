@@ -1,7 +1,7 @@
 """Benchmark: headline queries on local[$BENCH_CPUS] over $BENCH_SF_DIR.
 
 Prints one JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf"}.
-Each query runs once cold (session and file warm-up), then three times warm
+Each query runs once cold (session and file warm-up), then five times warm
 into the ``noop`` sink; the reported time is the warm median.  ``value`` is
 the sum of the medians.
 """
@@ -45,7 +45,7 @@ def main() -> None:
             df_factory = REGISTRY[name]
             df_factory(spark, sf_dir).write.format("noop").mode("overwrite").save()  # cold
             runs = []
-            for _ in range(3):
+            for _ in range(5):
                 t0 = time.perf_counter()
                 df_factory(spark, sf_dir).write.format("noop").mode("overwrite").save()
                 runs.append(time.perf_counter() - t0)
