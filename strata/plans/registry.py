@@ -49,41 +49,49 @@ def register(name: str):
 # ------------------------------------------------------------------ gold
 @register("gold_top_products")
 def gold_top_products(spark, d):
+    """SURVEY AGG6, JOI2, FLT2, PRJ12, PRJ14."""
     return L.gold(spark, d, "products")
 
 
 @register("gold_sales_by_country")
 def gold_sales_by_country(spark, d):
+    """SURVEY AGG4, JOI2, FLT2."""
     return L.gold(spark, d, "country")
 
 
 @register("gold_sales_by_category")
 def gold_sales_by_category(spark, d):
+    """SURVEY AGG5, JOI2, FLT2."""
     return L.gold(spark, d, "category")
 
 
 @register("ranked_products")
 def ranked_products(spark, d):
+    """SURVEY SRT1."""
     return G.ranked(L.gold(spark, d, "products"), ["product_id"])
 
 
 @register("gold_country_left")
 def gold_country_left(spark, d):
+    """SURVEY JOI3, AGG4 (orphans kept)."""
     return L.gold(spark, d, "country", orphans="keep", segment=True)
 
 
 @register("gold_category_left")
 def gold_category_left(spark, d):
+    """SURVEY JOI3, AGG5 (orphans kept)."""
     return L.gold(spark, d, "category", orphans="keep", segment=True)
 
 
 @register("gold_products_left")
 def gold_products_left(spark, d):
+    """SURVEY JOI3, AGG6 (orphans kept)."""
     return L.gold(spark, d, "products", orphans="keep", segment=True)
 
 
 @register("gold_country_segment")
 def gold_country_segment(spark, d):
+    """SURVEY JOI2 (orphans dropped)."""
     return L.gold(spark, d, "country", orphans="drop", segment=True)
 
 
@@ -92,6 +100,7 @@ def gold_country_segment(spark, d):
 
 @register("conform_customers")
 def conform_customers(spark, d):
+    """SURVEY PRJ1, PRJ3, PRJ4, FLT3, DED1."""
     s = C.silver_customers(A.dirty_customers(spark, d))
     return s.select("customer_id", "customer_name", "country",
                     F.col("signup_date").cast("string").alias("signup_date"))
@@ -99,6 +108,7 @@ def conform_customers(spark, d):
 
 @register("conform_products")
 def conform_products(spark, d):
+    """SURVEY PRJ1, PRJ6, FLT3, FLT4, DED1."""
     s = C.silver_products(A.dirty_products(spark, d))
     return s.select("product_id", "product_name", "category", F.col("price").cast("double").alias("price"))
 
@@ -113,6 +123,7 @@ def _decoded_fields(spark, d):
 
 @register("conform_events")
 def conform_events(spark, d):
+    """SURVEY PRJ2, PRJ3, PRJ5, PRJ7, FLT5, DED1."""
     s = C.silver_events(_decoded_fields(spark, d).drop("record_id"))
     return s.select("event_id", "customer_id", "product_id", "event_type",
                     F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_ts"),
@@ -121,23 +132,27 @@ def conform_events(spark, d):
 
 @register("dedup_events")
 def dedup_events(spark, d):
+    """SURVEY DED1."""
     return L.silver_events_l(spark, d).select("event_id", "customer_id", "product_id", "quantity")
 
 
 @register("dim_last_wins")
 def dim_last_wins(spark, d):
+    """SURVEY SRC2, DED3."""
     return keep_last(A.versioned_products(spark, d), "product_id", ["file_order"]) \
         .select("product_id", "product_name")
 
 
 @register("iso_timestamp")
 def iso_timestamp(spark, d):
+    """SURVEY PRJ9."""
     return A.events_e(spark, d).select("event_id", iso_text("timestamp").alias("iso"))
 
 
 # ----------------------------------------------------- validation / quarantine
 @register("decode_events")
 def decode_events(spark, d):
+    """SURVEY SRC8."""
     parsed = V.with_parsed(A.messages_d(spark, d))
     return parsed.select("record_id", V.field("event_id").alias("event_id"),
                          V.field("event_type").alias("event_type"),
@@ -147,6 +162,7 @@ def decode_events(spark, d):
 
 @register("normalize_currency")
 def normalize_currency(spark, d):
+    """SURVEY PRJ8."""
     parsed = V.with_parsed(A.messages_d(spark, d)).filter("_msg_is_object")
     return parsed.select("record_id", V.field("event_id").alias("event_id"),
                          V.normalized_currency().alias("currency"))
@@ -154,18 +170,21 @@ def normalize_currency(spark, d):
 
 @register("valid_events")
 def valid_events(spark, d):
+    """SURVEY FLT7, VAL1-5."""
     valid, _ = I.split(A.messages_d(spark, d), keep=("record_id",))
     return valid.drop("timestamp")
 
 
 @register("rejected_events")
 def rejected_events(spark, d):
+    """SURVEY VAL6, SNK4."""
     _, rejected = I.split(A.messages_d(spark, d), keep=("record_id",))
     return rejected.select("record_id", "reasons")
 
 
 @register("reject_reason_counts")
 def reject_reason_counts(spark, d):
+    """SURVEY VAL6."""
     classified = V.classify(A.messages_d(spark, d))
     return (classified.select(F.explode("reasons").alias("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
@@ -183,6 +202,7 @@ ARRIVAL = ("arrival_ts", "arrival_a", "arrival_b")
 
 @register("ingest_quality")
 def ingest_quality(spark, d):
+    """SURVEY AGG8, DED4."""
     return I.quality(_ingest_messages(spark, d))
 
 
@@ -191,12 +211,14 @@ def ingest_quality(spark, d):
 
 @register("enrich_events")
 def enrich_events_q(spark, d):
+    """SURVEY JOI1, PRJ10, PRJ11."""
     return L.enriched_e(spark, d).select(
         "event_id", "customer_country", "product_name", "category", "event_type", "currency",
         "quantity", "unit_price", "total_amount")
 
 
 def _summary(dimension):
+    """SURVEY AGG1, FLT1 (one enriched summary per dimension)."""
     def q(spark, d):
         return G.summary(L.enriched_e(spark, d), dimension)
     return q
@@ -209,6 +231,7 @@ register("summary_product_name")(_summary("product_name"))
 
 @register("summary_all")
 def summary_all_q(spark, d):
+    """SURVEY AGG2."""
     return G.summary_all(L.enriched_e(spark, d))
 
 
@@ -229,6 +252,7 @@ def category_summary(silver: DataFrame) -> DataFrame:
 
 @register("category_summary_typed")
 def category_summary_typed(spark, d):
+    """SURVEY SRC5, AGG3, SRT2."""
     return category_summary(_silver_jsonl(spark, d))
 
 
@@ -238,12 +262,14 @@ POINT_CATEGORY = "PROMO"
 
 @register("point_lookup")
 def point_lookup(spark, d):
+    """SURVEY FLT6, LIM1."""
     return category_summary(_silver_jsonl(spark, d)).where(f"category = '{POINT_CATEGORY}'").limit(1)
 
 
 # ------------------------------------------------------------- data quality
 @register("dq_primary_keys")
 def dq_primary_keys(spark, d):
+    """SURVEY DQ1, AGG7."""
     return Q.union_all([
         Q.primary_key(A.raw_customers(spark, d), "customer_id", "customers"),
         Q.primary_key(A.raw_products(spark, d), "product_id", "products"),
@@ -254,6 +280,7 @@ def dq_primary_keys(spark, d):
 
 @register("dq_foreign_keys")
 def dq_foreign_keys(spark, d):
+    """SURVEY DQ2, JOI4."""
     ev = A.events_e(spark, d)
     return Q.union_all([
         Q.foreign_key(ev, A.segment_customers(spark, d), "customer_id", "events.customer_id"),
@@ -263,6 +290,7 @@ def dq_foreign_keys(spark, d):
 
 @register("fk_orphans")
 def fk_orphans(spark, d):
+    """SURVEY JOI4."""
     ev = A.events_e(spark, d).select("event_id", "customer_id", "product_id")
     c = orphans_of(ev, A.segment_customers(spark, d), "customer_id").select(
         F.lit("events.customer_id").alias("edge"), "event_id")
@@ -273,13 +301,14 @@ def fk_orphans(spark, d):
 
 @register("fk_valid")
 def fk_valid(spark, d):
+    """SURVEY JOI4."""
     ev = A.events_e(spark, d).select("event_id", "customer_id", "product_id")
     ev = members_of(ev, A.segment_customers(spark, d), "customer_id")
     return members_of(ev, A.segment_products(spark, d), "product_id").select("event_id")
 
 
 def domain_rules(spark, d) -> DataFrame:
-    """The source-data rules over the raw text inputs (dirty dims, message events)."""
+    """The source-data rules over the raw text inputs (dirty dims, message events). [SURVEY DQ3-DQ5]"""
     cu = A.dirty_customers(spark, d)
     pr = A.dirty_products(spark, d)
     msgs = V.with_parsed(A.messages_d(spark, d))
@@ -313,7 +342,7 @@ register("dq_domains")(domain_rules)
 
 @register("gated_gold")
 def gated_gold(spark, d):
-    """Key and referential-integrity rules must pass before Gold is built (raises otherwise)."""
+    """Key and referential-integrity rules must pass before Gold is built (raises otherwise). [SURVEY DQ6]"""
     pk = Q.union_all([
         Q.primary_key(A.raw_customers(spark, d), "customer_id", "customers"),
         Q.primary_key(A.raw_products(spark, d), "product_id", "products"),
@@ -345,12 +374,13 @@ def _medallion_run(spark, d):
 
 @register("medallion_gold")
 def medallion_gold(spark, d):
+    """SURVEY PIP1, SNK6, SNK7."""
     return spark.read.parquet(f"{_medallion_run(spark, d)}/gold/sales_by_country")
 
 
 @register("medallion_table_counts")
 def medallion_table_counts(spark, d):
-    """Layers written as catalog tables, counted with one SQL UNION ALL."""
+    """Layers written as catalog tables, counted with one SQL UNION ALL. [SURVEY AGG9, SET1, SNK6]"""
     database = f"strata_{uuid.uuid4().hex[:10]}"
     M.run_medallion(spark, _raw_e(spark, d), scratch_path(spark, "medallion"), database=database,
                     dim_buckets=spark.sparkContext.defaultParallelism)
@@ -359,19 +389,21 @@ def medallion_table_counts(spark, d):
 
 @register("run_metrics")
 def run_metrics(spark, d):
+    """SURVEY AGG10."""
     dst = scratch_path(spark, "medallion")
     return M.run_medallion(spark, _raw_e(spark, d), dst).to_frame(spark)
 
 
 @register("run_stage_rows")
 def run_stage_rows(spark, d):
-    """Rows written per stage of a layered run (the deterministic part of the run metrics)."""
+    """Rows written per stage of a layered run (the deterministic part of the run metrics). [SURVEY AGG10]"""
     dst = scratch_path(spark, "medallion")
     return M.run_medallion(spark, _raw_e(spark, d), dst).to_frame(spark).select("stage", "rows")
 
 
 @register("enriched_gold")
 def enriched_gold(spark, d):
+    """SURVEY PIP2, SNK2, SNK5."""
     dst = scratch_path(spark, "enriched")
     cu = M.string_keyed(C.silver_customers(A.raw_customers(spark, d).drop("segment")), "customer_id")
     pr = M.string_keyed(C.silver_products(A.raw_products(spark, d)), "product_id")
@@ -398,11 +430,13 @@ def _contract_tables(spark, d):
 
 @register("gold_contract")
 def gold_contract(spark, d):
+    """SURVEY SNK10, SRC6."""
     return spark.table(_contract_tables(spark, d)["gold_top_products"])
 
 
 @register("external_gold_query")
 def external_gold_query(spark, d):
+    """SURVEY SRC9, SRT1."""
     name = _contract_tables(spark, d)["gold_top_products"]
     return spark.sql(f"SELECT product_id, product_name, category, purchase_count, units_sold, revenue "
                      f"FROM {name} ORDER BY revenue DESC")
@@ -425,6 +459,7 @@ def _text_customers(spark, d):
 
 @register("scan_csv")
 def scan_csv(spark, d):
+    """SURVEY SRC1."""
     path = scratch_path(spark, "customers_csv")
     SK.write_csv(_text_customers(spark, d), path)
     return SF.read_csv(spark, path)
@@ -432,6 +467,7 @@ def scan_csv(spark, d):
 
 @register("roundtrip_csv")
 def roundtrip_csv(spark, d):
+    """SURVEY SNK1."""
     path = scratch_path(spark, "products_csv")
     p = A.raw_products(spark, d)
     text = p.select(*[F.col(c).cast("string").alias(c) for c in p.columns])
@@ -441,6 +477,7 @@ def roundtrip_csv(spark, d):
 
 @register("scan_json_array")
 def scan_json_array(spark, d):
+    """SURVEY SRC3."""
     path = scratch_path(spark, "events_json_array")
     SK.write_json_array(_text_events(spark, d), path)
     return SF.read_json_array(spark, path)
@@ -448,6 +485,7 @@ def scan_json_array(spark, d):
 
 @register("scan_jsonl")
 def scan_jsonl(spark, d):
+    """SURVEY SRC4."""
     path = scratch_path(spark, "events_jsonl")
     SK.write_json_lines(_text_events(spark, d), path)
     return SF.read_json_lines(spark, path)
@@ -455,6 +493,7 @@ def scan_jsonl(spark, d):
 
 @register("roundtrip_json")
 def roundtrip_json(spark, d):
+    """SURVEY SNK2."""
     path = scratch_path(spark, "gold_json")
     SK.write_json_lines(L.gold(spark, d, "country"), path)
     return SF.read_json_lines(spark, path)
@@ -462,6 +501,7 @@ def roundtrip_json(spark, d):
 
 @register("roundtrip_parquet")
 def roundtrip_parquet(spark, d):
+    """SURVEY SNK7."""
     path = scratch_path(spark, "silver_parquet")
     SK.write_parquet(L.silver_events_e(spark, d), path)
     s = SF.read_parquet(spark, path)
@@ -471,11 +511,13 @@ def roundtrip_parquet(spark, d):
 
 @register("with_lineage")
 def with_lineage(spark, d):
+    """SURVEY SRC11."""
     return SF.with_lineage(A.table(spark, d, "events")).select("event_id", "source_file")
 
 
 @register("with_ingest_time")
 def with_ingest_time(spark, d):
+    """SURVEY PRJ15."""
     return _text_customers(spark, d).withColumn("_ingested_at", F.current_timestamp())
 
 
@@ -489,11 +531,13 @@ def _bronze_before_cutoff(spark, d):
 
 @register("existing_ids")
 def existing_ids_q(spark, d):
+    """SURVEY SRC10."""
     return SF.existing_ids(spark, _bronze_before_cutoff(spark, d))
 
 
 @register("new_events_only")
 def new_events_only(spark, d):
+    """SURVEY JOI5."""
     stored = SF.existing_ids(spark, _bronze_before_cutoff(spark, d), distinct=False)
     return I.new_only(L.silver_events_l(spark, d), stored).select("event_id", "customer_id", "product_id",
                                                                   "quantity")
@@ -532,35 +576,41 @@ def _bronze_cols(df):
 
 @register("stream_bronze")
 def stream_bronze(spark, d):
+    """SURVEY STR1, DED2, SNK3, SRC7, LIM2."""
     return _bronze_cols(SB.read_bronze(spark, _stream_ingest(spark, _topic_l(spark, d))))
 
 
 @register("stream_replay")
 def stream_replay(spark, d):
+    """SURVEY STR3."""
     root = _stream_ingest(spark, _topic_l(spark, d), runs=(("a", None), ("b", None)))
     return _bronze_cols(SB.read_bronze(spark, root))
 
 
 @register("stream_resume")
 def stream_resume(spark, d):
+    """SURVEY STR2."""
     root = _stream_ingest(spark, _topic_l(spark, d), runs=(("a", None), ("a", None)))
     return _bronze_cols(SB.read_bronze(spark, root))
 
 
 @register("stream_rejects")
 def stream_rejects(spark, d):
+    """SURVEY SNK4."""
     root = _stream_ingest(spark, _topic_d(spark, d))
     return SB.read_rejects(spark, root).select(F.col("arrival_a").alias("record_id"), "reasons")
 
 
 @register("stream_quality")
 def stream_quality(spark, d):
+    """SURVEY STR5."""
     topic = _topic_d(spark, d).unionByName(_topic_l(spark, d))
     return SB.read_quality(spark, _stream_ingest(spark, topic))
 
 
 @register("publish_payload")
 def publish_payload(spark, d):
+    """SURVEY SNK8."""
     ev = _text_events(spark, d)
     pub = T.publish_frame(ev, "customer_id")
     parsed = pub.select("key", F.from_json("value", ev.schema).alias("e"))
@@ -569,6 +619,7 @@ def publish_payload(spark, d):
 
 @register("keyed_order")
 def keyed_order(spark, d):
+    """SURVEY SNK9, STR4."""
     pub = T.publish_frame(_text_events(spark, d), "customer_id").withColumn(
         "event_id", F.get_json_object("value", "$.event_id"))
     return T.keyed(pub, order=()).select("key", F.spark_partition_id().alias("partition"), "event_id")
@@ -579,16 +630,19 @@ def keyed_order(spark, d):
 
 @register("gen_customers")
 def gen_customers(spark, d):
+    """SURVEY GEN2."""
     return GEN.customers(A.table(spark, d, "customer"))
 
 
 @register("gen_products")
 def gen_products(spark, d):
+    """SURVEY GEN1."""
     return GEN.products(A.table(spark, d, "part"))
 
 
 @register("gen_events")
 def gen_events(spark, d):
+    """SURVEY GEN3."""
     e = A.table(spark, d, "events")
     return GEN.events(e, "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint"))
 
@@ -596,9 +650,11 @@ def gen_events(spark, d):
 # ------------------------------------------------- gold over order-line events
 @register("l_gold_sales_by_country")
 def l_gold_sales_by_country(spark, d):
+    """SURVEY AGG4 over order lines (DED1 first)."""
     return L.gold(spark, d, "country", events="l")
 
 
 @register("l_gold_top_products")
 def l_gold_top_products(spark, d):
+    """SURVEY AGG6 over order lines (DED1 first)."""
     return L.gold(spark, d, "products", events="l")
