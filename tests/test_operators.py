@@ -265,3 +265,21 @@ def test_ranked_top_k_and_tie_break(spark):
     top = G.ranked(summary, ["product_id"], limit=2)
     assert [r.product_id for r in top.collect()] == ["P2", "P1"]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grouping_sets_label_null_dimension_values_by_set(spark):
+    enriched = spark.createDataFrame(
+        [("purchase", None, "Books", "Handbook", 1, 10.0),
+         ("purchase", "Japan", None, "Hub", 2, 20.0),
+         ("purchase", "Japan", "Books", None, 3, 30.0),
+         ("view", "Japan", "Books", "Hub", 9, 0.0)],
+        "event_type string, customer_country string, category string, product_name string, "
+        "quantity int, total_amount double")
+    got = sorted((r.summary, r.dimension, r.purchase_count, r.units_sold, r.revenue)
+                 for r in G.summary_all(enriched).collect())
+    want = sorted(
+        [("revenue_by_country", None, 1, 1, 10.0), ("revenue_by_country", "Japan", 2, 5, 50.0),
+         ("revenue_by_category", "Books", 2, 4, 40.0), ("revenue_by_category", None, 1, 2, 20.0),
+         ("revenue_by_product", "Handbook", 1, 1, 10.0), ("revenue_by_product", "Hub", 1, 2, 20.0),
+         ("revenue_by_product", None, 1, 3, 30.0)], key=repr)
+    assert sorted(got, key=repr) == want
