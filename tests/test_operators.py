@@ -275,8 +275,8 @@ def test_grouping_sets_label_null_dimension_values_by_set(spark):
          ("view", "Japan", "Books", "Hub", 9, 0.0)],
         "event_type string, customer_country string, category string, product_name string, "
         "quantity int, total_amount double")
-    got = sorted((r.summary, r.dimension, r.purchase_count, r.units_sold, r.revenue)
-                 for r in G.summary_all(enriched).collect())
+    got = [(r.summary, r.dimension, r.purchase_count, r.units_sold, r.revenue)
+           for r in G.summary_all(enriched).collect()]
     want = sorted(
         [("revenue_by_country", None, 1, 1, 10.0), ("revenue_by_country", "Japan", 2, 5, 50.0),
          ("revenue_by_category", "Books", 2, 4, 40.0), ("revenue_by_category", None, 1, 2, 20.0),
