@@ -97,3 +97,13 @@ def test_batch_ingest_keeps_dead_letters_across_runs(spark):
     M.ingest_messages(spark, msgs, dst, run_id="fixed")
     M.ingest_messages(spark, msgs, dst, run_id="fixed")      # a retried run rewrites its own folder
     assert SF.read_json_lines(spark, f"{dst}/rejected").count() == 2 * 3
+
+
+def test_summaries_as_json_array_documents(spark):
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "v1")
+    _publish(spark, f"{FIX}/events.json", topic)
+    SB.run_available(spark, T.read_topic_stream(spark, topic), root)
+    cu, pr = M.dimensions_from_files(spark, FIX)
+    M.enrich_and_summarize(spark, SB.read_bronze(spark, root), cu, pr, root, summary_format="array")
+    got = {r.dimension: r.revenue for r in SF.read_json_array(spark, f"{root}/gold/revenue_by_country").collect()}
+    assert got == {"Japan": 298.0, "United States": 255.0, "Saudi Arabia": 159.0}
