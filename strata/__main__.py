@@ -1,4 +1,5 @@
-"""Job entry points, for ``spark-submit -m strata`` / ``python -m strata``.
+"""Job entry points: ``python -m strata <command>``, or on a cluster
+``spark-submit --py-files strata.zip strata/__main__.py <command>``.
 
     medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail]
     ingest    --topic DIR --root DIR [--format parquet] [--max-files N] [--every "1 minute"] [--sink-format parquet|json]
