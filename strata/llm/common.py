@@ -88,3 +88,53 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def kept(key: str, make):
+    """``make()``, made once in the life of a Python worker and kept for its later tasks.
+
+    Only for what any task would make alike, such as tables of a tokenizer.
+    """
+    import sys
+    from types import ModuleType
+    home = sys.modules.setdefault("_strata_kept", ModuleType("_strata_kept")).__dict__
+    if key not in home:
+        home[key] = make()
+    return home[key]
+
+
+def text_buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, n + 1 offsets into them) of a string or binary array, without copying; nulls are empty."""
+    wide = pa.types.is_large_string(array.type) or pa.types.is_large_binary(array.type)
+    _, offsets, data = array.buffers()
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32, len(array) + 1 + array.offset)[array.offset:]
+    flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return flat[at[0]:at[-1]], at.astype(np.int64) - at[0]
+
+
+def label_per_document(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, label 0/1), a row per labelled id; of contradicting labels the majority holds, 1 at a tie."""
+    return (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
+            .groupBy(F.col(id_col).cast("bigint").alias("doc_id"))
+            .agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("label")))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int,
+                    rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, text, label) of at most ``rows`` training documents of each label, and how many each label has.
+
+    Training documents are those whose fold is not ``held``.  The sample is the
+    documents with the smallest hashes of their ids, so it is the same at every
+    run.  Of rows that share an id the smallest text counts.
+    """
+    known = label_per_document(labels, label).where(fold(modulus) != held)
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    picked = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for k in sorted(sizes)]
+    if not picked:
+        return docs.select("doc_id", "text", F.lit(0).alias("label")).limit(0), sizes
+    some = picked[0]
+    for more in picked[1:]:
+        some = some.unionByName(more)
+    # a row per picked id on this side: its size is bounded by ``rows``
+    found = docs.join(F.broadcast(some), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return found.select("doc_id", "text", "label"), sizes
