@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import column, ragged, slices, texts
+from .common import bytes_of, column, kept, ragged, slices, text_buffer, texts
 from .pieces import PieceEncoder
 
 #: What tiktoken's pattern means by white space, spelled out for Python's ``regex``.
@@ -93,8 +93,8 @@ class Bpe:
         self.token_length, self.token_start = lengths, np.cumsum(lengths) - lengths
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def matrix(self, rows: list[bytes], width: int) -> list[np.ndarray]:
-        """Encodes matches of at most ``width`` bytes, all at once."""
+    def matrix(self, rows: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Encodes matches of at most ``width`` bytes, all at once: (rows, ids of each, all their ids) as rows get done."""
         n = len(rows)
         size = np.fromiter(map(len, rows), np.int64, n)
         ids = np.full((n, width + 1), -1, np.int32)  # the last column stays empty
@@ -104,13 +104,13 @@ class Bpe:
         valid = ids[:, 1:] >= 0
         rank[valid] = self.pairs.find(ids[:, :-1][valid], ids[:, 1:][valid])
         live = np.arange(n)
-        out: list[np.ndarray] = [None] * n  # type: ignore[list-item]
         while len(live):
             best = rank.argmin(axis=1)  # the leftmost minimum
             low = rank[np.arange(len(live)), best]
             done = low == NEVER
-            for k in np.flatnonzero(done):
-                out[live[k]] = ids[k, :size[live[k]]].astype(np.uint32)
+            if done.any():
+                length = size[live[done]]
+                yield live[done], length, ids[done][np.arange(ids.shape[1]) < length[:, None]].astype(np.uint32)
             keep = ~done
             live, ids, rank, best, low = live[keep], ids[keep], rank[keep], best[keep], low[keep]
             if not len(live):
@@ -132,7 +132,6 @@ class Bpe:
                 ok = np.flatnonzero((side >= 0) & (side + 1 < size[live]))
                 rank[ok, side[ok]] = self.pairs.find(ids[ok, side[ok]], ids[ok, side[ok] + 1])
             ids, rank = ids[:, :used + 1], rank[:, :used]
-        return out
 
     def long(self, row: bytes) -> np.ndarray:
         """One long match by a heap of (rank, position): the same merges in the same order."""
@@ -157,23 +156,32 @@ class Bpe:
                     heapq.heappush(heap, (joined, a, ids[a], ids[b]))
         return np.array([i for i in ids if i >= 0], np.uint32)
 
-    def encode(self, matches: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray] = [None] * len(matches)  # type: ignore[list-item]
+    def encode(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the matches one after the other, ids of each)."""
+        whole: list[tuple[int, int]] = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         buckets: dict[int, list[int]] = {}
         for k, match in enumerate(matches):
             if (i := self.whole.get(match)) is not None:  # a match that is a token is that token
-                out[k] = np.array([i], np.uint32)
+                whole.append((k, i))
             elif len(match) > LONGEST_ROW:
-                out[k] = self.long(match)
+                ids = self.long(match)
+                parts.append((np.array([k]), np.array([len(ids)]), ids))
             else:
                 buckets.setdefault(max(4, 1 << (len(match) - 1).bit_length()), []).append(k)
         for width, rows in buckets.items():
             step = max(1, CELLS // width)
             for at in range(0, len(rows), step):
-                some = rows[at:at + step]
-                for k, ids in zip(some, self.matrix([matches[k] for k in some], width), strict=True):
-                    out[k] = ids
-        return out
+                some = np.array(rows[at:at + step])
+                parts += [(some[done], length, ids) for done, length, ids in self.matrix([matches[k] for k in some], width)]
+        if whole:
+            k, i = np.array(whole).T
+            parts.append((k, np.ones(len(k), np.int64), i.astype(np.uint32)))
+        if not parts:
+            return np.zeros(0, np.uint32), np.zeros(len(matches), np.int64)
+        row, length, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(row)
+        return ids[ragged((np.cumsum(length) - length)[order], length[order])], length[order]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.token_bytes[ragged(self.token_start[ids], self.token_length[ids])].tobytes()
@@ -181,22 +189,20 @@ class Bpe:
 
 def piece_encoder(bpe: Bpe, pattern: str) -> PieceEncoder:
     import regex
-    find = regex.compile(pattern).findall
+    return PieceEncoder(regex.compile(pattern).findall, lambda some: bpe.encode([bytes_of(m) for m in some]))
 
-    def encode(pieces: list[str]) -> list[np.ndarray]:
-        found = [[m.encode("utf-8", "surrogatepass") for m in find(p)] for p in pieces]
-        distinct: dict[bytes, int] = {}
-        rows = [[distinct.setdefault(m, len(distinct)) for m in f] for f in found]
-        ids = bpe.encode(list(distinct))
-        return [ids[r[0]] if len(r) == 1 else np.concatenate([ids[k] for k in r]) if r else np.zeros(0, np.uint32)
-                for r in rows]
 
-    return PieceEncoder(encode)
+def _tables(ranks: bytes, pattern: str) -> tuple[Bpe, PieceEncoder]:
+    bpe = Bpe(read_ranks(ranks))
+    return bpe, piece_encoder(bpe, pattern)
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
     """(doc_id, ids binary: little-endian unsigned 32-bit token ids), a row per document.
 
+    With ``decoded`` also what ``decode`` would add, in the same pass.
+
     ``ranks`` is the content of a rank file, ``pattern`` its splitting pattern
     (of the GPT-2 kind, where a space before a word begins a match).  Null and
     empty texts have no ids; repeated rows are encoded each.
@@ -204,15 +210,18 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     content = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = piece_encoder(Bpe(read_ranks(content.value)), pattern)
-        for batch in slices(batches):
-            ids, counts = encoder.batch([t or "" for t in column(batch, "text").to_pylist()])
+        bpe, encoder = kept(f"bpe {hash((content.value, pattern))}", lambda: _tables(content.value, pattern))
+        for batch in slices(batches, most=4 << 20):
+            ids, counts = encoder.batch(*text_buffer(column(batch, "text")))
             ends = np.append(0, np.cumsum(counts)) * 4
             data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [
                 None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), data], ["doc_id", "ids"])
+            columns = {"doc_id": column(batch, "doc_id"), "ids": data}
+            if decoded:
+                columns["decoded"] = pa.array([bpe.decode(ids[a // 4:b // 4]) for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids binary")
+    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:

@@ -1,80 +1,177 @@
 """Cutting text into pieces that a byte-level BPE tokenizer treats independently.
 
-A single space between two characters that are not white space always begins a
-new match of the tokenizers' splitting pattern, so the text's encoding is the
-encodings of its space-led pieces one after the other.  Text repeats its
-pieces, so each distinct piece is encoded once and the results are gathered.
+Some places always begin a new match of the tokenizers' splitting pattern (of
+the GPT-2 kind): a single space between two characters that are not white
+space, both sides of a single line feed between such, and an ASCII mark right
+after an ASCII letter.  Between them a text's encoding is its pieces' encodings
+one after the other.  Text repeats its pieces, so each distinct piece is encoded
+once and the results are gathered.  Where it is not plain that a place begins a
+match none is cut there; a longer piece is encoded as well as two.
+
+All of it works on the bytes of many texts at once: pieces are told apart by
+64-bit hashes, and only those not met before become Python strings.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
 
-from .common import ragged
+from .common import mix, ragged
+
+WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: First bytes of the characters of Unicode's White_Space property beyond ASCII (and of many others).
+LEAD = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+#: ASCII that is no letter, digit, white space or control; without the apostrophe, which begins contractions.
+MARK = np.isin(np.arange(256), [c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"])
+#: Known pieces of one worker; beyond, it starts afresh.
+MOST_PIECES = 1_500_000
+#: Odd, and one less is not divisible by four, so that powers differ in all but the lowest bits.
+BASE = 0x9E3779B97F4A7C17
+
+
+def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts of the pieces, pieces per text) of texts that lie one after the other."""
+    n = len(data)
+    begins = np.zeros(n + 1, bool)
+    inner = np.ones(n + 1, bool)  # has a byte of the same text on both sides
+    inner[offsets[:-1]] = inner[np.maximum(offsets[1:] - 1, 0)] = False
+    if n:
+        gaps = np.flatnonzero(((data == 32) | (data == 10)) & inner[:n])
+        before, after = data[gaps - 1], data[np.minimum(gaps + 1, n - 1)]
+        plain = ~WHITE[before] & ~WHITE[after] & ~LEAD[after]
+        # the character before may be two or three bytes of white space
+        plain &= (before < 128) | (~LEAD[data[gaps - 2]] & ~LEAD[data[gaps - 3]])
+        gaps = gaps[plain]
+        begins[gaps] = True
+        begins[gaps[data[gaps] == 10] + 1] = True
+        begins[1:n] |= LETTER[data[:-1]] & MARK[data[1:]]
+    begins[offsets] = True
+    starts = np.flatnonzero(begins[:n])
+    return starts, np.diff(np.searchsorted(starts, offsets))
+
+
+class Hasher:
+    """Polynomial hashes modulo 2**64 of slices of a byte array, by prefix sums."""
 
-#: The characters of Unicode's White_Space property.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
-#: A run of white space but for its last character before a word, or a word with that character.
-CAREFUL = f"[{WHITE}]+(?![^{WHITE}])|[{WHITE}]?[^{WHITE}]+"
-#: Distinct pieces remembered by one worker before it starts afresh.
-MOST_PIECES = 300_000
+    def __init__(self):
+        self.letters = np.random.default_rng(17).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.powers = self.inverse = np.zeros(0, np.uint64)
 
+    def grow(self, n: int) -> None:
+        if len(self.powers) < n:
+            with np.errstate(over="ignore"):
+                for name, base in (("powers", BASE), ("inverse", pow(BASE, -1, 2**64))):
+                    out = np.full(n, base, np.uint64)
+                    out[:1] = 1
+                    setattr(self, name, np.cumprod(out))
 
-class _Numbers(dict):
-    """Piece -> its number, given on first sight; pieces not yet encoded wait in ``new``."""
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        self.grow(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        terms = self.letters[data]
+        terms *= self.powers[:len(data)]
+        np.cumsum(terms, out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
-    def __init__(self):
-        self.new: list[str] = []
-        self.unsafe: set[int] = set()
 
-    def __missing__(self, piece: str) -> int:
-        self[piece] = n = len(self)
-        self.new.append(piece)
-        core = piece[1:] if piece[:1] == " " else piece
-        if (not core and piece) or (core and (core[0] in WHITE or core[-1] in WHITE)):
-            self.unsafe.add(n)
-        return n
+class Places:
+    """Key -> its number, by order of arrival: open addressing in arrays, grown by doubling."""
+
+    def __init__(self):
+        self.count, self.bits = 0, 16
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, np.uint64)  # 0 is an empty slot
+        self.numbers = np.zeros(1 << self.bits, np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 for unknown ones. No key is 0."""
+        at = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.numbers[at], -1)
+        todo = np.flatnonzero((seen != keys) & (seen != 0))
+        at = at[todo]
+        while len(todo):
+            at = (at + 1) & (len(self.keys) - 1)
+            seen = self.keys[at]
+            hit = seen == keys[todo]
+            out[todo[hit]] = self.numbers[at[hit]]
+            more = ~hit & (seen != 0)
+            todo, at = todo[more], at[more]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Distinct keys that are not known yet."""
+        numbers = np.arange(self.count, self.count + len(keys), dtype=np.int32)
+        self.count += len(keys)
+        if 2 * self.count > len(self.keys):
+            held = self.keys != 0
+            keys, numbers = np.append(self.keys[held], keys), np.append(self.numbers[held], numbers)
+            self.bits = int(4 * self.count).bit_length()
+            self.clear()
+        at = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(keys):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[free]  # the last of those that want the same slot has it
+            mine = self.keys[at] == keys
+            self.numbers[at[mine]] = numbers[mine]
+            keys, numbers, at = keys[~mine], numbers[~mine], (at[~mine] + 1) & (len(self.keys) - 1)
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece; ``encode`` maps a list of distinct pieces to lists of ids."""
+    """Encodes texts piece by piece.
+
+    ``find`` cuts a piece into matches of the splitting pattern; ``encode`` maps
+    distinct matches to (all their ids one after the other, ids of each).
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = MOST_PIECES):
-        self.encode, self.most = encode, most
-        self.careful = re.compile(CAREFUL)
+    def __init__(self, find: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
+                 most: int = MOST_PIECES):
+        self.find, self.encode, self.most = find, encode, most
+        self.hash = Hasher()
         self.reset()
 
     def reset(self) -> None:
-        self.numbers = _Numbers()
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.places = Places()
+        self.start = np.zeros(0, np.int64)  # of each known piece's ids, and how many they are
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def cut(self, text: str) -> list[int]:
-        number = self.numbers.__getitem__
-        if "\0" not in text:
-            out = [number(p) for p in text.replace(" ", "\0 ").split("\0")]
-            if not self.numbers.unsafe or self.numbers.unsafe.isdisjoint(out):
-                return out
-        return [number(p) for p in self.careful.findall(text)]
-
-    def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        distinct: dict[str, int] = {}
+        found, counts = [], []
+        for piece in pieces:
+            some = [piece] if (piece[1:] if piece[0] == " " else piece).isalpha() else self.find(piece)
+            counts.append(len(some))
+            found += [distinct.setdefault(m, len(distinct)) for m in some]
+        ids, length = self.encode(list(distinct))
+        at = np.array(found, np.int64)
+        flat = ids[ragged((np.cumsum(length) - length)[at], length[at])]
+        ends = np.append(0, np.cumsum(length[at]))[np.append(0, np.cumsum(counts)).astype(np.int64)]
+        self.places.add(keys)
+        self.start = np.append(self.start, len(self.ids) + ends[:-1])
+        self.length = np.append(self.length, np.diff(ends).astype(np.int32))
+        self.ids = np.append(self.ids, flat.astype(np.uint32, copy=False))
+
+    def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids of the texts one after the other, number of ids of each text)."""
-        if len(self.numbers) > self.most:
+        if self.places.count > self.most:
             self.reset()
-        cuts = [self.cut(t) for t in texts]
-        if new := self.numbers.new:
-            ids = self.encode(new)
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            begin = len(self.ids) + np.cumsum(length) - length
-            self.start, self.length = np.append(self.start, begin), np.append(self.length, length)
-            self.ids = np.concatenate([self.ids, *ids]).astype(np.uint32, copy=False)
-            self.numbers.new = []
-        pieces = np.fromiter((n for c in cuts for n in c), np.int64, sum(map(len, cuts)))
-        length = self.length[pieces]
-        ends = np.append(0, np.cumsum(length))
-        at = np.append(0, np.cumsum([len(c) for c in cuts])).astype(np.int64)
-        return self.ids[ragged(self.start[pieces], length)], np.diff(ends[at])
+        starts, per_text = cut(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        keys = np.maximum(self.hash(data, starts, ends), np.uint64(1))
+        at = self.places.find(keys)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            distinct, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            raw, known = data.tobytes(), self.places.count
+            a, b = starts[new[first]].tolist(), ends[new[first]].tolist()
+            self.learn(distinct, [raw[x:y].decode("utf-8", "surrogatepass") for x, y in zip(a, b, strict=True)])
+            at[new] = known + back
+        length = self.length[at].astype(np.int64)
+        total = np.append(0, np.cumsum(length))
+        return self.ids[ragged(self.start[at], length)], np.diff(total[np.append(0, np.cumsum(per_text))])

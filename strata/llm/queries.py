@@ -42,9 +42,8 @@ def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def encoded_digest(docs: DataFrame) -> DataFrame:
-    from .bpe import decode, encode
-    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    both = decode(encode(docs, ranks, pattern()), ranks)
+    from .bpe import encode
+    both = encode(docs, tokenizer_file("byte_bpe_multi_50k.tiktoken"), pattern(), decoded=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -59,11 +58,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return near_components(docs)
 
 
+@register("op1_deleted_interpolation")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .scoring import interpolated_scores
+    return interpolated_scores(read_table(spark, sf_dir, "documents"))
+
+
 @register("op2_decontaminate")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@register("op3_language_svm")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 @register("op4_wavelet_token_store")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .wavelet import read_shards, write_shards
@@ -79,6 +90,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op6_toxicity_kneser_ney")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op7_prefix_forest")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .forest import nearest
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @register("op8_quality_mil")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
