@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 
 from strata.session import scratch_path
 
-from .common import column, slices, texts, written
+from .common import bytes_of, column, kept, slices, text_buffer, texts, written
 from .pieces import PieceEncoder
 
 MAGIC = b"WVM1"
 #: Words of 64 bits between two stored counts.
 BLOCK = 8
 #: Bytes of text in one shard, about.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 40 << 20
 
 
 class WaveletMatrix:
@@ -45,7 +45,7 @@ class WaveletMatrix:
         ids = ids.astype(np.uint16) if bits <= 16 else ids
         planes, counts, zeros = [], [], []
         for level in range(bits - 1, -1, -1):
-            one = (ids >> ids.dtype.type(level)) & ids.dtype.type(1) != 0
+            one = (ids & ids.dtype.type(1 << level)).astype(bool)
             packed = np.packbits(one, bitorder="little")
             words = -(-len(packed) // (8 * BLOCK)) * BLOCK
             plane = np.zeros(words * 8, np.uint8)
@@ -54,9 +54,11 @@ class WaveletMatrix:
             ones = np.bitwise_count(plane).reshape(-1, BLOCK).sum(axis=1, dtype=np.int64)
             planes.append(plane)
             counts.append(np.append(0, np.cumsum(ones)).astype("<u4"))
-            zero = ids[~one]
-            zeros.append(len(zero))
-            ids = np.concatenate([zero, ids[one]])
+            zeros.append(n - int(np.bitwise_count(plane).sum()))
+            parted = np.empty_like(ids)
+            parted[:zeros[-1]] = ids[~one]
+            parted[zeros[-1]:] = ids[one]
+            ids = parted
         return cls(n, planes, counts, zeros)
 
     def rank1(self, level: int, i: np.ndarray) -> np.ndarray:
@@ -173,7 +175,11 @@ def byte_letters() -> list[str]:
 
 
 def piece_encoder(tokenizer_json: str, pattern: str) -> PieceEncoder:
-    """Encodes with the tokenizers library: its model is called once per distinct match of ``pattern``."""
+    """Encodes with the tokenizers library, which gets each distinct match of ``pattern`` once.
+
+    The matches, spelt in the vocabulary's letters, go to the library's model one
+    by one, as its own splitter would hand them on.
+    """
     import json
 
     import regex
@@ -182,25 +188,21 @@ def piece_encoder(tokenizer_json: str, pattern: str) -> PieceEncoder:
     cutter = spec.get("pre_tokenizer") or {}
     if spec.get("normalizer") or cutter.get("type") != "ByteLevel" or not cutter.get("use_regex") or cutter.get("add_prefix_space"):
         raise ValueError("a byte-level tokenizer without normaliser is expected")
-    model = Tokenizer.from_str(tokenizer_json).model
-    find = regex.compile(pattern).findall
-    letters = {b: x for b, x in enumerate(byte_letters())}
+    tokenize = Tokenizer.from_str(tokenizer_json).model.tokenize
+    letters = dict(enumerate(byte_letters()))
+    space = letters[32]
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        known: dict[str, list[int]] = {}
-        out = []
-        for piece in pieces:
-            ids: list[int] = []
-            for match in find(piece):
-                one = known.get(match)
-                if one is None:
-                    spelt = match.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
-                    one = known[match] = [t.id for t in model.tokenize(spelt)]
-                ids += one
-            out.append(ids)
-        return out
+    def encode(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[int] = []
+        ends = []
+        for match in some:
+            plain = match.isascii() and match[0] == " " and match[1:].isalpha()
+            spelt = space + match[1:] if plain else bytes_of(match).decode("latin-1").translate(letters)
+            ids += [t.id for t in tokenize(spelt)]
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
-    return PieceEncoder(encode)
+    return PieceEncoder(regex.compile(pattern).findall, encode)
 
 
 def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int = 0, id_col: str = "doc_id",
@@ -223,9 +225,10 @@ def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int
 
         from pyarrow import fs
         from pyspark import TaskContext
-        encoder, ids, doc_ids, counts = piece_encoder(content.value, pattern), [], [], []
-        for batch in slices(batches):
-            found, lengths = encoder.batch([t or "" for t in column(batch, "text").to_pylist()])
+        encoder = kept(f"wavelet {hash((content.value, pattern))}", lambda: piece_encoder(content.value, pattern))
+        ids, doc_ids, counts = [], [], []
+        for batch in slices(batches, most=4 << 20):
+            found, lengths = encoder.batch(*text_buffer(column(batch, "text")))
             ends = np.cumsum(lengths)
             some = np.full(len(found) + len(lengths), end_id, np.uint32)
             holds = np.ones(len(some), bool)
