@@ -16,33 +16,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, fold, labelled_sample, slices, text_buffer, texts
+from .pieces import WHITE, Hasher
 
 #: Bytes of a passage; the last one of a text is shorter.
 PASSAGE = 512
-#: Counts of a passage: 128 ASCII bytes, other bytes, then hashed trigrams.
-BYTES, TRIGRAMS = 129, 255
+#: Features of a passage: counts of 128 ASCII bytes, of other bytes and of hashed
+#: trigrams, then the shares of words that are the word one and two before.
+BYTES, TRIGRAMS, DIMS = 129, 255, 386
 #: Most labelled documents of each class, and most passages of one of them, that the model is learned from.
 SAMPLE_ROWS, BAG = 2000, 32
+HASHER = Hasher()
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(features, passages per document); a text without bytes is one passage without counts."""
     lengths = np.diff(offsets)
     per_doc = np.maximum(1, -(-lengths // PASSAGE))
-    first = np.cumsum(per_doc) - per_doc
-    n, dims = int(per_doc.sum()), BYTES + TRIGRAMS
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    inside = np.arange(len(data)) - offsets[:-1][doc]
-    row = (first[doc] + inside // PASSAGE).astype(np.int64)
-    counts = np.bincount(row * dims + np.minimum(data, 128), minlength=n * dims)
+    n = int(per_doc.sum())
+    size = np.full(n, PASSAGE)  # of each passage; a text's last one has the rest
+    size[np.cumsum(per_doc) - 1] = lengths - (per_doc - 1) * PASSAGE
+    base = np.repeat(np.arange(n, dtype=np.int64) * DIMS, size)
+    counts = np.bincount(base + np.minimum(data, 128), minlength=n * DIMS)
     if len(data) > 2:
         x = data.astype(np.uint32)
         tri = (x[:-2] * np.uint32(0x01000193) ^ x[1:-1]) * np.uint32(0x01000193) ^ x[2:]
         tri = (tri * np.uint32(0x9E3779B1) >> np.uint32(12)) % np.uint32(TRIGRAMS)
-        ok = doc[:-2] == doc[2:]
-        counts += np.bincount((row[:-2] * dims + BYTES + tri)[ok], minlength=n * dims)
-    counts = counts.reshape(n, dims).astype(np.float32)
-    return np.sqrt(counts / np.maximum(1, counts[:, :BYTES].sum(axis=1, keepdims=True))), per_doc
+        within = np.ones(len(data) + 2, bool)  # a trigram begins here and ends in the same text
+        within[np.maximum(offsets[1:] - 1, 0)] = within[np.maximum(offsets[1:] - 2, 0)] = False
+        counts += np.bincount((base[:-2] + BYTES + tri)[within[:len(tri)]], minlength=n * DIMS)
+    counts = counts.reshape(n, DIMS).astype(np.float32)
+    x = np.sqrt(counts / np.maximum(1, counts[:, :BYTES].sum(axis=1, keepdims=True)))
+    x[:, BYTES + TRIGRAMS:] = repeated_words(data, offsets, base // DIMS, n)
+    return x, per_doc
+
+
+def repeated_words(data: np.ndarray, offsets: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+    """Per passage: shares of its words that are the word one and two before in the text."""
+    out = np.zeros((n, 2), np.float32)
+    white = np.ones(len(data) + 1, bool)
+    white[:-1] = WHITE[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    begins = ~white[:-1]
+    begins[1:] &= white[:-2] | first[1:-1]
+    stops = ~white[:-1] & (white[1:] | first[1:])
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    if len(starts) < 3:
+        return out
+    hashes = HASHER(data, starts, ends)
+    text = np.searchsorted(offsets, starts, side="right")
+    total = np.maximum(np.bincount(passage[starts], minlength=n), 1)
+    for k in (1, 2):
+        same = (hashes[k:] == hashes[:-k]) & (text[k:] == text[:-k])
+        out[:, k - 1] = np.bincount(passage[starts[k:]][same], minlength=n) / total
+    return out
 
 
 def softmax_by(values: np.ndarray, starts: np.ndarray, per_doc: np.ndarray) -> np.ndarray:
@@ -81,8 +108,8 @@ class AttentionBags:
         return {"W": x.T @ dh, "b": dh.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ ds,
                 "w": (f["t"] * f["s"]).T @ de, "c": f["z"].T @ dy, "d": np.array([dy.sum()])}
 
-    def fit(self, bags: list[np.ndarray], label: np.ndarray, weight: np.ndarray, epochs: int = 30,
-            size: int = 64, rate: float = 4e-3, decay: float = 1e-4, seed: int = 7) -> None:
+    def fit(self, bags: list[np.ndarray], label: np.ndarray, weight: np.ndarray, epochs: int = 12,
+            size: int = 64, rate: float = 6e-3, decay: float = 1e-4, seed: int = 7) -> None:
         rng, step = np.random.default_rng(seed), 0
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
@@ -121,10 +148,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: i
     y = np.array([r.label for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         return float(y[0]) if len(y) else 0.5
-    bags = [np.frombuffer(r.bag, np.float16).reshape(-1, BYTES + TRIGRAMS).astype(np.float32) for r in rows]
+    bags = [np.frombuffer(r.bag, np.float16).reshape(-1, DIMS).astype(np.float32) for r in rows]
     # the classes are sampled apart: weights give them their shares again
     weight = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum()).astype(np.float32)
-    model = AttentionBags(BYTES + TRIGRAMS)
+    model = AttentionBags(DIMS)
     model.fit(bags, y, weight / weight.mean())
     return model
 
