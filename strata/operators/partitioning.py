@@ -5,45 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def needs_spread(df: DataFrame, min_partitions: int | None = None) -> bool:
-    """True when ``df`` reads from fewer files or splits than ``min_partitions``.
-
-    The file count is checked first: few files means a small input (spreading
-    is cheap) or one huge file; only a many-file input pays for the split count.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        if len(df.inputFiles()) >= want:
-            return df.rdd.getNumPartitions() < want
-        return True
-    except Exception:  # noqa: BLE001 - no file or RDD view (e.g. a remote session)
-        return False
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, decided: bool | None = None) -> DataFrame:
-    """Round-robin the input over the cluster when it comes from too few files.
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a batch input over the cluster when it is read in too few splits.
 
     Per-row work (JSON parsing, validation, partial aggregation) runs one task
-    per input split, and a file written as one row group is one non-empty split
-    however many byte ranges it is cut into.  When the input reads from at
-    least ``min_partitions`` files (the default parallelism) and has that many
-    partitions -- any large scan -- it is returned unchanged and no shuffle is
-    added; otherwise it is small enough that spreading it costs little.  Call it
-    once, where the input is read (it cannot tell an already spread frame).
-    ``decided`` passes a decision already taken for the same input.
+    per input split.  An input of fewer splits than ``min_partitions`` (the
+    default parallelism) is dealt out anew; any other is returned unchanged, so
+    the number of partitions never falls and a large scan gets no shuffle.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    spread_it = needs_spread(df, want) if decided is None else decided
-    return df.repartition(want) if spread_it else df
-
-
-# Fixed value: a dimension is broadcast only when a counted upper bound on its
-# rows is at most this (about 50-100 MB for the 3-4 narrow columns joined);
-# beyond it the join shuffles.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits_broadcast(*row_bounds: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when every bound is known and small enough to broadcast."""
-    return all(b is not None and b <= max_rows for b in row_bounds)
-
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -21,9 +21,9 @@ _SCRATCH_KEY = "spark.checkpoint.dir"
 CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    # Upper bound for shuffles; AQE coalesces to the advisory size at runtime,
-    # so a 10 TB fact shuffle gets ~40k partitions and a small one a handful.
-    "spark.sql.shuffle.partitions": "40000",
+    # Upper bound for shuffles; AQE only merges, down to the advisory size at
+    # runtime, so this must suit the largest one: 50 TB in 256 MB partitions.
+    "spark.sql.shuffle.partitions": "200000",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -75,11 +75,16 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from the session; only when the cluster names none do we create a
     local one (tests, single-machine runs) and register it as the checkpoint dir.
+    On a cluster a machine-local folder would scatter the files, so a missing
+    setting is an error there.
     """
     current = spark.conf.get(_SCRATCH_KEY, None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {_SCRATCH_KEY} to a folder that all executors share (master {master})")
         current = tempfile.mkdtemp(prefix="strata-")
         spark.sparkContext.setCheckpointDir(current)
         current = spark.sparkContext.getCheckpointDir() or current

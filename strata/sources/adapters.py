@@ -14,57 +14,28 @@ orphan-policy operators.
 
 from __future__ import annotations
 
-import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.partitioning import needs_spread, spread
-
-
-# Per file version (path, mtime, size): its schema and whether it needs
-# spreading.  Both are fixed for a given file, so later reads skip the footer
-# job of schema inference and the split check.  Only local paths are keyed.
-_SCHEMAS: dict = {}
-_SPREAD: dict = {}
-
-
-def _version(path: str):
-    try:
-        st = os.stat(path)
-    except OSError:
-        return None
-    return (path, st.st_mtime_ns, st.st_size)
+from strata.operators.partitioning import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    version = _version(path)
-    schema = _SCHEMAS.get(version) if version else None
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    if version:
-        _SCHEMAS[version] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fact table, spread over the cores when it is stored in too few files."""
-    df = table(spark, sf_dir, name)
-    version = _version(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = (version, spark.sparkContext.defaultParallelism) if version else None
-    if key is not None and key not in _SPREAD:
-        _SPREAD[key] = needs_spread(df)
-    return spread(df, decided=_SPREAD.get(key) if key else None)
+    """A fact table, spread over the cores when it is read in too few splits."""
+    return spread(table(spark, sf_dir, name))
 
 
 # ---------------------------------------------------------------- dimensions
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer join nation; signup_date is derived (no source column exists)."""
     c = table(spark, sf_dir, "customer")
-    # nation has a fixed 25 rows at every scale factor: a proven broadcast bound
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
@@ -266,13 +237,28 @@ def versioned_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 BRONZE_CUTOFF = "1998-06-01"
 
 
-def messages_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages_l_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter L as messages, with what a batch ingest must cope with.
+
+    Case ``supplier_id % 4``: 1 carries the extra field ``channel``, 2 a quantity
+    past 32 bits, 3 a time that cannot be parsed.
+    """
+    m = F.col("supplier_id") % 4
+    return messages_l(spark, sf_dir, extra=[F.when(m == 1, F.lit("web")).alias("channel")],
+                      quantity=F.when(m == 2, F.col("quantity") + F.lit(3_000_000_000)).otherwise(F.col("quantity").cast("bigint")),
+                      time=F.when(m == 3, F.lit("some day")))
+
+
+def messages_l(spark: SparkSession, sf_dir: str, extra: Sequence[Column] = (), quantity: Column | None = None,
+               time: Column | None = None) -> DataFrame:
     """Adapter L as JSON message texts; arrival order is (timestamp, product, supplier)."""
     ev = events_l(spark, sf_dir)
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     payload = F.to_json(F.struct(
         "event_id", F.col("customer_id").cast("string").alias("customer_id"),
         F.col("product_id").cast("string").alias("product_id"), "event_type",
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "quantity"))
+        (stamp if time is None else F.coalesce(time, stamp)).alias("timestamp"),
+        (F.col("quantity") if quantity is None else quantity).alias("quantity"), *extra))
     return ev.select(F.col("customer_id").cast("string").alias("key"),
                      F.col("timestamp").alias("arrival_ts"), F.col("product_id").alias("arrival_a"),
                      F.col("supplier_id").alias("arrival_b"), payload.alias("value"))
