@@ -113,10 +113,18 @@ def reason_flags() -> list[tuple[str, Column]]:
     ]
 
 
+def is_valid() -> Column:
+    """No rule fails.  One boolean, so a message costs no reason text unless someone reads it."""
+    failed = F.lit(False)
+    for _, rule in reason_flags():
+        failed = failed | F.coalesce(rule, F.lit(False))
+    return ~failed
+
+
 def reject_reasons() -> Column:
     """array<string> of failed rules, empty for a valid message."""
-    flags = [F.when(failed, F.lit(name)) for name, failed in reason_flags()]
-    return F.array_compact(F.array(*flags))
+    names = F.concat_ws(",", *[F.when(failed, F.lit(name)) for name, failed in reason_flags()])
+    return F.when(names == "", F.array().cast("array<string>")).otherwise(F.split(names, ","))
 
 
 def normalized_currency() -> Column:
@@ -127,12 +135,14 @@ def normalized_currency() -> Column:
 def classify(df: DataFrame, text_col: str = "value") -> DataFrame:
     """Add ``reasons`` (array) and ``is_valid`` to a frame of message texts."""
     parsed = with_parsed(df, text_col)
-    return (parsed.withColumn("reasons", reject_reasons())
-                  .withColumn("is_valid", F.size("reasons") == 0))
+    return parsed.withColumn("is_valid", is_valid()).withColumn("reasons", reject_reasons())
 
 
 def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Valid messages -> typed Bronze rows (schema v1 and v2 share one shape)."""
+    """Valid messages -> typed Bronze rows (schema v1 and v2 share one shape).
+
+    ``message`` is the text as sent, with the fields that have no column.
+    """
     return classified.filter("is_valid").select(
         *keep,
         field("event_id").alias("event_id"),
@@ -142,6 +152,7 @@ def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         field("timestamp").alias("timestamp"),
         quantity_value().alias("quantity"),
         normalized_currency().alias("currency"),
+        F.col(_TEXT).alias("message"),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.dedup import keep_first
+from strata.operators.dedup import keep_first, keep_last
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -37,8 +37,18 @@ def _try_cast(c: Column, sql_type: str) -> Column:
     return c.try_cast(sql_type)
 
 
-def silver_customers(raw: DataFrame) -> DataFrame:
-    """customer_id, customer_name, country, signup_date (date), [extra columns kept]."""
+def _one_per_key(conformed: DataFrame, key: str, last_by: Sequence[str] | None) -> DataFrame:
+    if last_by is None:
+        return keep_first(conformed, key)
+    return keep_last(conformed, key, list(last_by)).drop(*last_by)
+
+
+def silver_customers(raw: DataFrame, last_by: Sequence[str] | None = None) -> DataFrame:
+    """customer_id, customer_name, country, signup_date (date), [extra columns kept].
+
+    Of several rows of a key the last by ``last_by`` (columns then dropped) stays,
+    without it the smallest.
+    """
     extra = [c for c in raw.columns if c not in ("customer_id", "name", "country", "signup_date")]
     conformed = raw.select(
         _text(raw, "customer_id").alias("customer_id"),
@@ -47,10 +57,10 @@ def silver_customers(raw: DataFrame) -> DataFrame:
         F.try_to_date(F.col("signup_date").cast("string")).alias("signup_date"),
         *extra,
     ).filter(F.col("customer_id").isNotNull())
-    return keep_first(conformed, "customer_id")
+    return _one_per_key(conformed, "customer_id", last_by)
 
 
-def silver_products(raw: DataFrame) -> DataFrame:
+def silver_products(raw: DataFrame, last_by: Sequence[str] | None = None) -> DataFrame:
     """product_id, product_name, category, price decimal(10,2) (HALF_UP, overflow -> null), [extra columns kept]."""
     extra = [c for c in raw.columns if c not in ("product_id", "product_name", "category", "price")]
     price = raw.schema["price"].dataType
@@ -62,7 +72,7 @@ def silver_products(raw: DataFrame) -> DataFrame:
         _try_cast(price_col, "decimal(10,2)").alias("price"),
         *extra,
     ).filter(F.col("product_id").isNotNull() & F.col("price").isNotNull())
-    return keep_first(conformed, "product_id")
+    return _one_per_key(conformed, "product_id", last_by)
 
 
 def conform_event_columns(raw: DataFrame) -> DataFrame:

@@ -19,7 +19,11 @@ from strata.operators.dedup import keep_first
 def split(messages: DataFrame, text_col: str = "value",
           keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid Bronze rows, rejected rows with reasons) from message texts."""
-    classified = V.classify(messages, text_col)
+    return parts(V.classify(messages, text_col), text_col, keep)
+
+
+def parts(classified: DataFrame, text_col: str = "value", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The two halves of messages already classified (``validate.classify``)."""
     valid = V.to_bronze(classified, keep=tuple(keep))
     rejected = classified.filter(~F.col("is_valid")).select(
         *keep, F.col(text_col).alias("value"), F.array_join("reasons", ",").alias("reasons"))

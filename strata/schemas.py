@@ -62,7 +62,8 @@ GOLD_CONTRACT = {
                           ("category", "string")) + GOLD_MEASURES,
 }
 
-# Bronze events as stored by the ingest (quantity is the validated integer value).
+# Bronze events as stored by the ingest (quantity is the validated integer value,
+# message the text as sent: fields without a column are kept in it).
 BRONZE_EVENTS = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("customer_id", T.StringType()),
@@ -71,4 +72,5 @@ BRONZE_EVENTS = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("quantity", T.LongType()),
     T.StructField("currency", T.StringType()),
+    T.StructField("message", T.StringType()),
 ])

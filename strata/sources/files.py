@@ -46,10 +46,25 @@ def existing_ids(spark: SparkSession, bronze_path: str, fmt: str = "parquet",
         r = spark.read.format(fmt)
         ids = (r.schema(schema) if schema is not None else r).load(bronze_path).select("event_id")
         return ids.distinct() if distinct else ids
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "event_id string")
 
 
+FILE_ORDER = ("_file", "_block", "_row")
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Columns (``FILE_ORDER``) that sort the rows of file sources by path and place in the file.
+
+    A file is read in blocks and a block's rows are numbered upwards, so the
+    order holds however many splits a file has.
+    """
+    return (df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
+              .withColumn("_row", F.monotonically_increasing_id()))
+
+
 def with_lineage(df: DataFrame) -> DataFrame:
     """Source file of every row (path and file name), from the hidden ``_metadata`` column."""
     return (df.withColumn("source_path", F.col("_metadata.file_path"))
