@@ -4,17 +4,14 @@ Every summary carries the same measures: purchase_count, units_sold and
 revenue = round(sum(quantity * price), 2), computed in exact decimal and cast to
 double at the contract.
 
-Plan shape, chosen by a counted bound on the dimensions:
-
-* dimensions counted small -> broadcast joins per purchase, then one partial +
-  final aggregate (no fact shuffle before the final aggregate);
-* otherwise purchases are first aggregated per (customer_id, product_id) -- a
-  partial (map-side) aggregate, so hot customers or products are combined before
-  any shuffle -- and only those totals meet the dimensions in shuffle joins,
-  collapsed further where the summary allows: per customer before the customer
-  join (by country), per product before the product join (category, product).
-  Because price depends on the product alone, sum(quantity * price) over a pair
-  equals price * sum(quantity), so the result is exact either way.
+Plan shape: each purchase joins the two dimensions, and a partial + final
+aggregate sums what comes out.  Nothing is grouped by (customer, product)
+first: at scale nearly every such pair is a single purchase, so that step would
+shuffle all purchases once more and combine nothing.  The joins are Spark's to
+choose (broadcast by bytes, else shuffles whose skewed partitions AQE splits), a
+hot customer or product is one row per map task in the aggregate, and the
+product summaries, which need a customer only to exist, sum by product before
+they meet the product table, on the partitioning that join needs.
 """
 
 from __future__ import annotations
@@ -36,110 +33,87 @@ def measures(count_col: Column, units_col: Column, amount_col: Column) -> list[C
     ]
 
 
-def purchase_pairs(silver_events: DataFrame, purchase_value: str = PURCHASE) -> DataFrame:
-    """Per (customer, product): number of purchases and units."""
-    return (silver_events.filter(F.col("event_type") == purchase_value)
-            .groupBy("customer_id", "product_id")
-            .agg(F.count("event_id").alias("n"), F.sum("quantity").alias("units")))
+#: Gold table -> its key columns.
+GOLD_KEYS = {
+    "sales_by_country": ["country"],
+    "sales_by_category": ["category"],
+    "top_products": ["product_id", "product_name", "category"],
+}
 
 
-def priced_pairs(silver_events: DataFrame, customers: DataFrame, products: DataFrame,
-                 orphans: str = "drop", broadcast_dims: bool = False, money: str = "decimal") -> DataFrame:
-    """Purchases joined to country and product attributes, with their amount.
+def purchases(silver_events: DataFrame) -> DataFrame:
+    return silver_events.filter(F.col("event_type") == PURCHASE).select(
+        "customer_id", "product_id", F.col("event_id").isNotNull().cast("bigint").alias("n"),
+        F.col("quantity").cast("bigint").alias("units"))
 
-    ``broadcast_dims`` -- to be set only when both dimensions were counted
-    small (``partitioning.fits_broadcast``) -- joins each purchase to broadcast
-    dimensions, so no fact row is shuffled before the final aggregate.
-    Otherwise purchases are first pre-aggregated per (customer, product), and
-    only those pair totals meet the dimensions in shuffle joins.
 
-    ``money="double"`` casts each amount to double before the sum (one variant
-    of the source jobs); the default keeps exact decimal until the contract.
-    """
+def _amount(money: str) -> Column:
     if money not in ("decimal", "double"):
         raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
-    cu = customers.select("customer_id", "country")
-    pr = products.select("product_id", "product_name", "category", "price")
-    if broadcast_dims:
-        facts = silver_events.filter(F.col("event_type") == PURCHASE).select(
-            "customer_id", "product_id", F.col("event_id").isNotNull().cast("bigint").alias("n"),
-            F.col("quantity").cast("bigint").alias("units"))
-        cu, pr = F.broadcast(cu), F.broadcast(pr)
-    else:
-        facts = purchase_pairs(silver_events)
-    facts = attach(facts, cu, "customer_id", orphans, "customer")
-    facts = attach(facts, pr, "product_id", orphans, "product")
     amount = F.col("units") * F.col("price")
-    return facts.withColumn("amount", amount.cast("double") if money == "double" else amount)
+    return amount.cast("double") if money == "double" else amount
+
+
+def priced_purchases(silver_events: DataFrame, customers: DataFrame, products: DataFrame,
+                     orphans: str = "drop", money: str = "decimal") -> DataFrame:
+    """Every purchase with its country, product attributes and amount.
+
+    ``money="double"`` casts each purchase's amount to double before any sum
+    (one variant of the source jobs); the default stays exact decimal until the
+    contract.
+    """
+    amount = _amount(money)
+    facts = attach(purchases(silver_events), customers.select("customer_id", "country"), "customer_id", orphans, "customer")
+    facts = attach(facts, products.select("product_id", "product_name", "category", "price"),
+                   "product_id", orphans, "product")
+    return facts.withColumn("amount", amount)
 
 
 def summarize(priced: DataFrame, by: Sequence[str]) -> DataFrame:
     return priced.groupBy(*by).agg(*measures(F.sum("n"), F.sum("units"), F.sum("amount")))
 
 
-def gold_sales_by_country(silver_events, customers, products, orphans="drop", broadcast_dims=False,
-                          money="decimal"):
-    """Sales by customer country.
-
-    Shuffle-join form: the pair totals are priced first, collapsed to one row
-    per customer, and only then given their country, so the customer join sees
-    at most one row per customer (and reads a customer-bucketed dimension
-    without an exchange).  Orphan handling is unchanged: an unmatched product
-    leaves a null amount that the sums skip; an unmatched customer forms the
-    null-country group under "keep".
-    """
-    if broadcast_dims:
-        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), ["country"])
-    if money not in ("decimal", "double"):
-        raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
-    priced = attach(purchase_pairs(silver_events), products.select("product_id", "price"),
-                    "product_id", orphans, "product")
-    amount = F.col("units") * F.col("price")
-    priced = priced.withColumn("amount", amount.cast("double") if money == "double" else amount)
-    per_customer = priced.groupBy("customer_id").agg(
+def purchase_totals(silver_events, customers, products, orphans="drop") -> DataFrame:
+    """Purchases summed per country and product: the rows that every Gold table is a sum of."""
+    keys = ["country", "product_id", "product_name", "category"]
+    return priced_purchases(silver_events, customers, products, orphans).groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("units").alias("units"), F.sum("amount").alias("amount"))
-    located = attach(per_customer, customers.select("customer_id", "country"), "customer_id", orphans, "customer")
-    return summarize(located, ["country"])
 
 
-def _per_product_priced(silver_events, customers, products, orphans, money) -> DataFrame:
-    """Pair totals that pass the customer check, collapsed per product, then priced.
+def gold_sales_by_country(silver_events, customers, products, orphans="drop", money="decimal"):
+    """Sales by customer country."""
+    return summarize(priced_purchases(silver_events, customers, products, orphans, money), GOLD_KEYS["sales_by_country"])
+
 
-    The product summaries need no customer attribute, only the customer's
-    existence under the orphan policy (semi join for "drop", guard for "fail",
-    nothing for "keep"), so at most one row per product meets the product
-    dimension.
+def _per_product(silver_events, customers, products, orphans, money) -> DataFrame:
+    """Purchases that pass the customer check, summed per product, then priced.
+
+    Only the customer's existence matters here (semi join for "drop", guard for
+    "fail", nothing for "keep"), and price depends on the product alone, so the
+    exact sum of quantity x price is price x the sum of quantities.  Doubles are
+    cast per purchase, so that form prices every purchase.
     """
-    if money not in ("decimal", "double"):
-        raise ValueError(f"money must be 'decimal' or 'double', got {money!r}")
-    pairs = purchase_pairs(silver_events)
+    if money != "decimal":
+        return priced_purchases(silver_events, customers, products, orphans, money)
+    facts = purchases(silver_events)
     if orphans == "drop":
-        pairs = members_of(pairs, customers, "customer_id")
+        facts = members_of(facts, customers, "customer_id")
     elif orphans == "fail":
-        pairs = attach(pairs, customers.select("customer_id"), "customer_id", "fail", "customer")
-    per_product = pairs.groupBy("product_id").agg(F.sum("n").alias("n"), F.sum("units").alias("units"))
-    priced = attach(per_product, products.select("product_id", "product_name", "category", "price"),
+        facts = attach(facts, customers.select("customer_id"), "customer_id", "fail", "customer")
+    totals = facts.groupBy("product_id").agg(F.sum("n").alias("n"), F.sum("units").alias("units"))
+    priced = attach(totals, products.select("product_id", "product_name", "category", "price"),
                     "product_id", orphans, "product")
-    amount = F.col("units") * F.col("price")
-    return priced.withColumn("amount", amount.cast("double") if money == "double" else amount)
+    return priced.withColumn("amount", _amount(money))
 
 
-def gold_sales_by_category(silver_events, customers, products, orphans="drop", broadcast_dims=False,
-                           money="decimal"):
-    """Sales by product category (shuffle-join form: collapsed per product first)."""
-    if broadcast_dims:
-        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), ["category"])
-    return summarize(_per_product_priced(silver_events, customers, products, orphans, money), ["category"])
+def gold_sales_by_category(silver_events, customers, products, orphans="drop", money="decimal"):
+    """Sales by product category."""
+    return summarize(_per_product(silver_events, customers, products, orphans, money), GOLD_KEYS["sales_by_category"])
 
 
-def gold_top_products(silver_events, customers, products, orphans="drop", broadcast_dims=False,
-                      money="decimal"):
-    """Sales per product (shuffle-join form: collapsed per product before the product join,
-    whose output is then already one row per product)."""
-    keys = ["product_id", "product_name", "category"]
-    if broadcast_dims:
-        return summarize(priced_pairs(silver_events, customers, products, orphans, True, money), keys)
-    return summarize(_per_product_priced(silver_events, customers, products, orphans, money), keys)
+def gold_top_products(silver_events, customers, products, orphans="drop", money="decimal"):
+    """Sales per product."""
+    return summarize(_per_product(silver_events, customers, products, orphans, money), GOLD_KEYS["top_products"])
 
 
 def ranked(summary: DataFrame, tie_break: Sequence[str], limit: int | None = None) -> DataFrame:
@@ -149,7 +123,7 @@ def ranked(summary: DataFrame, tie_break: Sequence[str], limit: int | None = Non
 
 
 # ----------------------------------------------------------- enriched summaries
-# Dimensions of the enriched summaries: output name -> enriched column.
+# The enriched summaries' output names -> enriched column.
 SUMMARY_DIMENSIONS = {
     "revenue_by_country": "customer_country",
     "revenue_by_category": "category",
@@ -158,8 +132,9 @@ SUMMARY_DIMENSIONS = {
 
 
 def _exact_amount() -> Column:
-    # total_amount holds whole cents; bring it back to exact decimal before summing.
-    return F.col("total_amount").cast("decimal(20,2)")
+    # total_amount holds whole cents; bring it back to exact decimal before summing
+    # (wide enough for the largest bigint quantity at the largest price).
+    return F.col("total_amount").cast("decimal(32,2)")
 
 
 def summary(enriched: DataFrame, dimension: str, purchase_value: str = "purchase") -> DataFrame:

@@ -44,8 +44,6 @@ def gold(spark: SparkSession, sf_dir: str, kind: str, orphans: str = "drop",
     pr = silver_products(spark, sf_dir, segment)
     build = {"country": G.gold_sales_by_country, "category": G.gold_sales_by_category,
              "products": G.gold_top_products}[kind]
-    # No counted bound here (counting would cost a job per dimension): the
-    # pre-aggregated plan, with joins chosen by Spark's size estimate.
     return build(ev, cu, pr, orphans)
 
 
