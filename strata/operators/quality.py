@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.enrich import orphans_of
+from strata.schemas import DEFAULT_CURRENCY, EVENT_TYPES
 
 
 class QualityGateError(RuntimeError):
@@ -25,13 +26,44 @@ def blank(c: Column) -> Column:
     return c.isNull() | (c.cast("string") == "")
 
 
-def rule_table(df: DataFrame, table_name: str, rules: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Evaluate ``(rule, failed?)`` pairs in one pass; long format output."""
-    agg = df.agg(F.count(F.lit(1)).alias("checked"),
-                 *[F.count_if(F.coalesce(failed, F.lit(True))).alias(f"_r{i}")
-                   for i, (_, failed) in enumerate(rules)])
-    stack = ", ".join(f"'{name}', _r{i}" for i, (name, _) in enumerate(rules))
-    return agg.select(F.expr(f"stack({len(rules)}, {stack}) AS (rule, failed)"),
+# The accepted text forms of a day, and of a day with or without a time of day.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
+def not_iso_date(c: Column) -> Column:
+    text = c.cast("string")
+    return ~F.coalesce(text.rlike(ISO_DATE) & F.try_to_date(text).isNotNull(), F.lit(False))
+
+
+def not_iso_time(c: Column) -> Column:
+    """Neither text of the accepted form that names a real instant nor a timestamp."""
+    text = c.cast("string")
+    return ~F.coalesce(text.rlike(ISO_TIME) & F.try_to_timestamp(F.regexp_replace(text, ",", ".")).isNotNull(), F.lit(False))
+
+
+def any_blank(*columns: Column) -> Column:
+    out = F.lit(False)
+    for c in columns:
+        out = out | blank(c)
+    return out
+
+
+def rule_table(df: DataFrame, table_name: str, rules: Sequence[tuple[str, Column]],
+               unique: str | None = None) -> DataFrame:
+    """Evaluate ``(rule, failed?)`` pairs in one pass; long format output.
+
+    ``unique`` adds the rule ``primary_key``: surplus rows of that column and blank ones.
+    """
+    names = [name for name, _ in rules]
+    tests = [F.count_if(F.coalesce(failed, F.lit(True))) for _, failed in rules]
+    if unique is not None:
+        key = F.col(unique).cast("string")
+        names.append("primary_key")
+        tests.append(F.count(key) - F.count_distinct(key) + F.count_if(blank(key)))
+    agg = df.agg(F.count(F.lit(1)).alias("checked"), *[t.alias(f"_r{i}") for i, t in enumerate(tests)])
+    stack = ", ".join(f"'{name}', _r{i}" for i, name in enumerate(names))
+    return agg.select(F.expr(f"stack({len(names)}, {stack}) AS (rule, failed)"),
                       F.lit(table_name).alias("table_name"), "checked") \
         .select("rule", "table_name", F.col("checked").cast("bigint"), F.col("failed").cast("bigint"))
 
@@ -75,6 +107,36 @@ def fk_rules_as_checks(fk: DataFrame) -> DataFrame:
                      F.lit(None).cast("bigint").alias("checked"), F.col("orphans").alias("failed"))
 
 
+def source_rules(customers: DataFrame, products: DataFrame, events: DataFrame) -> DataFrame:
+    """Every rule on the raw frames: keys, foreign keys and domains, one pass over each table.
+
+    The events meet the distinct keys of both dimensions in left joins, so
+    their foreign-key rules are counted in the same pass as their domains.
+    """
+    known = [dim.select(F.col(key)).where(F.col(key).isNotNull()).distinct().withColumn(f"_has_{key}", F.lit(True))
+             for dim, key in ((customers, "customer_id"), (products, "product_id"))]
+    joined = events.join(known[0], "customer_id", "left").join(known[1], "product_id", "left")
+    present = [F.col(c) for c in events.columns if not c.startswith("_")]
+    if "currency" in events.columns:  # may be absent: then the default applies
+        present = [F.col(c) for c in events.columns if not c.startswith("_") and c != "currency"]
+        present.append(F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY)))
+    return union_all([
+        rule_table(customers, "customers", [
+            ("required_present", any_blank(*[F.col(c) for c in customers.columns])),
+            ("signup_date_iso", not_iso_date(F.col("signup_date")))], unique="customer_id"),
+        rule_table(products, "products", [
+            ("required_present", any_blank(*[F.col(c) for c in products.columns])),
+            ("price_positive", ~(F.trim(F.col("price").cast("string")).try_cast("decimal(38,10)") > 0))], unique="product_id"),
+        rule_table(joined, "events", [
+            ("required_present", any_blank(*present)),
+            ("event_type_domain", ~F.col("event_type").isin(*EVENT_TYPES)),
+            ("quantity_positive", ~(F.col("quantity").try_cast("bigint") > 0)),
+            ("timestamp_iso", not_iso_time(F.col("timestamp"))),
+            ("customer_known", F.col("_has_customer_id").isNull()),
+            ("product_known", F.col("_has_product_id").isNull())], unique="event_id"),
+    ])
+
+
 def assert_clean(rules: DataFrame) -> None:
     """Raise ``QualityGateError`` naming every failing rule (the rules table is tiny)."""
     failing = rules.filter(F.col("failed") > 0).collect()

@@ -16,17 +16,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import validate as V
 from strata.operators import aggregate as G
 from strata.operators import conform as C
 from strata.operators import ingest as I
+from strata.operators import quality as Q
 from strata.operators.enrich import enrich_events, iso_text
-from strata.operators.partitioning import fits_broadcast, spread
-from strata.schemas import BRONZE_EVENTS
+from strata.operators.partitioning import spread
+from strata.schemas import BRONZE_EVENTS, RAW_CUSTOMERS, RAW_EVENTS, RAW_PRODUCTS
 from strata.sinks import files as SK
 from strata.sources import files as SF
 
 LAYER_TABLES = ("customers", "products", "events")
-GOLD_TABLES = ("sales_by_country", "sales_by_category", "top_products")
+GOLD_TABLES = tuple(G.GOLD_KEYS)
 
 
 @dataclass
@@ -55,9 +57,12 @@ def _write_observed(df: DataFrame, path: str, stage: str, metrics: RunMetrics, f
 
 def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt: str = "parquet",
                   orphans: str = "drop", event_order: Sequence[str] | None = None,
-                  database: str | None = None, dim_buckets: int | None = None) -> RunMetrics:
+                  database: str | None = None, dim_buckets: int | None = None, gate: bool = False) -> RunMetrics:
     """Batch medallion over raw ``customers``, ``products``, ``events`` frames.
 
+    With ``gate`` the key, foreign-key and domain rules are checked on the raw
+    frames first, and nothing is written when one fails (``QualityGateError``).
+
     With ``database`` every layer is also a catalog table ``<database>.<layer>_<name>``
     (data under ``dst``, full refresh); without it, plain folders.  With
     ``dim_buckets`` too, the Silver dimensions are stored bucketed and sorted by
@@ -65,6 +70,8 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
     dimensions are then never re-shuffled, only the pair totals are.
     """
     metrics = RunMetrics()
+    if gate:
+        Q.assert_clean(Q.source_rules(raw["customers"], raw["products"], raw["events"]))
     if database is not None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{dst}/_catalog'")
 
@@ -94,15 +101,15 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
         _write_observed(silver[name], f"{dst}/silver/{name}", f"silver_{name}", metrics, fmt,
                         table("silver", name), bucket)
 
+    # All Golds are sums over the same joined purchases: joined once, summed to a
+    # row per country and product, and the three tables come from those rows.
     cu, pr, ev = stored("silver", "customers"), stored("silver", "products"), stored("silver", "events")
-    small = fits_broadcast(metrics.rows.get("silver_customers"), metrics.rows.get("silver_products"))
-    gold = {
-        "sales_by_country": G.gold_sales_by_country(ev, cu, pr, orphans, small),
-        "sales_by_category": G.gold_sales_by_category(ev, cu, pr, orphans, small),
-        "top_products": G.gold_top_products(ev, cu, pr, orphans, small),
-    }
-    for name in GOLD_TABLES:
-        _write_observed(gold[name], f"{dst}/gold/{name}", f"gold_{name}", metrics, fmt, table("gold", name))
+    shared = G.purchase_totals(ev, cu, pr, orphans).persist()
+    try:
+        for name, keys in G.GOLD_KEYS.items():
+            _write_observed(G.summarize(shared, keys), f"{dst}/gold/{name}", f"gold_{name}", metrics, fmt, table("gold", name))
+    finally:
+        shared.unpersist()
     return metrics
 
 
@@ -125,29 +132,44 @@ def table_counts_sql(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql("\nUNION ALL\n".join(parts))
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """Raw events -> JSON message texts (ids as text, ISO time with Z)."""
+def to_messages(events: DataFrame, arrival: dict[str, str] | None = None) -> DataFrame:
+    """Raw events -> JSON message texts (ids as text, ISO time with Z).
+
+    ``arrival`` names the columns that order the messages: output name -> event column.
+    """
     ts = F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return events.select(F.to_json(F.struct(
+    return events.select(*[F.col(c).alias(name) for name, c in (arrival or {}).items()], F.to_json(F.struct(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
         F.col("product_id").cast("string").alias("product_id"),
         "event_type", ts.alias("timestamp"), "quantity")).alias("value"))
 
 
-def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival: Sequence[str] = (),
+def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival: Sequence[str],
                     metrics: RunMetrics | None = None, run_id: str | None = None) -> RunMetrics:
     """Batch ingest: valid, first-arriving, not-yet-stored events appended to ``dst/bronze``;
     rejects (with reasons) kept per run under ``dst/rejected/run=<run_id>``.
 
-    Dead letters accumulate across runs; a retried run (same ``run_id``)
-    rewrites its own folder instead of adding copies.
+    ``arrival`` are the message columns in whose order copies of an id arrive;
+    without one there is no first copy.  Dead letters accumulate across runs; a
+    retried run (same ``run_id``) rewrites its own folder instead of adding copies.
+    Messages are parsed once for both outputs.
     """
+    if not arrival:
+        raise ValueError("arrival columns are needed to tell which copy of an event came first")
     metrics = metrics or RunMetrics()
     run_id = run_id or uuid.uuid4().hex
-    valid, rejected = I.split(messages, keep=tuple(arrival))
-    order = list(arrival) or [c for c in valid.columns if c != "event_id"]
-    firsts = I.first_arrivals(valid, order)
+    classified = V.classify(messages).persist()
+    try:
+        valid, rejected = I.parts(classified, keep=tuple(arrival))
+        _store_ingest(spark, I.first_arrivals(valid, arrival), rejected, dst, arrival, metrics, run_id)
+    finally:
+        classified.unpersist()
+    return metrics
+
+
+def _store_ingest(spark: SparkSession, firsts: DataFrame, rejected: DataFrame, dst: str, arrival: Sequence[str],
+                  metrics: RunMetrics, run_id: str) -> None:
     SK.ensure_dataset(spark, f"{dst}/bronze", BRONZE_EVENTS)
     stored = SF.existing_ids(spark, f"{dst}/bronze", schema=BRONZE_EVENTS, distinct=False)
     fresh = I.new_only(firsts, stored)
@@ -158,7 +180,6 @@ def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival:
     metrics.duration_ms["bronze"] = round((time.perf_counter() - started) * 1000, 2)
     metrics.rows["bronze"] = obs.get["rows"]
     _write_observed(rejected.drop(*arrival), f"{dst}/rejected/run={run_id}", "rejected", metrics, "json")
-    return metrics
 
 
 def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: DataFrame, products: DataFrame,
@@ -166,33 +187,40 @@ def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: Data
                          summary_format: str = "jsonl") -> RunMetrics:
     """Bronze events -> enriched Silver (JSON lines) -> one summary per dimension.
 
-    Summaries are JSON lines, or JSON array documents with ``summary_format="array"``
-    (one document per partition, sorted by the dimension within it).
+    An event whose time cannot be parsed is no sale, as in ``silver_events``, and
+    is left out.  Summaries are JSON lines, or JSON array documents with
+    ``summary_format="array"`` (one document per partition, sorted by the
+    dimension within it).  They come from one scan of the stored Silver.
     """
     if summary_format not in ("jsonl", "array"):
         raise ValueError(f"summary_format must be 'jsonl' or 'array', got {summary_format!r}")
     metrics = metrics or RunMetrics()
     typed = bronze.select(
         "event_id", "customer_id", "product_id", "event_type", "currency",
-        F.try_to_timestamp("timestamp").alias("event_timestamp"), F.col("quantity").cast("int").alias("quantity"))
+        F.try_to_timestamp("timestamp").alias("event_timestamp"), F.col("quantity").cast("bigint").alias("quantity")
+    ).where(F.col("event_timestamp").isNotNull())
     enriched = enrich_events(typed, customers, products, orphans=orphans)
     enriched = enriched.withColumn("event_timestamp", iso_text("event_timestamp"))
     _write_observed(enriched, f"{dst}/silver_enriched", "silver_enriched", metrics, "json")
 
-    silver = SF.read_json_lines(spark, f"{dst}/silver_enriched")
-    for name, dim in G.SUMMARY_DIMENSIONS.items():
-        summary = G.summary(silver, dim)
-        if summary_format == "array":
-            started = time.perf_counter()
-            SK.write_json_array(summary.sortWithinPartitions("dimension"), f"{dst}/gold/{name}")
-            metrics.duration_ms[f"gold_{name}"] = round((time.perf_counter() - started) * 1000, 2)
-        else:
-            _write_observed(summary, f"{dst}/gold/{name}", f"gold_{name}", metrics, "json")
+    silver = SF.read_json_lines(spark, f"{dst}/silver_enriched", enriched.schema)
+    every = G.summary_all(silver).persist()
+    try:
+        for name in G.SUMMARY_DIMENSIONS:
+            summary = every.where(F.col("summary") == name).drop("summary")
+            if summary_format == "array":
+                started = time.perf_counter()
+                SK.write_json_array(summary.sortWithinPartitions("dimension"), f"{dst}/gold/{name}")
+                metrics.duration_ms[f"gold_{name}"] = round((time.perf_counter() - started) * 1000, 2)
+            else:
+                _write_observed(summary, f"{dst}/gold/{name}", f"gold_{name}", metrics, "json")
+    finally:
+        every.unpersist()
     return metrics
 
 
 def run_enriched(spark: SparkSession, messages: DataFrame, customers: DataFrame, products: DataFrame,
-                 dst: str, arrival: Sequence[str] = (), orphans: str = "fail") -> RunMetrics:
+                 dst: str, arrival: Sequence[str], orphans: str = "fail") -> RunMetrics:
     """Incremental path: messages -> Bronze (validated, deduped) -> enriched Silver -> summaries.
 
     Bronze is appended with only ids it does not hold; rejects go to their own
@@ -215,20 +243,21 @@ RAW_FILES = {"customers": "customers.csv", "products": "products.csv", "events":
 def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """The three raw exports: header CSVs (all text) and a JSON array of events."""
     return {
-        "customers": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['customers']}"),
-        "products": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['products']}"),
+        "customers": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['customers']}", RAW_CUSTOMERS),
+        "products": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['products']}", RAW_PRODUCTS),
         # one task per array document; spread before the per-row work
-        "events": spread(SF.read_json_array(spark, f"{raw_dir}/{RAW_FILES['events']}")),
+        "events": spread(SF.read_json_array(spark, f"{raw_dir}/{RAW_FILES['events']}", RAW_EVENTS)),
     }
 
 
 def medallion_from_files(spark: SparkSession, raw_dir: str, dst: str, fmt: str = "parquet",
-                         orphans: str = "drop", database: str | None = None) -> RunMetrics:
+                         orphans: str = "drop", database: str | None = None, gate: bool = False) -> RunMetrics:
     """The batch medallion over a raw folder, as the managed job runs it."""
-    return run_medallion(spark, read_raw(spark, raw_dir), dst, fmt=fmt, orphans=orphans, database=database)
+    return run_medallion(spark, read_raw(spark, raw_dir), dst, fmt=fmt, orphans=orphans, database=database, gate=gate)
 
 
 def dimensions_from_files(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Conformed customer and product dimensions from the raw CSVs."""
+    """Conformed customer and product dimensions from the raw CSVs; a key's last row in the files wins."""
     raw = read_raw(spark, raw_dir)
-    return C.silver_customers(raw["customers"]), C.silver_products(raw["products"])
+    return (C.silver_customers(SF.in_file_order(raw["customers"]), last_by=SF.FILE_ORDER),
+            C.silver_products(SF.in_file_order(raw["products"]), last_by=SF.FILE_ORDER))

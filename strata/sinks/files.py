@@ -69,6 +69,8 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     so later joins on ``key`` read it co-partitioned (no shuffle, no sort on
     this side).
     """
+    if bucket_by is not None:
+        df = df.repartition(*bucket_by)  # a task a bucket, so a file a bucket
     w = df.write.mode("overwrite").format(fmt)
     if path is not None:
         w = w.option("path", path)
