@@ -1,8 +1,10 @@
 """Job entry points: ``python -m strata <command>``, or on a cluster
 ``spark-submit --py-files strata.zip strata/__main__.py <command>``.
 
-    medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail]
-    ingest    --topic DIR --root DIR [--format parquet] [--max-files N] [--every "1 minute"] [--sink-format parquet|json]
+    medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail] [--gate]
+    publish   --events FILE --topic DIR|NAME [--broker HOST:PORT]
+    ingest    --topic DIR|NAME --root DIR [--format parquet] [--broker HOST:PORT [--group ID] [--max-offsets N]]
+              [--max-files N] [--max-messages N] [--every "1 minute"] [--sink-format parquet|json]
     enrich    --root DIR --raw DIR [--orphans fail|drop|keep] [--sink-format parquet|json]
     generate  --out DIR (--tables DIR | --customers N --products N --events N) [--seed 42]
 
@@ -23,6 +25,7 @@ from strata.plans import medallion as M
 from strata.session import ensure_utc
 from strata.sinks import files as SK
 from strata.sources import adapters as A
+from strata.sources import files as SF
 from strata.streaming import bronze as SB
 from strata.streaming import topic as T
 
@@ -36,11 +39,20 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--format", default="parquet")
     m.add_argument("--database")
     m.add_argument("--orphans", default="drop", choices=("drop", "keep", "fail"))
+    m.add_argument("--gate", action="store_true", help="check keys, foreign keys and domains first; write nothing if one fails")
+    u = sub.add_parser("publish", help="a JSON array of events -> keyed topic")
+    u.add_argument("--events", required=True)
+    u.add_argument("--topic", required=True, help="folder, or topic name with --broker")
+    u.add_argument("--broker")
     i = sub.add_parser("ingest", help="topic -> validated, de-duplicated Bronze + dead letters")
     i.add_argument("--topic", required=True)
     i.add_argument("--root", required=True)
     i.add_argument("--format", default="parquet")
+    i.add_argument("--broker", help="read the topic of this name from a Kafka broker")
+    i.add_argument("--group", help="consumer group at the broker")
+    i.add_argument("--max-offsets", type=int, help="most messages of a micro-batch from a broker")
     i.add_argument("--max-files", type=int)
+    i.add_argument("--max-messages", type=int, help="stop after the micro-batch that reaches this many")
     i.add_argument("--every", help="processing-time trigger; default: process what is available, then stop")
     i.add_argument("--sink-format", default="parquet", choices=("parquet", "json"))
     e = sub.add_parser("enrich", help="Bronze -> enriched Silver -> summaries")
@@ -64,15 +76,25 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
     ensure_utc(spark)
     if args.command == "medallion":
         M.medallion_from_files(spark, args.raw, args.lake, fmt=args.format, orphans=args.orphans,
-                               database=args.database)
+                               database=args.database, gate=args.gate)
+    elif args.command == "publish":
+        events = SF.in_file_order(SF.read_json_array(spark, args.events))
+        fields = [c for c in events.columns if c not in SF.FILE_ORDER]
+        records = T.publish_frame(events, "customer_id", fields, keep={"arrival_a": "_block", "arrival_b": "_row"})
+        if args.broker:
+            T.write_topic(records, args.topic, fmt="kafka", options=T.kafka_options(args.broker, args.topic, reading=False))
+        else:
+            T.write_topic(records, args.topic)
     elif args.command == "ingest":
-        source = T.read_topic_stream(spark, args.topic, fmt=args.format, max_files_per_trigger=args.max_files)
+        options = T.kafka_options(args.broker, args.topic, args.group) if args.broker else None
+        source = T.read_topic_stream(spark, args.topic, fmt="kafka" if args.broker else args.format, options=options,
+                                     max_files_per_trigger=args.max_files, max_offsets_per_trigger=args.max_offsets)
         if args.every:
             query, _ = SB.start(spark, source, args.root, available_now=False, processing_time=args.every,
                                 sink_format=args.sink_format)
             query.awaitTermination()
         else:
-            SB.run_available(spark, source, args.root, sink_format=args.sink_format)
+            SB.run_available(spark, source, args.root, sink_format=args.sink_format, max_messages=args.max_messages)
     elif args.command == "enrich":
         cu, pr = M.dimensions_from_files(spark, args.raw)
         bronze = SB.read_bronze(spark, args.root, fmt=args.sink_format)

@@ -15,10 +15,10 @@ every id already stored.  One writer per Bronze path.
 
 Scale: the batch is bounded by the trigger (``maxFilesPerTrigger`` /
 ``maxOffsetsPerTrigger``).  The Bronze check looks up only the batch's ids:
-Bronze's id column is semi-joined with the batch ids, broadcast when the
-batch's message count -- observed on the reject write, an upper bound on its
-ids -- is under ``broadcast_ids``, shuffled otherwise; Bronze itself is never
-shuffled for a small batch.  In-batch first arrival is a partial-aggregated
+Bronze's id column is semi-joined with the batch ids; Spark broadcasts those
+when their bytes are under its threshold and shuffles otherwise.  The batch's
+first arrivals are kept (disk and memory) for the lookup and the write, so they
+are computed once.  In-batch first arrival is a partial-aggregated
 ``keep_first``, so an id repeated a million times in one batch is combined
 map-side.  The lookup reads Bronze's id column once per batch (see README,
 "Known limit").
@@ -27,6 +27,7 @@ map-side.  The lookup reads Bronze's id column once per batch (see README,
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,7 +37,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import validate as V
 from strata.operators.dedup import keep_first
-from strata.operators.partitioning import spread
 from strata.schemas import BRONZE_EVENTS
 from strata.sinks.files import ensure_dataset
 
@@ -50,15 +50,15 @@ class BronzeIngest:
     """The ``foreachBatch`` body; paths must be on storage every executor sees."""
 
     def __init__(self, spark: SparkSession, bronze: str, rejects: str, metrics: str,
-                 checkpoint: str, arrival: Sequence[str] = ARRIVAL, broadcast_ids: int = 2_000_000,
+                 checkpoint: str, arrival: Sequence[str] = ARRIVAL,
                  sink_format: str = "parquet"):
         self.spark = spark
         self.fmt = sink_format
         self.bronze, self.rejects, self.metrics = bronze, rejects, metrics
         self.checkpoint = checkpoint
         self.arrival = list(arrival)
-        self.broadcast_ids = broadcast_ids
         self._run_id: str | None = None
+        self.messages = 0  # taken by this run so far
 
     def run_id(self) -> str:
         # The stream's id is stored in its checkpoint and survives restarts.
@@ -67,22 +67,17 @@ class BronzeIngest:
             self._run_id = json.loads(meta)["id"].replace("-", "")
         return self._run_id
 
-    def _stored_ids(self, own_batch: str, batch_ids: DataFrame, id_bound: int) -> DataFrame:
-        """Bronze ids that also occur in this batch.
-
-        ``id_bound`` (the batch's message count) bounds the number of batch ids,
-        so the broadcast decision rests on a proven size, not an estimate.
-        """
+    def _stored_ids(self, own_batch: str, batch_ids: DataFrame) -> DataFrame:
+        """Bronze ids that also occur in this batch."""
         bronze = self.spark.read.schema(BRONZE_READ).format(self.fmt).load(self.bronze)
         ids = bronze.filter(F.col("batch") != own_batch).select("event_id")
-        lookup = F.broadcast(batch_ids) if id_bound <= self.broadcast_ids else batch_ids
-        return ids.join(lookup, "event_id", "left_semi")
+        return ids.join(batch_ids, "event_id", "left_semi")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         tag = f"q{self.run_id()}_{batch_id}"
         # The parsed batch feeds both the reject and the Bronze write; keep it.
-        # A batch of one or two files is spread over the cores before parsing.
-        classified = V.classify(spread(batch)).persist()
+        classified = V.classify(batch).persist()
+        firsts = None
         try:
             # The reject write also counts every message (the observation sits
             # before the filter), so no separate counting job is needed.
@@ -95,8 +90,8 @@ class BronzeIngest:
             counts = seen.get
 
             valid = V.to_bronze(classified, keep=tuple(self.arrival))
-            firsts = keep_first(valid, "event_id", self.arrival)
-            known = self._stored_ids(tag, firsts.select("event_id"), int(counts["messages"]))
+            firsts = keep_first(valid, "event_id", self.arrival).persist()
+            known = self._stored_ids(tag, firsts.select("event_id"))
             fresh = firsts.join(known, "event_id", "left_anti").drop(*self.arrival)
             wrote = Observation(f"stored_{tag}")
             fresh.observe(wrote, F.count(F.lit(1)).alias("stored")) \
@@ -105,8 +100,11 @@ class BronzeIngest:
             row = [(int(batch_id), int(counts["messages"]), int(counts["rejected"]), int(wrote.get["stored"]))]
             self.spark.createDataFrame(row, "batch_id bigint, messages bigint, rejected bigint, stored bigint") \
                 .write.mode("overwrite").parquet(f"{self.metrics}/batch={tag}")
+            self.messages += int(counts["messages"])
         finally:
             classified.unpersist()
+            if firsts is not None:
+                firsts.unpersist()
 
 
 def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,
@@ -127,11 +125,25 @@ def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | N
 
 
 def run_available(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,
-                  timeout_s: int = 600, sink_format: str = "parquet") -> None:
-    """Process everything available now, then stop (bounded wait)."""
-    q, _ = start(spark, source, root, checkpoint, sink_format=sink_format)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+                  timeout_s: int | None = None, sink_format: str = "parquet", max_messages: int | None = None) -> None:
+    """Process everything available now, then stop; limits only where the caller sets them.
+
+    ``max_messages`` ends the run once so many messages were taken, at the end
+    of a micro-batch (the trigger bounds those); a batch begun meanwhile is
+    dropped and done again by the run that resumes.
+    """
+    q, sink = start(spark, source, root, checkpoint, sink_format=sink_format)
+    if max_messages is None:
+        finished = q.awaitTermination(timeout_s)
+    else:
+        end = None if timeout_s is None else time.monotonic() + timeout_s
+        finished = False
+        while not finished and (end is None or time.monotonic() < end):
+            finished = q.awaitTermination(1)
+            if sink.messages >= max_messages and not finished:
+                q.stop()
+                return
+    if timeout_s is not None and not finished:
         q.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     if q.exception() is not None:

@@ -24,23 +24,26 @@ TOPIC_SCHEMA = T.StructType([
     T.StructField("arrival_b", T.LongType()),
 ])
 
-# Fixed value: partitions of the event topic.
-TOPIC_PARTITIONS = 3
+def publish_frame(events: DataFrame, key: str = "customer_id", fields: Sequence[str] | None = None,
+                  keep: dict[str, str] | None = None) -> DataFrame:
+    """key = text of ``key``; value = JSON object of ``fields`` (default: all columns).
 
-
-def publish_frame(events: DataFrame, key: str = "customer_id",
-                  fields: Sequence[str] | None = None) -> DataFrame:
-    """key = text of ``key``; value = JSON object of ``fields`` (default: all columns)."""
+    ``keep`` adds columns that order the records: topic column -> event column.
+    """
     cols = list(fields or events.columns)
-    return events.select(F.col(key).cast("string").alias("key"),
-                         F.to_json(F.struct(*cols)).alias("value"))
+    return events.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*cols)).alias("value"),
+                         *[F.col(c).alias(name) for name, c in (keep or {}).items()])
 
 
-def keyed(df: DataFrame, partitions: int = TOPIC_PARTITIONS,
+def keyed(df: DataFrame, partitions: int | None = None,
           order: Sequence[str] = ("arrival_ts", "arrival_a", "arrival_b")) -> DataFrame:
-    """Same key -> same partition; arrival order kept inside a partition."""
+    """Same key -> same partition; arrival order kept inside a partition.
+
+    Without ``partitions`` the shuffle setting and its size-driven merging decide.
+    """
     present = [c for c in order if c in df.columns]
-    return df.repartition(partitions, "key").sortWithinPartitions("key", *present)
+    dealt = df.repartition("key") if partitions is None else df.repartition(partitions, "key")
+    return dealt.sortWithinPartitions("key", *present)
 
 
 def kafka_options(broker: str, topic: str, group_id: str | None = None, reading: bool = True) -> dict:
@@ -55,7 +58,7 @@ def kafka_options(broker: str, topic: str, group_id: str | None = None, reading:
     return opts
 
 
-def write_topic(df: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS, fmt: str = "parquet",
+def write_topic(df: DataFrame, path: str, partitions: int | None = None, fmt: str = "parquet",
                 options: dict | None = None) -> None:
     """Publish records to a topic; the default is a folder of per-partition files.
 
