@@ -94,22 +94,6 @@ SELECT {col} AS dimension, {SUMMARY_MEASURES}
 FROM enr WHERE event_type = 'purchase' GROUP BY {col}"""
 
 
-# Generator catalogue (fixed values) and the integer mix, restated for DuckDB.
-FIRST = "['Amira', 'Omar', 'Sofia', 'Daniel', 'Aisha', 'Liam', 'Maya', 'Yuki', 'Chloe', 'Ravi', 'Fatima', 'Lucas']"
-LAST = ("['Al-Tamimi', 'Khan', 'Martinez', 'Smith', 'Chen', 'Okafor', 'Dubois', 'Silva', 'Andersson', "
-        "'Patel', 'Sato', 'Haddad']")
-COUNTRIES = ("['Saudi Arabia', 'United Arab Emirates', 'United States', 'United Kingdom', 'Canada', 'Germany', "
-             "'India', 'Japan', 'Brazil', 'Australia', 'Nigeria', 'South Africa']")
-PNAMES = ("['Wireless Keyboard', 'USB-C Laptop Hub', 'Data Engineering Handbook', 'Insulated Water Bottle', "
-          "'Noise Cancelling Headphones', 'Running Shoes', 'Cotton Overshirt', 'Smart LED Desk Lamp']")
-PCATS = "['Electronics', 'Electronics', 'Books', 'Home', 'Electronics', 'Sports', 'Clothing', 'Home']"
-PPRICES = "[279.0, 149.0, 159.0, 85.0, 599.0, 349.0, 179.0, 129.0]::DOUBLE[]"
-
-
-def mix(n: str, field_no: int, seed: int = 42) -> str:
-    return f"(((({n}) % 2147483647) * 16807 % 2147483647 + {seed} * 69621 + {field_no} * 40692) % 2147483647 * 48271 % 2147483647)"
-
-
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["gold_top_products"] = gold_sql("products")
@@ -281,7 +265,7 @@ SELECT 'required_present' AS rule, 'customers' AS table_name, cast(count(*) AS b
 UNION ALL SELECT 'signup_date_iso', 'customers', count(*), count(*) FILTER (WHERE c_custkey % 10 IN (3, 6)) FROM customer
 UNION ALL SELECT 'required_present', 'products', count(*), count(*) FILTER (WHERE p_partkey % 10 = 4) FROM part
 UNION ALL SELECT 'price_positive', 'products', count(*), count(*) FILTER (WHERE p_partkey % 10 IN (2, 6)) FROM part
-UNION ALL SELECT 'required_present', 'events', count(*), count(*) FILTER (WHERE m IN (1, 2, 5, 8, 16, 24)) FROM dm
+UNION ALL SELECT 'required_present', 'events', count(*), count(*) FILTER (WHERE m IN (1, 2, 5, 8, 16, 22, 23, 24)) FROM dm
 UNION ALL SELECT 'event_type_domain', 'events', count(*),
        count(*) FILTER (WHERE m IN (6, 7, 24) OR et NOT IN ('view', 'add_to_cart', 'purchase')) FROM dm
 UNION ALL SELECT 'quantity_positive', 'events', count(*),
@@ -306,7 +290,7 @@ FROM sev JOIN cust USING (customer_id) JOIN prod USING (product_id)
 WHERE event_type = 'PURCHASE'
 GROUP BY product_id, product_name, category"""
     q["gold_contract"] = contract
-    q["external_gold_query"] = contract + "\nORDER BY revenue DESC"
+    q["external_gold_query"] = contract + "\nORDER BY revenue DESC, product_id"
     text_events = """SELECT cast(event_id AS varchar) AS event_id, cast(user_id AS varchar) AS customer_id,
        json_extract_string(props, '$.k') AS product_id, event_type,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, cast(floor(value) AS bigint) AS quantity
@@ -346,27 +330,6 @@ FROM l WHERE rn = 1"""
     q["publish_payload"] = """SELECT cast(user_id AS varchar) AS key, cast(event_id AS varchar) AS event_id,
        cast(user_id AS varchar) AS customer_id, json_extract_string(props, '$.k') AS product_id, event_type,
        cast(floor(value) AS int) AS quantity
-FROM events"""
-    # ---- generation
-    n = "(c_custkey + 1)"
-    q["gen_customers"] = f"""SELECT printf('C%03d', {n}) AS customer_id,
-       ({FIRST})[{mix(n, 1)} % 12 + 1] || ' ' || ({LAST})[{mix(n, 2)} % 12 + 1] AS name,
-       ({COUNTRIES})[{mix(n, 3)} % 12 + 1] AS country,
-       strftime(DATE '2026-01-01' + CAST({mix(n, 4)} % 90 AS INTEGER), '%Y-%m-%d') AS signup_date
-FROM customer"""
-    n = "(p_partkey + 1)"
-    q["gen_products"] = f"""SELECT printf('P%03d', {n}) AS product_id,
-       CASE WHEN {n} <= 8 THEN ({PNAMES})[({n} - 1) % 8 + 1]
-            ELSE ({PNAMES})[({n} - 1) % 8 + 1] || ' ' || cast({n} AS varchar) END AS product_name,
-       ({PCATS})[({n} - 1) % 8 + 1] AS category,
-       ({PPRICES})[({n} - 1) % 8 + 1] AS price
-FROM part"""
-    n = "(event_id + 1)"
-    q["gen_events"] = f"""SELECT printf('E%04d', {n}) AS event_id, printf('C%03d', user_id + 1) AS customer_id,
-       printf('P%03d', cast(json_extract_string(props, '$.k') AS bigint) + 1) AS product_id,
-       (['view', 'add_to_cart', 'purchase'])[{mix(n, 5)} % 3 + 1] AS event_type,
-       strftime(TIMESTAMP '2026-03-01 00:00:00' + to_seconds({mix(n, 6)} % 1209600), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
-       cast({mix(n, 7)} % 3 + 1 AS int) AS quantity
 FROM events"""
     # ---- gold over order-line events (dedup first)
     for key, kind in (("l_gold_sales_by_country", "country"), ("l_gold_top_products", "products")):
@@ -377,7 +340,27 @@ SELECT {keys}, {MEASURES}
 FROM sl JOIN cust USING (customer_id) JOIN prod USING (product_id)
 GROUP BY {keys}"""
     # ---- lineage: the file each row was read from
-    q["with_lineage"] = "SELECT event_id, 'events.parquet' AS source_file FROM events"
+    q["with_lineage"] = "SELECT event_id, true AS from_parquet, true AS from_events FROM events"
+    q["with_ingest_time"] = "SELECT count(*) AS rows, count(*) AS timed, cast(1 AS bigint) AS times FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    q["keyed_order"] = """SELECT cast(user_id AS varchar) AS key, count(*) AS n, cast(1 AS bigint) AS partitions,
+       cast(0 AS bigint) AS inversions FROM events GROUP BY user_id"""
+    q["gold_country_double"] = f"""WITH {EV}, {CUST}, {PROD}
+SELECT country, count(event_id) AS purchase_count, cast(sum(quantity) AS bigint) AS units_sold,
+       round(sum(cast(quantity * price AS double)), 2) AS revenue
+FROM sev JOIN cust USING (customer_id) JOIN prod USING (product_id)
+WHERE event_type = 'PURCHASE' GROUP BY country"""
+    q["enriched_gold_dirty"] = f"""WITH {CUST}, {PROD},
+lines AS (
+  SELECT l_orderkey || '-' || l_linenumber AS event_id, o_custkey AS customer_id, l_partkey AS product_id,
+         l_returnflag = 'N' AS sale, l_suppkey % 4 AS m,
+         cast(l_quantity AS bigint) + CASE WHEN l_suppkey % 4 = 2 THEN 3000000000 ELSE 0 END AS quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY l_shipdate, l_partkey, l_suppkey) = 1)
+SELECT country AS dimension, count(*) AS purchase_count, cast(sum(quantity) AS bigint) AS units_sold,
+       cast(round(sum(cast(quantity * price AS decimal(32,2))), 2) AS double) AS revenue
+FROM lines JOIN cust USING (customer_id) JOIN prod USING (product_id) WHERE sale AND m <> 3 GROUP BY country
+UNION ALL SELECT 'kept channel', count(*), cast(0 AS bigint), 0.0::double FROM lines WHERE m = 1"""
+    q["gated_pipeline"] = gold_sql("country")
     # ---- rows written per stage of a layered run
     q["run_stage_rows"] = f"""WITH {EV}, {CUST}, {PROD}
 SELECT 'bronze_customers' AS stage, cast(count(*) AS bigint) AS rows FROM customer JOIN nation ON c_nationkey = n_nationkey

@@ -40,15 +40,9 @@ QUANTITY_MAX = 3
 DEFAULT_SEED = 42
 # -----------------------------------------------------------------------------
 
-MODULUS = 2147483647  # 2^31 - 1
-MULTIPLIER = 48271
-
-
 def draw(number: Column, seed: int, field_no: int) -> Column:
-    """Pseudo-random integer in [0, 2^31 - 1) for (number, seed, field)."""
-    base = (number % MODULUS) * 16807 % MODULUS
-    mixed = (base + seed * 69621 + field_no * 40692) % MODULUS
-    return mixed * MULTIPLIER % MODULUS
+    """Pseudo-random integer >= 0 for (number, seed, field); different fields are independent."""
+    return F.pmod(F.xxhash64(number.cast("bigint"), F.lit(seed), F.lit(field_no)), F.lit(2**62))
 
 
 def _pick(values: list, index: Column) -> Column:

@@ -10,20 +10,19 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions import validate as V
 from strata.operators import aggregate as G
 from strata.operators import conform as C
-from strata.operators import generate as GEN
 from strata.operators import ingest as I
 from strata.operators import quality as Q
 from strata.operators.dedup import keep_last
 from strata.operators.enrich import iso_text, members_of, orphans_of
 from strata.plans import layers as L
 from strata.plans import medallion as M
-from strata.schemas import EVENT_TYPES, GOLD_CONTRACT, SILVER_SUMMARY_READ
+from strata.schemas import BRONZE_EVENTS, EVENT_TYPES, GOLD_CONTRACT, REQUIRED_EVENT_FIELDS, SILVER_SUMMARY_READ
 from strata.session import ensure_utc, scratch_path
 from strata.sinks import files as SK
 from strata.sources import adapters as A
@@ -172,7 +171,7 @@ def normalize_currency(spark, d):
 def valid_events(spark, d):
     """SURVEY FLT7, VAL1-5."""
     valid, _ = I.split(A.messages_d(spark, d), keep=("record_id",))
-    return valid.drop("timestamp")
+    return valid.drop("timestamp", "message")
 
 
 @register("rejected_events")
@@ -243,11 +242,7 @@ def _silver_jsonl(spark, d):
 
 
 def category_summary(silver: DataFrame) -> DataFrame:
-    purchases = silver.filter(F.col("event_type") == "purchase")
-    return (purchases.groupBy("category")
-            .agg(*G.measures(F.count("event_id"), F.sum("quantity"),
-                             F.sum(F.col("total_amount").cast("decimal(20,2)"))))
-            .orderBy("category"))
+    return G.summary(silver, "category").withColumnRenamed("dimension", "category").orderBy("category")
 
 
 @register("category_summary_typed")
@@ -312,27 +307,24 @@ def domain_rules(spark, d) -> DataFrame:
     cu = A.dirty_customers(spark, d)
     pr = A.dirty_products(spark, d)
     msgs = V.with_parsed(A.messages_d(spark, d))
-    fields = ("event_id", "customer_id", "product_id", "event_type", "timestamp", "quantity")
-    ev_required = F.lit(False)
-    for f in fields:
-        ev_required = ev_required | Q.blank(V.field(f))
+    # every field that a message carries, and those it must
+    ev_required = Q.any_blank(*[V.field(f) for f in REQUIRED_EVENT_FIELDS]) | F.exists(
+        F.map_values(F.col("_msg_map")), lambda v: v.isNull() | (v == ""))
     q = V.quantity_value()
     return Q.union_all([
         Q.rule_table(cu, "customers", [
-            ("required_present", Q.blank(F.col("customer_id")) | Q.blank(F.col("name"))
-             | Q.blank(F.col("country")) | Q.blank(F.col("signup_date"))),
-            ("signup_date_iso", F.try_to_date("signup_date").isNull()),
+            ("required_present", Q.any_blank(*[F.col(c) for c in cu.columns])),
+            ("signup_date_iso", Q.not_iso_date(F.col("signup_date"))),
         ]),
         Q.rule_table(pr, "products", [
-            ("required_present", Q.blank(F.col("product_id")) | Q.blank(F.col("product_name"))
-             | Q.blank(F.col("category")) | Q.blank(F.col("price"))),
+            ("required_present", Q.any_blank(*[F.col(c) for c in pr.columns])),
             ("price_positive", ~(F.trim("price").try_cast("decimal(38,10)") > 0)),
         ]),
         Q.rule_table(msgs, "events", [
             ("required_present", ev_required),
             ("event_type_domain", ~V.field("event_type").isin(*EVENT_TYPES)),
             ("quantity_positive", ~(q > 0)),
-            ("timestamp_iso", F.try_to_timestamp(V.field("timestamp")).isNull()),
+            ("timestamp_iso", Q.not_iso_time(V.field("timestamp"))),
         ]),
     ])
 
@@ -357,6 +349,24 @@ def gated_gold(spark, d):
     return L.gold(spark, d, "country")
 
 
+@register("gated_pipeline")
+def gated_pipeline(spark, d):
+    """The layered run over accepted events behind every rule: keys, foreign keys, domains. [SURVEY DQ6, PIP1]"""
+    raw = _raw_e(spark, d)
+    accepted = raw["events"].filter(F.col("event_type").isin(*EVENT_TYPES) & (F.col("quantity") > 0)
+                                    & F.col("timestamp").isNotNull())
+    dst = scratch_path(spark, "gated")
+    M.run_medallion(spark, {**raw, "events": accepted}, dst, gate=True)
+    return spark.read.parquet(f"{dst}/gold/sales_by_country")
+
+
+@register("gold_country_double")
+def gold_country_double(spark, d):
+    """Each purchase's amount cast to double before the sum. [SURVEY PRJ13]"""
+    return G.gold_sales_by_country(L.silver_events_e(spark, d), L.silver_customers(spark, d),
+                                   L.silver_products(spark, d), money="double")
+
+
 # ------------------------------------------------------ layered runs and I/O
 
 
@@ -384,7 +394,9 @@ def medallion_table_counts(spark, d):
     database = f"strata_{uuid.uuid4().hex[:10]}"
     M.run_medallion(spark, _raw_e(spark, d), scratch_path(spark, "medallion"), database=database,
                     dim_buckets=spark.sparkContext.defaultParallelism)
-    return M.table_counts_sql(spark, database)
+    counts = M.table_counts_sql(spark, database).collect()  # a row per table
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(counts, "table_name string, rows bigint")
 
 
 @register("run_metrics")
@@ -407,11 +419,28 @@ def enriched_gold(spark, d):
     dst = scratch_path(spark, "enriched")
     cu = M.string_keyed(C.silver_customers(A.raw_customers(spark, d).drop("segment")), "customer_id")
     pr = M.string_keyed(C.silver_products(A.raw_products(spark, d)), "product_id")
-    M.run_enriched(spark, M.to_messages(A.events_e(spark, d)), cu, pr, dst)
+    arrival = {"arrival_ts": "timestamp", "arrival_a": "event_id"}
+    M.run_enriched(spark, M.to_messages(A.events_e(spark, d), arrival), cu, pr, dst, tuple(arrival))
     return SF.read_json_lines(spark, f"{dst}/gold/revenue_by_country").select(
         "dimension", "purchase_count", "units_sold", "revenue")
 
 
+@register("enriched_gold_dirty")
+def enriched_gold_dirty(spark, d):
+    """Order lines as messages: copies of an id from different times, an extra field, quantities past 2^31,
+    unparsable times. [SURVEY PIP2, DED2, SNK3]"""
+    dst = scratch_path(spark, "enriched_dirty")
+    cu = M.string_keyed(L.silver_customers(spark, d), "customer_id")
+    pr = M.string_keyed(L.silver_products(spark, d), "product_id")
+    M.run_enriched(spark, A.messages_l_dirty(spark, d), cu, pr, dst, ARRIVAL)
+    stored = spark.read.schema(BRONZE_EVENTS).parquet(f"{dst}/bronze").select(
+        F.lit("kept channel").alias("dimension"), F.get_json_object("message", "$.channel").alias("channel"))
+    kept = stored.where(F.col("channel") == "web").groupBy("dimension").agg(
+        F.count(F.lit(1)).alias("purchase_count"), F.lit(0).cast("bigint").alias("units_sold"), F.lit(0.0).alias("revenue"))
+    gold = spark.read.json(f"{dst}/gold/revenue_by_country")
+    return gold.select("dimension", "purchase_count", "units_sold", "revenue").unionByName(kept)
+
+
 def _contract_tables(spark, d):
     """Gold written into external Parquet tables declared with the contract types."""
     root = scratch_path(spark, "gold_contract")
@@ -439,7 +468,7 @@ def external_gold_query(spark, d):
     """SURVEY SRC9, SRT1."""
     name = _contract_tables(spark, d)["gold_top_products"]
     return spark.sql(f"SELECT product_id, product_name, category, purchase_count, units_sold, revenue "
-                     f"FROM {name} ORDER BY revenue DESC")
+                     f"FROM {name} ORDER BY revenue DESC, product_id")
 
 
 def _text_events(spark, d):
@@ -512,13 +541,17 @@ def roundtrip_parquet(spark, d):
 @register("with_lineage")
 def with_lineage(spark, d):
     """SURVEY SRC11."""
-    return SF.with_lineage(A.table(spark, d, "events")).select("event_id", "source_file")
+    lineage = SF.with_lineage(A.table(spark, d, "events"))
+    return lineage.select("event_id", F.col("source_file").endswith(".parquet").alias("from_parquet"),
+                          F.col("source_path").contains("/events.parquet").alias("from_events"))
 
 
 @register("with_ingest_time")
 def with_ingest_time(spark, d):
     """SURVEY PRJ15."""
-    return _text_customers(spark, d).withColumn("_ingested_at", F.current_timestamp())
+    loaded = _text_customers(spark, d).withColumn("_ingested_at", F.current_timestamp())
+    return loaded.agg(F.count(F.lit(1)).alias("rows"), F.count("_ingested_at").alias("timed"),
+                      F.count_distinct("_ingested_at").alias("times"))
 
 
 def _bronze_before_cutoff(spark, d):
@@ -556,17 +589,16 @@ def _topic_d(spark, d):
                     F.col("record_id").alias("arrival_a"), F.lit(0).cast("bigint").alias("arrival_b"))
 
 
-def _stream_ingest(spark, topic_frame, runs=(("a", None),), max_files=1):
-    """Publish to a file topic, then run the ingest stream once per entry of ``runs``.
+def _stream_ingest(spark, *runs):
+    """Run the ingest stream once per (checkpoint, frame): the frame, if any, is published to the topic first.
 
-    Each run names its checkpoint; the same name resumes, a new one replays.
+    The same checkpoint name resumes, a new one replays.
     """
-    topic = scratch_path(spark, "topic")
-    T.write_topic(topic_frame, topic)
-    root = scratch_path(spark, "stream")
-    for name, _ in runs:
-        src = T.read_topic_stream(spark, topic, max_files_per_trigger=max_files)
-        SB.run_available(spark, src, root, checkpoint=f"{root}/_checkpoint_{name}")
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "stream")
+    for name, frame in runs:
+        if frame is not None:
+            T.write_topic(frame, topic)
+        SB.run_available(spark, T.read_topic_stream(spark, topic), root, checkpoint=f"{root}/_checkpoint_{name}")
     return root
 
 
@@ -577,27 +609,28 @@ def _bronze_cols(df):
 @register("stream_bronze")
 def stream_bronze(spark, d):
     """SURVEY STR1, DED2, SNK3, SRC7, LIM2."""
-    return _bronze_cols(SB.read_bronze(spark, _stream_ingest(spark, _topic_l(spark, d))))
+    return _bronze_cols(SB.read_bronze(spark, _stream_ingest(spark, ("a", _topic_l(spark, d)))))
 
 
 @register("stream_replay")
 def stream_replay(spark, d):
     """SURVEY STR3."""
-    root = _stream_ingest(spark, _topic_l(spark, d), runs=(("a", None), ("b", None)))
+    root = _stream_ingest(spark, ("a", _topic_l(spark, d)), ("b", None))
     return _bronze_cols(SB.read_bronze(spark, root))
 
 
 @register("stream_resume")
 def stream_resume(spark, d):
-    """SURVEY STR2."""
-    root = _stream_ingest(spark, _topic_l(spark, d), runs=(("a", None), ("a", None)))
+    """The stream stops with a part of the topic read and resumes when the rest is published. [SURVEY STR2]"""
+    topic, early = _topic_l(spark, d), F.col("arrival_ts") < F.lit(A.BRONZE_CUTOFF).cast("timestamp_ntz")
+    root = _stream_ingest(spark, ("a", topic.where(early)), ("a", topic.where(~early)))
     return _bronze_cols(SB.read_bronze(spark, root))
 
 
 @register("stream_rejects")
 def stream_rejects(spark, d):
     """SURVEY SNK4."""
-    root = _stream_ingest(spark, _topic_d(spark, d))
+    root = _stream_ingest(spark, ("a", _topic_d(spark, d)))
     return SB.read_rejects(spark, root).select(F.col("arrival_a").alias("record_id"), "reasons")
 
 
@@ -605,7 +638,7 @@ def stream_rejects(spark, d):
 def stream_quality(spark, d):
     """SURVEY STR5."""
     topic = _topic_d(spark, d).unionByName(_topic_l(spark, d))
-    return SB.read_quality(spark, _stream_ingest(spark, topic))
+    return SB.read_quality(spark, _stream_ingest(spark, ("a", topic)))
 
 
 @register("publish_payload")
@@ -619,32 +652,16 @@ def publish_payload(spark, d):
 
 @register("keyed_order")
 def keyed_order(spark, d):
-    """SURVEY SNK9, STR4."""
-    pub = T.publish_frame(_text_events(spark, d), "customer_id").withColumn(
-        "event_id", F.get_json_object("value", "$.event_id"))
-    return T.keyed(pub, order=()).select("key", F.spark_partition_id().alias("partition"), "event_id")
-
-
-# --------------------------------------------------------------- generation
-
-
-@register("gen_customers")
-def gen_customers(spark, d):
-    """SURVEY GEN2."""
-    return GEN.customers(A.table(spark, d, "customer"))
-
-
-@register("gen_products")
-def gen_products(spark, d):
-    """SURVEY GEN1."""
-    return GEN.products(A.table(spark, d, "part"))
-
-
-@register("gen_events")
-def gen_events(spark, d):
-    """SURVEY GEN3."""
-    e = A.table(spark, d, "events")
-    return GEN.events(e, "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint"))
+    """Per key of the published topic: its partitions (one) and events after a later one (none). [SURVEY SNK9, STR4]"""
+    ev = _text_events(spark, d).withColumn("arrival_ts", F.to_timestamp_ntz(F.substring("timestamp", 1, 26)))
+    pub = T.publish_frame(ev.drop("arrival_ts"), "customer_id").withColumn(
+        "arrival_ts", F.to_timestamp_ntz(F.substring(F.get_json_object("value", "$.timestamp"), 1, 26)))
+    topic = T.keyed(pub, order=("arrival_ts",)).select(
+        "key", "arrival_ts", F.spark_partition_id().alias("partition"), F.monotonically_increasing_id().alias("place"))
+    before = F.lag("arrival_ts").over(Window.partitionBy("key").orderBy("place"))  # on the topic's own partitioning
+    return topic.withColumn("late", F.coalesce(before > F.col("arrival_ts"), F.lit(False))).groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("partition").alias("partitions"),
+        F.count_if("late").alias("inversions"))
 
 
 # ------------------------------------------------- gold over order-line events
