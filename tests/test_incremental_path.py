@@ -6,6 +6,7 @@ Bronze -> enriched Silver -> summaries by country, category and product name.
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import medallion as M
@@ -90,13 +91,76 @@ def test_ingest_and_enrich_commands(spark):
 
 
 def test_batch_ingest_keeps_dead_letters_across_runs(spark):
-    msgs = spark.createDataFrame([('{"event_id":"E1"}',), ("not json",)], "value string")
+    msgs = spark.createDataFrame([('{"event_id":"E1"}', 1), ("not json", 2)], "value string, at long")
     dst = scratch_path(spark, "batch_ingest")
-    M.ingest_messages(spark, msgs, dst)
-    M.ingest_messages(spark, msgs, dst)
-    M.ingest_messages(spark, msgs, dst, run_id="fixed")
-    M.ingest_messages(spark, msgs, dst, run_id="fixed")      # a retried run rewrites its own folder
+    M.ingest_messages(spark, msgs, dst, ("at",))
+    M.ingest_messages(spark, msgs, dst, ("at",))
+    M.ingest_messages(spark, msgs, dst, ("at",), run_id="fixed")
+    M.ingest_messages(spark, msgs, dst, ("at",), run_id="fixed")      # a retried run rewrites its own folder
     assert SF.read_json_lines(spark, f"{dst}/rejected").count() == 2 * 3
+    with pytest.raises(ValueError, match="arrival"):
+        M.ingest_messages(spark, msgs, dst, ())
+
+
+def test_first_arrival_whole_event_and_large_quantity(spark):
+    def message(customer, quantity, time="2026-03-10T09:15:00Z", more=""):
+        return (f'{{"event_id":"{{}}","customer_id":"{customer}","product_id":"P001","event_type":"purchase",'
+                f'"timestamp":"{time}","quantity":{quantity}{more}}}')
+    rows = [(message("C1", 5, more=',"channel":"web"').replace("{}", "E1"), 1), (message("A1", 9).replace("{}", "E1"), 2),
+            (message("C1", 3_000_000_000).replace("{}", "E2"), 3), (message("C1", 1, "soon").replace("{}", "E3"), 4)]
+    dst = scratch_path(spark, "awkward")
+    cu = spark.createDataFrame([("C1", "Japan"), ("A1", "Chad")], "customer_id string, country string")
+    pr = spark.createDataFrame([("P001", "Hub", "Electronics", 2.0)], "product_id string, product_name string, category string, price double") \
+        .withColumn("price", F.col("price").cast("decimal(10,2)"))
+    M.run_enriched(spark, spark.createDataFrame(rows, "value string, at long"), cu, pr, dst, ("at",))
+    bronze = {r.event_id: r for r in spark.read.parquet(f"{dst}/bronze").collect()}
+    assert (bronze["E1"].customer_id, bronze["E1"].quantity) == ("C1", 5) and '"channel":"web"' in bronze["E1"].message
+    gold = SF.read_json_lines(spark, f"{dst}/gold/revenue_by_country").collect()
+    # the event without a time is no sale
+    assert [(r.dimension, r.purchase_count, r.units_sold, r.revenue) for r in gold] == [("Japan", 2, 3_000_000_005, 6_000_000_010.0)]
+
+
+def test_last_row_of_a_key_wins_in_files(spark, tmp_path):
+    raw = str(tmp_path)
+    with open(f"{raw}/customers.csv", "w") as f:
+        f.write("customer_id,name,country,signup_date\n" + "".join(
+            f"C1,Ann,{c},2026-01-01\n" for c in ("Brazil", "Zambia", "Chile", "Zimbabwe", "Peru")))
+    with open(f"{raw}/products.csv", "w") as f:
+        f.write("product_id,product_name,category,price\nP1,Hub,Z,9.00\nP1,Hub,A,1.00\nP1,Hub,M,5.00\n")
+    with open(f"{raw}/events.json", "w") as f:
+        f.write("[]")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        cu, pr = (d.collect() for d in M.dimensions_from_files(spark, raw))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.country for r in cu] == ["Peru"] and [(r.category, float(r.price)) for r in pr] == [("M", 5.0)]
+
+
+def test_gate_stops_a_run_before_anything_is_written(spark):
+    from strata.operators.quality import QualityGateError
+    raw = M.read_raw(spark, FIX)
+    good, bad = scratch_path(spark, "gate_good"), scratch_path(spark, "gate_bad")
+    M.run_medallion(spark, raw, good, gate=True)
+    assert spark.read.parquet(f"{good}/gold/top_products").count() == 3
+    for column, value, rule in (("event_type", "click", "event_type_domain"), ("timestamp", "2026-01-05Tjunk", "timestamp_iso"),
+                                ("customer_id", "nobody", "customer_known"), ("event_id", "E001", "primary_key"),
+                                ("currency", "", "required_present")):
+        events = raw["events"].withColumn(column, F.lit(value))
+        with pytest.raises(QualityGateError, match=f"events.{rule}"):
+            M.run_medallion(spark, {**raw, "events": events}, bad, gate=True)
+        assert not os.path.exists(bad.replace("file:", ""))
+
+
+def test_iso_rules_are_strict(spark):
+    from strata.operators import quality as Q
+    days = {"2026-01-05": True, "2026": False, "2026-1-5": False, "2026-01-05Tjunk": False, "2026-02-30": False, None: False}
+    times = {"2026-01-05T10:11:12Z": True, "2026-01-05 10:11": True, "2026-01-05T10:11:12.5+03:00": True, "2026-01-05": True,
+             "12:30": False, "2026": False, "2026-01-05T25:00:00": False, "": False, None: False}
+    got = {r.c: not r.bad for r in spark.createDataFrame([(x,) for x in days], "c string").withColumn("bad", Q.not_iso_date(F.col("c"))).collect()}
+    assert got == days
+    got = {r.c: not r.bad for r in spark.createDataFrame([(x,) for x in times], "c string").withColumn("bad", Q.not_iso_time(F.col("c"))).collect()}
+    assert got == times
 
 
 def test_summaries_as_json_array_documents(spark):

@@ -212,7 +212,7 @@ def test_hot_customer_gold_is_exact_and_pre_aggregated(spark):
         return (len(sel), sum(r[3] for r in sel), round(sum(r[3] * (r[2] + 0.25) for r in sel), 2))
     assert out == {"HOT": expect(True), "OTHER": expect(False)}
     plan = G.gold_sales_by_country(ev, cu, pr)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in plan and "partial_sum" in plan
+    assert "partial_sum" in plan
 
 
 def test_json_array_documents_roundtrip(spark):
@@ -225,24 +225,86 @@ def test_json_array_documents_roundtrip(spark):
     assert sorted((r.n, r.s) for r in back.collect()) == [(i, f"x{i}") for i in range(20)]
 
 
-def test_broadcast_and_pre_aggregated_plans_agree(spark):
+def _exchanges(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange SinglePartition")
+
+
+def test_shared_totals_give_the_same_golds(spark):
     from strata.plans import layers as L
     d = "/root/testdata/sf0.001"
     ev, cu, pr = L.silver_events_e(spark, d), L.silver_customers(spark, d), L.silver_products(spark, d)
-    for build in (G.gold_sales_by_country, G.gold_top_products):
-        for orphans in ("drop", "keep"):
-            a = sorted(tuple(r) for r in build(ev, cu, pr, orphans, broadcast_dims=True).collect())
-            b = sorted(tuple(r) for r in build(ev, cu, pr, orphans, broadcast_dims=False).collect())
+    builds = {"sales_by_country": G.gold_sales_by_country, "sales_by_category": G.gold_sales_by_category,
+              "top_products": G.gold_top_products}
+    for orphans in ("drop", "keep"):
+        shared = G.purchase_totals(ev, cu, pr, orphans)
+        for name, build in builds.items():
+            a = sorted((tuple(r) for r in build(ev, cu, pr, orphans).collect()), key=repr)
+            b = sorted((tuple(r) for r in G.summarize(shared, G.GOLD_KEYS[name]).collect()), key=repr)
             assert a == b
-    plan = G.gold_top_products(ev, cu, pr, broadcast_dims=True)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
 
 
-def test_fits_broadcast_needs_known_small_bounds():
-    from strata.operators.partitioning import BROADCAST_MAX_ROWS, fits_broadcast
-    assert fits_broadcast(10, 20)
-    assert not fits_broadcast(10, None)
-    assert not fits_broadcast(BROADCAST_MAX_ROWS + 1)
+def test_gold_shuffles_the_purchases_once_per_join(spark):
+    ev = spark.range(100).select(F.col("id").cast("string").alias("event_id"), (F.col("id") % 9).alias("customer_id"),
+                                 (F.col("id") % 7).alias("product_id"), F.lit("PURCHASE").alias("event_type"),
+                                 F.lit(1).alias("quantity"))
+    cu = spark.range(9).select(F.col("id").alias("customer_id"), F.lit("X").alias("country"))
+    pr = spark.range(7).select(F.col("id").alias("product_id"), F.lit("p").alias("product_name"), F.lit("c").alias("category"),
+                               F.lit(1).cast("decimal(10,2)").alias("price"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # both sides of two joins, and the sums
+        assert _exchanges(G.gold_sales_by_country(ev, cu, pr)) == 5
+        # both sides of the customer join, the sums by product (which the product join reads as they lie), products, no more
+        assert _exchanges(G.gold_top_products(ev, cu, pr)) <= 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_never_lowers_the_number_of_partitions(spark, tmp_path):
+    from strata.operators.partitioning import spread
+    path = f"{tmp_path}/wide"
+    spark.range(20000).repartition(1).write.option("parquet.block.size", 8192).parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        wide = spark.read.parquet(path)
+        n = wide.rdd.getNumPartitions()
+        assert n > spark.sparkContext.defaultParallelism
+        assert spread(wide) is wide
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    few = spark.read.parquet(path).coalesce(1)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_missing_shared_folder_is_an_error_off_local_masters(spark):
+    from strata import session as S
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.shared_dir(Session())
+
+
+def test_existing_ids_tells_absent_from_broken(spark, tmp_path):
+    assert SF.existing_ids(spark, f"{tmp_path}/none").count() == 0
+    spark.range(3).write.parquet(f"{tmp_path}/other")
+    with pytest.raises(Exception, match="event_id"):
+        SF.existing_ids(spark, f"{tmp_path}/other")
 
 
 def test_double_money_variant_agrees_to_the_cent(spark):

@@ -111,10 +111,21 @@ def test_bucketed_dimensions_join_without_dimension_shuffle(spark):
         M.run_medallion(spark, _raw_e(spark, "/root/testdata/sf0.001"), dst, database=db, dim_buckets=4)
         ev, cu, pr = (spark.table(f"{db}.silver_{n}") for n in ("events", "customers", "products"))
         plan = G.gold_sales_by_country(ev, cu, pr)._jdf.queryExecution().executedPlan().toString()
-        scans = [line for line in plan.split("\\n") if "silver_customers" in line or "customers" in line]
+        lines = plan.split("\n")
         assert "SortMergeJoin" in plan
-        # the bucketed customer side is read as is: its scan reports the bucket spec
-        assert any("SelectedBucketsCount" in line for line in plan.split("\\n")), scans
+        for name in ("silver_customers", "silver_products"):
+            at = next(k for k, line in enumerate(lines) if f"{name}[" in line or f".{name}" in line)
+            assert "Bucketed: true" in lines[at]
+            depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+            above = []  # the operators between the scan and its join
+            for line in reversed(lines[:at]):
+                d = len(line) - len(line.lstrip(" :+-"))
+                if d < depth:
+                    above.append(line)
+                    depth = d
+                    if "Join" in line:
+                        break
+            assert above and "Join" in above[-1] and not any("Exchange" in line for line in above)
         assert spark.read.parquet(f"{dst}/gold/sales_by_country").count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
