@@ -90,6 +90,24 @@ def test_ingest_and_enrich_commands(spark):
     assert got == {"Electronics": 298.0, "Home": 255.0, "Books": 159.0}
 
 
+def test_publish_command_keeps_file_order(spark):
+    from strata.__main__ import run
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "v1")
+    assert run(["publish", "--events", f"{FIX}/events.json", "--topic", topic], spark) == 0
+    assert run(["publish", "--events", f"{FIX}/invalid_event.json", "--topic", topic], spark) == 0
+    assert run(["ingest", "--topic", topic, "--root", root, "--max-messages", "1000"], spark) == 0
+    bronze = SB.read_bronze(spark, root)
+    assert bronze.count() == 6 and SB.read_rejects(spark, root).count() == 1
+    records = spark.read.schema(T.TOPIC_SCHEMA).parquet(topic).where(F.col("arrival_b").isNotNull()).orderBy("arrival_b").collect()
+    assert len(records) == 7 and all(r.key in r.value for r in records)
+
+
+def test_broker_options_reach_the_connector():
+    assert T.kafka_options("b:9092", "orders", "g") == {
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "orders", "kafka.group.id": "g"}
+    assert T.kafka_options("b:9092", "orders", reading=False) == {"kafka.bootstrap.servers": "b:9092", "topic": "orders"}
+
+
 def test_batch_ingest_keeps_dead_letters_across_runs(spark):
     msgs = spark.createDataFrame([('{"event_id":"E1"}', 1), ("not json", 2)], "value string, at long")
     dst = scratch_path(spark, "batch_ingest")
