@@ -44,7 +44,7 @@ RAW_EVENTS = T.StructType([
     T.StructField("currency", T.StringType()),
 ])
 
-# The five Silver columns the typed category summary reads (projection at the reader).
+# The five Silver columns the typed category summary reads (projection at the reader).
 SILVER_SUMMARY_READ = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("event_type", T.StringType(), False),
