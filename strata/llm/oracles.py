@@ -22,3 +22,25 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL["op2_decontaminate"] = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+starts AS (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS pos0 FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, n, array_to_string(w[pos0:pos0 + n - 1], ' ') AS key FROM starts),
+places AS (SELECT d.doc_id, d.w, l.n, unnest(range(1, len(d.w) - l.n + 2)) AS pos0
+           FROM docs d JOIN (SELECT DISTINCT n FROM windows) l ON len(d.w) >= l.n),
+hits AS (SELECT p.doc_id, p.pos0, p.n, k.item
+         FROM (SELECT doc_id, pos0, n, array_to_string(w[pos0:pos0 + n - 1], ' ') AS key FROM places) p JOIN windows k USING (n, key)),
+hit_words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+              FROM (SELECT doc_id, unnest(range(pos0, pos0 + n)) AS pos FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(f.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(f.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
