@@ -210,8 +210,8 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id",
     content = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, encoder = kept(f"bpe {hash((content.value, pattern))}", lambda: _tables(content.value, pattern))
-        for batch in slices(batches, most=4 << 20):
+        bpe, encoder = kept("bpe", hash((content.value, pattern)), lambda: _tables(content.value, pattern))
+        for batch in slices(batches, most=1 << 20):
             ids, counts = encoder.batch(*text_buffer(column(batch, "text")))
             ends = np.append(0, np.cumsum(counts)) * 4
             data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [

@@ -40,9 +40,21 @@ def bytes_of(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def give_back() -> None:
+    """Returns memory that Arrow and the C library hold free to the system, where they can."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
            most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``most`` bytes of ``column``, a row at least."""
+    """The batches cut so that each holds about ``most`` bytes of ``column``, a row at least.
+
+    What is free meanwhile goes back to the system, since workers outlive tasks.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +62,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
         step = max(1, batch.num_rows * most // max(size, 1))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+        del batch
+        give_back()
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -90,17 +104,17 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def kept(key: str, make):
-    """``make()``, made once in the life of a Python worker and kept for its later tasks.
+def kept(kind: str, key: object, make):
+    """``make()``, kept in a Python worker for its later tasks, one of each kind.
 
-    Only for what any task would make alike, such as tables of a tokenizer.
+    Only for what any task with this key would make alike, such as a tokenizer's tables.
     """
     import sys
     from types import ModuleType
     home = sys.modules.setdefault("_strata_kept", ModuleType("_strata_kept")).__dict__
-    if key not in home:
-        home[key] = make()
-    return home[key]
+    if home.get(kind, (None,))[0] != key:
+        home[kind] = key, make()
+    return home[kind][1]
 
 
 def text_buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:

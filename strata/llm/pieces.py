@@ -27,7 +27,7 @@ LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 #: ASCII that is no letter, digit, white space or control; without the apostrophe, which begins contractions.
 MARK = np.isin(np.arange(256), [c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"])
 #: Known pieces of one worker; beyond, it starts afresh.
-MOST_PIECES = 1_500_000
+MOST_PIECES = 500_000
 #: Odd, and one less is not divisible by four, so that powers differ in all but the lowest bits.
 BASE = 0x9E3779B97F4A7C17
 
@@ -111,7 +111,7 @@ class Places:
         if 2 * self.count > len(self.keys):
             held = self.keys != 0
             keys, numbers = np.append(self.keys[held], keys), np.append(self.numbers[held], numbers)
-            self.bits = int(4 * self.count).bit_length()
+            self.bits = int(2 * self.count).bit_length()
             self.clear()
         at = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         while len(keys):

@@ -27,7 +27,7 @@ MAGIC = b"WVM1"
 #: Words of 64 bits between two stored counts.
 BLOCK = 8
 #: Bytes of text in one shard, about.
-SHARD_BYTES = 40 << 20
+SHARD_BYTES = 24 << 20
 
 
 class WaveletMatrix:
@@ -225,9 +225,9 @@ def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int
 
         from pyarrow import fs
         from pyspark import TaskContext
-        encoder = kept(f"wavelet {hash((content.value, pattern))}", lambda: piece_encoder(content.value, pattern))
+        encoder = kept("wavelet", hash((content.value, pattern)), lambda: piece_encoder(content.value, pattern))
         ids, doc_ids, counts = [], [], []
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=1 << 20):
             found, lengths = encoder.batch(*text_buffer(column(batch, "text")))
             ends = np.cumsum(lengths)
             some = np.full(len(found) + len(lengths), end_id, np.uint32)
