@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bytes_of, column, mix, rolling, slices, texts, word_hashes, written
-from .graph import components
+from .graph import components, least_roots
 
 #: Groups of the count vectors, children of an R-tree node.
 GROUPS, FANOUT = 64, 16
@@ -69,7 +69,7 @@ def _ask_shared(k: int, buckets: int):
         from pyspark import TaskContext
         from xxhash import xxh3_128_digest
         part = TaskContext.get().partitionId()
-        for seq, batch in enumerate(slices(batches, most=6 << 20)):
+        for seq, batch in enumerate(slices(batches, most=3 << 20)):
             sets = [shingles(t, k) for t in column(batch, "text").to_pylist()]
             size = np.fromiter(map(len, sets), np.int64, len(sets))
             tokens, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
@@ -257,12 +257,7 @@ def join_sets(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tu
         rows = order[side[order] == s]
         if len(rows):
             trees[s] = rows, RTree(vectors[rows], size[rows])
-    parent = np.arange(len(sets))
-
-    def root(k: int) -> int:
-        while parent[k] != k:
-            parent[k] = k = parent[parent[k]]
-        return k
+    group = np.arange(len(sets))  # connected sets have the same
 
     links = []
     for here, there in ((0, 1), (2, 2)):
@@ -273,25 +268,27 @@ def join_sets(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tu
             near = tree.search(vectors[x], size[x], percent)
             if here == there:
                 near = near[near < place][::-1]
-            mine = root(x)
-            for y in rows[near]:
-                other = root(y)
-                if other != mine and linked(sets[x], sets[y], percent):
+            near = rows[near]
+            near = near[group[near] != group[x]]
+            while len(near):
+                y, near = near[0], near[1:]
+                if linked(sets[x], sets[y], percent):
                     links.append((int(x), int(y)))
-                    parent[other] = mine
+                    group[group == group[y]] = group[x]
+                    near = near[group[near] != group[x]]
     return links
 
 
 def _join(percent: int):
-    """Of one task: links between its classes. Side 2: all with all; else side 0 with side 1."""
+    """Of one task: its linked classes as stars around the least. Side 2: all with all; else side 0 with side 1."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         sets = [np.frombuffer(b, np.uint64) for b in table["tokens"].to_pylist()]
         names = table["class"].to_pylist()
         links = join_sets(sets, table["side"].to_numpy(), percent) if len(sets) > 1 else []
-        return pa.table({"a": pa.array([names[x] for x, _ in links], pa.binary()),
-                         "b": pa.array([names[y] for _, y in links], pa.binary())})
+        stars = [(x, r) for x, r in least_roots([(names[x], names[y]) for x, y in links]).items() if x != r]
+        return pa.table({"a": pa.array([x for x, _ in stars], pa.binary()), "b": pa.array([r for _, r in stars], pa.binary())})
 
     return run
 
