@@ -24,7 +24,7 @@ from .common import column, fold, kept, labelled_sample, mix, slices, text_buffe
 from .pieces import Hasher, Places
 
 #: Most labelled documents of each class, and most bytes of their texts, that the models are learned from.
-SAMPLE_ROWS, SAMPLE_BYTES = 3000, 8 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 1500, 3 << 20
 #: Bytes of the longest n-gram; of the longest that is counted for both classes together.
 ORDER, SHARED = 7, 2
 #: Words of a stretch: beside the whole text, its most toxic stretch is compared.
