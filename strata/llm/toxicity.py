@@ -17,14 +17,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, fold, kept, labelled_sample, mix, slices, text_buffer, texts
+from .common import column, fold, kept, labelled_sample, mix, slices, text_buffer, texts, written
 from .pieces import Hasher, Places
 
-#: Most labelled documents of each class, and most bytes of their texts, that the models are learned from.
-SAMPLE_ROWS, SAMPLE_BYTES = 1500, 3 << 20
+#: Most labelled documents of each class that the models are learned from, with their whole texts.
+SAMPLE_ROWS = 3000
 #: Bytes of the longest n-gram; of the longest that is counted for both classes together.
 ORDER, SHARED = 7, 2
 #: Words of a stretch: beside the whole text, its most toxic stretch is compared.
@@ -181,10 +181,9 @@ def features(ratios, array: pa.Array) -> np.ndarray:
 
 
 class Calibrated:
-    """The two models and the logistic function that turns their comparison into a score."""
+    """The logistic function that turns the comparison of the two models into a score."""
 
-    def __init__(self, models: Spelling, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
-        self.models = models
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
         z = self.spread(x)
         self.w = np.zeros(z.shape[1])
@@ -197,62 +196,81 @@ class Calibrated:
         z = np.clip((x - self.mean) / self.scale, -6, 6)
         return np.concatenate([z, z[:, :4] * z[:, 4:], np.ones((len(z), 1))], axis=1)
 
-    def score(self, ratios, array: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.spread(features(ratios, array)) @ self.w, -30, 30)))
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.spread(x) @ self.w, -30, 30)))
 
 
-def train(texts_: list[str | None], label: np.ndarray, shares: dict[int, int], part: np.ndarray) -> Calibrated | float:
-    """Learns the models from the texts outside ``part`` and the score from those in it."""
-    if len(set(label.tolist())) < 2:
-        return float(label[0]) if len(label) else 0.0
-    rest = ~part
-    if len(set(label[rest].tolist())) < 2 or len(set(label[part].tolist())) < 2:
-        rest = part = np.ones(len(label), bool)
-    data, offsets = text_buffer(pa.array([t for t, k in zip(texts_, rest, strict=True) if k], pa.large_string()))
-    data = lowered(data)
-    starts, ends, counts = words(data, offsets)
-    raw, number = data.tobytes(), {}
-    of = [number.setdefault(raw[a:b], len(number)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    if not number:
-        return float(np.average(label, weights=np.where(label == 1, shares[1], shares[0])))
-    by_class = np.repeat(label[rest], counts)
-    seen = np.stack([np.bincount(np.array(of)[by_class == k], minlength=len(number)) for k in (0, 1)], axis=1)
-    models = Spelling(list(number), seen)
-    y = label[part]
-    weight = np.where(y == 1, shares[1] / (y == 1).sum(), shares[0] / (y == 0).sum())
-    x = features(Remembered(models), pa.array([t for t, k in zip(texts_, part, strict=True) if k], pa.large_string()))
-    return Calibrated(models, x, y, weight * len(y) / weight.sum())
+def word_counts(sample: DataFrame) -> DataFrame:
+    """(word, ordinary, toxic): how often each word occurs in the texts of either class, summed on Spark."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter
+        for batch in slices(batches, most=2 << 20):
+            data, offsets = text_buffer(column(batch, "text"))
+            data = lowered(data)
+            starts, ends, counts = words(data, offsets)
+            raw, label = data.tobytes(), np.repeat(column(batch, "label").to_numpy(zero_copy_only=False), counts)
+            for k in (0, 1):
+                mine = label == k
+                seen = Counter(raw[a:b] for a, b in zip(starts[mine].tolist(), ends[mine].tolist(), strict=True))
+                n, none = pa.array(seen.values(), pa.int64()), pa.array(np.zeros(len(seen), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), none if k else n, n if k else none],
+                                                 ["word", "ordinary", "toxic"])
+
+    counted = sample.select("label", "text").mapInArrow(run, "word binary, ordinary bigint, toxic bigint")
+    return counted.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+
+
+def featured(rows: DataFrame, models, name: str, keep: list[str], then=None) -> DataFrame:
+    """The columns ``keep`` of every row and its text's features, or what ``then`` makes of them, as ``x``."""
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratios = kept("toxicity", name, lambda: Remembered(models.value))
+        for batch in slices(batches, most=2 << 20):
+            x = features(ratios, column(batch, "text"))
+            told = pa.array(x.tolist(), pa.list_(pa.float64())) if then is None else pa.array(then(x))
+            yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in keep], told], [*keep, "x"])
+
+    return rows.mapInArrow(run, f"{kinds}, x {'array<double>' if then is None else 'double'}")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held: int = 2,
-                   threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document, from its whole text alone.
 
-    The models are learned on the driver from at most ``sample_rows`` labelled
-    documents and ``sample_bytes`` of text of each class outside the held-out
-    fold; a quarter of them fits the score.  Null and empty texts have no words
-    and are scored by that.  Null labels are unused; with one class only the
-    score is that class, without labels 0.
+    The models are learned from the whole texts of at most ``sample_rows``
+    labelled documents of each class outside the held-out fold; a quarter of them
+    fits the score.  Their words are counted on Spark, and the driver gets each
+    distinct word once.  Null and empty texts have no words and are scored by
+    that.  Null labels are unused; with one class only the score is that class,
+    without labels 0.
     """
     rows = texts(docs, id_col, text_col)
     sample, shares = labelled_sample(rows, labels, label, modulus, held, sample_rows)
-    ordered = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")  # of the bounded sample
-    sample = sample.withColumn("_sum", F.sum(F.octet_length(F.coalesce("text", F.lit("")))).over(ordered))
-    found = sorted(sample.where(F.col("_sum") <= sample_bytes).drop("_sum")
-                   .withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) == 0).collect(),
-                   key=lambda r: r.doc_id)
-    model = train([r.text for r in found], np.array([r.label for r in found], np.int64), shares,
-                  np.array([r.part for r in found], bool))
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        ratios = None if isinstance(model, float) else kept("toxicity", name, lambda: Remembered(model.models))
-        for batch in slices(batches, most=2 << 20):
-            score = np.full(batch.num_rows, model) if ratios is None else model.score(ratios, column(batch, "text"))
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(score)], ["doc_id", "score"])
-
-    scored = rows.mapInArrow(run, "doc_id bigint, score double")
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)) == 0
+    sample = written(sample.withColumn("part", part), "toxicity-sample")
+    have = {(r["label"], r["part"]): r["count"] for r in sample.groupBy("label", "part").count().collect()}
+    sizes = {k: have.get((k, False), 0) + have.get((k, True), 0) for k in (0, 1)}
+    split = len(have) == 4  # else the models and the score are learned from all of it
+    scored = None
+    if not all(sizes.values()):
+        scored = rows.withColumn("score", F.lit(1.0 if sizes[1] else 0.0))
+    else:
+        found = word_counts(sample.where(~F.col("part")) if split else sample).toArrow().sort_by("word")
+        if not found.num_rows:
+            mean = shares[1] * sizes[1] / (shares[0] * sizes[0] + shares[1] * sizes[1])
+            scored = rows.withColumn("score", F.lit(float(mean)))
+    if scored is None:
+        seen = np.stack([found["ordinary"].to_numpy(), found["toxic"].to_numpy()], axis=1)
+        models = docs.sparkSession.sparkContext.broadcast(Spelling(found["word"].to_pylist(), seen))
+        name = uuid.uuid4().hex
+        fit = featured(sample.where("part") if split else sample, models, name, ["doc_id", "label"]).collect()
+        fit.sort(key=lambda r: r.doc_id)
+        y = np.array([r.label for r in fit], np.int64)
+        weight = np.where(y == 1, shares[1] / (y == 1).sum(), shares[0] / (y == 0).sum())
+        calibrated = Calibrated(np.array([r.x for r in fit]), y, weight * len(y) / weight.sum())
+        scored = featured(rows, models, name, ["doc_id"], calibrated.score).withColumnRenamed("x", "score")
     return scored.select("doc_id", (fold(modulus) == held).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -139,6 +139,26 @@ def test_scores_cover_all_rows(spark, docs):
     assert all(r.lang_pred == "und" for r in identify(df.withColumn("lang", F.lit(None).cast("string"))).collect())
 
 
+@pytest.mark.parametrize("long_label", [0, 1])
+def test_toxicity_long_text_first(spark, long_label):
+    """A 4 MB text whose id hashes first of its class leaves the class's other documents in the sample."""
+    from strata.llm.toxicity import score_toxicity
+    ids = [r.id for r in spark.range(400).where(F.crc32(F.col("id").cast("string").cast("binary")) % 4 != 2)
+           .orderBy(F.xxhash64("id")).collect()]
+    label = {i: k % 2 for k, i in enumerate(ids)}
+    long = next(i for i in ids if label[i] == long_label)
+    rng = random.Random(3)
+    calm, bad = ["meadow", "river", "garden", "window", "paper"], ["scumbag", "vermin", "wretch", "filth", "swine"]
+
+    def text(i, n=40):
+        return " ".join(rng.choice(calm + bad * label[i]) for _ in range(n))
+    df = table(spark, [(i, text(i, 750_000 if i == long else 40), "en") for i in ids])
+    assert df.where(F.col("doc_id") == long).select(F.octet_length("text")).first()[0] > 4_000_000
+    out = score_toxicity(df, spark.createDataFrame([(i, 0, y) for i, y in label.items()], LABELS)).collect()
+    wrong = [r.doc_id for r in out if r.predicted != label[r.doc_id]]
+    assert len(out) == len(ids) and len(wrong) <= len(ids) // 20
+
+
 def brute_components(rows):
     sets = {}
     for k, (i, t, _) in enumerate(rows):
