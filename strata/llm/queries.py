@@ -61,7 +61,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 @register("op1_deleted_interpolation")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .scoring import interpolated_scores
-    return interpolated_scores(read_table(spark, sf_dir, "documents"))
+    return interpolated_scores(read_table(spark, sf_dir, "documents"), order=3)
 
 
 @register("op2_decontaminate")

@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from .common import bytes_of, column, fold, mix, slices, texts, word_hashes, written
 
 #: Bytes of text in one shard, distinct n-grams (before they meet) in one bucket, about.
-SHARD_BYTES, BUCKET_GRAMS = 8 << 20, 1 << 20
+SHARD_BYTES, BUCKET_GRAMS = 5 << 20, 1 << 20
+#: Bits of a key that tell n-grams apart; bit SEEN marks what is no word.
+SEEN = 60
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BEGIN, END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 #: Steps of the logarithm of an estimate in the held-out counts: an eighth of a power of two.
@@ -66,8 +68,8 @@ class Shard:
         self.keys = np.concatenate([self.words, self.others])
 
     def deal(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """(order of the keys by bucket, words before other n-grams; bounds of the buckets)."""
-        bucket = ((self.keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+        """(order of the keys by bucket, words before other n-grams, both ascending; bounds of the buckets)."""
+        bucket = ((self.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # ranges of keys
         return np.argsort(bucket, kind="stable"), np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))
 
     def occurrences(self, of_text: np.ndarray) -> np.ndarray:
@@ -76,18 +78,32 @@ class Shard:
         return sum(np.bincount(at[inside], minlength=len(self.keys)) for at in self.at)
 
 
-def small(values: np.ndarray) -> bytes:
-    """Counts as bytes, those from 255 apart."""
+def small(values: np.ndarray, press) -> bytes:
+    """Counts as bytes, those from 255 apart, compressed."""
     large = values >= 255
-    return np.where(large, 255, values).astype(np.uint8).tobytes() + values[large].astype("<u8").tobytes()
+    return press.compress(np.where(large, 255, values).astype(np.uint8).tobytes() + values[large].astype("<u8").tobytes())
 
 
-def unsmall(data: bytes, n: int) -> np.ndarray:
+def unsmall(data: bytes, n: int, press) -> np.ndarray:
+    data = press.decompress(data)
     out = np.frombuffer(data, np.uint8, n).astype(np.int64)
     out[out == 255] = np.frombuffer(data, "<u8", offset=n).astype(np.int64)
     return out
 
 
+def narrow(keys: np.ndarray, press) -> bytes:
+    """Ascending keys by their differences: the low five bytes as they are, the rest, which is mostly zero, compressed."""
+    planes = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return planes[:5].tobytes() + press.compress(planes[5:].tobytes())
+
+
+def unnarrow(data: bytes, n: int, press) -> np.ndarray:
+    planes = np.empty((n, 8), np.uint8)
+    planes[:, :5] = np.frombuffer(data, np.uint8, 5 * n).reshape(5, n).T
+    planes[:, 5:] = np.frombuffer(press.decompress(data[5 * n:]), np.uint8, 3 * n).reshape(3, n).T
+    return np.cumsum(planes.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one shard in a batch of rows become one compressed blob."""
     import zstandard
@@ -115,28 +131,28 @@ def rows_of(table: pa.Table) -> pa.Table:
 
 def _ask(order: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        import zstandard
         shard, rows = table["shard"][0].as_py(), rows_of(table)
         train = rows["train"].to_numpy()
         grams = Shard(rows["text"].to_pylist(), order)
         total = grams.occurrences(train)
         core = grams.occurrences(train & ~rows["tune"].to_numpy())
         by, at = grams.deal(buckets)
-        keys, total, core, is_word = grams.keys[by], total[by], core[by], by < len(grams.words)
-        out = []
+        keys = grams.keys[by] >> np.uint64(64 - SEEN) | (by >= len(grams.words)).astype(np.uint64) << np.uint64(SEEN)
+        total, tuned = total[by], (total - core)[by]
+        out, press = [], zstandard.ZstdCompressor(level=1)
         for b in range(buckets):
             some = slice(at[b], at[b + 1])
             if at[b + 1] > at[b]:
-                low = (keys[some] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-                high = ((keys[some] >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes()
-                out.append((b, shard, int(at[b + 1] - at[b]), int(is_word[some].sum()), low + high, small(total[some]), small(core[some])))
+                out.append((b, shard, int(at[b + 1] - at[b]), narrow(keys[some], press), small(total[some], press), small(tuned[some], press)))
         return _table(out, ASKED)
 
     return run
 
 
-ASKED = [("bucket", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("words", pa.int32()), ("keys", pa.binary()),
-         ("total", pa.binary()), ("core", pa.binary())]
-TOLD = [("bucket", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("total", pa.binary()), ("core", pa.binary()),
+ASKED = [("bucket", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()),
+         ("total", pa.binary()), ("tuned", pa.binary())]
+TOLD = [("bucket", pa.int32()), ("shard", pa.int32()), ("n", pa.int32()), ("total", pa.binary()), ("tuned", pa.binary()),
         ("word_total", pa.int64()), ("word_kinds", pa.int64()), ("core_total", pa.int64()), ("core_kinds", pa.int64())]
 SQL_TYPE = {pa.int32(): "int", pa.int64(): "bigint", pa.binary(): "binary", pa.float64(): "double"}
 
@@ -152,27 +168,19 @@ def _ddl(fields: list[tuple]) -> str:
 
 def _tell(table: pa.Table) -> pa.Table:
     """Of one bucket: the sums of every asked n-gram, and the totals of its words."""
-    asked = table.to_pylist()
-    keys, word, total, core = [], [], [], []
-    for r in asked:
-        n = r["n"]
-        keys.append(np.frombuffer(r["keys"], "<u4", n).astype(np.uint64)
-                    | np.frombuffer(r["keys"], "<u2", offset=4 * n).astype(np.uint64) << np.uint64(32))
-        word.append(np.arange(n) < r["words"])
-        total.append(unsmall(r["total"], n))
-        core.append(unsmall(r["core"], n))
-    # bit 63 keeps words and longer n-grams apart
-    flat = np.concatenate(keys) | np.concatenate(word).astype(np.uint64) << np.uint64(63)
+    import zstandard
+    asked, press, unpress = table.to_pylist(), zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    flat = np.concatenate([unnarrow(r["keys"], r["n"], unpress) for r in asked])
     distinct, at = np.unique(flat, return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate(total), minlength=len(distinct)).astype(np.int64)
-    core = np.bincount(at, weights=np.concatenate(core), minlength=len(distinct)).astype(np.int64)
-    is_word = distinct >> np.uint64(63) == 1
+    total, tuned = (np.bincount(at, weights=np.concatenate([unsmall(r[c], r["n"], unpress) for r in asked]),
+                                minlength=len(distinct)).astype(np.int64) for c in ("total", "tuned"))
+    core, is_word = total - tuned, distinct >> np.uint64(SEEN) == 0
     sums = [int(total[is_word].sum()), int((total[is_word] > 0).sum()), int(core[is_word].sum()), int((core[is_word] > 0).sum())]
     out, begin = [], 0
     for r in asked:
         mine = at[begin:begin + r["n"]]
         begin += r["n"]
-        out.append((r["bucket"], r["shard"], r["n"], small(total[mine]), small(core[mine]), *sums))
+        out.append((r["bucket"], r["shard"], r["n"], small(total[mine], press), small(tuned[mine], press), *sums))
         sums = [0, 0, 0, 0]  # once a bucket
     return _table(out, TOLD)
 
@@ -196,11 +204,13 @@ class Estimates:
         self.text = shard.text[token]
 
 
-def counts_told(told: pa.Table, shard: Shard, buckets: int, which: str) -> np.ndarray:
+def counts_told(told: pa.Table, shard: Shard, buckets: int, core: bool = False) -> np.ndarray:
+    """Of each key of the shard: its sum over all training texts, for ``core`` without the tuning fold."""
+    import zstandard
     by, _ = shard.deal(buckets)
-    rows = sorted(zip(told["bucket"].to_pylist(), told["n"].to_pylist(), told[which].to_pylist(), strict=True))
+    press, rows = zstandard.ZstdDecompressor(), sorted(told.to_pylist(), key=lambda r: r["bucket"])
     out = np.empty(len(by), np.int64)
-    out[by] = np.concatenate([unsmall(data, n) for _, n, data in rows])
+    out[by] = np.concatenate([unsmall(r["total"], r["n"], press) - (unsmall(r["tuned"], r["n"], press) if core else 0) for r in rows])
     return out
 
 
@@ -210,7 +220,7 @@ def _held_out(order: int, buckets: int, total: int, kinds: int):
     def run(told: pa.Table, docs: pa.Table) -> pa.Table:
         rows = rows_of(docs)
         shard = Shard(rows["text"].to_pylist(), order)
-        e = Estimates(shard, counts_told(told, shard, buckets, "core"), order, total, kinds)
+        e = Estimates(shard, counts_told(told, shard, buckets, core=True), order, total, kinds)
         steps = np.where(e.by_order > 0, np.round(-np.log2(np.maximum(e.by_order, 1e-300)) * STEPS).astype(np.int64), -1)
         cells, n = np.unique(np.concatenate([e.context[:, None], steps[:, :-1]], axis=1), axis=0, return_counts=True)
         return pa.table({"cell": pa.array(cells.tolist(), pa.list_(pa.int64())), "n": pa.array(n, pa.int64())})
@@ -243,7 +253,7 @@ def _score(order: int, buckets: int, total: int, kinds: int, weights: np.ndarray
     def run(told: pa.Table, docs: pa.Table) -> pa.Table:
         rows = rows_of(docs)
         shard = Shard(rows["text"].to_pylist(), order)
-        e = Estimates(shard, counts_told(told, shard, buckets, "total"), order, total, kinds)
+        e = Estimates(shard, counts_told(told, shard, buckets), order, total, kinds)
         p = (weights[e.context] * e.by_order).sum(axis=1)
         base = np.log10((e.word_counts + 0.5) / (total + 0.5 * (kinds + 1)))
         n = rows.num_rows
@@ -284,9 +294,9 @@ def interpolated_scores(docs: DataFrame, order: int = 2, modulus: int = 5, held:
     tuning = own.where(F.col("tune")).mapInArrow(_pack, "shard int, blob binary")
     cells = (told.where(F.col("shard") < apart).groupBy("shard").cogroup(tuning.groupBy("shard"))
              .applyInArrow(_held_out(order, buckets, core_total, core_kinds), "cell array<bigint>, n bigint")
-             .groupBy("cell").agg(F.sum("n").alias("n")).collect())  # as many as there are steps of the logarithms
-    weights = learn_weights(np.array([r.cell for r in cells], np.int64).reshape(len(cells), order + 1),
-                            np.array([r.n for r in cells], np.float64), core_kinds) if cells else np.full((LEVELS, order + 1), 1 / (order + 1))
+             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())  # as many as there are steps of the logarithms
+    weights = learn_weights(cells["cell"].combine_chunks().flatten().to_numpy().reshape(-1, order + 1),
+                            cells["n"].to_numpy().astype(np.float64), core_kinds) if cells.num_rows else np.full((LEVELS, order + 1), 1 / (order + 1))
 
     scored = (told.groupBy("shard").cogroup(packed.groupBy("shard"))
               .applyInArrow(_score(order, buckets, total, kinds, weights), _ddl(SCORED)))

@@ -231,6 +231,52 @@ def test_interpolation(spark, docs):
         assert all(np.isfinite(r.score) and r.score < 0 for r in out)
 
 
+def test_registered_mixture_has_trigrams(spark, tmp_path):
+    """The word after "b" follows from the word before it, which bigrams cannot tell."""
+    from strata.llm.queries import QUERIES
+    from strata.llm.scoring import interpolated_scores
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["a b c", "d b e"]) for _ in range(30)), "en") for i in range(200)]
+    table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.score for r in QUERIES["op1_deleted_interpolation"](spark, str(tmp_path)).collect()}
+    want = {k: {r.doc_id: r.score for r in interpolated_scores(table(spark, rows), order=k).collect()} for k in (2, 3)}
+    assert all(abs(got[i] - want[3][i]) < 1e-9 and got[i] > want[2][i] + 5 for i in got) and len(got) == 200
+
+
+def test_sums_of_asked_n_grams():
+    """Keys and counts survive their narrow form, and every shard is told the sums over all shards."""
+    import pyarrow as pa
+    import pyarrow.compute
+    import zstandard
+
+    from strata.llm.scoring import Shard, _ask, _pack, _tell, counts_told, narrow, small, unnarrow, unsmall
+    press, unpress = zstandard.ZstdCompressor(), zstandard.ZstdDecompressor()
+    keys = np.unique(np.random.default_rng(5).integers(0, 2**61, 1000, dtype=np.uint64))
+    assert (unnarrow(narrow(keys, press), len(keys), unpress) == keys).all()
+    counts = np.array([0, 1, 254, 255, 256, 10**12])
+    assert (unsmall(small(counts, press), 6, unpress) == counts).all()
+    some = [["a b a b", "b c"], ["a b c", None, "a b a"]]
+    asked = []
+    for k, texts_ in enumerate(some):
+        n = len(texts_)
+        batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(n), pa.int64()), "text": texts_, "train": [True] * n,
+                                            "tune": [k == 1] * n, "shard": pa.array([k] * n, pa.int32())})
+        asked.append(_ask(3, 8)(pa.Table.from_batches(list(_pack([batch])))))
+    asked = pa.concat_tables(asked)
+    told = pa.concat_tables([_tell(asked.filter(pa.compute.equal(asked["bucket"], b))) for b in set(asked["bucket"].to_pylist())])
+    flat = [["^", *(t or "").split(), "$"] for texts_ in some for t in texts_]
+    for core, used in ((False, flat), (True, flat[:2])):
+        shard = Shard(some[0], 3)
+        sums = counts_told(told.filter(pa.compute.equal(told["shard"], 0)), shard, 8, core)
+        at = 0
+        for words in flat[:2]:
+            for j in range(2, len(words)):
+                for m in (1, 2, 3):
+                    gram = words[j - m + 1:j + 1]
+                    assert sums[shard.at[m - 1][at + j]] == sum(w[x:x + m] == gram for w in used for x in range(len(w)))
+            at += len(words)
+
+
 def test_digest_of_items(spark):
     from strata.llm.queries import decontamination
     docs = spark.createDataFrame([(1, "one two three"), (2, None)], "doc_id bigint, text string")
