@@ -174,11 +174,42 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(256 + b - sum(o < b for o in own)) for b in range(256)]
 
 
-def piece_encoder(tokenizer_json: str, pattern: str) -> PieceEncoder:
+class MarkedEncoder:
+    """Encodes the text between added tokens by ``plain``; an added token, wherever it is spelt out, is its id."""
+
+    def __init__(self, plain: PieceEncoder, marks: dict[bytes, int]):
+        import re
+        self.plain, self.marks = plain, marks
+        # of those that begin at a place the longest
+        self.find = re.compile(b"|".join(map(re.escape, sorted(marks, key=len, reverse=True)))) if marks else None
+
+    def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the texts one after the other, number of ids of each text)."""
+        raw = data.tobytes() if self.find else b""
+        if not self.find or not self.find.search(raw):
+            return self.plain.batch(data, offsets)
+        spans = [(*m.span(), self.marks[m.group()]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                 for m in self.find.finditer(raw, a, b)]
+        begin, end, ids = np.array(spans, np.int64).reshape(-1, 3).T
+        edge = np.zeros(len(data) + 1, np.int64)
+        np.add.at(edge, begin, 1)
+        np.add.at(edge, end, -1)
+        gone = np.cumsum(edge[:-1]) > 0
+        before = np.append(0, np.cumsum(gone))  # bytes of added tokens before each place
+        limits, cuts = offsets - before[offsets], begin - before[begin]
+        bounds = np.sort(np.concatenate([limits, cuts]))
+        found, lengths = self.plain.batch(data[~gone], bounds)
+        total = np.append(0, np.cumsum(lengths))
+        counts = np.diff(total[np.searchsorted(bounds, limits)]) + np.diff(np.searchsorted(begin, offsets))
+        return np.insert(found, total[np.searchsorted(bounds, cuts)], ids.astype(np.uint32)), counts
+
+
+def piece_encoder(tokenizer_json: str, pattern: str) -> MarkedEncoder:
     """Encodes with the tokenizers library, which gets each distinct match of ``pattern`` once.
 
-    The matches, spelt in the vocabulary's letters, go to the library's model one
-    by one, as its own splitter would hand them on.
+    Texts are first cut at the added tokens, as the library does.  The matches,
+    spelt in the vocabulary's letters, go to the library's model one by one, as
+    its own splitter would hand them on.
     """
     import json
 
@@ -188,6 +219,9 @@ def piece_encoder(tokenizer_json: str, pattern: str) -> PieceEncoder:
     cutter = spec.get("pre_tokenizer") or {}
     if spec.get("normalizer") or cutter.get("type") != "ByteLevel" or not cutter.get("use_regex") or cutter.get("add_prefix_space"):
         raise ValueError("a byte-level tokenizer without normaliser is expected")
+    added = [t for t in spec.get("added_tokens") or [] if t["content"]]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added) or len({t["normalized"] for t in added}) > 1:
+        raise ValueError("added tokens that match exactly, and all alike, are expected")
     tokenize = Tokenizer.from_str(tokenizer_json).model.tokenize
     letters = dict(enumerate(byte_letters()))
     space = letters[32]
@@ -202,7 +236,8 @@ def piece_encoder(tokenizer_json: str, pattern: str) -> PieceEncoder:
             ends.append(len(ids))
         return np.array(ids, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
-    return PieceEncoder(regex.compile(pattern).findall, encode)
+    return MarkedEncoder(PieceEncoder(regex.compile(pattern).findall, encode),
+                         {bytes_of(t["content"]): t["id"] for t in added})
 
 
 def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int = 0, id_col: str = "doc_id",
@@ -211,7 +246,8 @@ def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int
 
     Documents are dealt into ranges of ascending id (ties by text, null ids
     first) and each range becomes one file.  Each document's ids end with
-    ``end_id``; null and empty texts have only that.  A task writes under a
+    ``end_id``; null and empty texts have only that.  An added token
+    that a text spells out is that token, as by the library's default.  A task writes under a
     name of its own and then renames, so a retried task leaves the same file.
     """
     spark = docs.sparkSession

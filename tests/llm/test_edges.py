@@ -119,6 +119,24 @@ def test_wavelet(spark, docs):
     assert sorted(((r.doc_id, r.start, r.n_tokens, bytes(r.ids)) for r in got), key=lambda r: r[1]) == want
 
 
+def test_wavelet_added_tokens(spark):
+    """Ids with the added tokens spelt out in texts, against the library with its default settings."""
+    from tokenizers import Tokenizer
+
+    from strata.llm.wavelet import read_shards, write_shards
+    mark = "<|endoftext|>"
+    some = [f"a line {mark} and more", mark, f"{mark}{mark}", f"  {mark}  \n{mark}\n x", None, "", "no mark", mark[:8], mark[8:] + " y",
+            f"{mark[:8]}{mark} z", f"été{mark}漢字 {mark} ", "<|endoftext |>", f"tail{mark}"]
+    for texts_ in (some, ["plain", "text"], [mark]):
+        spec = tokenizer_file("byte_bpe_50k.json").decode()
+        own = Tokenizer.from_str(spec)
+        got = read_shards(*write_shards(table(spark, [(i, t, "en") for i, t in enumerate(texts_)]), spec, pattern())).collect()
+        ids = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got}
+        want = {i: [*own.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts_)}
+        assert ids == want and (50256 in sum(ids.values(), [])) == (mark in texts_)
+        assert [r.start for r in sorted(got, key=lambda r: r.doc_id)] == [sum(len(want[j]) for j in range(i)) for i in want]
+
+
 def test_scores_cover_all_rows(spark, docs):
     from strata.llm.language import identify
     from strata.llm.quality import score_quality
