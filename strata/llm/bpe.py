@@ -3,13 +3,13 @@
 The distinct matches of the splitting pattern are bucketed by length and laid
 out as padded matrices of token ids, a match per row.  Every round each row
 merges its leftmost pair of minimum rank; pairs are looked up in an open
-addressing hash table held in arrays, and the gaps are closed by compaction.
+addressing hash table held in arrays, and the gaps are closed by compaction.  A
+match of many bytes is a row of several blocks.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,8 +21,8 @@ from .pieces import PieceEncoder
 
 #: What tiktoken's pattern means by white space, spelled out for Python's ``regex``.
 NEVER = np.int32(2**31 - 1)
-#: A row longer than this is merged with a heap instead: rounds over the matrix would grow with its square.
-LONGEST_ROW = 512
+#: Cells of a block: a match longer than this has a matrix of its own, a block per row.
+BLOCK = 512
 #: Cells of one matrix.
 CELLS = 1 << 19
 
@@ -133,28 +133,57 @@ class Bpe:
                 rank[ok, side[ok]] = self.pairs.find(ids[ok, side[ok]], ids[ok, side[ok] + 1])
             ids, rank = ids[:, :used + 1], rank[:, :used]
 
-    def long(self, row: bytes) -> np.ndarray:
-        """One long match by a heap of (rank, position): the same merges in the same order."""
-        ids = self.byte_ids[np.frombuffer(row, np.uint8)].tolist()
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        first = self.pairs.find(np.array(ids[:-1]), np.array(ids[1:]))
-        heap = [(int(first[k]), int(k), ids[k], ids[k + 1]) for k in np.flatnonzero(first != NEVER)]
-        heapq.heapify(heap)
+    def blocks(self, row: bytes) -> np.ndarray:
+        """One long match, its ids laid out in a matrix of blocks with each block's minimum kept.
+
+        A round merges the leftmost pair of minimum rank of the whole match, as in
+        ``matrix``, but closes the gap and looks for the new minimum only in the
+        blocks that it touches.  A block's last pair reaches into the next block.
+        """
+        n = -(-len(row) // BLOCK)
+        size = np.full(n, BLOCK)
+        size[-1] = len(row) - (n - 1) * BLOCK
+        flat = np.full(n * BLOCK + 1, -1, np.int32)
+        flat[:len(row)] = self.byte_ids[np.frombuffer(row, np.uint8)]
+        ranks = np.full(n * BLOCK, NEVER, np.int32)
+        ranks[:len(row) - 1] = self.pairs.find(flat[:len(row) - 1], flat[1:len(row)])
+        ids, rank = flat[:-1].reshape(n, BLOCK), ranks.reshape(n, BLOCK)
+        low = rank.min(axis=1)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # blocks that hold ids yet
         tokens, whole = self.tokens, self.whole
-        while heap:
-            rank, k, left, right = heapq.heappop(heap)
-            j = after[k] if ids[k] == left else n
-            if j >= n or ids[j] != right:
-                continue
-            ids[k], ids[j] = rank, -1
-            after[k] = m = after[j]
-            if m < n:
-                before[m] = k
-            for a, b in ((before[k], k), (k, m)):
-                if a >= 0 and b < n and (joined := whole.get(tokens[ids[a]] + tokens[ids[b]])) is not None:
-                    heapq.heappush(heap, (joined, a, ids[a], ids[b]))
-        return np.array([i for i in ids if i >= 0], np.uint32)
+
+        def removed(b: int, k: int) -> None:
+            last = size[b] - 1
+            for cells in (ids, rank):
+                cells[b, k:last] = cells[b, k + 1:last + 1]
+            rank[b, last] = NEVER
+            size[b] = last
+            if not last:
+                after[before[b]] = after[b]  # never the first block, whose first id stays
+                if after[b] < n:
+                    before[after[b]] = before[b]
+
+        def ranked(b: int, k: int) -> None:
+            """The rank of the pair that begins at place k of block b."""
+            c, j = (b, k + 1) if k + 1 < size[b] else (after[b], 0)
+            joined = whole.get(tokens[ids[b, k]] + tokens[ids[c, j]]) if c < n else None
+            rank[b, k] = NEVER if joined is None else joined
+
+        while True:
+            b = int(low.argmin())
+            if low[b] == NEVER:
+                break
+            k = int(rank[b].argmin())
+            ids[b, k] = low[b]
+            c, j = (b, k + 1) if k + 1 < size[b] else (after[b], 0)
+            removed(c, j)
+            ranked(b, k)
+            p, i = (b, k - 1) if k else (before[b], size[before[b]] - 1)
+            if p >= 0:
+                ranked(p, i)
+            for x in {b, c, p} - {-1}:
+                low[x] = rank[x].min()
+        return ids[np.arange(BLOCK) < size[:, None]].astype(np.uint32)
 
     def encode(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids of the matches one after the other, ids of each)."""
@@ -164,8 +193,8 @@ class Bpe:
         for k, match in enumerate(matches):
             if (i := self.whole.get(match)) is not None:  # a match that is a token is that token
                 whole.append((k, i))
-            elif len(match) > LONGEST_ROW:
-                ids = self.long(match)
+            elif len(match) > BLOCK:
+                ids = self.blocks(match)
                 parts.append((np.array([k]), np.array([len(ids)]), ids))
             else:
                 buckets.setdefault(max(4, 1 << (len(match) - 1).bit_length()), []).append(k)

@@ -8,8 +8,9 @@ one after the other.  Text repeats its pieces, so each distinct piece is encoded
 once and the results are gathered.  Where it is not plain that a place begins a
 match none is cut there; a longer piece is encoded as well as two.
 
-All of it works on the bytes of many texts at once: pieces are told apart by
-64-bit hashes, and only those not met before become Python strings.
+All of it works on the bytes of many texts at once: pieces are looked up by
+64-bit hashes and then compared byte by byte, and only those not met before
+become Python strings.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 MARK = np.isin(np.arange(256), [c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"])
 #: Known pieces of one worker; beyond, it starts afresh.
 MOST_PIECES = 500_000
-#: Odd, and one less is not divisible by four, so that powers differ in all but the lowest bits.
-BASE = 0x9E3779B97F4A7C17
+#: By number of bytes, the bits of a word that hold them.
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes worked on at once.
+WINDOW = 1 << 20
 
 
 def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,28 +56,38 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.searchsorted(starts, offsets))
 
 
-class Hasher:
-    """Polynomial hashes modulo 2**64 of slices of a byte array, by prefix sums."""
+class Slices:
+    """Slices of a byte array as 64-bit words, the last word of each filled up with zeros.
 
-    def __init__(self):
-        self.letters = np.random.default_rng(17).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.powers = self.inverse = np.zeros(0, np.uint64)
-
-    def grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            with np.errstate(over="ignore"):
-                for name, base in (("powers", BASE), ("inverse", pow(BASE, -1, 2**64))):
-                    out = np.full(n, base, np.uint64)
-                    out[:1] = 1
-                    setattr(self, name, np.cumprod(out))
-
-    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self.grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        terms = self.letters[data]
-        terms *= self.powers[:len(data)]
-        np.cumsum(terms, out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+    ``head`` has every slice's first word; ``tail`` the further words of all
+    slices one after the other, ``rows`` of each.
+    """
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        padded = np.append(data, np.zeros(8, np.uint8))
+        words = np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))  # the word at every byte
+        self.size = ends - starts
+        self.head = words[starts] & MASKS[np.minimum(self.size, 8)]
+        self.rows = np.maximum(-(-self.size // 8) - 1, 0)
+        self.first = np.cumsum(self.rows) - self.rows
+        long = np.flatnonzero(self.rows)
+        place = ragged(np.ones(len(long), np.int64), self.rows[long])
+        self.tail = words[np.repeat(starts[long], self.rows[long]) + 8 * place]
+        self.tail[(self.first + self.rows - 1)[long]] &= MASKS[(self.size[long] - 1) % 8 + 1]
+        self.long, self.place = long, place
+
+    def hashes(self) -> np.ndarray:
+        """64 bits for every slice; equal slices have equal ones, and equal ones are to be verified."""
+        out = mix(self.head + self.size.astype(np.uint64))
+        if len(self.long):
+            each = mix(self.tail + self.place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            sums = np.add.reduceat(mix(each), self.first[self.long])
+            out[self.long] = mix(out[self.long] * np.uint64(0x9E3779B97F4A7C15) + sums)
+        return out
+
+    def tails(self, some: np.ndarray) -> np.ndarray:
+        """The further words of some slices, one after the other."""
+        return self.tail[ragged(self.first[some], self.rows[some])]
 
 
 class Places:
@@ -122,26 +135,70 @@ class Places:
             keys, numbers, at = keys[~mine], numbers[~mine], (at[~mine] + 1) & (len(self.keys) - 1)
 
 
+class Known:
+    """Byte strings met before, numbered by arrival; what a hash finds is compared byte by byte."""
+
+    def __init__(self):
+        self.places = Places()
+        self.size = np.zeros(0, np.int64)  # of each in bytes, its first word, and where the others are
+        self.head = np.zeros(0, np.uint64)
+        self.first = np.zeros(0, np.int64)
+        self.tail = np.zeros(0, np.uint64)
+
+    def numbers(self, slices: Slices) -> tuple[np.ndarray, np.ndarray]:
+        """(each slice's number, the slices that are new in the order of their numbers).
+
+        A slice whose hash belongs to other bytes has the number -1 and is not kept.
+        """
+        keys = np.maximum(slices.hashes(), np.uint64(1))
+        at = self.places.find(keys)
+        new, some = np.flatnonzero(at < 0), np.zeros(0, np.int64)
+        if len(new):
+            distinct, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            at[new] = self.places.count + back
+            some = new[first]
+            self.places.add(distinct)
+            rows = slices.rows[some]
+            self.first = np.append(self.first, len(self.tail) + np.cumsum(rows) - rows)
+            self.size = np.append(self.size, slices.size[some])
+            self.head = np.append(self.head, slices.head[some])
+            self.tail = np.append(self.tail, slices.tails(some))
+        same = (self.head[at] == slices.head) & (self.size[at] == slices.size)
+        long = slices.long[same[slices.long]]
+        rows = slices.rows[long]
+        differs = slices.tails(long) != self.tail[ragged(self.first[at[long]], rows)]
+        same[np.repeat(long, rows)[differs]] = False
+        return np.where(same, at, -1), some
+
+
 class PieceEncoder:
     """Encodes texts piece by piece.
 
     ``find`` cuts a piece into matches of the splitting pattern; ``encode`` maps
-    distinct matches to (all their ids one after the other, ids of each).
+    distinct matches to (all their ids one after the other, ids of each);
+    ``cut`` says where pieces begin.  A piece counts as known only when all its
+    bytes are those of the known one: what its hash meets is compared.
     """
 
     def __init__(self, find: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-                 most: int = MOST_PIECES):
-        self.find, self.encode, self.most = find, encode, most
-        self.hash = Hasher()
+                 most: int = MOST_PIECES, window: int = WINDOW, cut=cut):
+        self.find, self.encode, self.most, self.window, self.cut = find, encode, most, window, cut
         self.reset()
 
     def reset(self) -> None:
-        self.places = Places()
+        self.known = Known()
         self.start = np.zeros(0, np.int64)  # of each known piece's ids, and how many they are
         self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+    def learn(self, pieces: list[str]) -> None:
+        flat, length = self.encoded(pieces)
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(length) - length)
+        self.length = np.append(self.length, length.astype(np.int32))
+        self.ids = np.append(self.ids, flat)
+
+    def encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the pieces one after the other, ids of each)."""
         distinct: dict[str, int] = {}
         found, counts = [], []
         for piece in pieces:
@@ -152,26 +209,52 @@ class PieceEncoder:
         at = np.array(found, np.int64)
         flat = ids[ragged((np.cumsum(length) - length)[at], length[at])]
         ends = np.append(0, np.cumsum(length[at]))[np.append(0, np.cumsum(counts)).astype(np.int64)]
-        self.places.add(keys)
-        self.start = np.append(self.start, len(self.ids) + ends[:-1])
-        self.length = np.append(self.length, np.diff(ends).astype(np.int32))
-        self.ids = np.append(self.ids, flat.astype(np.uint32, copy=False))
+        return flat.astype(np.uint32, copy=False), np.diff(ends)
 
-    def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids of the texts one after the other, number of ids of each text)."""
-        if self.places.count > self.most:
+    def part(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the pieces one after the other, ids of each)."""
+        if self.known.places.count > self.most:
             self.reset()
-        starts, per_text = cut(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        keys = np.maximum(self.hash(data, starts, ends), np.uint64(1))
-        at = self.places.find(keys)
-        new = np.flatnonzero(at < 0)
+
+        def text(k: int) -> str:
+            return data[starts[k]:ends[k]].tobytes().decode("utf-8", "surrogatepass")
+
+        at, new = self.known.numbers(Slices(data, starts, ends))
         if len(new):
-            distinct, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
-            raw, known = data.tobytes(), self.places.count
-            a, b = starts[new[first]].tolist(), ends[new[first]].tolist()
-            self.learn(distinct, [raw[x:y].decode("utf-8", "surrogatepass") for x, y in zip(a, b, strict=True)])
-            at[new] = known + back
-        length = self.length[at].astype(np.int64)
-        total = np.append(0, np.cumsum(length))
-        return self.ids[ragged(self.start[at], length)], np.diff(total[np.append(0, np.cumsum(per_text))])
+            self.learn([text(k) for k in new.tolist()])
+        other = np.flatnonzero(at < 0)
+        length = np.where(at < 0, 0, self.length[at]).astype(np.int64)
+        start = np.where(at < 0, 0, self.start[at])
+        if not len(other):
+            return self.ids[ragged(start, length)], length
+        # different pieces of one hash: those that are not remembered are encoded anew
+        flat, length[other] = self.encoded([text(k) for k in other.tolist()])
+        start[other] = len(self.ids) + np.cumsum(length[other]) - length[other]
+        return np.append(self.ids, flat)[ragged(start, length)], length
+
+    def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the texts one after the other, number of ids of each text).
+
+        Works through the bytes in windows that end where a piece begins, so what
+        it holds beside the ids is bounded by a window or one longer piece.
+        """
+        ids, counts = [np.zeros(0, np.uint32)], np.zeros(len(offsets) - 1, np.int64)
+        at, size = 0, self.window
+        while at < len(data):
+            stop = min(at + size, len(data))
+            first, last = np.searchsorted(offsets, at, "right") - 1, np.searchsorted(offsets, stop, "left")
+            bounds = np.clip(offsets[first:last + 1], at, stop) - at
+            starts, per_text = self.cut(data[at:stop], bounds)
+            ends = np.append(starts[1:], stop - at)
+            if stop < len(data):  # the last piece may go on: it begins the next window
+                if len(starts) < 2:
+                    size *= 2
+                    continue
+                stop, starts, ends = at + int(starts[-1]), starts[:-1], ends[:-1]
+                per_text = np.diff(np.minimum(np.append(0, np.cumsum(per_text)), len(starts)))
+            flat, length = self.part(data[at:stop], starts, ends)
+            ids.append(flat)
+            total = np.append(0, np.cumsum(length))[np.append(0, np.cumsum(per_text))]
+            counts[first:first + len(per_text)] += np.diff(total)
+            at, size = stop, self.window
+        return np.concatenate(ids), counts

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, fold, labelled_sample, slices, text_buffer, texts
-from .pieces import WHITE, Hasher
+from .pieces import WHITE, Slices
 
 #: Bytes of a passage; the last one of a text is shorter.
 PASSAGE = 512
@@ -25,7 +25,6 @@ PASSAGE = 512
 BYTES, TRIGRAMS, DIMS = 129, 255, 386
 #: Most labelled documents of each class, and most passages of one of them, that the model is learned from.
 SAMPLE_ROWS, BAG = 2000, 32
-HASHER = Hasher()
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +62,7 @@ def repeated_words(data: np.ndarray, offsets: np.ndarray, passage: np.ndarray, n
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     if len(starts) < 3:
         return out
-    hashes = HASHER(data, starts, ends)
+    hashes = Slices(data, starts, ends).hashes()
     text = np.searchsorted(offsets, starts, side="right")
     total = np.maximum(np.bincount(passage[starts], minlength=n), 1)
     for k in (1, 2):

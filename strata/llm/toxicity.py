@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, fold, kept, labelled_sample, mix, slices, text_buffer, texts, written
-from .pieces import Hasher, Places
+from .pieces import Known, Slices
 
 #: Most labelled documents of each class that the models are learned from, with their whole texts.
 SAMPLE_ROWS = 3000
@@ -133,27 +133,27 @@ class Spelling:
 
 
 class Remembered:
-    """Ratios of words by the hashes of their bytes."""
+    """Ratios of words, each distinct word spelt once."""
 
     def __init__(self, models: Spelling):
-        self.models, self.hash = models, Hasher()
-        self.places, self.ratios = Places(), np.zeros(0)
+        self.models, self.known, self.ratios = models, Known(), np.zeros(0)
+
+    def spelt(self, some: list[bytes]) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(self.models.ratio(some[k:k + 20000]) for k in range(0, len(some), 20000))])
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if self.places.count > MOST_WORDS:
-            self.places, self.ratios = Places(), np.zeros(0)
-        keys = np.maximum(self.hash(data, starts, ends), np.uint64(1))
-        at = self.places.find(keys)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            distinct, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
-            raw, known = data.tobytes(), self.places.count
-            some = [raw[a:b] for a, b in zip(starts[new[first]].tolist(), ends[new[first]].tolist(), strict=True)]
-            told = [self.models.ratio(some[k:k + 20000]) for k in range(0, len(some), 20000)]
-            self.ratios = np.concatenate([self.ratios, *told])
-            self.places.add(distinct)
-            at[new] = known + back
-        return self.ratios[at]
+        if self.known.places.count > MOST_WORDS:
+            self.known, self.ratios = Known(), np.zeros(0)
+
+        def word(k: int) -> bytes:
+            return data[starts[k]:ends[k]].tobytes()
+
+        at, new = self.known.numbers(Slices(data, starts, ends))
+        self.ratios = np.append(self.ratios, self.spelt(list(map(word, new.tolist()))))
+        other = np.flatnonzero(at < 0)  # a hash that belongs to another word
+        out = self.ratios[at]
+        out[other] = self.spelt(list(map(word, other.tolist())))
+        return out
 
 
 def features(ratios, array: pa.Array) -> np.ndarray:
