@@ -115,3 +115,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_imatch_fingerprints")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .imatch import edited_fingerprints
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
