@@ -44,3 +44,38 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM docs d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
+
+SQL["op11_conversation_trie"] = r"""
+WITH own AS (
+  SELECT conv_id AS c, list({'role': role, 'text': text} ORDER BY turn ASC NULLS FIRST, key) AS own
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               sha256(CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+-- crc32 of the decimal id, bit by bit: each byte enters before the first of its eight steps
+crc AS (
+  SELECT c, own, CAST(xor(list_reduce(
+           list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+                       lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)), 4294967295) % 9 AS BIGINT) AS h
+  FROM own),
+rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.own[1:a.h], a.own[1:0]), a.own[a.h + 1:]) AS s
+  FROM crc a LEFT JOIN own b ON b.c = a.c - a.c % 5),
+members AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt),
+nodes AS (
+  SELECT s[1:d] AS p, d, min(c) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(s) = d), '') AS ends
+  FROM members GROUP BY s[1:d], d),
+sized AS (SELECT *, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(p[d].text)) END AS saved FROM nodes),
+children AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT s.*, coalesce(k.n, 0) AS n_children FROM sized s LEFT JOIN children k ON k.d = s.d AND k.p = s.p),
+subtrees AS (
+  SELECT p[1:a] AS p, a AS d, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM counted) GROUP BY p[1:a], a)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(n.n_children AS BIGINT) AS n_children, CAST(t.n_leaves AS BIGINT) AS n_leaves,
+       CAST(t.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM counted n JOIN subtrees t ON t.d = n.d AND t.p = n.p
+LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1] AND n.d > 0
+"""

@@ -121,3 +121,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .imatch import edited_fingerprints
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@register("op11_conversation_trie")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trie import prefix_nodes, turns_of, with_shared_heads
+    return prefix_nodes(with_shared_heads(turns_of(read_table(spark, sf_dir, "conversations"))))
