@@ -127,3 +127,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .trie import prefix_nodes, turns_of, with_shared_heads
     return prefix_nodes(with_shared_heads(turns_of(read_table(spark, sf_dir, "conversations"))))
+
+
+@register("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .align import aligned
+    return aligned(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json").decode(), pattern(),
+                   tokenizer_file("piece_bpe_32k.model"))
