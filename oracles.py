@@ -325,6 +325,17 @@ FROM l WHERE rn = 1"""
     q["stream_bronze"] = bronze_l
     q["stream_replay"] = bronze_l
     q["stream_resume"] = bronze_l
+    q["stream_limit"] = """WITH l AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, cast(o_custkey AS varchar) AS customer_id,
+         cast(l_partkey AS varchar) AS product_id, cast(l_quantity AS bigint) AS quantity, l_shipdate, l_partkey, l_suppkey, l_returnflag
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+taken AS (SELECT * FROM l ORDER BY l_shipdate, l_partkey, l_suppkey, customer_id, event_id, l_returnflag, quantity LIMIT 2500)
+SELECT event_id, customer_id, product_id, quantity FROM taken
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY l_shipdate, l_partkey, l_suppkey) = 1"""
+    q["publish_order"] = """SELECT cast(user_id AS varchar) AS key,
+       cast(('0x' || substr(md5(cast(user_id AS varchar)), 1, 8))::bigint % 8 AS int) AS partition,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sequence, event_id
+FROM events"""
     q["stream_rejects"] = q["rejected_events"]
     q["stream_quality"] = q["ingest_quality"]
     q["publish_payload"] = """SELECT cast(user_id AS varchar) AS key, cast(event_id AS varchar) AS event_id,

@@ -52,9 +52,13 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--group", help="consumer group at the broker")
     i.add_argument("--max-offsets", type=int, help="most messages of a micro-batch from a broker")
     i.add_argument("--max-files", type=int)
-    i.add_argument("--max-messages", type=int, help="stop after the micro-batch that reaches this many")
+    i.add_argument("--max-messages", type=int, help="take exactly this many, if there are so many; 0 or less: no limit")
     i.add_argument("--every", help="processing-time trigger; default: process what is available, then stop")
     i.add_argument("--sink-format", default="parquet", choices=("parquet", "json"))
+    k = sub.add_parser("compact", help="pack the small folders of an ingest root; with --vacuum delete what is no longer named")
+    k.add_argument("--root", required=True)
+    k.add_argument("--sink-format", default="parquet", choices=("parquet", "json"))
+    k.add_argument("--vacuum", action="store_true", help="only while nobody reads or writes the root")
     e = sub.add_parser("enrich", help="Bronze -> enriched Silver -> summaries")
     e.add_argument("--root", required=True)
     e.add_argument("--raw", required=True)
@@ -95,6 +99,11 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
             query.awaitTermination()
         else:
             SB.run_available(spark, source, args.root, sink_format=args.sink_format, max_messages=args.max_messages)
+    elif args.command == "compact":
+        store = SB.open_store(spark, args.root, args.sink_format)
+        store.compact()
+        if args.vacuum:
+            store.vacuum()
     elif args.command == "enrich":
         cu, pr = M.dimensions_from_files(spark, args.raw)
         bronze = SB.read_bronze(spark, args.root, fmt=args.sink_format)

@@ -49,15 +49,28 @@ def with_parsed(df: DataFrame, text_col: str = "value") -> DataFrame:
     (``operators.partitioning.spread``), not here.
     """
     text = F.col(text_col).cast("string")
-    # One JSON object and nothing else around it (JSON whitespace allowed).
     bare = F.btrim(text, F.lit(" \t\n\r"))
-    parsed = F.struct(F.from_json(text, "map<string,string>").alias(_MAP),
-                      F.coalesce(bare.startswith("{") & bare.endswith("}"), F.lit(False)).alias("_msg_braced"))
+    braced = bare.startswith("{") & bare.endswith("}")
+    # Where the first closing brace is the last character, the object ends there.
+    ends = (F.locate("}", bare) == F.char_length(bare)) | _one_value(bare)
+    parsed = F.struct(F.when(braced & ends, F.from_json(text, "map<string,string>")).alias(_MAP))
     return (df.select("*", F.inline(F.array(parsed)))
-              .withColumn("_msg_is_object", F.col("_msg_braced") & F.col(_MAP).isNotNull())
+              .withColumn("_msg_is_object", F.col(_MAP).isNotNull())
               .withColumn(_TEXT, text))
 
 
+def _one_value(text: Column) -> Column:
+    """The text is one JSON value with nothing after it.
+
+    It is put into an array alone and before another element.  A text that
+    closes the array early is as long in both; one value is one longer in the
+    second.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.coalesce((alone == 1) & (followed == 2), F.lit(False))
+
+
 def field(name: str) -> Column:
     return F.col(_MAP)[name]
 
@@ -138,13 +151,9 @@ def classify(df: DataFrame, text_col: str = "value") -> DataFrame:
     return parsed.withColumn("is_valid", is_valid()).withColumn("reasons", reject_reasons())
 
 
-def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Valid messages -> typed Bronze rows (schema v1 and v2 share one shape).
-
-    ``message`` is the text as sent, with the fields that have no column.
-    """
-    return classified.filter("is_valid").select(
-        *keep,
+def bronze_fields() -> list[Column]:
+    """The typed columns of a valid message."""
+    return [
         field("event_id").alias("event_id"),
         field("customer_id").alias("customer_id"),
         field("product_id").alias("product_id"),
@@ -152,9 +161,25 @@ def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         field("timestamp").alias("timestamp"),
         quantity_value().alias("quantity"),
         normalized_currency().alias("currency"),
-        F.col(_TEXT).alias("message"),
-    )
+    ]
+
+
+def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Valid messages -> typed Bronze rows (schema v1 and v2 share one shape).
+
+    ``message`` is the text as sent, with the fields that have no column.
+    """
+    return classified.filter("is_valid").select(*keep, *bronze_fields(), F.col(_TEXT).alias("message"))
+
+
+def judged(df: DataFrame, text_col: str = "value") -> DataFrame:
+    """``df`` with ``is_valid`` and ``event``, the typed columns of a valid message (null otherwise).
+
+    Without the parsed view and the reasons: what a frame holds that is read twice.
+    """
+    parsed = with_parsed(df, text_col).withColumn("is_valid", is_valid())
+    return drop_parsed(parsed.withColumn("event", F.when(F.col("is_valid"), F.struct(*bronze_fields()))))
 
 
 def drop_parsed(df: DataFrame) -> DataFrame:
-    return df.drop(_MAP, _TEXT, "_msg_braced", "_msg_is_object")
+    return df.drop(_MAP, _TEXT, "_msg_is_object")

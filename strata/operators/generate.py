@@ -2,10 +2,9 @@
 
 Each generated row takes its sequence number from a row of a source table
 (``customer``, ``part``, ``events``), so the work is spread over that table's
-partitions and grows with it.  Choices come from an integer mix of
-(number, seed, field) -- the Park-Miller step -- instead of a sequential random
-stream, so any partition can compute its rows alone and the same seed always
-gives the same data.  Keys are ``C%03d`` / ``P%03d`` / ``E%04d`` and widen past
+partitions and grows with it.  Choices come from ``xxhash64`` of (number, seed,
+field) instead of a sequential random stream, so any partition can compute its
+rows alone and the same seed always gives the same data.  Keys are ``C%03d`` / ``P%03d`` / ``E%04d`` and widen past
 the pad; event foreign keys always point at generated customers and products.
 """
 

@@ -621,9 +621,20 @@ def stream_replay(spark, d):
 
 @register("stream_resume")
 def stream_resume(spark, d):
-    """The stream stops with a part of the topic read and resumes when the rest is published. [SURVEY STR2]"""
-    topic, early = _topic_l(spark, d), F.col("arrival_ts") < F.lit(A.BRONZE_CUTOFF).cast("timestamp_ntz")
-    root = _stream_ingest(spark, ("a", topic.where(early)), ("a", topic.where(~early)))
+    """The stream stops inside a backlog, part of a batch taken, and a second run goes on from there. [SURVEY STR2]"""
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "stream")
+    T.write_topic(_topic_l(spark, d), topic)
+    for most in (A.INTAKE_LIMIT, None):
+        SB.run_available(spark, T.read_topic_stream(spark, topic), root, max_messages=most)
+    return _bronze_cols(SB.read_bronze(spark, root))
+
+
+@register("stream_limit")
+def stream_limit(spark, d):
+    """The first ``INTAKE_LIMIT`` messages in arrival order, no more and no fewer. [SURVEY LIM2]"""
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "stream")
+    T.write_topic(_topic_l(spark, d), topic)
+    SB.run_available(spark, T.read_topic_stream(spark, topic), root, max_messages=A.INTAKE_LIMIT)
     return _bronze_cols(SB.read_bronze(spark, root))
 
 
@@ -650,6 +661,16 @@ def publish_payload(spark, d):
     return parsed.select("key", "e.event_id", "e.customer_id", "e.product_id", "e.event_type", "e.quantity")
 
 
+@register("publish_order")
+def publish_order(spark, d):
+    """What a topic or broker gets: each event's partition and its number among its customer's events. [SURVEY SNK8]"""
+    ev = _text_events(spark, d).withColumn("arrival_ts", F.to_timestamp_ntz(F.substring("timestamp", 1, 26)))
+    pub = T.publish_frame(ev.drop("arrival_ts"), "customer_id").withColumn(
+        "arrival_ts", F.to_timestamp_ntz(F.substring(F.get_json_object("value", "$.timestamp"), 1, 26))).withColumn(
+        "arrival_a", F.get_json_object("value", "$.event_id").cast("bigint"))
+    return T.dealt(pub, 8).select("key", "partition", "sequence", F.col("arrival_a").alias("event_id"))
+
+
 @register("keyed_order")
 def keyed_order(spark, d):
     """Per key of the published topic: its partitions (one) and events after a later one (none). [SURVEY SNK9, STR4]"""

@@ -130,7 +130,8 @@ def messages_d(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Data
 
     Columns: record_id (source row id, stands for the topic offset), value (text).
     The case number ``event_id % 25`` decides which field gets which dirt; every
-    row is emitted.  Case 0 carries an extra nested field, 24 is cut short.
+    row is emitted.  Case 0 carries an extra nested field, 24 is cut short or, every
+    other time, followed by a second object.
     """
     e = fact_table(spark, sf_dir, "events")
     m = F.col("event_id") % 25
@@ -166,7 +167,8 @@ def messages_d(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Data
         part = F.concat(F.lit(f'"{name}":'), value)
         parts.append(part if absent is None else F.when(~absent, part))
     body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    text = F.when(m == 24, F.expr("substring(_body, 1, length(_body) - 1)")).otherwise(F.col("_body"))
+    text = (F.when(F.col("event_id") % 50 == 24, F.expr("substring(_body, 1, length(_body) - 1)"))
+             .when(F.col("event_id") % 50 == 49, F.concat("_body", F.lit('{"x":1}'))).otherwise(F.col("_body")))
     key = [F.col("user_id").cast("string").alias("key")] if with_key else []
     return (e.withColumn("_body", body)
             .select(F.col("event_id").alias("record_id"), text.alias("value"), *key))
@@ -235,6 +237,8 @@ def versioned_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed value: order lines shipped before this day are already in Bronze.
 BRONZE_CUTOFF = "1998-06-01"
+# Fixed value: messages that a bounded intake run takes.
+INTAKE_LIMIT = 2500
 
 
 def messages_l_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,63 +2,61 @@
 
 One ``foreachBatch`` per micro-batch:
 
-1. classify every message (reasons for rejects),
+1. judge every message,
 2. keep the first arrival of each valid id inside the batch,
 3. drop ids Bronze already holds (stored earlier or by an earlier batch),
-4. write Bronze rows, rejects and a metrics row.
+4. stage Bronze rows and rejects in folders of the batch's own, and
+5. commit them, with the batch's counts, in the store's manifest.
 
-Retry safety: every batch writes into its own folders named by the stream's
-id and the batch id, in overwrite mode, and the Bronze check ignores the
-batch's own folder.  A batch re-run after a failure therefore rewrites the
-same rows instead of adding copies, and a replay under a new checkpoint finds
-every id already stored.  One writer per Bronze path.
+Retry safety: readers take only what is committed.  A batch that died before its
+commit is staged anew under the same name; one that died after it is known as
+whole and does nothing.  A replay under a new checkpoint finds every id stored.
+One writer per Bronze path.
 
 Scale: the batch is bounded by the trigger (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``).  The Bronze check looks up only the batch's ids:
-Bronze's id column is semi-joined with the batch ids; Spark broadcasts those
-when their bytes are under its threshold and shuffles otherwise.  The batch's
-first arrivals are kept (disk and memory) for the lookup and the write, so they
-are computed once.  In-batch first arrival is a partial-aggregated
-``keep_first``, so an id repeated a million times in one batch is combined
-map-side.  The lookup reads Bronze's id column once per batch (see README,
-"Known limit").
+``maxOffsetsPerTrigger``).  The Bronze check reads the id buckets that the batch's
+ids fall into (``sinks.batch_store``); Spark broadcasts the ids when their bytes
+are under its threshold and shuffles otherwise.  In-batch first arrival is a
+partial-aggregated ``keep_first``, so an id repeated a million times in one
+batch is combined map-side.  What two branches read (judged messages, without
+the parsed view, and first arrivals) is kept on disk and memory meanwhile.
 """
 
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import validate as V
+from strata.operators import arrival as A
 from strata.operators.dedup import keep_first
 from strata.schemas import BRONZE_EVENTS
-from strata.sinks.files import ensure_dataset
-
-# Stored Bronze: one folder per (stream, batch), so the batch tag is a column.
-BRONZE_READ = T.StructType(BRONZE_EVENTS.fields + [T.StructField("batch", T.StringType())])
+from strata.sinks.batch_store import BatchStore
 
 ARRIVAL = ("arrival_ts", "arrival_a", "arrival_b")
 
 
+class LimitReached(Exception):
+    """The run has taken as many messages as it was asked for."""
+
+
 class BronzeIngest:
     """The ``foreachBatch`` body; paths must be on storage every executor sees."""
 
-    def __init__(self, spark: SparkSession, bronze: str, rejects: str, metrics: str,
-                 checkpoint: str, arrival: Sequence[str] = ARRIVAL,
-                 sink_format: str = "parquet"):
-        self.spark = spark
-        self.fmt = sink_format
-        self.bronze, self.rejects, self.metrics = bronze, rejects, metrics
-        self.checkpoint = checkpoint
+    def __init__(self, spark: SparkSession, root: str, checkpoint: str, arrival: Sequence[str] = ARRIVAL,
+                 sink_format: str = "parquet", max_messages: int | None = None):
+        self.spark, self.checkpoint = spark, checkpoint
+        self.store = BatchStore(spark, root, BRONZE_EVENTS, sink_format)
         self.arrival = list(arrival)
+        self.limit = max_messages if max_messages is not None and max_messages > 0 else None
         self._run_id: str | None = None
         self.messages = 0  # taken by this run so far
+        self.limit_reached = False
 
     def run_id(self) -> str:
         # The stream's id is stored in its checkpoint and survives restarts.
@@ -67,58 +65,62 @@ class BronzeIngest:
             self._run_id = json.loads(meta)["id"].replace("-", "")
         return self._run_id
 
-    def _stored_ids(self, own_batch: str, batch_ids: DataFrame) -> DataFrame:
-        """Bronze ids that also occur in this batch."""
-        bronze = self.spark.read.schema(BRONZE_READ).format(self.fmt).load(self.bronze)
-        ids = bronze.filter(F.col("batch") != own_batch).select("event_id")
-        return ids.join(batch_ids, "event_id", "left_semi")
+    def _stop_at_limit(self) -> None:
+        if self.limit is not None and self.messages >= self.limit:
+            self.limit_reached = True
+            raise LimitReached(f"{self.messages} messages taken")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        tag = f"q{self.run_id()}_{batch_id}"
-        # The parsed batch feeds both the reject and the Bronze write; keep it.
-        classified = V.classify(batch).persist()
+        stream = self.run_id()
+        taken = self.store.taken(stream, batch_id)
+        if taken is None:
+            return  # committed by a run that died before the stream noted it
+        self._stop_at_limit()
+        if self.limit is None and not taken:
+            self._ingest(batch, stream, batch_id, 0, None)
+            return
+        # Some of the batch: its messages in arrival order, from the first that is not taken.
+        dealt, counts = A.in_order(batch, [*self.arrival, "key", "value"])
+        try:
+            left = sum(n for _, n in counts) - taken
+            take = left if self.limit is None else min(left, self.limit - self.messages)
+            self._ingest(A.stretch(dealt, counts, taken, take), stream, batch_id, taken, None if take == left else taken + take)
+            if take < left:
+                self._stop_at_limit()
+        finally:
+            dealt.unpersist()
+
+    def _ingest(self, messages: DataFrame, stream: str, batch_id: int, taken: int, part: int | None) -> None:
+        """Stages and commits messages; ``part`` is how many of the batch are taken then, None for all."""
+        name = f"q{stream}_{batch_id}" + (f"_{taken}" if taken else "")
+        judged = V.judged(messages).persist()
         firsts = None
         try:
-            # The reject write also counts every message (the observation sits
-            # before the filter), so no separate counting job is needed.
-            seen = Observation(f"seen_{tag}")
-            counted = classified.observe(seen, F.count(F.lit(1)).alias("messages"),
-                                         F.count_if(~F.col("is_valid")).alias("rejected"))
-            counted.filter(~F.col("is_valid")).select(
-                "key", "value", *self.arrival, F.array_join("reasons", ",").alias("reasons")) \
-                .write.mode("overwrite").format(self.fmt).save(f"{self.rejects}/batch={tag}")
-            counts = seen.get
-
-            valid = V.to_bronze(classified, keep=tuple(self.arrival))
+            bad = V.classify(judged.filter(~F.col("is_valid")).drop("is_valid", "event"))
+            rejected = bad.select("key", "value", *self.arrival, F.array_join("reasons", ",").alias("reasons"))
+            valid = judged.filter("is_valid").select(*self.arrival, "event.*", F.col("value").alias("message"))
             firsts = keep_first(valid, "event_id", self.arrival).persist()
-            known = self._stored_ids(tag, firsts.select("event_id"))
-            fresh = firsts.join(known, "event_id", "left_anti").drop(*self.arrival)
-            wrote = Observation(f"stored_{tag}")
-            fresh.observe(wrote, F.count(F.lit(1)).alias("stored")) \
-                .write.mode("overwrite").format(self.fmt).save(f"{self.bronze}/batch={tag}")
-
-            row = [(int(batch_id), int(counts["messages"]), int(counts["rejected"]), int(wrote.get["stored"]))]
-            self.spark.createDataFrame(row, "batch_id bigint, messages bigint, rejected bigint, stored bigint") \
-                .write.mode("overwrite").parquet(f"{self.metrics}/batch={tag}")
-            self.messages += int(counts["messages"])
+            fresh = firsts.join(self.store.known(firsts), "event_id", "left_anti").drop(*self.arrival)
+            n = judged.count()
+            counts = {"messages": n, **self.store.stage(name, fresh, rejected, n)}
+            self.store.commit(name, stream, batch_id, counts, part)
+            self.messages += counts["messages"]
         finally:
-            classified.unpersist()
+            judged.unpersist()
             if firsts is not None:
                 firsts.unpersist()
 
 
 def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,
           available_now: bool = True, processing_time: str | None = None,
-          sink_format: str = "parquet") -> tuple[StreamingQuery, BronzeIngest]:
-    """Start the ingest stream; Bronze, rejects and metrics live under ``root``.
+          sink_format: str = "parquet", max_messages: int | None = None) -> tuple[StreamingQuery, BronzeIngest]:
+    """Start the ingest stream; Bronze, rejects and the manifest live under ``root``.
 
     ``sink_format`` is the Bronze / dead-letter format: Parquet by default (the
     Bronze lookup then reads one column), ``json`` for JSON lines.
     """
     checkpoint = checkpoint or f"{root}/_checkpoint"
-    ensure_dataset(spark, f"{root}/bronze", BRONZE_EVENTS, fmt=sink_format)
-    sink = BronzeIngest(spark, f"{root}/bronze", f"{root}/rejects", f"{root}/metrics", checkpoint,
-                        sink_format=sink_format)
+    sink = BronzeIngest(spark, root, checkpoint, sink_format=sink_format, max_messages=max_messages)
     w = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start(), sink
@@ -128,40 +130,37 @@ def run_available(spark: SparkSession, source: DataFrame, root: str, checkpoint:
                   timeout_s: int | None = None, sink_format: str = "parquet", max_messages: int | None = None) -> None:
     """Process everything available now, then stop; limits only where the caller sets them.
 
-    ``max_messages`` ends the run once so many messages were taken, at the end
-    of a micro-batch (the trigger bounds those); a batch begun meanwhile is
-    dropped and done again by the run that resumes.
+    With ``max_messages`` above 0 the run takes exactly so many messages (accepted,
+    rejected and duplicate ones count), or all there are; in arrival order within
+    a micro-batch, which it may leave half taken.  The next run goes on from there.
     """
-    q, sink = start(spark, source, root, checkpoint, sink_format=sink_format)
-    if max_messages is None:
+    q, sink = start(spark, source, root, checkpoint, sink_format=sink_format, max_messages=max_messages)
+    try:
         finished = q.awaitTermination(timeout_s)
-    else:
-        end = None if timeout_s is None else time.monotonic() + timeout_s
-        finished = False
-        while not finished and (end is None or time.monotonic() < end):
-            finished = q.awaitTermination(1)
-            if sink.messages >= max_messages and not finished:
-                q.stop()
-                return
+    except StreamingQueryException:
+        if sink.limit_reached:
+            return
+        raise
     if timeout_s is not None and not finished:
         q.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+
+
+def open_store(spark: SparkSession, root: str, fmt: str = "parquet") -> BatchStore:
+    return BatchStore(spark, root, BRONZE_EVENTS, fmt)
 
 
 def read_bronze(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(BRONZE_READ).format(fmt).load(f"{root}/bronze")
+    return open_store(spark, root, fmt).bronze()
 
 
 def read_rejects(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(f"{root}/rejects")
+    return open_store(spark, root, fmt).rejects()
 
 
 def read_quality(spark: SparkSession, root: str) -> DataFrame:
-    """stored / rejected / duplicates summed over all batches."""
-    m = spark.read.parquet(f"{root}/metrics")
-    t = m.agg(F.sum("messages").alias("messages"), F.sum("rejected").alias("rejected"),
-              F.sum("stored").alias("stored"))
-    return t.select(F.col("stored").cast("bigint"), F.col("rejected").cast("bigint"),
-                    (F.col("messages") - F.col("rejected") - F.col("stored")).cast("bigint").alias("duplicates"))
+    """stored / rejected / duplicates over all committed batches, as the manifest has them."""
+    t = open_store(spark, root).state["totals"]
+    stored, rejected = t.get("stored", 0), t.get("rejected", 0)
+    return spark.createDataFrame([(stored, rejected, t.get("messages", 0) - rejected - stored)],
+                                 "stored bigint, rejected bigint, duplicates bigint")

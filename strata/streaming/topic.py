@@ -1,18 +1,18 @@
 """Keyed event publishing: (key, value) records and a partitioned topic.
 
 ``publish_frame`` shapes events the way the producer does: key = customer id,
-value = the event as JSON.  ``write_topic`` hash-partitions by key so one
-key's events always land in one partition, ordered by their arrival columns.
-With a broker connector on the classpath the same frame can be written with
-``format("kafka")``; here the topic is a folder of Parquet files, one per
-partition, which the file stream source reads.
+value = the event as JSON.  ``dealt`` states every record's partition, by a hash
+of its key, and its number among the key's records; ``write_topic`` writes that
+frame.  With a broker connector on the classpath it goes to ``format("kafka")``;
+here the topic is a folder of Parquet files, one per partition, which the file
+stream source reads.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,21 @@ def keyed(df: DataFrame, partitions: int | None = None,
     return dealt.sortWithinPartitions("key", *present)
 
 
+def dealt(df: DataFrame, partitions: int, order: Sequence[str] = ("arrival_ts", "arrival_a", "arrival_b")) -> DataFrame:
+    """``df`` with ``partition`` (by a hash of the key, null keys together) and ``sequence`` (from 1, per key).
+
+    A partition's rows are in one task, in arrival order, so any sink that writes
+    a task's rows in turn keeps the order of every key.  Rows of one key that
+    arrive at once follow each other by their values.
+    """
+    present = [c for c in order if c in df.columns]
+    hashed = F.conv(F.substring(F.md5(F.coalesce(F.col("key"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    placed = df.withColumn("partition", (hashed % partitions).cast("int")).repartition(partitions, "partition")
+    numbered = placed.withColumn("sequence", F.row_number().over(
+        Window.partitionBy("partition", "key").orderBy(*present, "value")).cast("bigint"))
+    return numbered.sortWithinPartitions("partition", *present, "key", "sequence")
+
+
 def kafka_options(broker: str, topic: str, group_id: str | None = None, reading: bool = True) -> dict:
     """Connector options for a broker topic (consumer group only when reading)."""
     opts = {"kafka.bootstrap.servers": broker}
@@ -63,20 +78,25 @@ def write_topic(df: DataFrame, path: str, partitions: int | None = None, fmt: st
     """Publish records to a topic; the default is a folder of per-partition files.
 
     Publishing appends (a topic only grows); the stream source picks up the new
-    files on its next trigger.
-
-    ``fmt="kafka"`` writes (key, value) to a broker (``options`` from
-    ``kafka_options(..., reading=False)``); the broker's partitioner keeps one
-    key in one partition.
+    files on its next trigger.  ``fmt="kafka"`` writes to a broker (``options`` from
+    ``kafka_options(..., reading=False)``).  Either way the records are those of
+    ``dealt``, with their partition stated, so a key keeps to one partition and
+    its order.  Without ``partitions`` the shuffle setting gives their number.
     """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = dealt(df.select(*[c for c in TOPIC_SCHEMA.fieldNames() if c in df.columns]), n)
     if fmt == "kafka":
-        df.select("key", "value").write.format("kafka").options(**(options or {})).save()
+        broker_frame(out).write.format("kafka").options(**(options or {})).save()
         return
-    out = keyed(df.select(*[c for c in TOPIC_SCHEMA.fieldNames() if c in df.columns]), partitions)
     for c in TOPIC_SCHEMA.fieldNames():
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(TOPIC_SCHEMA[c].dataType))
-    out.select(*TOPIC_SCHEMA.fieldNames()).write.mode("append").format(fmt).save(path)
+    out.select(*TOPIC_SCHEMA.fieldNames(), "partition", "sequence").write.mode("append").format(fmt).save(path)
+
+
+def broker_frame(records: DataFrame) -> DataFrame:
+    """The columns a broker sink takes: key, value and the partition to put the record in."""
+    return records.select("key", "value", "partition")
 
 
 def read_topic_stream(spark: SparkSession, path: str, fmt: str = "parquet",

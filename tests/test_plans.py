@@ -34,5 +34,5 @@ def test_dedup_is_a_partial_aggregate_not_a_window(spark):
 def test_each_message_is_parsed_once(spark):
     plan = _plan(spark, "valid_events")
     assert "Generate" in plan
-    generator = [line for line in plan.split("\n") if "inline(" in line]
-    assert generator and all(line.count("from_json") == 1 for line in generator)
+    # the generator's text has line feeds of its own
+    assert plan.count("inline(") >= 1 and plan.count("from_json(") == plan.count("inline(")

@@ -46,18 +46,6 @@ def test_keyed_partitions(spark):
     assert rows and all((r.partitions, r.inversions) == (1, 0) for r in rows)
 
 
-def test_messages_limit_stops_early_and_resumes(spark):
-    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "stream")
-    for k in range(4):
-        T.write_topic(_messages(spark, [("C1", _ev(f"E{k}", 1), k)]), topic, partitions=1)
-    source = T.read_topic_stream(spark, topic, max_files_per_trigger=1)
-    SB.run_available(spark, source, root, max_messages=1)
-    first = SB.read_bronze(spark, root).count()
-    assert 1 <= first <= 4
-    SB.run_available(spark, T.read_topic_stream(spark, topic, max_files_per_trigger=1), root)
-    assert sorted(r.event_id for r in SB.read_bronze(spark, root).collect()) == ["E0", "E1", "E2", "E3"]
-
-
 def test_generators_deterministic_and_widen(spark):
     src = spark.range(0, 12500).withColumnRenamed("id", "n")
     a = GEN.events(src.withColumn("c", F.col("n") % 10).withColumn("k", F.col("n") % 10), "n", "c", F.col("k"))

@@ -58,6 +58,13 @@ CASES = [
     (33, _msg(raw=_msg().replace('"quantity": 2', '"quantity": 1e2')), True),
     (34, _msg({"currency": ""}), False),
     (35, _msg({"meta": {"a": {"b": [1, 2]}}}), True),
+    (36, _msg() + '{"x":1}', False),
+    (37, _msg() + " junk }", False),
+    (38, _msg() + '] {"x":1}', False),
+    (39, _msg() + ',0] {"x":1}', False),
+    (40, _msg() + ',{"x":1}', False),
+    (41, _msg({"note": 'a } b ] , { " c'}), True),
+    (42, " \n" + _msg({"meta": {"b": "}"}}) + "\t", True),
 ]
 
 
