@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, fold, labelled_sample, slices, text_buffer, texts
@@ -23,8 +23,9 @@ PASSAGE = 512
 #: Features of a passage: counts of 128 ASCII bytes, of other bytes and of hashed
 #: trigrams, then the shares of words that are the word one and two before.
 BYTES, TRIGRAMS, DIMS = 129, 255, 386
-#: Most labelled documents of each class, and most passages of one of them, that the model is learned from.
-SAMPLE_ROWS, BAG = 2000, 32
+#: Most labelled documents of each class that the model is learned from; of a class, one text at most that is longer
+#: than so many passages.
+SAMPLE_ROWS, SAMPLE_PASSAGES = 2000, 1024
 
 
 def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,21 +129,27 @@ class AttentionBags:
 
 
 def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A document's passages for learning: ``BAG`` of them, evenly spaced, where it has more."""
+    """All passages of a document, for learning."""
     for batch in slices(batches, most=1 << 20):
         x, per_doc = passages(*text_buffer(column(batch, "text")))
-        out = []
-        for n, end in zip(per_doc, np.cumsum(per_doc), strict=True):
-            rows = np.unique(np.linspace(end - n, end - 1, min(n, BAG)).astype(np.int64))
-            out.append(x[rows].astype(np.float16).tobytes())
+        ends = np.cumsum(per_doc)
+        out = [x[end - n:end].astype(np.float16).tobytes() for n, end in zip(per_doc, ends, strict=True)]
         yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "label"), pa.array(out, pa.binary())],
                                          ["doc_id", "label", "bag"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 5, held: int = 0,
-          sample_rows: int = SAMPLE_ROWS) -> AttentionBags | float:
-    """The model, or the constant score where fewer than two classes are labelled (0.5 without labels)."""
+          sample_rows: int = SAMPLE_ROWS, sample_passages: int = SAMPLE_PASSAGES) -> AttentionBags | float:
+    """The model, or the constant score where fewer than two classes are labelled (0.5 without labels).
+
+    Whole texts are learned from.  Those above ``sample_passages`` passages are left
+    out of the sample, but for one where a class has no others.
+    """
     sample, sizes = labelled_sample(docs, labels, label, modulus, held, sample_rows)
+    long = F.coalesce(F.octet_length("text"), F.lit(0)) > sample_passages * PASSAGE
+    # a window over the sample only, whose rows are bounded
+    first = F.row_number().over(Window.partitionBy("label").orderBy("_long", F.xxhash64("doc_id"), "doc_id"))
+    sample = sample.withColumn("_long", long).withColumn("_n", first).where(~F.col("_long") | (F.col("_n") == 1)).drop("_long", "_n")
     rows = sorted(sample.mapInArrow(_bags, "doc_id bigint, label int, bag binary").collect(), key=lambda r: r.doc_id)
     y = np.array([r.label for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
@@ -160,9 +167,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", mo
                   text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document, from its whole text alone.
 
-    The model is learned on the driver from at most ``sample_rows`` labelled
-    documents of each class outside the held-out fold; every passage of every
-    text is scored.  Null and empty texts are one passage without counts.
+    The model is learned on the driver from all passages of at most ``sample_rows``
+    labelled documents of each class outside the held-out fold; every passage of
+    every text is scored.  Null and empty texts are one passage without counts.
     Labels that are null are unused; without two classes the score is constant.
     """
     rows = texts(docs, id_col, text_col)

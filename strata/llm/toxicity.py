@@ -29,8 +29,8 @@ SAMPLE_ROWS = 3000
 ORDER, SHARED = 7, 2
 #: Words of a stretch: beside the whole text, its most toxic stretch is compared.
 STRETCH = 12
-#: A word's log-likelihood ratio beyond this is cut to it, and one above CLEAR is a clear case.
-MOST, CLEAR = 12.0, 4.0
+#: A word whose log-likelihood ratio is above this is a clear case.
+CLEAR = 4.0
 #: Words a worker remembers before it starts afresh.
 MOST_WORDS = 3_000_000
 BEGIN, END = 256, 257
@@ -129,7 +129,7 @@ class Spelling:
             p[ends] = np.where(context[:, :2] > 0, q, p[ends])
         told = place >= 1
         each = np.log(p[told, 1]) - np.log(p[told, 0])
-        return np.clip(np.bincount(of[told], weights=each, minlength=len(some)), -MOST, MOST)
+        return np.bincount(of[told], weights=each, minlength=len(some))
 
 
 class Remembered:

@@ -137,3 +137,15 @@ def test_wavelet_matrix(n):
         assert matrix.count(token, n // 3, n // 2) == (ids[n // 3:n // 2] == token).sum()
         assert matrix.occurrences(token) == np.flatnonzero(ids == token).tolist()
     assert isinstance(WaveletMatrix.build(ids), WaveletMatrix)
+
+
+def test_quality_learns_from_whole_texts(spark):
+    """The passage that decides a label may be anywhere in a text of many passages."""
+    from strata.llm.quality import PASSAGE, _bags, learn
+    text = "plain words of the usual kind " * 2000
+    docs = spark.createDataFrame([(k, text if k % 2 else "zq! " * 300 + text, k % 2) for k in range(6)], "doc_id bigint, text string, label int")
+    sizes = {r.doc_id: len(r.bag) // 2 for r in docs.mapInArrow(_bags, "doc_id bigint, label int, bag binary").collect()}
+    assert all(n // 386 == -(-len(r.text) // PASSAGE) for r in docs.collect() for n in [sizes[r.doc_id]])
+    labels = docs.select("doc_id", F.col("label").alias("quality"))
+    for most in (1, 10_000):  # one long text of each class is learned from even where all are too long
+        assert not isinstance(learn(docs.drop("label"), labels, held=-1, sample_passages=most), float)
