@@ -109,7 +109,7 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
     for batch in slices(batches, most=32 << 20):
         shards = column(batch, "shard").to_numpy(zero_copy_only=False)
-        press, rows = zstandard.ZstdCompressor(level=1), batch.drop_columns(["shard"])
+        press, rows = zstandard.ZstdCompressor(level=3), batch.drop_columns(["shard"])
         order = np.argsort(shards, kind="stable")
         names, starts = np.unique(shards[order], return_index=True)
         blobs = []
@@ -223,26 +223,58 @@ def _held_out(order: int, buckets: int, total: int, kinds: int):
         e = Estimates(shard, counts_told(told, shard, buckets, core=True), order, total, kinds)
         steps = np.where(e.by_order > 0, np.round(-np.log2(np.maximum(e.by_order, 1e-300)) * STEPS).astype(np.int64), -1)
         cells, n = np.unique(np.concatenate([e.context[:, None], steps[:, :-1]], axis=1), axis=0, return_counts=True)
-        return pa.table({"cell": pa.array(cells.tolist(), pa.list_(pa.int64())), "n": pa.array(n, pa.int64())})
+        return pa.table([pa.array(c, pa.int32()) for c in cells.T] + [pa.array(n, pa.int64())],
+                        names=["context", *_steps(order), "n"])
 
     return run
 
 
-def learn_weights(cells: np.ndarray, n: np.ndarray, kinds: int, rounds: int = 60) -> np.ndarray:
-    """Mixture weights by context bucket, by expectation-maximisation on held-out counts."""
-    orders = cells.shape[1] if len(cells) else 2
-    weights = np.full((LEVELS, orders), 1 / orders)
-    if not len(cells):
-        return weights
-    p = np.where(cells[:, 1:] >= 0, np.exp2(-np.maximum(cells[:, 1:], 0) / STEPS), 0.0)
-    p = np.concatenate([p, np.full((len(p), 1), 1 / (kinds + 1))], axis=1)
+def _steps(order: int) -> list[str]:
+    """Columns of a cell: the steps of its estimates, the highest order first; -1 where one is zero."""
+    return [f"step{m}" for m in range(order)]
+
+
+def maximised(mass: np.ndarray) -> np.ndarray:
+    """Mixture weights by context bucket, in proportion to the mass that each order took.
+
+    A little of the overall mixture keeps every weight above zero and serves
+    buckets without held-out tokens.
+    """
+    mass = mass + mass.sum(axis=0) / mass.sum() * 0.5 + 1e-3
+    return mass / mass.sum(axis=1, keepdims=True)
+
+
+def learn_weights(cells: DataFrame, order: int, kinds: int, rounds: int = 60, gain: float = 1e-7) -> np.ndarray:
+    """Mixture weights by context bucket, by expectation-maximisation on held-out counts.
+
+    ``cells`` has the columns context, step0 .. and n.  An expectation is one
+    aggregate over all cells, of which a row per context bucket comes back.  The
+    rounds end when the log-likelihood of a token grows by less than ``gain``.
+    """
+    weights = np.full((LEVELS, order + 1), 1 / (order + 1))
+    estimates = [F.when(F.col(c) >= 0, F.pow(F.lit(2.0), -F.col(c) / STEPS)).otherwise(0.0).alias(f"p{m}")
+                 for m, c in enumerate(_steps(order))]
+    cells = written(cells.select("context", "n", *estimates, F.lit(1 / (kinds + 1)).alias(f"p{order}")), "held-out-cells")
+    before = None
     for _ in range(rounds):
-        share = weights[cells[:, 0]] * p
-        share *= (n / share.sum(axis=1))[:, None]
-        mass = np.stack([np.bincount(cells[:, 0], weights=share[:, k], minlength=LEVELS) for k in range(p.shape[1])], axis=1)
-        # a little of the overall mixture keeps every weight above zero and serves buckets without held-out tokens
-        mass += mass.sum(axis=0) / mass.sum() * 0.5 + 1e-3
-        weights = mass / mass.sum(axis=1, keepdims=True)
+        by_context = [F.expr("array({})".format(", ".join(f"{float(w)!r}D" for w in column_))) for column_ in weights.T]
+        shares = [f"p{m} * w{m}" for m in range(order + 1)]
+        found = (cells.select("n", "context", *[f"p{m}" for m in range(order + 1)],
+                              *[w[F.col("context")].alias(f"w{m}") for m, w in enumerate(by_context)])
+                 .select("n", "context", *[F.expr(f"n * {share}").alias(f"s{m}") for m, share in enumerate(shares)],
+                         F.expr(" + ".join(shares)).alias("p"))
+                 .groupBy("context").agg(F.sum("n"), F.sum(F.col("n") * F.ln("p")),
+                                         *[F.sum(F.col(f"s{m}") / F.col("p")) for m in range(order + 1)]).collect())
+        if not found:
+            break
+        tokens, likelihood = sum(r[1] for r in found), sum(r[2] for r in found)
+        mass = np.zeros_like(weights)
+        for r in found:
+            mass[r["context"]] = r[3:]
+        weights = maximised(mass)
+        if before is not None and likelihood - before < gain * tokens:
+            break
+        before = likelihood
     return weights
 
 
@@ -293,10 +325,10 @@ def interpolated_scores(docs: DataFrame, order: int = 2, modulus: int = 5, held:
 
     tuning = own.where(F.col("tune")).mapInArrow(_pack, "shard int, blob binary")
     cells = (told.where(F.col("shard") < apart).groupBy("shard").cogroup(tuning.groupBy("shard"))
-             .applyInArrow(_held_out(order, buckets, core_total, core_kinds), "cell array<bigint>, n bigint")
-             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())  # as many as there are steps of the logarithms
-    weights = learn_weights(cells["cell"].combine_chunks().flatten().to_numpy().reshape(-1, order + 1),
-                            cells["n"].to_numpy().astype(np.float64), core_kinds) if cells.num_rows else np.full((LEVELS, order + 1), 1 / (order + 1))
+             .applyInArrow(_held_out(order, buckets, core_total, core_kinds),
+                           ", ".join(f"{c} int" for c in ("context", *_steps(order))) + ", n bigint")
+             .groupBy("context", *_steps(order)).agg(F.sum("n").alias("n")))
+    weights = learn_weights(cells, order, core_kinds)
 
     scored = (told.groupBy("shard").cogroup(packed.groupBy("shard"))
               .applyInArrow(_score(order, buckets, total, kinds, weights), _ddl(SCORED)))

@@ -41,14 +41,34 @@ def test_mixture_beats_the_base(spark):
     assert total[1] > total[0]
 
 
-def test_weights_by_expectation_maximisation():
+def em(cells, n, kinds, rounds=60):
+    """Expectation-maximisation over plain arrays."""
+    from strata.llm.scoring import LEVELS, STEPS
+    weights = np.full((LEVELS, cells.shape[1]), 1 / cells.shape[1])
+    p = np.where(cells[:, 1:] >= 0, np.exp2(-np.maximum(cells[:, 1:], 0) / STEPS), 0.0)
+    p = np.concatenate([p, np.full((len(p), 1), 1 / (kinds + 1))], axis=1)
+    for _ in range(rounds):
+        share = weights[cells[:, 0]] * p
+        share *= (n / share.sum(axis=1))[:, None]
+        mass = np.zeros_like(weights)
+        np.add.at(mass, cells[:, 0], share)
+        mass += mass.sum(axis=0) / mass.sum() * 0.5 + 1e-3
+        weights = mass / mass.sum(axis=1, keepdims=True)
+    return weights
+
+
+def test_weights_by_expectation_maximisation(spark):
     from strata.llm.scoring import STEPS, learn_weights
     rng = np.random.default_rng(1)
     p = np.array([[0.5, 0.02], [0.0, 0.1], [0.2, 0.2]])
     steps = np.where(p > 0, np.round(-np.log2(np.maximum(p, 1e-9)) * STEPS), -1).astype(int)
     cells = np.concatenate([np.full((3, 1), 4), steps], axis=1)
     n = rng.integers(100, 200, 3).astype(float)
-    w = learn_weights(cells, n, 1000)[4]
+    frame = spark.createDataFrame([(*map(int, c), int(k)) for c, k in zip(cells, n, strict=True)],
+                                  "context int, step0 int, step1 int, n bigint")
+    learned = learn_weights(frame, 2, 1000, gain=-np.inf)
+    assert np.allclose(learned, em(cells, n, 1000), atol=1e-9)
+    w = learned[4]
 
     def likelihood(w):
         q = np.concatenate([np.where(steps >= 0, np.exp2(-steps / STEPS), 0), np.full((3, 1), 1 / 1001)], axis=1)
@@ -57,6 +77,57 @@ def test_weights_by_expectation_maximisation():
     for _ in range(200):
         other = np.abs(w + rng.normal(0, 0.05, 3)) + 1e-6
         assert likelihood(w) > likelihood(other / other.sum()) - 0.5
+    # stopped where nothing is gained any more, it is the same mixture
+    assert np.allclose(learn_weights(frame, 2, 1000, rounds=500)[4], w, atol=0.02)
+    assert np.allclose(learn_weights(frame.limit(0), 2, 1000), 1 / 3)
+
+
+def test_interpolation_equals_a_dictionary_version(spark):
+    from collections import Counter
+    from zlib import crc32
+
+    from strata.llm.scoring import LEVELS, STEPS, interpolated_scores
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(12)]
+    texts_ = {i: " ".join(rng.choice(words, int(rng.integers(0, 30)), p=np.arange(12, 0, -1) / 78)) for i in range(50)}
+    texts_[50], texts_[51] = None, texts_[7]
+    order = 3
+    fold = {i: crc32(str(i).encode()) % 5 for i in texts_}
+    runs = {i: [f"<{m}>" for m in range(order - 1, 0, -1)] + (t or "").lower().split() + ["</>"] for i, t in texts_.items()}
+
+    def counted(ids):
+        grams = Counter()
+        for i in ids:
+            for end in range(order - 1, len(runs[i])):
+                grams.update(tuple(runs[i][end - m:end + 1]) for m in range(order))
+            for m in range(1, order):  # beginnings, as contexts
+                grams.update([tuple(runs[i][order - 1 - m:order - 1])])
+        tokens = [w for i in ids for w in runs[i][order - 1:]]
+        return grams, len(tokens), len(set(tokens))
+
+    def estimates(grams, total, kinds, i):
+        for end in range(order - 1, len(runs[i])):
+            p, depth = [], 0
+            for m in range(order - 1, 0, -1):
+                context, gram = tuple(runs[i][end - m:end]), tuple(runs[i][end - m:end + 1])
+                p.append(grams[gram] / grams[context] if grams[context] else 0.0)
+                if m == order - 1 and grams[context]:
+                    depth = min(LEVELS - 1, 1 + int(np.log2(grams[context])))
+            yield depth, [*p, grams[(runs[i][end],)] / total, 1 / (kinds + 1)]
+
+    core = counted([i for i in texts_ if fold[i] not in (0, 1)])
+    tally = Counter()
+    for i in texts_:
+        if fold[i] == 0:
+            for depth, p in estimates(*core, i):
+                tally[(depth, *[int(np.round(-np.log2(q) * STEPS)) if q > 0 else -1 for q in p[:-1]])] += 1
+    weights = em(np.array(list(tally)), np.array(list(tally.values()), float), core[2])
+    whole = counted([i for i in texts_ if fold[i] != 1])
+    want = {i: sum(np.log10(np.dot(weights[d], p)) for d, p in estimates(*whole, i)) for i in texts_}
+    frame = spark.createDataFrame(list(texts_.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in interpolated_scores(frame, order).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-6 for i in want), max(abs(got[i] - want[i]) for i in want)
 
 
 def vectors(spark, rows):
