@@ -372,6 +372,7 @@ SELECT country AS dimension, count(*) AS purchase_count, cast(sum(quantity) AS b
 FROM lines JOIN cust USING (customer_id) JOIN prod USING (product_id) WHERE sale AND m <> 3 GROUP BY country
 UNION ALL SELECT 'kept channel', count(*), cast(0 AS bigint), 0.0::double FROM lines WHERE m = 1"""
     q["gated_pipeline"] = gold_sql("country")
+    q["published_gold"] = f"SELECT *, cast(1 AS bigint) AS version FROM ({gold_sql('country')})"
     # ---- rows written per stage of a layered run
     q["run_stage_rows"] = f"""WITH {EV}, {CUST}, {PROD}
 SELECT 'bronze_customers' AS stage, cast(count(*) AS bigint) AS rows FROM customer JOIN nation ON c_nationkey = n_nationkey

@@ -1,7 +1,7 @@
 """Job entry points: ``python -m strata <command>``, or on a cluster
 ``spark-submit --py-files strata.zip strata/__main__.py <command>``.
 
-    medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail] [--gate]
+    medallion --raw DIR --lake DIR [--format parquet] [--database NAME] [--orphans drop|keep|fail] [--no-gate] [--vacuum]
     publish   --events FILE --topic DIR|NAME [--broker HOST:PORT]
     ingest    --topic DIR|NAME --root DIR [--format parquet] [--broker HOST:PORT [--group ID] [--max-offsets N]]
               [--max-files N] [--max-messages N] [--every "1 minute"] [--sink-format parquet|json]
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import generate as GEN
 from strata.plans import medallion as M
+from strata.plans import refresh as R
 from strata.session import ensure_utc
 from strata.sinks import files as SK
 from strata.sources import adapters as A
@@ -39,7 +40,9 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--format", default="parquet")
     m.add_argument("--database")
     m.add_argument("--orphans", default="drop", choices=("drop", "keep", "fail"))
-    m.add_argument("--gate", action="store_true", help="check keys, foreign keys and domains first; write nothing if one fails")
+    m.add_argument("--gate", action=argparse.BooleanOptionalAction, default=True,
+                   help="check keys, foreign keys and domains; publish nothing if one fails")
+    m.add_argument("--vacuum", action="store_true", help="delete older runs afterwards; only while nobody reads them")
     u = sub.add_parser("publish", help="a JSON array of events -> keyed topic")
     u.add_argument("--events", required=True)
     u.add_argument("--topic", required=True, help="folder, or topic name with --broker")
@@ -79,8 +82,12 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
     spark = spark or SparkSession.builder.appName(f"strata-{args.command}").getOrCreate()
     ensure_utc(spark)
     if args.command == "medallion":
-        M.medallion_from_files(spark, args.raw, args.lake, fmt=args.format, orphans=args.orphans,
-                               database=args.database, gate=args.gate)
+        snapshot, _ = R.refresh(spark, M.read_raw(spark, args.raw), args.lake, fmt=args.format, orphans=args.orphans,
+                                gate=args.gate)
+        if args.database:
+            R.register_tables(snapshot, args.database)
+        if args.vacuum:
+            R.Snapshots(spark, args.lake).vacuum()
     elif args.command == "publish":
         events = SF.in_file_order(SF.read_json_array(spark, args.events))
         fields = [c for c in events.columns if c not in SF.FILE_ORDER]

@@ -107,6 +107,40 @@ def fk_rules_as_checks(fk: DataFrame) -> DataFrame:
                      F.lit(None).cast("bigint").alias("checked"), F.col("orphans").alias("failed"))
 
 
+def source_domains(customers: DataFrame, products: DataFrame, events: DataFrame) -> dict[str, list[tuple[str, Column]]]:
+    """Of each raw table its rules that a row alone decides, as ``(rule, failed?)``."""
+    present = [F.col(c) for c in events.columns if not c.startswith("_")]
+    if "currency" in events.columns:  # may be absent: then the default applies
+        present = [F.col(c) for c in events.columns if not c.startswith("_") and c != "currency"]
+        present.append(F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY)))
+    return {
+        "customers": [("required_present", any_blank(*[F.col(c) for c in customers.columns])),
+                      ("signup_date_iso", not_iso_date(F.col("signup_date")))],
+        "products": [("required_present", any_blank(*[F.col(c) for c in products.columns])),
+                     ("price_positive", ~(F.trim(F.col("price").cast("string")).try_cast("decimal(38,10)") > 0))],
+        "events": [("required_present", any_blank(*present)),
+                   ("event_type_domain", ~F.col("event_type").isin(*EVENT_TYPES)),
+                   ("quantity_positive", ~(F.col("quantity").try_cast("bigint") > 0)),
+                   ("timestamp_iso", not_iso_time(F.col("timestamp")))],
+    }
+
+
+def observed(rules: Sequence[tuple[str, Column]]) -> list[Column]:
+    """Rules as aggregates that a write can count on its way (``DataFrame.observe``)."""
+    return [F.count_if(F.coalesce(failed, F.lit(True))).alias(rule) for rule, failed in rules]
+
+
+def key_rules(customers: DataFrame, products: DataFrame, events: DataFrame) -> DataFrame:
+    """Primary and foreign keys of the three tables; reads nothing but their key columns."""
+    keys = [("customers", customers, "customer_id"), ("products", products, "product_id"), ("events", events, "event_id")]
+    unique = [rule_table(df.select(key), name, [], unique=key) for name, df, key in keys]
+    known = [foreign_key(events.select(key), dim.select(key), key, "events")
+             .select(F.lit(rule).alias("rule"), F.col("edge").alias("table_name"),
+                     F.lit(None).cast("bigint").alias("checked"), F.col("orphans").alias("failed"))
+             for rule, dim, key in (("customer_known", customers, "customer_id"), ("product_known", products, "product_id"))]
+    return union_all([*unique, *known])
+
+
 def source_rules(customers: DataFrame, products: DataFrame, events: DataFrame) -> DataFrame:
     """Every rule on the raw frames: keys, foreign keys and domains, one pass over each table.
 
@@ -116,22 +150,12 @@ def source_rules(customers: DataFrame, products: DataFrame, events: DataFrame) -
     known = [dim.select(F.col(key)).where(F.col(key).isNotNull()).distinct().withColumn(f"_has_{key}", F.lit(True))
              for dim, key in ((customers, "customer_id"), (products, "product_id"))]
     joined = events.join(known[0], "customer_id", "left").join(known[1], "product_id", "left")
-    present = [F.col(c) for c in events.columns if not c.startswith("_")]
-    if "currency" in events.columns:  # may be absent: then the default applies
-        present = [F.col(c) for c in events.columns if not c.startswith("_") and c != "currency"]
-        present.append(F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY)))
+    domains = source_domains(customers, products, events)
     return union_all([
-        rule_table(customers, "customers", [
-            ("required_present", any_blank(*[F.col(c) for c in customers.columns])),
-            ("signup_date_iso", not_iso_date(F.col("signup_date")))], unique="customer_id"),
-        rule_table(products, "products", [
-            ("required_present", any_blank(*[F.col(c) for c in products.columns])),
-            ("price_positive", ~(F.trim(F.col("price").cast("string")).try_cast("decimal(38,10)") > 0))], unique="product_id"),
+        rule_table(customers, "customers", domains["customers"], unique="customer_id"),
+        rule_table(products, "products", domains["products"], unique="product_id"),
         rule_table(joined, "events", [
-            ("required_present", any_blank(*present)),
-            ("event_type_domain", ~F.col("event_type").isin(*EVENT_TYPES)),
-            ("quantity_positive", ~(F.col("quantity").try_cast("bigint") > 0)),
-            ("timestamp_iso", not_iso_time(F.col("timestamp"))),
+            *domains["events"],
             ("customer_known", F.col("_has_customer_id").isNull()),
             ("product_known", F.col("_has_product_id").isNull())], unique="event_id"),
     ])
@@ -139,7 +163,11 @@ def source_rules(customers: DataFrame, products: DataFrame, events: DataFrame) -
 
 def assert_clean(rules: DataFrame) -> None:
     """Raise ``QualityGateError`` naming every failing rule (the rules table is tiny)."""
-    failing = rules.filter(F.col("failed") > 0).collect()
-    if failing:
-        names = ", ".join(f"{r['table_name']}.{r['rule']}={r['failed']}" for r in failing)
+    assert_none({f"{r['table_name']}.{r['rule']}": r["failed"] for r in rules.filter(F.col("failed") > 0).collect()})
+
+
+def assert_none(failed: dict[str, int]) -> None:
+    """The same for counted rules: ``<table>.<rule>`` -> failing rows."""
+    if any(failed.values()):
+        names = ", ".join(f"{rule}={n}" for rule, n in failed.items() if n)
         raise QualityGateError(f"data-quality gate failed: {names}")

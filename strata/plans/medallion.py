@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import validate as V
@@ -43,25 +43,32 @@ class RunMetrics:
 
 
 def _write_observed(df: DataFrame, path: str, stage: str, metrics: RunMetrics, fmt: str,
-                    table: str | None = None, bucket_by: tuple[int, str] | None = None) -> None:
+                    table: str | None = None, bucket_by: tuple[int, str] | None = None,
+                    also: Sequence[Column] = ()) -> dict[str, int]:
+    """Writes ``df``, counting its rows and the aggregates ``also`` on the way; returns what was counted."""
     obs = Observation(stage)
     started = time.perf_counter()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *also)
     if table is None:
         observed.write.mode("overwrite").format(fmt).save(path)
     else:
         SK.save_table(observed, table, fmt=fmt, path=path, bucket_by=bucket_by)
     metrics.duration_ms[stage] = round((time.perf_counter() - started) * 1000, 2)
     metrics.rows[stage] = obs.get["rows"]
+    return obs.get
 
 
 def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt: str = "parquet",
                   orphans: str = "drop", event_order: Sequence[str] | None = None,
-                  database: str | None = None, dim_buckets: int | None = None, gate: bool = False) -> RunMetrics:
+                  database: str | None = None, dim_buckets: int | None = None, gate: bool = False,
+                  audit: bool = False) -> RunMetrics:
     """Batch medallion over raw ``customers``, ``products``, ``events`` frames.
 
     With ``gate`` the key, foreign-key and domain rules are checked on the raw
     frames first, and nothing is written when one fails (``QualityGateError``).
+    With ``audit`` the same rules are counted as Bronze is written and on its key
+    columns, without another pass over the raw frames; a failing one raises before
+    Silver, with Bronze written (``strata.plans.refresh`` publishes such runs).
 
     With ``database`` every layer is also a catalog table ``<database>.<layer>_<name>``
     (data under ``dst``, full refresh); without it, plain folders.  With
@@ -78,14 +85,22 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], dst: str, fmt:
     def table(layer: str, name: str) -> str | None:
         return None if database is None else f"{database}.{layer}_{name}"
 
+    rules = Q.source_domains(raw["customers"], raw["products"], raw["events"]) if audit else {}
+    failed = {}
     for name in LAYER_TABLES:
         bronze = raw[name].withColumn("_ingested_at", F.current_timestamp())
-        _write_observed(bronze, f"{dst}/bronze/{name}", f"bronze_{name}", metrics, fmt, table("bronze", name))
+        counted = _write_observed(bronze, f"{dst}/bronze/{name}", f"bronze_{name}", metrics, fmt, table("bronze", name),
+                                  also=Q.observed(rules.get(name, [])))
+        failed.update({f"{name}.{rule}": counted[rule] for rule, _ in rules.get(name, [])})
 
     def stored(layer: str, name: str) -> DataFrame:
         t = table(layer, name)
         return spark.table(t) if t else spark.read.format(fmt).load(f"{dst}/{layer}/{name}")
 
+    if audit:
+        keys = Q.key_rules(*(stored("bronze", name) for name in LAYER_TABLES)).collect()  # a row per rule
+        Q.assert_none({**failed, **{f"{r['table_name']}.{r['rule']}": r["failed"] for r in keys}})
+
     # Silver carries the stored Bronze ingest time (one time per load, not a new
     # one per write).  It is constant within a load, so it never decides which
     # copy survives; the event order names the business columns only.

@@ -22,6 +22,7 @@ from strata.operators.dedup import keep_last
 from strata.operators.enrich import iso_text, members_of, orphans_of
 from strata.plans import layers as L
 from strata.plans import medallion as M
+from strata.plans import refresh as R
 from strata.schemas import BRONZE_EVENTS, EVENT_TYPES, GOLD_CONTRACT, REQUIRED_EVENT_FIELDS, SILVER_SUMMARY_READ
 from strata.session import ensure_utc, scratch_path
 from strata.sinks import files as SK
@@ -352,14 +353,25 @@ def gated_gold(spark, d):
 @register("gated_pipeline")
 def gated_pipeline(spark, d):
     """The layered run over accepted events behind every rule: keys, foreign keys, domains. [SURVEY DQ6, PIP1]"""
-    raw = _raw_e(spark, d)
-    accepted = raw["events"].filter(F.col("event_type").isin(*EVENT_TYPES) & (F.col("quantity") > 0)
-                                    & F.col("timestamp").isNotNull())
     dst = scratch_path(spark, "gated")
-    M.run_medallion(spark, {**raw, "events": accepted}, dst, gate=True)
+    M.run_medallion(spark, _accepted_e(spark, d), dst, gate=True)
     return spark.read.parquet(f"{dst}/gold/sales_by_country")
 
 
+@register("published_gold")
+def published_gold(spark, d):
+    """What readers see after a run over accepted events, which is published, and one over all events, whose
+    types and quantities fail the audit. [SURVEY DQ6, PIP1, SNK6, SNK7]"""
+    root = scratch_path(spark, "published")
+    R.refresh(spark, _accepted_e(spark, d), root)
+    try:
+        R.refresh(spark, _raw_e(spark, d), root)
+    except Q.QualityGateError:
+        pass
+    seen = R.Snapshots(spark, root).latest()
+    return seen.read("gold", "sales_by_country").withColumn("version", F.lit(seen.number).cast("bigint"))
+
+
 @register("gold_country_double")
 def gold_country_double(spark, d):
     """Each purchase's amount cast to double before the sum. [SURVEY PRJ13]"""
@@ -376,6 +388,13 @@ def _raw_e(spark, d):
             "events": A.events_e(spark, d)}
 
 
+def _accepted_e(spark, d):
+    raw = _raw_e(spark, d)
+    accepted = raw["events"].filter(F.col("event_type").isin(*EVENT_TYPES) & (F.col("quantity") > 0)
+                                    & F.col("timestamp").isNotNull())
+    return {**raw, "events": accepted}
+
+
 def _medallion_run(spark, d):
     dst = scratch_path(spark, "medallion")
     M.run_medallion(spark, _raw_e(spark, d), dst)

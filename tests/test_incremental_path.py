@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import medallion as M
+from strata.plans.refresh import Snapshots
 from strata.session import scratch_path
 from strata.sources import files as SF
 from strata.streaming import bronze as SB
@@ -61,7 +62,7 @@ def test_job_entry_points(spark):
     out, lake = scratch_path(spark, "gen"), scratch_path(spark, "lake")
     assert run(["generate", "--tables", "/root/testdata/sf0.001", "--out", out], spark) == 0
     assert run(["medallion", "--raw", out, "--lake", lake], spark) == 0
-    gold = spark.read.parquet(f"{lake}/gold/sales_by_country")
+    gold = Snapshots(spark, lake).latest().read("gold", "sales_by_country")
     # every generated event resolves, so Gold covers all purchases
     purchases = SF.read_json_array(spark, f"{out}/events.json").filter("event_type = 'purchase'").count()
     assert gold.agg(F.sum("purchase_count")).first()[0] == purchases
