@@ -282,6 +282,7 @@ UNION ALL SELECT 'silver_customers', count(DISTINCT c_custkey) FROM customer JOI
 UNION ALL SELECT 'silver_products', count(DISTINCT p_partkey) FROM part WHERE p_retailprice IS NOT NULL
 UNION ALL SELECT 'silver_events', count(DISTINCT event_id) FROM sev"""
     q["enriched_gold"] = summary_sql("customer_country")
+    q["incremental_gold"] = summary_sql("customer_country")
     contract = f"""WITH {EV}, {CUST}, {PROD}
 SELECT cast(product_id AS varchar) AS product_id, product_name, category,
        cast(count(event_id) AS bigint) AS purchase_count, cast(sum(quantity) AS bigint) AS units_sold,

@@ -5,7 +5,7 @@
     publish   --events FILE --topic DIR|NAME [--broker HOST:PORT]
     ingest    --topic DIR|NAME --root DIR [--format parquet] [--broker HOST:PORT [--group ID] [--max-offsets N]]
               [--max-files N] [--max-messages N] [--every "1 minute"] [--sink-format parquet|json]
-    enrich    --root DIR --raw DIR [--orphans fail|drop|keep] [--sink-format parquet|json]
+    enrich    --root DIR --raw DIR [--orphans fail|drop|keep] [--sink-format parquet|json] [--incremental]
     generate  --out DIR (--tables DIR | --customers N --products N --events N) [--seed 42]
 
 The session comes from the submitting environment (cluster settings,
@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import generate as GEN
+from strata.plans import incremental as INC
 from strata.plans import medallion as M
 from strata.plans import refresh as R
 from strata.session import ensure_utc
@@ -67,6 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--raw", required=True)
     e.add_argument("--orphans", default="fail", choices=("drop", "keep", "fail"))
     e.add_argument("--sink-format", default="parquet", choices=("parquet", "json"))
+    e.add_argument("--incremental", action="store_true", help="take in only what was committed since the last such run")
     g = sub.add_parser("generate", help="raw exports from the rows of existing tables, or from counts")
     g.add_argument("--tables", help="folder with customer/part/events parquet")
     g.add_argument("--customers", type=int, default=10)
@@ -108,11 +110,14 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
             SB.run_available(spark, source, args.root, sink_format=args.sink_format, max_messages=args.max_messages)
     elif args.command == "compact":
         store = SB.open_store(spark, args.root, args.sink_format)
-        store.compact()
+        store.compact(mark=INC.Enriched(spark, args.root).upto)
         if args.vacuum:
             store.vacuum()
     elif args.command == "enrich":
         cu, pr = M.dimensions_from_files(spark, args.raw)
+        if args.incremental:
+            INC.advance(spark, SB.open_store(spark, args.root, args.sink_format), cu, pr, args.root, args.orphans)
+            return 0
         bronze = SB.read_bronze(spark, args.root, fmt=args.sink_format)
         M.enrich_and_summarize(spark, bronze, cu, pr, args.root, args.orphans)
     elif args.command == "generate":

@@ -146,10 +146,21 @@ def summary(enriched: DataFrame, dimension: str, purchase_value: str = "purchase
 
 def summary_all(enriched: DataFrame, purchase_value: str = "purchase") -> DataFrame:
     """All enriched summaries from one scan: GROUPING SETS + a label column."""
+    return _by_dimension(enriched, purchase_value, *measures(F.count(F.lit(1)), F.sum("quantity"), F.sum(_exact_amount())))
+
+
+def summary_sums(enriched: DataFrame, purchase_value: str = "purchase") -> DataFrame:
+    """The same before rounding: sums (purchase_count, units_sold, amount) that add up over parts of the input."""
+    return _by_dimension(enriched, purchase_value, F.count(F.lit(1)).alias("purchase_count"),
+                         F.sum("quantity").cast("bigint").alias("units_sold"),
+                         F.sum(_exact_amount()).cast("decimal(38,2)").alias("amount"))
+
+
+def _by_dimension(enriched: DataFrame, purchase_value: str, *totals: Column) -> DataFrame:
     dims = list(SUMMARY_DIMENSIONS.items())
     purchases = enriched.filter(F.col("event_type") == purchase_value)
     grouped = purchases.groupingSets([[c] for _, c in dims], *[c for _, c in dims])
-    agg = grouped.agg(*measures(F.count(F.lit(1)), F.sum("quantity"), F.sum(_exact_amount())),
+    agg = grouped.agg(*totals,
                       *[F.grouping(c).alias(f"_g{i}") for i, (_, c) in enumerate(dims)])
     label = value = None
     for i, (name, c) in enumerate(dims):
@@ -157,4 +168,4 @@ def summary_all(enriched: DataFrame, purchase_value: str = "purchase") -> DataFr
         label = F.when(hit, F.lit(name)) if label is None else label.when(hit, F.lit(name))
         value = F.when(hit, F.col(c)) if value is None else value.when(hit, F.col(c))
     return agg.select(label.alias("summary"), value.alias("dimension"),
-                      "purchase_count", "units_sold", "revenue")
+                      *[c for c in agg.columns[len(dims):] if not c.startswith("_g")])

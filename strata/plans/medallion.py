@@ -197,6 +197,16 @@ def _store_ingest(spark: SparkSession, firsts: DataFrame, rejected: DataFrame, d
     _write_observed(rejected.drop(*arrival), f"{dst}/rejected/run={run_id}", "rejected", metrics, "json")
 
 
+def enriched_rows(bronze: DataFrame, customers: DataFrame, products: DataFrame, orphans: str = "fail") -> DataFrame:
+    """Bronze events with their dimensions' attributes; those without a readable time are left out."""
+    typed = bronze.select(
+        "event_id", "customer_id", "product_id", "event_type", "currency",
+        F.try_to_timestamp("timestamp").alias("event_timestamp"), F.col("quantity").cast("bigint").alias("quantity")
+    ).where(F.col("event_timestamp").isNotNull())
+    enriched = enrich_events(typed, customers, products, orphans=orphans)
+    return enriched.withColumn("event_timestamp", iso_text("event_timestamp"))
+
+
 def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: DataFrame, products: DataFrame,
                          dst: str, orphans: str = "fail", metrics: RunMetrics | None = None,
                          summary_format: str = "jsonl") -> RunMetrics:
@@ -210,12 +220,7 @@ def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: Data
     if summary_format not in ("jsonl", "array"):
         raise ValueError(f"summary_format must be 'jsonl' or 'array', got {summary_format!r}")
     metrics = metrics or RunMetrics()
-    typed = bronze.select(
-        "event_id", "customer_id", "product_id", "event_type", "currency",
-        F.try_to_timestamp("timestamp").alias("event_timestamp"), F.col("quantity").cast("bigint").alias("quantity")
-    ).where(F.col("event_timestamp").isNotNull())
-    enriched = enrich_events(typed, customers, products, orphans=orphans)
-    enriched = enriched.withColumn("event_timestamp", iso_text("event_timestamp"))
+    enriched = enriched_rows(bronze, customers, products, orphans)
     _write_observed(enriched, f"{dst}/silver_enriched", "silver_enriched", metrics, "json")
 
     silver = SF.read_json_lines(spark, f"{dst}/silver_enriched", enriched.schema)

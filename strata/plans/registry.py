@@ -21,6 +21,7 @@ from strata.operators import quality as Q
 from strata.operators.dedup import keep_last
 from strata.operators.enrich import iso_text, members_of, orphans_of
 from strata.plans import layers as L
+from strata.plans import incremental as INC
 from strata.plans import medallion as M
 from strata.plans import refresh as R
 from strata.schemas import BRONZE_EVENTS, EVENT_TYPES, GOLD_CONTRACT, REQUIRED_EVENT_FIELDS, SILVER_SUMMARY_READ
@@ -657,6 +658,23 @@ def stream_limit(spark, d):
     return _bronze_cols(SB.read_bronze(spark, root))
 
 
+@register("incremental_gold")
+def incremental_gold(spark, d):
+    """Summaries of a backlog taken in two runs, the Bronze of the second packed in between. [SURVEY PIP2, AGG1]"""
+    topic, root = scratch_path(spark, "topic"), scratch_path(spark, "incremental")
+    cu = M.string_keyed(C.silver_customers(A.raw_customers(spark, d).drop("segment")), "customer_id")
+    pr = M.string_keyed(C.silver_products(A.raw_products(spark, d)), "product_id")
+    messages = M.to_messages(A.events_e(spark, d), {"key": "customer_id", "arrival_a": "event_id"})
+    T.write_topic(messages.select(F.col("key").cast("string").alias("key"), "value", F.lit(None).cast("timestamp_ntz").alias("arrival_ts"),
+                                  F.col("arrival_a").cast("bigint").alias("arrival_a"), F.lit(0).cast("bigint").alias("arrival_b")), topic)
+    for most in (A.INTAKE_LIMIT, None):
+        SB.run_available(spark, T.read_topic_stream(spark, topic), root, max_messages=most)
+        store = SB.open_store(spark, root)
+        store.compact(mark=INC.Enriched(spark, root).upto)
+        INC.advance(spark, store, cu, pr, root)
+    return INC.Enriched(spark, root).summary("revenue_by_country")
+
+
 @register("stream_rejects")
 def stream_rejects(spark, d):
     """SURVEY SNK4."""

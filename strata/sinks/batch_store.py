@@ -193,7 +193,8 @@ class BatchStore:
         change: dict = {"add": {}, "totals": counts}
         for kind, rows in (("bronze", counts.get("stored", 0)), ("rejects", counts.get("rejected", 0))):
             if rows:
-                change["add"][kind] = {name: {"rows": rows, "bytes": self.log.bytes(f"{self.root}/{kind}/batch={name}")}}
+                change["add"][kind] = {name: {"rows": rows, "bytes": self.log.bytes(f"{self.root}/{kind}/batch={name}"),
+                                              "from": self.number + 1, "to": self.number + 1}}
         if part is None:
             change["last"], change["whole"] = {stream: batch_id}, [stream]
         else:
@@ -206,32 +207,43 @@ class BatchStore:
             return None
         return self.state["part"].get(stream, 0)
 
-    def compact(self, small_bytes: int = SMALL_BYTES) -> int:
+    def committed_after(self, number: int) -> tuple[DataFrame, DataFrame, bool]:
+        """Bronze rows committed after commit ``number``, and those of folders packed from both sides of it, if any."""
+        entries = self.state["bronze"]
+        fresh = [n for n, e in entries.items() if e.get("from", 0) > number]
+        mixed = [n for n, e in entries.items() if e.get("from", 0) <= number < e.get("to", 0)]
+        return self._load_bronze(fresh), self._load_bronze(mixed), bool(mixed)
+
+    def compact(self, small_bytes: int = SMALL_BYTES, mark: int = -1) -> int:
         """Packs the folders under ``small_bytes`` into new ones of about that size; returns how many are gone.
 
+        Folders up to commit ``mark`` and later ones are packed apart, so that who has
+        read up to there (``plans.incremental``) reads the later ones alone.
+
         The new folders replace the old in one commit.  The old files are deleted
         by the next ``vacuum``, so readers that have begun go on.
         """
         gone = 0
         for kind, load in (("bronze", self._load_bronze), ("rejects", self._load_rejects)):
             packs: list[list[str]] = []
-            filled = small_bytes
-            for name, entry in sorted(self.state[kind].items(), key=lambda e: e[1]["bytes"]):
-                if entry["bytes"] >= small_bytes:
-                    continue
-                if filled + entry["bytes"] > small_bytes:
-                    packs.append([])
-                    filled = 0
-                packs[-1].append(name)
-                filled += entry["bytes"]
+            for later in (False, True):
+                filled = small_bytes
+                for name, entry in sorted(self.state[kind].items(), key=lambda e: e[1]["bytes"]):
+                    if entry["bytes"] >= small_bytes or (entry.get("to", 0) > mark) != later:
+                        continue
+                    if filled + entry["bytes"] > small_bytes:
+                        packs.append([])
+                        filled = 0
+                    packs[-1].append(name)
+                    filled += entry["bytes"]
             for names in packs:
                 if len(names) < 2:
                     continue
-                packed = f"p{uuid.uuid4().hex}"
+                packed, old = f"p{uuid.uuid4().hex}", [self.state[kind][n] for n in names]
                 rows, total = load(names), sum(self.state[kind][n]["rows"] for n in names)
                 self._write(kind, rows.drop("batch").coalesce(1) if kind == "rejects" else rows.drop("bucket"), packed, total)
-                entry = {"rows": total,
-                         "bytes": self.log.bytes(f"{self.root}/{kind}/batch={packed}")}
+                entry = {"rows": total, "bytes": self.log.bytes(f"{self.root}/{kind}/batch={packed}"),
+                         "from": min(e.get("from", 0) for e in old), "to": max(e.get("to", 0) for e in old)}
                 self._commit({"add": {kind: {packed: entry}}, "drop": {kind: names}})
                 gone += len(names)
         return gone
