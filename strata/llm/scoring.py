@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import bytes_of, column, fold, mix, slices, texts, word_hashes, written
 
 #: Bytes of text in one shard, distinct n-grams (before they meet) in one bucket, about.
-SHARD_BYTES, BUCKET_GRAMS = 8 << 20, 1 << 20
+SHARD_BYTES, BUCKET_GRAMS = 13 << 19, 1 << 20
 #: Bits of a key that tell n-grams apart; bit SEEN marks what is no word.
 SEEN = 60
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
