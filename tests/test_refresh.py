@@ -125,3 +125,10 @@ def test_empty_tables_are_published(spark, raw):
     empty = {name: df.limit(0) for name, df in raw.items()}
     snapshot, metrics = R.refresh(spark, empty, scratch_path(spark, "empty"))
     assert top(snapshot) == {} and metrics.rows["silver_events"] == 0
+
+
+def test_preview_shows_whole_cells_of_the_rows_asked_for(spark, capsys):
+    from strata.sinks.files import preview
+    preview(spark.createDataFrame([("x" * 60,), ("y",)], "v string").orderBy("v"), rows=1)
+    out = capsys.readouterr().out
+    assert "x" * 60 in out and "|y" not in out
