@@ -297,6 +297,7 @@ GROUP BY product_id, product_name, category"""
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, cast(floor(value) AS bigint) AS quantity
 FROM events"""
     q["scan_json_array"] = text_events
+    q["scan_json_array_split"] = text_events
     q["scan_jsonl"] = text_events
     q["scan_csv"] = """SELECT cast(c_custkey AS varchar) AS customer_id, c_name AS name, n_name AS country,
        strftime(DATE '2026-01-01' + CAST(c_custkey % 90 AS INTEGER), '%Y-%m-%d') AS signup_date

@@ -22,10 +22,10 @@ from strata.operators import conform as C
 from strata.operators import ingest as I
 from strata.operators import quality as Q
 from strata.operators.enrich import enrich_events, iso_text
-from strata.operators.partitioning import spread
 from strata.schemas import BRONZE_EVENTS, RAW_CUSTOMERS, RAW_EVENTS, RAW_PRODUCTS
 from strata.sinks import files as SK
 from strata.sources import files as SF
+from strata.sources.json_arrays import read_json_array_split
 
 LAYER_TABLES = ("customers", "products", "events")
 GOLD_TABLES = tuple(G.GOLD_KEYS)
@@ -265,8 +265,7 @@ def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     return {
         "customers": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['customers']}", RAW_CUSTOMERS),
         "products": SF.read_csv(spark, f"{raw_dir}/{RAW_FILES['products']}", RAW_PRODUCTS),
-        # one task per array document; spread before the per-row work
-        "events": spread(SF.read_json_array(spark, f"{raw_dir}/{RAW_FILES['events']}", RAW_EVENTS)),
+        "events": read_json_array_split(spark, f"{raw_dir}/{RAW_FILES['events']}", RAW_EVENTS),
     }
 
 

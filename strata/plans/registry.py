@@ -532,6 +532,16 @@ def scan_json_array(spark, d):
     return SF.read_json_array(spark, path)
 
 
+@register("scan_json_array_split")
+def scan_json_array_split(spark, d):
+    """SURVEY SRC3, a document read by many tasks; the units are small, so that documents are cut at any size."""
+    from strata.sources.json_arrays import read_json_array_split
+    path = scratch_path(spark, "events_json_array")
+    events = _text_events(spark, d).withColumn("quantity", F.col("quantity").cast("bigint"))
+    SK.write_json_array(events, path)
+    return read_json_array_split(spark, path, events.schema, unit_bytes=1 << 20)
+
+
 @register("scan_jsonl")
 def scan_jsonl(spark, d):
     """SURVEY SRC4."""
