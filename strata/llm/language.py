@@ -26,6 +26,8 @@ FAMILIES = {
 DIMS = 2048
 #: Most documents that the models are learned from, all languages together.
 SAMPLE_ROWS = 4000
+#: Parts, by a hash of the id, that a language's documents are sampled in.
+PARTS = 64
 UNKNOWN = "und"
 
 
@@ -136,17 +138,24 @@ def identify(docs: DataFrame, modulus: int = 4, held: int = 2, sample_rows: int
 
     Learned on the driver from at most ``sample_rows`` texts, as many of each
     language (those with the smallest hashes of their ids), outside the held-out
-    fold.  A text that is null or has no letter is ``und`` with score 0, and so
-    is every text when there is nothing to learn from.
+    fold; with more languages than that, of the most frequent ones.  A text that
+    is null or has no letter is ``und`` with score 0, and so is every text when
+    there is nothing to learn from.
     """
     spark = docs.sparkSession
     known = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).isNotNull().alias("_some")).where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("_some") & (fold(modulus) != held))
-    n = max(1, known.select("lang").distinct().count())
-    ordered = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")  # only the first rows of each task are kept
-    picked = (known.withColumn("_n", F.row_number().over(ordered)).where(F.col("_n") <= max(1, sample_rows // n))
-              .select("doc_id", "lang").distinct())
+    # the languages, a row each, those of most documents first; beyond the bound a sample holds no more of them
+    langs = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows).select("lang")
+    most = max(1, sample_rows // max(1, langs.count()))
+    known = (known.join(F.broadcast(langs), "lang").select("doc_id", "lang").distinct()
+             .withColumn("_h", F.xxhash64("doc_id")).withColumn("_part", F.pmod("_h", F.lit(PARTS))))
+    # the first of each part of a language, then the first of those: no task holds a language's rows
+    parted = Window.partitionBy("lang", "_part").orderBy("_h", "doc_id")
+    first = known.withColumn("_n", F.row_number().over(parted)).where(F.col("_n") <= most)
+    ordered = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    picked = first.withColumn("_n", F.row_number().over(ordered)).where(F.col("_n") <= most).select("doc_id", "lang")
     rows = texts(docs, id_col, text_col)
     found = (rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
              .mapInArrow(_vectors, "doc_id bigint, lang string, vector binary").collect())
