@@ -244,8 +244,8 @@ def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int
                  text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> tuple[str, DataFrame]:
     """Writes the shards; returns their folder and a table (shard, n_docs, n_tokens) of all shards.
 
-    Documents are dealt into ranges of ascending id (ties by text, null ids
-    first) and each range becomes one file.  Each document's ids end with
+    Documents are dealt into ranges of ascending id (ties by a hash of the text,
+    null ids first) and each range becomes one file.  Each document's ids end with
     ``end_id``; null and empty texts have only that.  An added token
     that a text spells out is that token, as by the library's default.  A task writes under a
     name of its own and then renames, so a retried task leaves the same file.
@@ -288,7 +288,9 @@ def write_shards(docs: DataFrame, tokenizer_json: str, pattern: str, end_id: int
                                           "n_tokens": pa.array([int(ends[-1])], pa.int64())})
 
     # shards are numbered by their partition, so the ranges must not be merged
-    ranges = rows.repartitionByRange(max(1, -(-size // shard_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows that share an id, or have none, are spread by a hash of their text
+    ranges = (rows.withColumn("_h", F.xxhash64("text")).repartitionByRange(max(1, -(-size // shard_bytes)), "doc_id", "_h")
+              .sortWithinPartitions("doc_id", "_h", "text"))
     return folder, written(ranges.mapInArrow(run, "shard bigint, n_docs bigint, n_tokens bigint"), "wavelet-shards")
 
 
