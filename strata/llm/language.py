@@ -26,8 +26,6 @@ FAMILIES = {
 DIMS = 2048
 #: Most documents that the models are learned from, all languages together.
 SAMPLE_ROWS = 4000
-#: Parts, by a hash of the id, that a language's documents are sampled in.
-PARTS = 64
 UNKNOWN = "und"
 
 
@@ -146,16 +144,15 @@ def identify(docs: DataFrame, modulus: int = 4, held: int = 2, sample_rows: int
     known = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).isNotNull().alias("_some")).where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("_some") & (fold(modulus) != held))
+    known = known.select("doc_id", "lang").distinct().withColumn("_h", F.xxhash64("doc_id"))
     # the languages, a row each, those of most documents first; beyond the bound a sample holds no more of them
-    langs = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows).select("lang")
+    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows")).orderBy(F.desc("_rows"), "lang").limit(sample_rows)
     most = max(1, sample_rows // max(1, langs.count()))
-    known = (known.join(F.broadcast(langs), "lang").select("doc_id", "lang").distinct()
-             .withColumn("_h", F.xxhash64("doc_id")).withColumn("_part", F.pmod("_h", F.lit(PARTS))))
-    # the first of each part of a language, then the first of those: no task holds a language's rows
-    parted = Window.partitionBy("lang", "_part").orderBy("_h", "doc_id")
-    first = known.withColumn("_n", F.row_number().over(parted)).where(F.col("_n") <= most)
+    # hashes low enough to be among the first of a language, half as many again and some, are all that a task gets
+    share = F.least(F.lit(1.0), (1.5 * most + 64) / F.col("_rows"))
+    low = known.join(F.broadcast(langs), "lang").where(F.col("_h").cast("double") <= share * 2.0 ** 64 - 2.0 ** 63)
     ordered = Window.partitionBy("lang").orderBy("_h", "doc_id")
-    picked = first.withColumn("_n", F.row_number().over(ordered)).where(F.col("_n") <= most).select("doc_id", "lang")
+    picked = low.withColumn("_n", F.row_number().over(ordered)).where(F.col("_n") <= most).select("doc_id", "lang")
     rows = texts(docs, id_col, text_col)
     found = (rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
              .mapInArrow(_vectors, "doc_id bigint, lang string, vector binary").collect())

@@ -220,3 +220,22 @@ def test_quality_learns_from_whole_texts(spark):
     labels = docs.select("doc_id", F.col("label").alias("quality"))
     for most in (1, 10_000):  # one long text of each class is learned from even where all are too long
         assert not isinstance(learn(docs.drop("label"), labels, held=-1, sample_passages=most), float)
+
+
+def test_language_sample_is_bounded_and_the_first_by_hash(spark, monkeypatch):
+    """As many of each language as the bound allows, however uneven; with more languages than that, the most frequent."""
+    from strata.llm import language
+    seen = []
+    made = language.Languages.__init__
+
+    def noted(self, x, langs, families):
+        seen.append(sorted(langs))
+        made(self, x, langs, families)
+
+    monkeypatch.setattr(language.Languages, "__init__", noted)
+    rows = [(k, f"text number {k}", "aa" if k % 10 else "bb") for k in range(3000)]
+    language.identify(spark.createDataFrame(rows + rows[:50], "doc_id long, text string, lang string"), sample_rows=100).collect()
+    assert seen[0] == ["aa"] * 50 + ["bb"] * 50
+    many = [(k, f"text {k}", f"l{k // 2 if k < 80 else k}") for k in range(200)]
+    language.identify(spark.createDataFrame(many, "doc_id long, text string, lang string"), sample_rows=10).collect()
+    assert len(seen[1]) == 10 == len(set(seen[1]))
