@@ -302,3 +302,17 @@ def test_digest_of_items(spark):
     out = {r.doc_id: r for r in decontamination(docs, bench).collect()}
     assert out[1].items_sha256 == hashlib.sha256(b"10,9").hexdigest() and out[1].contaminated and out[1].n_hit == 3
     assert out[2].items_sha256 == hashlib.sha256(b"").hexdigest() and not out[2].contaminated
+
+
+def test_token_store_spreads_rows_that_share_an_id(spark):
+    """Rows without an id, or of one id, are dealt to several files and keep ascending order."""
+    from strata.llm.queries import pattern, tokenizer_file
+    from strata.llm.wavelet import read_shards, write_shards
+    spec = tokenizer_file("byte_bpe_50k.json").decode()
+    rows = [(None if k % 3 else 7, f"text {k} " * 20, "en") for k in range(300)]
+    folder, shards = write_shards(table(spark, rows), spec, pattern(), shard_bytes=5_000)
+    sizes = [r.n_docs for r in shards.collect()]
+    assert sum(sizes) == 300 and max(sizes) < 100
+    got = sorted(read_shards(folder, shards).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 200 + [7] * 100
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
