@@ -172,12 +172,21 @@ def to_bronze(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return classified.filter("is_valid").select(*keep, *bronze_fields(), F.col(_TEXT).alias("message"))
 
 
-def judged(df: DataFrame, text_col: str = "value") -> DataFrame:
+def judged(df: DataFrame, text_col: str = "value", reasons: bool = False) -> DataFrame:
     """``df`` with ``is_valid`` and ``event``, the typed columns of a valid message (null otherwise).
 
-    Without the parsed view and the reasons: what a frame holds that is read twice.
+    Without the parsed view: what a frame holds that is read twice.  With ``reasons``
+    also those of an invalid one, comma-joined (null otherwise), where many are invalid;
+    they come from a generator like the parsed view, so that the rules run once a message
+    and not once for each column that asks whether one failed.
     """
-    parsed = with_parsed(df, text_col).withColumn("is_valid", is_valid())
+    parsed = with_parsed(df, text_col)
+    if reasons:
+        failed = F.concat_ws(",", *[F.when(rule, F.lit(name)) for name, rule in reason_flags()])
+        parsed = parsed.select("*", F.inline(F.array(F.struct(F.nullif(failed, F.lit("")).alias("reasons")))))
+        parsed = parsed.withColumn("is_valid", F.col("reasons").isNull())
+    else:
+        parsed = parsed.withColumn("is_valid", is_valid())
     return drop_parsed(parsed.withColumn("event", F.when(F.col("is_valid"), F.struct(*bronze_fields()))))
 
 

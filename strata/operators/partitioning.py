@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder on whatever storage Spark reads it from."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -168,18 +168,20 @@ def ingest_messages(spark: SparkSession, messages: DataFrame, dst: str, arrival:
     ``arrival`` are the message columns in whose order copies of an id arrive;
     without one there is no first copy.  Dead letters accumulate across runs; a
     retried run (same ``run_id``) rewrites its own folder instead of adding copies.
-    Messages are parsed once for both outputs.
+    Messages are parsed once for both outputs; meanwhile their typed columns are kept,
+    not the parsed view, which takes several times the room.
     """
     if not arrival:
         raise ValueError("arrival columns are needed to tell which copy of an event came first")
     metrics = metrics or RunMetrics()
     run_id = run_id or uuid.uuid4().hex
-    classified = V.classify(messages).persist()
+    judged = V.judged(messages, reasons=True).persist()
     try:
-        valid, rejected = I.parts(classified, keep=tuple(arrival))
+        valid = judged.filter("is_valid").select(*arrival, "event.*", F.col("value").alias("message"))
+        rejected = judged.filter(~F.col("is_valid")).select(*arrival, "value", "reasons")
         _store_ingest(spark, I.first_arrivals(valid, arrival), rejected, dst, arrival, metrics, run_id)
     finally:
-        classified.unpersist()
+        judged.unpersist()
     return metrics
 
 

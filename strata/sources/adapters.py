@@ -19,16 +19,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.partitioning import spread
+from strata.operators.partitioning import spread, stored_bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fact table, spread over the cores when it is read in too few splits."""
-    return spread(table(spark, sf_dir, name))
+#: Stored bytes of ``events`` a task: as parsed messages its rows take some forty times as much.
+EVENTS_UNIT = 2 << 20
+
+
+def fact_table(spark: SparkSession, sf_dir: str, name: str, unit_bytes: int | None = None) -> DataFrame:
+    """A fact table, spread when it is read in too few splits: fewer than cores, or than its size holds units."""
+    least = spark.sparkContext.defaultParallelism
+    if unit_bytes:
+        least = max(least, -(-stored_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") // unit_bytes))
+    return spread(table(spark, sf_dir, name), least)
 
 
 # ---------------------------------------------------------------- dimensions
@@ -72,7 +79,7 @@ def segment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- events
 def events_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter E: typed raw events from the ``events`` table."""
-    e = fact_table(spark, sf_dir, "events")
+    e = fact_table(spark, sf_dir, "events", EVENTS_UNIT)
     return e.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").alias("customer_id"),
@@ -133,7 +140,7 @@ def messages_d(spark: SparkSession, sf_dir: str, with_key: bool = False) -> Data
     row is emitted.  Case 0 carries an extra nested field, 24 is cut short or, every
     other time, followed by a second object.
     """
-    e = fact_table(spark, sf_dir, "events")
+    e = fact_table(spark, sf_dir, "events", EVENTS_UNIT)
     m = F.col("event_id") % 25
     user = F.col("user_id").cast("string")
     etype = F.col("event_type")

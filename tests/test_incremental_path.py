@@ -190,3 +190,28 @@ def test_summaries_as_json_array_documents(spark):
     M.enrich_and_summarize(spark, SB.read_bronze(spark, root), cu, pr, root, summary_format="array")
     got = {r.dimension: r.revenue for r in SF.read_json_array(spark, f"{root}/gold/revenue_by_country").collect()}
     assert got == {"Japan": 298.0, "United States": 255.0, "Saudi Arabia": 159.0}
+
+
+def test_tasks_of_parsed_events_follow_the_bytes_of_the_table(spark, monkeypatch):
+    from strata.operators.partitioning import stored_bytes
+    from strata.sources import adapters as A
+    d = "/root/testdata/sf0.01"
+    least = spark.sparkContext.defaultParallelism
+    unit = stored_bytes(spark, f"{d}/events.parquet") // (3 * least)
+    monkeypatch.setattr(A, "EVENTS_UNIT", unit)
+    for df in (A.events_e(spark, d), A.messages_d(spark, d)):
+        assert df.rdd.getNumPartitions() >= 3 * least
+
+
+def test_judged_messages_keep_the_reasons_and_no_parsed_view(spark):
+    from strata.functions import validate as V
+    from strata.sources import adapters as A
+    messages = A.messages_d(spark, "/root/testdata/sf0.001")
+    judged = V.judged(messages, reasons=True)
+    assert set(judged.columns) == {"record_id", "value", "is_valid", "event", "reasons"}
+    classified = V.classify(messages)
+    event = F.when(F.col("is_valid"), F.struct(*V.bronze_fields())).alias("event")
+    want = classified.select("record_id", "value", "is_valid", event,
+                             F.when(~F.col("is_valid"), F.array_join("reasons", ",")).alias("reasons"))
+    assert judged.select(want.columns).exceptAll(want).count() == 0 and judged.count() == want.count()
+    assert judged.where(F.col("is_valid") != F.col("reasons").isNull()).count() == 0
