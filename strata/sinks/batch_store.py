@@ -170,19 +170,26 @@ class BatchStore:
         if kind == "rejects":
             df.write.mode("overwrite").format(self.fmt).save(path)
             return
-        dealt = (df.drop("batch").withColumn("bucket", self.bucket()).repartition("bucket")
-                 .sortWithinPartitions("bucket", "event_id"))
+        dealt, as_they_are = df.drop("batch"), "bucket" in df.columns
+        if not as_they_are:
+            dealt = dealt.withColumn("bucket", self.bucket()).repartition("bucket")
+        dealt = dealt.sortWithinPartitions("bucket", "event_id")
         writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").format(self.fmt)
-        if self.fmt == "parquet":  # a filter's size follows the ids a file may hold
-            ids = max(64, 2 * expected // self.state["buckets"])
-            writer = (writer.option("parquet.bloom.filter.enabled#event_id", "true")
-                      .option("parquet.bloom.filter.expected.ndv#event_id", str(ids)))
+        if self.fmt == "parquet":  # a filter's size follows the ids a file may hold, or those it holds
+            writer = writer.option("compression", "zstd").option("parquet.bloom.filter.enabled#event_id", "true")
+            if as_they_are:
+                writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+            else:
+                ids = max(64, 2 * expected // self.state["buckets"])
+                writer = writer.option("parquet.bloom.filter.expected.ndv#event_id", str(ids))
         writer.save(path)
 
     def stage(self, name: str, fresh: DataFrame, rejected: DataFrame, expected: int = 0) -> dict[str, int]:
         """Writes a batch's rows, which nobody reads before ``commit``; returns how many were written.
 
-        ``expected`` is about how many ids there are at most, for the Bloom filters.
+        ``expected`` is about how many ids there are at most, for the Bloom filters.  Rows
+        with a column ``bucket`` are written by the tasks that have them, others are
+        brought to a task a bucket first.
         """
         self._write("rejects", rejected, name)
         self._write("bronze", fresh, name, expected)

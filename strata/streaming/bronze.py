@@ -18,8 +18,10 @@ Scale: the batch is bounded by the trigger (``maxFilesPerTrigger`` /
 ids fall into (``sinks.batch_store``); Spark broadcasts the ids when their bytes
 are under its threshold and shuffles otherwise.  In-batch first arrival is a
 partial-aggregated ``keep_first``, so an id repeated a million times in one
-batch is combined map-side.  What two branches read (judged messages, without
-the parsed view, and first arrivals) is kept on disk and memory meanwhile.
+batch is combined map-side.  It groups by the bucket and the id, so its shuffle
+is the only one of whole rows: the check against Bronze joins on it, and the
+sink writes its tasks' rows, which come sorted, as they are.  What two branches
+read (judged messages, without the parsed view) is kept on disk and memory meanwhile.
 """
 
 from __future__ import annotations
@@ -93,22 +95,31 @@ class BronzeIngest:
     def _ingest(self, messages: DataFrame, stream: str, batch_id: int, taken: int, part: int | None) -> None:
         """Stages and commits messages; ``part`` is how many of the batch are taken then, None for all."""
         name = f"q{stream}_{batch_id}" + (f"_{taken}" if taken else "")
-        judged = V.judged(messages).persist()
-        firsts = None
+        judged = V.judged(messages, reasons=True).persist()
+        unseen = None
         try:
-            bad = V.classify(judged.filter(~F.col("is_valid")).drop("is_valid", "event"))
-            rejected = bad.select("key", "value", *self.arrival, F.array_join("reasons", ",").alias("reasons"))
+            rejected = judged.filter(~F.col("is_valid")).select("key", "value", *self.arrival, "reasons")
             valid = judged.filter("is_valid").select(*self.arrival, "event.*", F.col("value").alias("message"))
-            firsts = keep_first(valid, "event_id", self.arrival).persist()
-            fresh = firsts.join(self.store.known(firsts), "event_id", "left_anti").drop(*self.arrival)
             n = judged.count()
+            # First arrivals, dealt by their bucket and id.
+            fresh = keep_first(valid.withColumn("bucket", self.store.bucket()), ["bucket", "event_id"], self.arrival)
+            if self.store.state["bronze"]:
+                unseen = self._unseen(valid).persist()
+                # A replay has none: then no whole row need be dealt.
+                fresh = fresh.limit(0) if unseen.isEmpty() else fresh.join(unseen, ["bucket", "event_id"], "left_semi")
+            fresh = fresh.drop(*self.arrival)
             counts = {"messages": n, **self.store.stage(name, fresh, rejected, n)}
             self.store.commit(name, stream, batch_id, counts, part)
             self.messages += counts["messages"]
         finally:
             judged.unpersist()
-            if firsts is not None:
-                firsts.unpersist()
+            if unseen is not None:
+                unseen.unpersist()
+
+    def _unseen(self, valid: DataFrame) -> DataFrame:
+        """(bucket, event_id) of the valid messages' ids that Bronze does not hold."""
+        ids = valid.select("event_id").distinct()
+        return ids.join(self.store.known(ids), "event_id", "left_anti").withColumn("bucket", self.store.bucket())
 
 
 def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,

@@ -49,13 +49,13 @@ def keyed(df: DataFrame, partitions: int | None = None,
 def dealt(df: DataFrame, partitions: int, order: Sequence[str] = ("arrival_ts", "arrival_a", "arrival_b")) -> DataFrame:
     """``df`` with ``partition`` (by a hash of the key, null keys together) and ``sequence`` (from 1, per key).
 
-    A partition's rows are in one task, in arrival order, so any sink that writes
+    A partition's rows are in one task, a task of its own, in arrival order, so any sink that writes
     a task's rows in turn keeps the order of every key.  Rows of one key that
     arrive at once follow each other by their values.
     """
     present = [c for c in order if c in df.columns]
     hashed = F.conv(F.substring(F.md5(F.coalesce(F.col("key"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("bigint")
-    placed = df.withColumn("partition", (hashed % partitions).cast("int")).repartition(partitions, "partition")
+    placed = df.withColumn("partition", (hashed % partitions).cast("int")).repartitionById(partitions, "partition")
     numbered = placed.withColumn("sequence", F.row_number().over(
         Window.partitionBy("partition", "key").orderBy(*present, "value")).cast("bigint"))
     return numbered.sortWithinPartitions("partition", *present, "key", "sequence")
@@ -91,7 +91,10 @@ def write_topic(df: DataFrame, path: str, partitions: int | None = None, fmt: st
     for c in TOPIC_SCHEMA.fieldNames():
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(TOPIC_SCHEMA[c].dataType))
-    out.select(*TOPIC_SCHEMA.fieldNames(), "partition", "sequence").write.mode("append").format(fmt).save(path)
+    writer = out.select(*TOPIC_SCHEMA.fieldNames(), "partition", "sequence").write.mode("append").format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
+    writer.save(path)
 
 
 def broker_frame(records: DataFrame) -> DataFrame:
