@@ -82,15 +82,17 @@ class BronzeIngest:
             self._ingest(batch, stream, batch_id, 0, None)
             return
         # Some of the batch: its messages in arrival order, from the first that is not taken.
-        dealt, counts = A.in_order(batch, [*self.arrival, "key", "value"])
+        ranges = A.ranges(batch, self.arrival)
+        left = sum(n for *_, n in ranges) - taken
+        take = left if self.limit is None else min(left, self.limit - self.messages)
+        some, kept = A.between(batch, self.arrival, ["key", "value"], ranges, taken, take)
         try:
-            left = sum(n for _, n in counts) - taken
-            take = left if self.limit is None else min(left, self.limit - self.messages)
-            self._ingest(A.stretch(dealt, counts, taken, take), stream, batch_id, taken, None if take == left else taken + take)
+            self._ingest(some, stream, batch_id, taken, None if take == left else taken + take)
             if take < left:
                 self._stop_at_limit()
         finally:
-            dealt.unpersist()
+            for frame in kept:
+                frame.unpersist()
 
     def _ingest(self, messages: DataFrame, stream: str, batch_id: int, taken: int, part: int | None) -> None:
         """Stages and commits messages; ``part`` is how many of the batch are taken then, None for all."""
