@@ -44,13 +44,14 @@ class RunMetrics:
 
 def _write_observed(df: DataFrame, path: str, stage: str, metrics: RunMetrics, fmt: str,
                     table: str | None = None, bucket_by: tuple[int, str] | None = None,
-                    also: Sequence[Column] = ()) -> dict[str, int]:
+                    also: Sequence[Column] = (), compression: str | None = None) -> dict[str, int]:
     """Writes ``df``, counting its rows and the aggregates ``also`` on the way; returns what was counted."""
     obs = Observation(stage)
     started = time.perf_counter()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *also)
     if table is None:
-        observed.write.mode("overwrite").format(fmt).save(path)
+        options = {"compression": compression} if compression else {}
+        observed.write.mode("overwrite").format(fmt).options(**options).save(path)
     else:
         SK.save_table(observed, table, fmt=fmt, path=path, bucket_by=bucket_by)
     metrics.duration_ms[stage] = round((time.perf_counter() - started) * 1000, 2)
@@ -212,7 +213,7 @@ def enriched_rows(bronze: DataFrame, customers: DataFrame, products: DataFrame,
 def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: DataFrame, products: DataFrame,
                          dst: str, orphans: str = "fail", metrics: RunMetrics | None = None,
                          summary_format: str = "jsonl") -> RunMetrics:
-    """Bronze events -> enriched Silver (JSON lines) -> one summary per dimension.
+    """Bronze events -> enriched Silver (JSON lines, gzip) -> one summary per dimension.
 
     An event whose time cannot be parsed is no sale, as in ``silver_events``, and
     is left out.  Summaries are JSON lines, or JSON array documents with
@@ -223,7 +224,7 @@ def enrich_and_summarize(spark: SparkSession, bronze: DataFrame, customers: Data
         raise ValueError(f"summary_format must be 'jsonl' or 'array', got {summary_format!r}")
     metrics = metrics or RunMetrics()
     enriched = enriched_rows(bronze, customers, products, orphans)
-    _write_observed(enriched, f"{dst}/silver_enriched", "silver_enriched", metrics, "json")
+    _write_observed(enriched, f"{dst}/silver_enriched", "silver_enriched", metrics, "json", compression="gzip")
 
     silver = SF.read_json_lines(spark, f"{dst}/silver_enriched", enriched.schema)
     every = G.summary_all(silver).persist()

@@ -215,3 +215,20 @@ def test_judged_messages_keep_the_reasons_and_no_parsed_view(spark):
                              F.when(~F.col("is_valid"), F.array_join("reasons", ",")).alias("reasons"))
     assert judged.select(want.columns).exceptAll(want).count() == 0 and judged.count() == want.count()
     assert judged.where(F.col("is_valid") != F.col("reasons").isNull()).count() == 0
+
+
+def test_enriched_rows_are_compressed_json_lines(spark):
+    import glob
+    import gzip
+    import json
+    dst = scratch_path(spark, "compressed")
+    messages = spark.createDataFrame([(json.dumps({
+        "event_id": "E1", "customer_id": "C001", "product_id": "P001", "event_type": "purchase",
+        "timestamp": "2026-03-10T09:15:00Z", "quantity": 2}), 1)], "value string, at long")
+    cu, pr = M.dimensions_from_files(spark, FIX)
+    M.run_enriched(spark, messages, cu, pr, dst, ("at",))
+    files = glob.glob(dst.replace("file:", "") + "/silver_enriched/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    lines = [json.loads(line) for f in files for line in gzip.open(f, "rt")]
+    assert [r["event_id"] for r in lines] == ["E1"]
+    assert [r.event_id for r in SF.read_json_lines(spark, f"{dst}/silver_enriched").collect()] == ["E1"]
