@@ -19,7 +19,8 @@ def _as_list(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _pick(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | None, last: bool) -> DataFrame:
+def _pick(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | None, last: bool,
+          copies: str | None = None) -> DataFrame:
     keys = _as_list(key)
     payload = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else payload
@@ -29,13 +30,18 @@ def _pick(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | None,
     ranked = F.struct(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(fields)])
     chosen = (F.max if last else F.min)(ranked).alias("_w")
     pos = {c: i for i, c in enumerate(fields)}
-    return df.groupBy(*keys).agg(chosen).select(
-        *[F.col(c) if c in keys else F.col(f"_w._f{pos[c]}").alias(c) for c in df.columns])
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    return df.groupBy(*keys).agg(chosen, *counted).select(
+        *[F.col(c) if c in keys else F.col(f"_w._f{pos[c]}").alias(c) for c in df.columns], *([copies] if copies else []))
 
 
-def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the smallest by ``order`` (default: all non-key columns)."""
-    return _pick(df, key, order, last=False)
+def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | None = None,
+               copies: str | None = None) -> DataFrame:
+    """One row per key: the smallest by ``order`` (default: all non-key columns).
+
+    ``copies`` names a column to add: how many rows the key has.
+    """
+    return _pick(df, key, order, last=False, copies=copies)
 
 
 def keep_last(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,10 +159,11 @@ class BatchStore:
                                   T.StructField("arrival_b", T.LongType()), T.StructField("reasons", T.StringType())])
 
     def known(self, ids: DataFrame) -> DataFrame:
-        """(event_id) of ``ids`` that are stored, reading only the buckets that ``ids`` fall into."""
-        wanted = [r[0] for r in ids.select(self.bucket().alias("b")).distinct().collect()]  # at most all buckets
+        """(event_id, bucket) of ``ids`` that are stored, reading only the buckets that ``ids`` fall into."""
+        asked = ids.select("bucket", "event_id") if "bucket" in ids.columns else ids.select(self.bucket().alias("bucket"), "event_id")
+        wanted = [r[0] for r in asked.select("bucket").distinct().collect()]  # at most all buckets
         stored = self.bronze().where(F.col("bucket").isin(wanted)) if wanted else self.bronze().limit(0)
-        return stored.select("event_id").join(ids.select("event_id"), "event_id", "left_semi")
+        return stored.select("bucket", "event_id").join(asked, ["bucket", "event_id"], "left_semi").select("event_id", "bucket")
 
     # -------------------------------------------------------------- writing
     def _write(self, kind: str, df: DataFrame, name: str, expected: int = 0) -> None:
@@ -184,16 +185,21 @@ class BatchStore:
                 writer = writer.option("parquet.bloom.filter.expected.ndv#event_id", str(ids))
         writer.save(path)
 
-    def stage(self, name: str, fresh: DataFrame, rejected: DataFrame, expected: int = 0) -> dict[str, int]:
+    def stage(self, name: str, fresh: DataFrame, rejected: DataFrame | Callable[[], DataFrame | None],
+              expected: int = 0) -> dict[str, int]:
         """Writes a batch's rows, which nobody reads before ``commit``; returns how many were written.
 
         ``expected`` is about how many ids there are at most, for the Bloom filters.  Rows
         with a column ``bucket`` are written by the tasks that have them, others are
-        brought to a task a bucket first.
+        brought to a task a bucket first.  ``rejected`` may be a function that is asked once
+        Bronze is written, and gives None if there are no rejects.
         """
-        self._write("rejects", rejected, name)
         self._write("bronze", fresh, name, expected)
-        return {"stored": self._load_bronze([name]).count(), "rejected": self._load_rejects([name]).count()}
+        rejected = rejected() if callable(rejected) else rejected
+        if rejected is not None:
+            self._write("rejects", rejected, name)
+        return {"stored": self._load_bronze([name]).count(),
+                "rejected": 0 if rejected is None else self._load_rejects([name]).count()}
 
     def commit(self, name: str, stream: str, batch_id: int, counts: dict[str, int], part: int | None = None) -> None:
         """Makes a staged batch visible; ``part`` is the number of messages taken of it so far, if some are left."""

@@ -5,7 +5,7 @@ One ``foreachBatch`` per micro-batch:
 1. judge every message,
 2. keep the first arrival of each valid id inside the batch,
 3. drop ids Bronze already holds (stored earlier or by an earlier batch),
-4. stage Bronze rows and rejects in folders of the batch's own, and
+4. stage Bronze rows, and rejects if there are any, in folders of the batch's own, and
 5. commit them, with the batch's counts, in the store's manifest.
 
 Retry safety: readers take only what is committed.  A batch that died before its
@@ -20,8 +20,9 @@ are under its threshold and shuffles otherwise.  In-batch first arrival is a
 partial-aggregated ``keep_first``, so an id repeated a million times in one
 batch is combined map-side.  It groups by the bucket and the id, so its shuffle
 is the only one of whole rows: the check against Bronze joins on it, and the
-sink writes its tasks' rows, which come sorted, as they are.  What two branches
-read (judged messages, without the parsed view) is kept on disk and memory meanwhile.
+sink writes its tasks' rows, which come sorted, as they are.  Judged messages are not kept: judging them again for the
+rejects costs less than keeping them, and is left out where every message was
+accepted.  Only the ids of a batch that Bronze is asked for are kept meanwhile.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -97,31 +98,34 @@ class BronzeIngest:
     def _ingest(self, messages: DataFrame, stream: str, batch_id: int, taken: int, part: int | None) -> None:
         """Stages and commits messages; ``part`` is how many of the batch are taken then, None for all."""
         name = f"q{stream}_{batch_id}" + (f"_{taken}" if taken else "")
-        judged = V.judged(messages, reasons=True).persist()
-        unseen = None
+        judged = V.judged(messages, reasons=True)
+        rejected = judged.filter(~F.col("is_valid")).select("key", "value", *self.arrival, "reasons")
+        valid = judged.filter("is_valid").select(*self.arrival, "event.*", F.col("value").alias("message"))
+        valid = valid.withColumn("bucket", self.store.bucket())
+        n, seen, ids = messages.count(), None, None
         try:
-            rejected = judged.filter(~F.col("is_valid")).select("key", "value", *self.arrival, "reasons")
-            valid = judged.filter("is_valid").select(*self.arrival, "event.*", F.col("value").alias("message"))
-            n = judged.count()
             # First arrivals, dealt by their bucket and id.
-            fresh = keep_first(valid.withColumn("bucket", self.store.bucket()), ["bucket", "event_id"], self.arrival)
+            fresh = keep_first(valid, ["bucket", "event_id"], self.arrival, copies="_copies")
             if self.store.state["bronze"]:
-                unseen = self._unseen(valid).persist()
-                # A replay has none: then no whole row need be dealt.
-                fresh = fresh.limit(0) if unseen.isEmpty() else fresh.join(unseen, ["bucket", "event_id"], "left_semi")
-            fresh = fresh.drop(*self.arrival)
-            counts = {"messages": n, **self.store.stage(name, fresh, rejected, n)}
+                ids = valid.groupBy("bucket", "event_id").agg(F.count(F.lit(1)).alias("_copies")).persist()
+                different, accepted = ids.agg(F.count(F.lit(1)), F.sum("_copies")).first()
+                known = self.store.known(ids).distinct()
+                # A replay has none that are new: then no whole row need be dealt.
+                fresh = fresh.limit(0) if known.count() == different else fresh.join(known, ["bucket", "event_id"], "left_anti")
+            else:
+                seen = Observation()  # in the stage that writes, where each task counts once
+                fresh = fresh.observe(seen, F.sum("_copies").alias("accepted"))
+            fresh = fresh.drop("_copies", *self.arrival)
+
+            def rejects() -> DataFrame | None:
+                return None if n == (accepted if seen is None else seen.get.get("accepted")) else rejected
+
+            counts = {"messages": n, **self.store.stage(name, fresh, rejects, n)}
             self.store.commit(name, stream, batch_id, counts, part)
             self.messages += counts["messages"]
         finally:
-            judged.unpersist()
-            if unseen is not None:
-                unseen.unpersist()
-
-    def _unseen(self, valid: DataFrame) -> DataFrame:
-        """(bucket, event_id) of the valid messages' ids that Bronze does not hold."""
-        ids = valid.select("event_id").distinct()
-        return ids.join(self.store.known(ids), "event_id", "left_anti").withColumn("bucket", self.store.bucket())
+            if ids is not None:
+                ids.unpersist()
 
 
 def start(spark: SparkSession, source: DataFrame, root: str, checkpoint: str | None = None,

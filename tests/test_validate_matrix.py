@@ -95,3 +95,11 @@ def test_schema_versions(spark, currency, expected):
     df = spark.createDataFrame([(1, _msg(change))], "n int, value string")
     row = V.to_bronze(V.classify(df)).first()
     assert row.currency == expected
+
+
+def test_where_an_object_ends(spark):
+    texts = {'{}': True, ' {"a":1}\n': True, '{"a":{"b":1}}': True, '{"a":"}"}': True, '{"a":"}': False, '{"a":1}{"b":2}': False,
+             '{"a":1} x': False, '}': False, '{': False, '': False, '"}': False, '{"\u00e9":"\u20ac"}': True, None: False}
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+    got = {r.n: r._msg_is_object for r in V.with_parsed(df).select("n", "_msg_is_object").collect()}
+    assert got == dict(enumerate(texts.values()))
