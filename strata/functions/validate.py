@@ -193,5 +193,16 @@ def judged(df: DataFrame, text_col: str = "value", reasons: bool = False) -> Dat
     return drop_parsed(parsed.withColumn("event", F.when(F.col("is_valid"), F.struct(*bronze_fields()))))
 
 
+def typed(df: DataFrame, text_col: str = "message") -> DataFrame:
+    """``df`` with the typed columns of its texts, which are all valid.
+
+    A text holds them already, so what is dealt to other tasks need not carry them beside it.
+    """
+    text = F.col(text_col).cast("string")
+    fields = bronze_fields()
+    parsed = df.drop("event_id").withColumns({_MAP: F.from_json(text, "map<string,string>"), _TEXT: text})
+    return drop_parsed(parsed.select("*", *fields))
+
+
 def drop_parsed(df: DataFrame) -> DataFrame:
     return df.drop(_MAP, _TEXT, "_msg_is_object")

@@ -20,7 +20,9 @@ are under its threshold and shuffles otherwise.  In-batch first arrival is a
 partial-aggregated ``keep_first``, so an id repeated a million times in one
 batch is combined map-side.  It groups by the bucket and the id, so its shuffle
 is the only one of whole rows: the check against Bronze joins on it, and the
-sink writes its tasks' rows, which come sorted, as they are.  Judged messages are not kept: judging them again for the
+sink writes its tasks' rows, which come sorted, as they are.  A row dealt is the
+arrival, the id and the text; the typed columns are read from the text again
+where it is written.  Judged messages are not kept: judging them again for the
 rejects costs less than keeping them, and is left out where every message was
 accepted.  Only the ids of a batch that Bronze is asked for are kept meanwhile.
 """
@@ -100,7 +102,7 @@ class BronzeIngest:
         name = f"q{stream}_{batch_id}" + (f"_{taken}" if taken else "")
         judged = V.judged(messages, reasons=True)
         rejected = judged.filter(~F.col("is_valid")).select("key", "value", *self.arrival, "reasons")
-        valid = judged.filter("is_valid").select(*self.arrival, "event.*", F.col("value").alias("message"))
+        valid = judged.filter("is_valid").select(*self.arrival, "event.event_id", F.col("value").alias("message"))
         valid = valid.withColumn("bucket", self.store.bucket())
         n, seen, ids = messages.count(), None, None
         try:
@@ -115,7 +117,7 @@ class BronzeIngest:
             else:
                 seen = Observation()  # in the stage that writes, where each task counts once
                 fresh = fresh.observe(seen, F.sum("_copies").alias("accepted"))
-            fresh = fresh.drop("_copies", *self.arrival)
+            fresh = V.typed(fresh.drop("_copies", *self.arrival)).select(*BRONZE_EVENTS.fieldNames(), "bucket")
 
             def rejects() -> DataFrame | None:
                 return None if n == (accepted if seen is None else seen.get.get("accepted")) else rejected

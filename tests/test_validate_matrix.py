@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.functions import validate as V
 
@@ -97,6 +98,14 @@ def test_schema_versions(spark, currency, expected):
     assert row.currency == expected
 
 
+def test_typed_columns_read_anew_are_those_judged(spark):
+    from strata.sources import adapters as A
+    for messages in (A.messages_d(spark, "/root/testdata/sf0.001"), A.messages_l_dirty(spark, "/root/testdata/sf0.001")):
+        valid = V.judged(messages, reasons=True).filter("is_valid").select("event.*", F.col("value").alias("message"))
+        again = V.typed(valid.select("event_id", "message")).select(*valid.columns)
+        assert valid.count() > 100 and valid.exceptAll(again).count() == 0 and again.exceptAll(valid).count() == 0
+
+
 def test_where_an_object_ends(spark):
     texts = {'{}': True, ' {"a":1}\n': True, '{"a":{"b":1}}': True, '{"a":"}"}': True, '{"a":"}': False, '{"a":1}{"b":2}': False,
              '{"a":1} x': False, '}': False, '{': False, '': False, '"}': False, '{"\u00e9":"\u20ac"}': True, None: False}
