@@ -194,14 +194,14 @@ def judged(df: DataFrame, text_col: str = "value", reasons: bool = False) -> Dat
 
 
 def typed(df: DataFrame, text_col: str = "message") -> DataFrame:
-    """``df`` with the typed columns of its texts, which are all valid.
+    """``df``, which has the ids of its texts, with their other typed columns; all texts are valid.
 
     A text holds them already, so what is dealt to other tasks need not carry them beside it.
+    The id is the column that is there, so rows in its order stay in order.
     """
     text = F.col(text_col).cast("string")
-    fields = bronze_fields()
-    parsed = df.drop("event_id").withColumns({_MAP: F.from_json(text, "map<string,string>"), _TEXT: text})
-    return drop_parsed(parsed.select("*", *fields))
+    parsed = df.withColumns({_MAP: F.from_json(text, "map<string,string>"), _TEXT: text})
+    return drop_parsed(parsed.select("*", *bronze_fields()[1:]))
 
 
 def drop_parsed(df: DataFrame) -> DataFrame:
